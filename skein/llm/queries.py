@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import quality_rules, url_filter
+from skein.llm import bpe, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_quality_rules": quality_rules.query,
+        "op5_bpe": bpe.query,
         "op7_url_filter": url_filter.query,
     }
 
