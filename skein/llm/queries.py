@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, quality_rules, url_filter
+from skein.llm import bpe, positional_index, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": quality_rules.query,
         "op5_bpe": bpe.query,
         "op7_url_filter": url_filter.query,
+        "op9_positional_index": positional_index.query,
     }
 
 
