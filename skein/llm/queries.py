@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, positional_index, quality_rules, url_filter
+from skein.llm import bpe, ngram_join, positional_index, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": bpe.query,
         "op7_url_filter": url_filter.query,
         "op9_positional_index": positional_index.query,
+        "op10_ngram_join": ngram_join.query,
     }
 
 
