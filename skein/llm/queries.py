@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, ngram_join, positional_index, quality_rules, url_filter
+from skein.llm import bpe, compression_classifier, ngram_join, positional_index, quality_rules, sharding, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_compression_classifier": compression_classifier.query,
+        "op3_sharding": sharding.query,
         "op4_quality_rules": quality_rules.query,
         "op5_bpe": bpe.query,
         "op7_url_filter": url_filter.query,
