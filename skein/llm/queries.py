@@ -6,20 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, compression_classifier, ngram_join, positional_index, quality_rules, sharding, url_filter
+from skein.llm import bpe, chat_format, compression_classifier, html_extract, ngram_join, positional_index, quality_rules, sharding, token_rollup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extract": html_extract.query,
         "op2_compression_classifier": compression_classifier.query,
         "op3_sharding": sharding.query,
         "op4_quality_rules": quality_rules.query,
         "op5_bpe": bpe.query,
+        "op6_chat_format": chat_format.query,
         "op7_url_filter": url_filter.query,
+        "op8_token_rollup": token_rollup.query,
         "op9_positional_index": positional_index.query,
         "op10_ngram_join": ngram_join.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_token_rollup": token_rollup.SQL}
