@@ -27,6 +27,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.llm.common import table
 
@@ -140,10 +141,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_text
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """docs plus score and predicted."""
+    """docs plus score and predicted (columns of these names are replaced)."""
+    docs = docs.drop("score", "predicted")
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
-    schema = docs.schema.add("score", "double", False).add("predicted", "int", False)
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shipped.value.scorer()
