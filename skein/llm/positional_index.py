@@ -28,23 +28,24 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import scratch, table
+from skein.llm.common import scratch, table, written
 
 WINDOW = 10
 #: Words of a segment; a longer document is a segment of its own.
 SEGMENT_WORDS = 1_500_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-INDEX = "rows long, ids binary, starts binary, counts binary, terms array<binary>, offsets binary, positions binary"
+INDEX = "segment long, rows long, ids binary, starts binary, counts binary, terms array<binary>, offsets binary, positions binary"
 
 
 def split_words(text: str | None) -> list[bytes]:
     return text.encode().translate(_LOWER).split() if text else []
 
 
-def _segment(ids: list, counts: list[int], codes: list[np.ndarray], terms: dict[bytes, int]) -> dict:
+def _segment(number: int, ids: list, counts: list[int], codes: list[np.ndarray], terms: dict[bytes, int]) -> dict:
     """The index row of so many documents. A gap of one position follows each document."""
     counts_ = np.array(counts, np.int64)
     starts = np.concatenate(([0], np.cumsum(counts_ + 1)))[:-1]
@@ -52,29 +53,31 @@ def _segment(ids: list, counts: list[int], codes: list[np.ndarray], terms: dict[
     where = np.repeat(np.arange(len(counts_), dtype=np.int64), counts_) + np.arange(len(flat))  # a gap for each document before
     order = np.argsort(flat, kind="stable")
     offsets = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(terms)))))
-    return {"rows": len(ids), "ids": np.array([0 if i is None else i for i in ids], np.int64).tobytes() + np.array([i is None for i in ids], np.int8).tobytes(),
+    return {"segment": number, "rows": len(ids), "ids": np.array([0 if i is None else i for i in ids], np.int64).tobytes() + np.array([i is None for i in ids], np.int8).tobytes(),
             "starts": starts.astype(np.int64).tobytes(), "counts": counts_.tobytes(), "terms": list(terms), "offsets": offsets.astype(np.int64).tobytes(), "positions": where[order].astype(np.int32).tobytes()}
 
 
 def _index(batches: Iterator[pa.RecordBatch], segment_words: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("rows", pa.int64()), *((n, pa.binary()) for n in ("ids", "starts", "counts")), ("terms", pa.list_(pa.binary())), ("offsets", pa.binary()), ("positions", pa.binary())])
+    schema = pa.schema([("segment", pa.int64()), ("rows", pa.int64()), *((n, pa.binary()) for n in ("ids", "starts", "counts")), ("terms", pa.list_(pa.binary())), ("offsets", pa.binary()), ("positions", pa.binary())])
 
     def fresh() -> tuple:
         return [], [], [], defaultdict(count().__next__), 0
 
+    number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     ids, counts, codes, terms, total = fresh()
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             found = split_words(text.as_py())
             if ids and total + len(found) > segment_words:
-                yield pa.RecordBatch.from_pylist([_segment(ids, counts, codes, terms)], schema)
+                yield pa.RecordBatch.from_pylist([_segment(number, ids, counts, codes, terms)], schema)
+                number += 1
                 ids, counts, codes, terms, total = fresh()
             ids.append(key)
             counts.append(len(found))
             codes.append(np.fromiter(map(terms.__getitem__, found), np.int32, len(found)))
             total += len(found)
     if ids:
-        yield pa.RecordBatch.from_pylist([_segment(ids, counts, codes, terms)], schema)
+        yield pa.RecordBatch.from_pylist([_segment(number, ids, counts, codes, terms)], schema)
 
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", segment_words: int = SEGMENT_WORDS) -> DataFrame:
@@ -204,12 +207,13 @@ def search(index: DataFrame, items: list[tuple[int, str | None]], size: int = WI
 
     if len(blocks) == 1:
         return one(blocks[0])
-    # A document is told from others of the same id by its place in the index.
-    numbered = index.withColumn("_segment", F.xxhash64("ids", "positions", "counts"))
-    out = _numbered(numbered, blocks[0], schema)
+    # A document is told from others of the same id by its segment and its place there; segments are numbered for good once they are stored.
+    if "InArrow" in index._jdf.queryExecution().optimizedPlan().toString():
+        index = written(index, "positional-index")
+    out = _numbered(index, blocks[0], schema)
     for block in blocks[1:]:
-        out = out.unionByName(_numbered(numbered, block, schema))
-    merged = out.groupBy("_segment", "_row").agg(
+        out = out.unionByName(_numbered(index, block, schema))
+    merged = out.groupBy("segment", "_row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     join = lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(F.element_at(acc, -1), 2) >= F.get(x, F.lit(0))), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.array(F.element_at(F.element_at(acc, -1), 1), F.greatest(F.element_at(F.element_at(acc, -1), 2), F.get(x, F.lit(1))))))).otherwise(F.concat(acc, F.array(x)))
     empty = F.array().cast("array<array<bigint>>")
@@ -227,9 +231,9 @@ def _numbered(index: DataFrame, block, schema: str) -> DataFrame:
                 row = batch.slice(k, 1)
                 for out in _search(iter([row]), shipped.value):
                     n = out.num_rows
-                    yield out.append_column("_segment", pa.array([row.column("_segment")[0].as_py()] * n, pa.int64())).append_column("_row", pa.array(range(n), pa.int64()))
+                    yield out.append_column("segment", pa.array([row.column("segment")[0].as_py()] * n, pa.int64())).append_column("_row", pa.array(range(n), pa.int64()))
 
-    return index.mapInArrow(run, f"{schema}, _segment long, _row long")
+    return index.mapInArrow(run, f"{schema}, segment long, _row long")
 
 
 def _near(batches: Iterator[pa.RecordBatch], items: list[tuple[int, tuple[bytes, ...]]], slack: int) -> Iterator[pa.RecordBatch]:
