@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import scratch, table
+from skein.llm.common import scratch, table, written
 
 KEYS = ("source", "lang", "tokenizer")
 SUMS = ("n_docs", "n_tokens", "n_chars")
@@ -38,10 +38,15 @@ def words_v2(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}{signs}]+|[{signs}]")).cast("long")
 
 
-def rows(docs: DataFrame, tokenizer: str, n_tokens: Column, sign: int = 1) -> DataFrame:
-    """docs as signed rows."""
+def counted(docs: DataFrame, **tokenizers: Column) -> DataFrame:
+    """doc_id, source, lang, n_chars and a count for each tokenizer: what signed rows are made of, without the text."""
     n_chars = F.length(F.coalesce(F.col("text"), F.lit(""))).cast("long")
-    return docs.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(sign).cast("long").alias("n_docs"), (n_tokens * sign).alias("n_tokens"), (n_chars * sign).alias("n_chars"))
+    return docs.select("doc_id", "source", "lang", n_chars.alias("n_chars"), *(c.alias(name) for name, c in tokenizers.items()))
+
+
+def rows(counts: DataFrame, tokenizer: str, n_tokens: str, sign: int = 1) -> DataFrame:
+    """Counted documents as signed rows of a tokenizer version; n_tokens names its column."""
+    return counts.select("source", "lang", F.lit(tokenizer).alias("tokenizer"), F.lit(sign).cast("long").alias("n_docs"), (F.col(n_tokens) * sign).alias("n_tokens"), (F.col("n_chars") * sign).alias("n_chars"))
 
 
 def rolled(signed: DataFrame) -> DataFrame:
@@ -112,17 +117,16 @@ class Store:
 def query(spark, sf_dir: str) -> DataFrame:
     """Three batches over whole tables: all documents by version 1; German and Spanish ones revised to version 2; toxic ones deleted. The second comes twice."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), table(spark, sf_dir, "labels")
+    counts = written(counted(docs, v1=words_v1(F.col("text")), v2=words_v2(F.col("text"))), "token-counts")
+    second = F.coalesce(F.col("lang").isin("de", "es"), F.lit(False))
     store = Store(spark, scratch(spark, "token-rollup"))
-    store.commit("1-insert", rows(docs, "words-1", words_v1(F.col("text"))))
-    again = docs.where(F.col("lang").isin("de", "es"))
-    revised = rows(again, "words-1", words_v1(F.col("text")), -1).unionByName(rows(again, "words-2", words_v2(F.col("text"))))
+    store.commit("1-insert", rows(counts, "words-1", "v1"))
+    revised = rows(counts.where(second), "words-1", "v1", -1).unionByName(rows(counts.where(second), "words-2", "v2"))
     store.commit("2-revise", revised)
     store.compact()
     store.commit("2-revise", revised)
-    toxic = labels.where("toxic = 1 and doc_id is not null").select("doc_id").distinct()
-    gone = docs.join(toxic, "doc_id", "left_semi")
-    revised_gone = F.col("lang").isin("de", "es")
-    store.commit("3-delete", rows(gone.where(~F.coalesce(revised_gone, F.lit(False))), "words-1", words_v1(F.col("text")), -1).unionByName(rows(gone.where(revised_gone), "words-2", words_v2(F.col("text")), -1)))
+    gone = counts.join(labels.where("toxic = 1 and doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
+    store.commit("3-delete", rows(gone.where(~second), "words-1", "v1", -1).unionByName(rows(gone.where(second), "words-2", "v2", -1)))
     return store.totals()
 
 
