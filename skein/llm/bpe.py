@@ -2,8 +2,9 @@
 
 The frequent words of the corpus (counted over all of it, the ``lexicon_size`` most
 frequent kept) are merged once on the driver and compiled into a minimal acyclic
-transducer with their ids as outputs. Each Python worker maps it into memory; a word
-that it doesn't hold is merged exactly, with a heap where it is long. Texts are whole;
+transducer with their ids as outputs. Each Python worker maps it into memory; words
+that it doesn't hold are merged exactly, many at a time (each round makes one merge
+in every word), and with a heap where they are long. Texts are whole;
 they are cut only where the tokenizer itself always cuts.
 
 The vocabulary file is read on the driver and travels, with the lexicon, as a broadcast
@@ -23,12 +24,13 @@ import pickle
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import table
+from skein.llm.common import table, written
 from skein.llm.transducer import Transducer, compile_transducer
 
 #: White space as Unicode has it.
@@ -39,6 +41,8 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 RARE_SPACE = re.compile("[\x85\xa0  -     　]")
 CACHE = 250_000
+#: Characters whose words are encoded at once.
+GROUP = 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -86,6 +90,81 @@ class Vocabulary:
                 ranks[k] = rank(new << 24 | ids[k + 1], none)
         return ids
 
+    def _tables(self) -> tuple[np.ndarray, ...]:
+        """Byte to id; rank of two bytes; an open-addressed table of pairs and their ranks; rank to id."""
+        if not hasattr(self, "_arrays"):
+            none, size = len(self.merged), 1 << (4 * len(self.merged) + 1).bit_length()
+            byte_id = np.array(self.byte_id, np.int64)
+            pairs = np.full(size, -1, np.int64)
+            ranks = np.full(size, none, np.int64)
+            keys = np.array(list(self.rank_of), np.int64)
+            for key, rank, at in zip(keys.tolist(), self.rank_of.values(), self._slots(keys, size).tolist()):
+                while pairs[at] >= 0:
+                    at = (at + 1) & (size - 1)
+                pairs[at], ranks[at] = key, rank
+            both = np.array([[self.rank_of.get(a << 24 | b, none) for b in self.byte_id] for a in self.byte_id], np.int64)
+            self._arrays = byte_id, both, pairs, ranks, np.array(self.merged, np.int64)
+        return self._arrays
+
+    @staticmethod
+    def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        _, _, pairs, ranks, _ = self._tables()
+        keys = left << 24 | right
+        at = self._slots(keys, len(pairs))
+        lost = np.flatnonzero((pairs[at] != keys) & (pairs[at] >= 0))
+        while len(lost):
+            at[lost] = (at[lost] + 1) & (len(pairs) - 1)
+            lost = lost[(pairs[at[lost]] != keys[lost]) & (pairs[at[lost]] >= 0)]
+        return ranks[at]
+
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """merge of each word (none empty): in every round each word makes its lowest, leftmost merge."""
+        out: list = [self.merge(w) if len(w) > 64 else None for w in words]
+        which = np.array([k for k, o in enumerate(out) if o is None], np.int64)
+        if not len(which):
+            return out
+        byte_id, both, _, _, merged = self._tables()
+        none = len(merged)
+        lengths = np.array([len(words[k]) for k in which.tolist()], np.int64)
+        data = np.frombuffer(b"".join([words[k] for k in which.tolist()]), np.uint8)
+        ids = byte_id[data]
+        rank = np.full(len(data), none, np.int64)
+        rank[:-1] = both[data[:-1], data[1:]]
+        rank[np.cumsum(lengths) - 1] = none  # a word's last letter pairs with nothing
+        while len(which):
+            starts = np.cumsum(lengths) - lengths
+            least = np.minimum.reduceat(rank, starts)
+            going = least < none
+            if 4 * going.sum() < 3 * len(going) or not going.any():
+                flat, ends = ids.tolist(), starts + lengths
+                for k in np.flatnonzero(~going).tolist():
+                    out[which[k]] = flat[starts[k] : ends[k]]
+                keep = np.repeat(going, lengths)
+                ids, rank, which, lengths, least = ids[keep], rank[keep], which[going], lengths[going], least[going]
+                starts = np.cumsum(lengths) - lengths
+                going = np.ones(len(which), bool)
+                if not len(which):
+                    break
+            word = np.repeat(np.arange(len(which)), lengths)
+            low = np.flatnonzero((rank == least[word]) & (rank < none))
+            at = low[np.concatenate(([True], word[low[1:]] != word[low[:-1]]))]  # the leftmost in each word
+            owner = word[at]
+            ids[at] = merged[rank[at]]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            after, end = at + 2, starts[owner] + lengths[owner]
+            inner = after < end
+            rank[at] = none
+            rank[at[inner]] = self._ranks(ids[at[inner]], ids[after[inner]])
+            before = at > starts[owner]
+            rank[at[before] - 1] = self._ranks(ids[at[before] - 1], ids[at[before]])
+            ids, rank = ids[keep], rank[keep]
+            lengths = lengths - np.bincount(owner, minlength=len(lengths))
+        return out
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         rank, merged, n = self.rank_of.get, self.merged, len(ids)
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
@@ -112,9 +191,32 @@ class _Chunks(dict):
         super().__init__()
         self.encoder, self.lead = encoder, lead
 
-    def __missing__(self, chunk: str) -> tuple[str, bytes]:
-        if len(self) >= CACHE:
+    def learn(self, chunks: set[str]) -> None:
+        """Encodes all chunks that aren't known, at once."""
+        if len(self) > CACHE:
             self.clear()
+        new, lead = [c for c in chunks if c not in self], self.lead
+        pieces: list[bytes] = []
+        counts: list[int] = []
+        for c in new:
+            if c.isalpha():  # one piece, with or without a space before it
+                pieces.append((lead + c).encode())
+                counts.append(1)
+            else:
+                own = PIECE.findall(lead + c)
+                pieces += [p.encode() for p in own]
+                counts.append(len(own))
+        encoder, at = self.encoder, 0
+        held = encoder.lexicon.accepts(pieces).tolist()
+        merged = iter(encoder.vocabulary.merge_many([p for p, h in zip(pieces, held) if not h]))
+        ids_of = [encoder.lexicon.get(p) if h else next(merged) for p, h in zip(pieces, held)]
+        text_of, bytes_of = encoder.text_of, encoder.bytes_of
+        for c, n in zip(new, counts):
+            ids = ids_of[at] if n == 1 else [i for part in ids_of[at : at + n] for i in part]
+            at += n
+            self[c] = (",".join([text_of[i] for i in ids]), b"".join([bytes_of[i] for i in ids]))
+
+    def __missing__(self, chunk: str) -> tuple[str, bytes]:
         if chunk.isalpha():  # one piece, with or without a space before it
             word = (self.lead + chunk).encode()
             ids = self.encoder.lexicon.get(word) or self.encoder.vocabulary.merge(word)
@@ -140,9 +242,30 @@ class Encoder:
             ids += self.lexicon.get(word) or self.vocabulary.merge(word)
         return ids
 
+    @staticmethod
+    def _simple(text: str) -> bool:
+        """Whether a text's white space is single spaces and line ends between words."""
+        odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text
+        return not odd and text[0] not in " \n" and text[-1] not in " \n" and (text.isascii() or not RARE_SPACE.search(text))
+
+    def learn(self, texts: list[str | None]) -> None:
+        """Encodes the words of texts that aren't known yet, so that encode only looks them up."""
+        bare: set[str] = {"\n"}
+        spaced: set[str] = set()
+        for text in texts:
+            if text and not (self.special and self.special.search(text)):
+                if self._simple(text):
+                    for line in text.split("\n"):
+                        first, *rest = line.split(" ")
+                        bare.add(first)
+                        spaced.update(rest)
+                else:
+                    bare.update(CHUNK.findall(text))
+        self.bare.learn(bare)
+        self.spaced.learn(spaced)
+
     def _plain(self, text: str, out: list[tuple[str, bytes]]) -> None:
-        simple = not ("  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text)
-        if simple and text[0] not in " \n" and text[-1] not in " \n" and (text.isascii() or not RARE_SPACE.search(text)):
+        if self._simple(text):
             for k, line in enumerate(text.split("\n")):
                 if k:
                     out.append(self.bare["\n"])
@@ -173,10 +296,19 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, size: int, text_col: str = "text") -> list[str]:
-    """The most frequent words (cut at spaces and line ends) of all texts; ties in order of the word."""
+    """The most frequent words (cut at spaces and line ends) of all texts: all of at least the smallest count, over 1, that no more than size words reach.
+
+    The counts go to the shared folder; the driver gets how many words have each count, and then the words.
+    """
     words = docs.select(F.explode(F.split(text_col, "[ \n]")).alias("word")).where("word != '' and length(word) <= 64")
-    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
-    return [r.word for r in top.select("word").collect()]
+    counted = written(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
+    least, held = None, 0
+    for r in counted.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():
+        held += r.words
+        if held > size:
+            break
+        least = r.n
+    return sorted(r.word for r in counted.where(F.col("n") >= least).select("word").collect()) if least else []
 
 
 def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> bytes:
@@ -201,6 +333,19 @@ class _Shipped:
         return self._of[self.key]
 
 
+def _groups(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, a few MB at a time."""
+    texts, held = [], 0
+    for value in column:
+        texts.append(value.as_py())
+        held += len(texts[-1] or "")
+        if held > GROUP:
+            yield texts
+            texts, held = [], 0
+    if texts:
+        yield texts
+
+
 def prepared(docs: DataFrame, path: str, lexicon_size: int = 50_000) -> _Shipped:
     vocabulary = Vocabulary(path)
     return _Shipped(docs.sparkSession, vocabulary, compile_lexicon(vocabulary, frequent_words(docs, lexicon_size)))
@@ -213,7 +358,10 @@ def encode(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shipped.encoder()
         for batch in batches:
-            ids = [encoder.ids(t) for t in batch.column(1).to_pylist()]
+            ids = []
+            for texts in _groups(batch.column(1)):
+                encoder.learn(texts)
+                ids += [encoder.ids(t) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
     return docs.select(key, "text").mapInArrow(run, schema)
@@ -240,12 +388,14 @@ def digests(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFram
         encoder = shipped.encoder()
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
-            for value in batch.column(1):
-                chunks = encoder.encode(value.as_py())
-                ids = ",".join([c[0] for c in chunks])
-                n.append(ids.count(",") + 1 if chunks else 0)
-                ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(b"".join([c[1] for c in chunks])).hexdigest())
+            for texts in _groups(batch.column(1)):
+                encoder.learn(texts)
+                for text in texts:
+                    chunks = encoder.encode(text)
+                    ids = ",".join([c[0] for c in chunks])
+                    n.append(ids.count(",") + 1 if chunks else 0)
+                    ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
+                    text_sha.append(hashlib.sha256(b"".join([c[1] for c in chunks])).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(key, "text").mapInArrow(run, schema)

@@ -17,6 +17,8 @@ import struct
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
+
 _MAGIC = b"SKTD"
 _NONE = 0xFFFFFFFF
 
@@ -137,6 +139,29 @@ class Transducer:
         room.write(data)
         return cls(room)
 
+    def accepts(self, keys: list[bytes]) -> np.ndarray:
+        """Whether each key is held: all keys walk at once, one byte a step; a key leaves when it has no arc."""
+        first = np.frombuffer(self._first, np.uint32).astype(np.int64)
+        labels = np.frombuffer(self._buffer, np.uint8, self.n_arcs, self._labels_at)
+        arcs = np.repeat(np.arange(self.n_states), np.diff(first)) << 8 | labels
+        targets, final = np.frombuffer(self._targets, np.uint32), np.frombuffer(self._final, np.uint32) > 0
+        lengths = np.fromiter(map(len, keys), np.int64, len(keys))
+        data = np.frombuffer(b"".join(keys) or b"\0", np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        out = np.zeros(len(keys), bool)
+        on, state, step = np.arange(len(keys)), np.full(len(keys), self.root, np.int64), 0
+        while len(on):
+            ended = lengths[on] == step
+            out[on[ended]] = final[state[ended]]
+            on, state = on[~ended], state[~ended]
+            if not len(on) or not len(arcs):
+                break
+            wanted = state << 8 | data[starts[on] + step]
+            at = np.minimum(np.searchsorted(arcs, wanted), len(arcs) - 1)
+            going = arcs[at] == wanted
+            on, state, step = on[going], targets[at[going]].astype(np.int64), step + 1
+        return out
+
     def _ids(self, at: int) -> list[int]:
         return self._outs[at + 1 : at + 1 + self._outs[at]].tolist()
 
