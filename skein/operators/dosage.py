@@ -11,7 +11,7 @@ ADDITIVE, DOMINANT, RECESSIVE = 0, 1, 2
 def dosage_model(dosage: Column, flip: Column, model: Column) -> Column:
     """The dosage a weight applies to: counted from the other side where flip is 1, then by model (0 additive, 1 dominant, 2 recessive)."""
     d = F.when(flip == 1, F.lit(2.0) - dosage).otherwise(dosage.cast("double"))
-    return F.when(model == DOMINANT, F.least(d, F.lit(1.0))).when(model == RECESSIVE, F.when(d >= 2, 1.0).when(d.isNotNull(), 0.0)).otherwise(d)
+    return F.when(d.isNotNull() & (model == DOMINANT), F.least(d, F.lit(1.0))).when(model == RECESSIVE, F.when(d >= 2, 1.0).when(d.isNotNull(), 0.0)).otherwise(d)
 
 
 def imputed(dosage: Column, frequency: Column) -> Column:

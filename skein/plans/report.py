@@ -188,7 +188,7 @@ def report(z_scores: DataFrame, metadata: DataFrame, profile: DataFrame, probabi
     part = lands.where("subsection is not null").groupBy("sample_id", "landscape").agg(F.sort_array(F.collect_list(F.struct("subsection", "n_pgs", "mean_z", "n_elevated", "tier_counts", "pgs"))).alias("_s"))
     sub = F.map_from_arrays(F.transform("_s", lambda x: x["subsection"]), F.transform("_s", lambda x: x.dropFields("subsection")))
     land = part.join(total, ["sample_id", "landscape"]).select("sample_id", "landscape", F.struct(F.col("_n").alias("n_pgs"), sub.alias("subsections"), F.col("_t").alias("tier_counts")).alias("l"))
-    out = out.join(land.groupBy("sample_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("landscape", "l")))).alias("phenotype_landscapes")), "sample_id", "left")
+    out = out.join(land.groupBy("sample_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("landscape", "l")), lambda a, b: F.when(a["landscape"] < b["landscape"], -1).otherwise(1))).alias("phenotype_landscapes")), "sample_id", "left")
     fields = ["patient", F.struct("domains", "unclassified").alias("clinical_circos"), "phenotype_landscapes"]
     if probabilities is not None:
         ranked = ranking(probabilities, nice)

@@ -41,7 +41,8 @@ def matched_rows(genotypes: DataFrame, weights: DataFrame, by_name: DataFrame |
     if by_name is None:
         return by_key
     taken = by_key.select("sample_id", "pgs_id", "vkey").distinct()
-    named = seen.where("rsid is not null and dosage is not null").select("sample_id", "vkey", "dosage", "rsid")
+    # A name that several observations have stands for the one of the smallest key.
+    named = seen.where("rsid is not null").groupBy("sample_id", "rsid").agg(F.min("vkey").alias("vkey"), F.min_by("dosage", "vkey").alias("dosage")).where("dosage is not null")
     ref, alt = F.shiftright("vkey", FIELD_BITS).bitwiseAND(F.lit(FIELD)).cast("int"), F.col("vkey").bitwiseAND(F.lit(FIELD)).cast("int")
     more = by_name.join(named, "rsid").join(taken, ["sample_id", "pgs_id", "vkey"], "left_anti")
     flip = fallback_flip(F.col("eff14"), F.col("oth14"), ref, alt)
@@ -69,6 +70,7 @@ class Reference:
     samples: DataFrame  # sample_id, sample (index), population, pc, unrelated
     populations: list[str]
     model: RandomForestClassificationModel
+    dims: int = 10
 
     @classmethod
     def build(cls, dosages: np.ndarray, keys: DataFrame, samples: DataFrame, dims: int = 10, trees: int = 100, seed: int = 42) -> Reference:
@@ -85,19 +87,18 @@ class Reference:
         names = sorted(r.population for r in samples.select("population").distinct().collect())
         label = F.array_position(F.array(*(F.lit(n) for n in names)), F.col("population")) - 1
         shaped = ml.features(located.withColumns({"_pc": F.slice("pc", 1, 5), "label": label.cast("double")}), ["_pc"])
-        return cls(u, s, v, keys.join(shape, "variant_index"), located, names, ml.train_forest(shaped, "label", trees, 8, seed))
+        return cls(u, s, v, keys.join(shape, "variant_index"), located, names, ml.train_forest(shaped, "label", trees, 8, seed), dims)
 
 
-def project(genotypes: DataFrame, reference: Reference, least: int = 1000, dims: int = 10) -> DataFrame:
+def project(genotypes: DataFrame, reference: Reference, least: int = 1000) -> DataFrame:
     """(sample_id, pc, n_found) of target samples; samples with fewer than least of the reference's variants are left out."""
     ids = genotypes.select("sample_id").distinct()
     panel = ids.crossJoin(reference.keys.select("variant_index", "vkey", "mean", "std"))  # each sample's vector has a row for each variant
-    tag = lambda df: df.withColumn("vkey", F.col("vkey"))
     target = genotypes.where("dosage is not null").select("sample_id", "vkey", "dosage")
-    found = _by_sample(tag(panel), target)
+    found = _by_sample(panel, target)
     enough = found.groupBy("sample_id").agg(F.count_if(F.col("matched") != "none").alias("n_found")).where(F.col("n_found") >= least)
     z = found.join(enough, "sample_id").select("sample_id", "variant_index", standardised(F.col("dosage"), F.col("mean"), F.col("std")).alias("w"))
-    return ml.project_samples(z, reference.u, reference.s, reference.v, dims=min(dims, len(reference.s))).join(enough, "sample_id")
+    return ml.project_samples(z, reference.u, reference.s, reference.v, dims=min(reference.dims, len(reference.s))).join(enough, "sample_id")
 
 
 def _by_sample(panel: DataFrame, target: DataFrame) -> DataFrame:
