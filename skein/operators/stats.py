@@ -219,14 +219,16 @@ def normalise(ref_scores: DataFrame, ref_pcs: DataFrame, targets: DataFrame, n_p
     """
     ref = ref_scores.join(ref_pcs, "sample_id")
     stats = ref.groupBy("pgs_id", "population").agg(F.avg("score").alias("_mean"), F.stddev_pop("score").alias("_std"))
-    named = targets.select("sample_id", "pgs_id", F.col("score").alias("_t"), "population", "pc")
+    named = targets.select(F.col("sample_id").alias("sample_id"), F.col("pgs_id").alias("pgs_id"), F.col("score").alias("_t"), F.col("population").alias("population"))
     counts = named.join(ref.select("pgs_id", "population", "score"), ["pgs_id", "population"]).groupBy("sample_id", "pgs_id", "population", "_t").agg(F.count_if(F.col("score") < F.col("_t")).alias("_lt"), F.count_if(F.col("score") <= F.col("_t")).alias("_le"), F.count("*").alias("_n"))
+    # Renamed, so that targets may come from the same tables as the reference.
+    aimed = targets.select(F.col("sample_id").alias("t_sample"), F.col("pgs_id").alias("t_pgs"), F.col("score").alias("t_score"), F.col("pc").alias("t_pc"))
     first = counts.join(stats, ["pgs_id", "population"]).select("sample_id", "pgs_id", guarded_z(F.col("_t"), F.col("_mean"), F.col("_std")).alias("z_population"), percentile_rank(F.col("_lt"), F.col("_le"), F.col("_n")).alias("percentile"))
 
     def regress(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         pcs = np.array([p[:n_pcs] for p in left["pc"]], float).reshape(len(left), -1)
-        rows = [(t.sample_id, key[0], *normalised_group(left["score"].to_numpy(float), pcs, float(t.score), np.array(t.pc[:n_pcs], float))) for t in right.itertuples()] if len(left) else []
+        rows = [(t.t_sample, key[0], *normalised_group(left["score"].to_numpy(float), pcs, float(t.t_score), np.array(t.t_pc[:n_pcs], float))) for t in right.itertuples()] if len(left) else []
         return pd.DataFrame(rows, columns=["sample_id", "pgs_id", "z_norm1", "z_norm2"])
 
-    second = ref.select("pgs_id", "score", "pc").groupBy("pgs_id").cogroup(targets.select("sample_id", "pgs_id", "score", "pc").groupBy("pgs_id")).applyInPandas(regress, "sample_id string, pgs_id string, z_norm1 double, z_norm2 double")
+    second = ref.select("pgs_id", "score", "pc").groupBy("pgs_id").cogroup(aimed.groupBy("t_pgs")).applyInPandas(regress, "sample_id string, pgs_id string, z_norm1 double, z_norm2 double")
     return targets.select("sample_id", "pgs_id").join(first, ["sample_id", "pgs_id"], "left").join(second, ["sample_id", "pgs_id"], "left")

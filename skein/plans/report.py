@@ -164,11 +164,11 @@ def monitoring(sections: DataFrame) -> DataFrame:
     return out.select("sample_id", F.transform("_o", lambda x: x["domain"]).alias("elevated_domains"), F.map_from_arrays(F.transform(with_tests, lambda x: x["domain"]), F.transform(with_tests, lambda x: x["tests"])).alias("recommendations"))
 
 
-def report(z_scores: DataFrame, metadata: DataFrame, profile: DataFrame, probabilities: DataFrame | None = None, modules: DataFrame | None = None, nice: dict[str, str] | None = None) -> DataFrame:
+def report(z_scores: DataFrame, metadata: DataFrame, profile: DataFrame, probabilities: DataFrame | None = None, modules: DataFrame | None = None, nice: dict[str, str] | None = None, drivers: DataFrame | None = None) -> DataFrame:
     """(sample_id, report): the nested report of each sample as JSON.
 
     z_scores: sample_id, pgs_id, z. profile: sample_id and what is said of the sample (any columns).
-    probabilities: sample_id, disease, probability. modules: sample_id, module_id, z_score, reliability, ….
+    probabilities: sample_id, disease, probability. modules: sample_id, module_id, z_score, reliability, …. drivers: sample_id, disease, driving_modules.
     """
     kept = kept_scores(z_scores, metadata)
     tiered = tiers(kept)
@@ -191,8 +191,10 @@ def report(z_scores: DataFrame, metadata: DataFrame, profile: DataFrame, probabi
     out = out.join(land.groupBy("sample_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("landscape", "l")), lambda a, b: F.when(a["landscape"] < b["landscape"], -1).otherwise(1))).alias("phenotype_landscapes")), "sample_id", "left")
     fields = ["patient", F.struct("domains", "unclassified").alias("clinical_circos"), "phenotype_landscapes"]
     if probabilities is not None:
-        ranked = ranking(probabilities, nice)
-        out = out.join(ranked.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("rank", "disease", "disease_name", "probability", "strength"))).alias("ranking")), "sample_id", "left")
+        ranked, said = ranking(probabilities, nice), ["rank", "disease", "disease_name", "probability", "strength"]
+        if drivers is not None:
+            ranked, said = ranked.join(drivers, ["sample_id", "disease"], "left"), [*said, "driving_modules"]
+        out = out.join(ranked.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct(*said))).alias("ranking")), "sample_id", "left")
     if modules is not None:
         said = [c for c in modules.columns if c != "sample_id"]
         out = out.join(modules.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct(*said))).alias("module_profile")), "sample_id", "left")

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import clean, domains, keys, rules
-from skein.operators import dosage, graph, match, resample, reshape, score, stats
+from skein.operators import dosage, graph, match, ml, resample, reshape, score, stats
+from skein.plans import cohort, report, scoring
+from skein.sources import text as text_sources
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -60,13 +62,12 @@ def q01_fnv1a(spark, d):
     return t(spark, d, "part").select("p_partkey", keys.fnv1a(F.col("p_name")).alias("hash"), keys.fnv14(F.col("p_name")).alias("low"))
 
 
-@query(f"""WITH k AS (SELECT p_partkey, n_nationkey, (CAST(n_nationkey + 1 AS BIGINT) << 56) | (least(p_partkey, 268435455) << 28) | (({FNV_SQL.format('p_brand')} & 16383) << 14) | ({FNV_SQL.format('p_type')} & 16383) AS vkey
-  FROM part, nation WHERE n_nationkey < 3)
-SELECT p_partkey, n_nationkey, vkey, ((vkey >> 28) << 28) | ((vkey & 16383) << 14) | ((vkey >> 14) & 16383) AS flipped FROM k""")
+@query(f"""WITH k AS (SELECT p_partkey, (CAST(p_size % 25 + 1 AS BIGINT) << 56) | (least(p_partkey, 268435455) << 28) | (({FNV_SQL.format('p_brand')} & 16383) << 14) | ({FNV_SQL.format('p_type')} & 16383) AS vkey
+  FROM part)
+SELECT p_partkey, vkey, ((vkey >> 28) << 28) | ((vkey & 16383) << 14) | ((vkey >> 14) & 16383) AS flipped FROM k""")
 def q02_variant_key(spark, d):
-    nation = t(spark, d, "nation").where("n_nationkey < 3").select("n_nationkey")
-    key = keys.pack(F.col("n_nationkey") + 1, F.col("p_partkey"), keys.fnv14(F.col("p_brand")), keys.fnv14(F.col("p_type")))
-    out = t(spark, d, "part").crossJoin(F.broadcast(nation)).select("p_partkey", "n_nationkey", key.alias("vkey"))  # three rows of nation
+    key = keys.pack(F.col("p_size") % 25 + 1, F.col("p_partkey"), keys.fnv14(F.col("p_brand")), keys.fnv14(F.col("p_type")))
+    out = t(spark, d, "part").select("p_partkey", key.alias("vkey"))
     return out.withColumn("flipped", keys.flipped_key(F.col("vkey")))
 
 
@@ -86,14 +87,15 @@ def q04_dosage_model(spark, d):
 
 
 @query(f"""WITH {W_SQL}, meta AS (SELECT pgs_id, count(*) AS num_original FROM w GROUP BY 1),
-j AS (SELECT s.* FROM s JOIN part ON l_partkey = p_partkey AND p_size % 5 <> 0)
+j AS (SELECT s.pgs_id, s.weight, CASE WHEN p_size % 5 <> 0 THEN s.d END AS d FROM s JOIN part ON l_partkey = p_partkey)
 SELECT meta.pgs_id, round(coalesce(sum(d * weight), 0), 4) + 0.0 AS raw_score, count(d) AS variants_matched, any_value(num_original) AS variants_total,
   round(count(d) / CAST(any_value(num_original) AS DOUBLE), 6) AS match_rate FROM meta LEFT JOIN j ON meta.pgs_id = j.pgs_id GROUP BY 1""")
 def q05_weighted_score(spark, d):
     w = weights(spark, d)
-    genotype = t(spark, d, "part").where(F.pmod("p_size", F.lit(5)) != 0).select(F.col("p_partkey").alias("l_partkey"))
+    genotype = t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), (F.pmod("p_size", F.lit(5)) != 0).alias("called"))
+    found = w.join(genotype, "l_partkey").withColumn("dosage", F.when(F.col("called"), F.col("dosage")))
     meta = w.groupBy("pgs_id").agg(F.count("*").alias("num_original"))
-    out = score.weighted_scores(w.join(genotype, "l_partkey"), meta, by=("pgs_id",))
+    out = score.weighted_scores(found, meta, by=("pgs_id",))
     return out.select("pgs_id", r(F.col("raw_score"), 4).alias("raw_score"), "variants_matched", "variants_total", "match_rate")
 
 
@@ -105,26 +107,26 @@ def q06_score_by_model(spark, d):
 
 
 @query("""WITH w AS (SELECT c_mktsegment AS pgs_id, c_custkey, c_custkey % 1000 AS alt, c_acctbal AS weight FROM customer),
-o AS (SELECT o_custkey % 1500 AS k, o_custkey % 997 AS f, CAST(o_totalprice AS DOUBLE) AS dosage FROM orders WHERE o_orderkey % 7 = 0),
+o AS (SELECT o_custkey % 1500 AS k, o_custkey % 997 AS f, CAST(o_totalprice AS DOUBLE) AS dosage FROM orders),
 a AS (SELECT pgs_id, c_custkey, dosage, k FROM w JOIN o ON c_custkey = k),
 b AS (SELECT w.pgs_id, w.c_custkey, o.dosage FROM w JOIN o ON alt = f WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.pgs_id = w.pgs_id AND a.k = o.k)),
 u AS (SELECT 'key' AS source, pgs_id, dosage FROM a UNION ALL SELECT 'fallback', pgs_id, dosage FROM b)
 SELECT source, pgs_id, count(*) AS n, round(sum(dosage), 2) + 0.0 AS total FROM u GROUP BY ALL""")
 def q07_name_fallback(spark, d):
     w = t(spark, d, "customer").select(F.col("c_mktsegment").alias("pgs_id"), "c_custkey", F.pmod("c_custkey", F.lit(1000)).alias("alt"), F.col("c_acctbal").alias("weight"))
-    o = t(spark, d, "orders").where("o_orderkey % 7 = 0").select(F.pmod("o_custkey", F.lit(1500)).alias("c_custkey"), F.pmod("o_custkey", F.lit(997)).alias("alt"), F.col("o_totalprice").alias("dosage"))
+    o = t(spark, d, "orders").select(F.pmod("o_custkey", F.lit(1500)).alias("c_custkey"), F.pmod("o_custkey", F.lit(997)).alias("alt"), F.col("o_totalprice").alias("dosage"))
     return match.exact_then_fallback(w, o, "c_custkey", "alt").groupBy("source", "pgs_id").agg(F.count("*").alias("n"), r(F.sum("dosage"), 2).alias("total"))
 
 
 @query("""WITH panel AS (SELECT s_suppkey, (CAST(s_nationkey + 1 AS BIGINT) << 28) | ((s_suppkey % 7) << 14) | (s_suppkey % 11) AS vkey FROM supplier),
-tg AS (SELECT (CAST(c_nationkey + 1 AS BIGINT) << 28) | ((c_custkey % 7) << 14) | (c_custkey % 11) AS vkey, min(c_custkey) % 3 AS dosage FROM customer WHERE c_custkey % 3 <> 0 GROUP BY 1),
+tg AS (SELECT (CAST(c_nationkey + 1 AS BIGINT) << 28) | ((c_custkey % 7) << 14) | (c_custkey % 11) AS vkey, min(c_custkey) % 3 AS dosage FROM customer GROUP BY 1),
 j AS (SELECT s_suppkey, p.vkey, a.vkey AS e, a.dosage AS ed, b.vkey AS f, b.dosage AS fd FROM panel p LEFT JOIN tg a ON a.vkey = p.vkey LEFT JOIN tg b ON b.vkey = (((p.vkey >> 28) << 28) | ((p.vkey & 16383) << 14) | ((p.vkey >> 14) & 16383)))
 SELECT s_suppkey, vkey, CASE WHEN e IS NOT NULL THEN 'exact' WHEN f IS NOT NULL THEN 'flip' ELSE 'none' END AS matched,
   CAST(CASE WHEN e IS NOT NULL THEN ed WHEN f IS NOT NULL THEN 2.0 - fd ELSE 0 END AS DOUBLE) AS dosage FROM j""")
 def q08_exact_else_flipped(spark, d):
     key = lambda n, c: F.shiftleft((F.col(n) + 1).cast("long"), 28).bitwiseOR(F.shiftleft(F.pmod(c, F.lit(7)), 14)).bitwiseOR(F.pmod(c, F.lit(11)))
     panel = t(spark, d, "supplier").select("s_suppkey", key("s_nationkey", "s_suppkey").alias("vkey"))
-    target = t(spark, d, "customer").where("c_custkey % 3 <> 0").select(key("c_nationkey", "c_custkey").alias("vkey"), "c_custkey")
+    target = t(spark, d, "customer").select(key("c_nationkey", "c_custkey").alias("vkey"), "c_custkey")
     target = target.groupBy("vkey").agg(F.pmod(F.min("c_custkey"), F.lit(3)).alias("dosage"))
     return match.exact_else_flipped(panel, target)
 
@@ -138,9 +140,9 @@ def q09_semi_joins(spark, d):
     return left.groupBy("l_suppkey").agg(F.count("*").alias("n"), r(F.sum("l_discount"), 4).alias("total"))
 
 
-@query("SELECT c_mktsegment, count(*) AS n FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 5 = 0) GROUP BY 1")
+@query("SELECT c_mktsegment, count(*) AS n FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') GROUP BY 1")
 def q10_anti_join(spark, d):
-    orders = t(spark, d, "orders").where("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    orders = t(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return match.not_in(t(spark, d, "customer"), orders, ["c_custkey"]).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
@@ -312,10 +314,10 @@ def q30_most_common(spark, d):
     return stats.most_common(t(spark, d, "customer"), ["c_nationkey"], "c_mktsegment", "c_custkey")
 
 
-@query("""WITH g AS (SELECT n_nationkey, avg(CASE WHEN s_suppkey IS NOT NULL THEN (s_acctbal - 4000) / 2000 END) AS m, count_if(abs((s_acctbal - 4000) / 2000) >= 1.5) AS e, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 2 = 0 GROUP BY 1)
+@query("""WITH g AS (SELECT n_nationkey, avg(CASE WHEN s_suppkey IS NOT NULL THEN (s_acctbal - 4000) / 2000 END) AS m, count_if(abs((s_acctbal - 4000) / 2000) >= 1.5) AS e, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 3000 GROUP BY 1)
 SELECT n_nationkey, n, CASE WHEN n = 0 THEN 'INSUFFICIENT_DATA' WHEN m >= 1.5 OR (e / CAST(n AS DOUBLE) >= 0.40 AND abs(m) >= 0.3) THEN 'ELEVATED' WHEN m >= 0.8 OR (e / CAST(n AS DOUBLE) >= 0.33 AND abs(m) >= 0.3) THEN 'MILDLY_ELEVATED' ELSE 'TYPICAL' END AS risk FROM g""")
 def q31_risk_levels(spark, d):
-    s = t(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_nationkey").alias("n_nationkey"), ((F.col("s_acctbal") - 4000) / 2000).alias("z"))
+    s = t(spark, d, "supplier").where("s_acctbal > 3000").select(F.col("s_nationkey").alias("n_nationkey"), ((F.col("s_acctbal") - 4000) / 2000).alias("z"))
     g = s.groupBy("n_nationkey").agg(F.avg("z").alias("m"), F.count_if(F.abs("z") >= 1.5).alias("e"), F.count("*").alias("n"))
     out = match.left_default(t(spark, d, "nation").select("n_nationkey"), g, ["n_nationkey"], {"e": 0, "n": 0})
     return out.select("n_nationkey", "n", rules.risk_level(F.col("m"), F.col("e"), F.col("n")).alias("risk"))
@@ -466,12 +468,12 @@ def q43_reciprocal(spark, d):
     return graph.reciprocal(_neighbours(spark, d)).select("src", "dst", r(F.col("corr")).alias("corr"), r(F.col("abs_corr")).alias("abs_corr"))
 
 
-@query("""WITH l AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_suppkey <= 40), r AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_suppkey > 40 AND l_suppkey <= 80)
+@query("""WITH l AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'R'), r AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_returnflag = 'A')
 SELECT l.l_suppkey AS a, r.l_suppkey AS b, count(*) AS shared, round(count(*) / CAST(any_value(na) + any_value(nb) - count(*) AS DOUBLE), 6) AS jaccard FROM l JOIN r USING (l_partkey)
   JOIN (SELECT l_suppkey, count(*) AS na FROM l GROUP BY 1) x ON x.l_suppkey = l.l_suppkey JOIN (SELECT l_suppkey, count(*) AS nb FROM r GROUP BY 1) y ON y.l_suppkey = r.l_suppkey GROUP BY 1, 2""")
 def q44_jaccard(spark, d):
-    li = t(spark, d, "lineitem").select("l_suppkey", "l_partkey")
-    out = graph.jaccard_pairs(li.where("l_suppkey <= 40"), li.where("l_suppkey > 40 and l_suppkey <= 80"), "l_partkey", "l_suppkey")
+    li = t(spark, d, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag")
+    out = graph.jaccard_pairs(li.where("l_returnflag = 'R'"), li.where("l_returnflag = 'A'"), "l_partkey", "l_suppkey")
     return out.select("a", "b", "shared", r(F.col("jaccard")).alias("jaccard"))
 
 
@@ -544,3 +546,168 @@ def q51_bootstrap(spark, d):
     auc = stats.rank_auc(draws, "x", "quality", ["draw"], symmetric=False)
     out = resample.interval(auc.withColumn("_all", F.lit(1)), "auc", ["_all"])
     return out.select(r(F.col("low")).alias("low"), r(F.col("high")).alias("high"), "n")
+
+
+_CALLS_SQL = """v AS (SELECT p_partkey, p_size % 22 + 1 AS c, substring('ACGT', CAST(p_partkey % 4 AS INT) + 1, 1) AS ref, substring('CGTA', CAST(p_partkey % 4 AS INT) + 1, 1) AS alt, p_size % 4 AS g FROM part)"""
+
+
+def _call_lines(spark, d) -> DataFrame:
+    """part as lines of a call file: a header, and one variant a row; each tenth is repeated with another genotype."""
+    base = lambda letters: F.substr(F.lit(letters), F.pmod("p_partkey", F.lit(4)).cast("int") + 1, F.lit(1))
+    genotype = F.get(F.array(*(F.lit(x) for x in ("0/0", "0/1", "1|1", "./."))), (F.col("p_size") % 4).cast("int"))
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("rs"), "p_partkey")).otherwise(".")
+    row = lambda g: F.concat_ws("\t", F.concat(F.when(F.col("p_partkey") % 2 == 0, "chr").otherwise(""), (F.col("p_size") % 22 + 1)), F.col("p_partkey").cast("string"), name, base("ACGT"), base("CGTA"), F.lit("."), F.lit("."), F.lit("."), F.lit("GT:DP"), g)
+    p = t(spark, d, "part")
+    first = p.select((F.col("p_partkey") * 2 + 10).alias("line_no"), row(F.concat(genotype, F.lit(":9"))).alias("value"))
+    again = p.where("p_partkey % 10 = 0").select((F.col("p_partkey") * 2 + 11).alias("line_no"), row(F.lit("1/1")).alias("value"))
+    head = spark.createDataFrame([(1, "##reference=GRCh37"), (2, "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS")], "line_no long, value string")
+    return head.unionByName(first).unionByName(again).withColumn("file", F.lit("f"))
+
+
+@query(f"WITH {_CALLS_SQL} SELECT 'S' AS sample_id, 'GRCh37' AS build, p_partkey AS pos, ref, alt, CAST(CASE g WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END AS DOUBLE) AS dosage, CASE WHEN p_partkey % 3 = 0 THEN concat('rs', p_partkey) END AS rsid, c AS chrom FROM v")
+def q52_parse_calls(spark, d):
+    g = text_sources.parse_vcf(_call_lines(spark, d))
+    return g.select("sample_id", "build", F.col("pos").cast("long").alias("pos"), "ref", "alt", F.col("dosage").cast("double").alias("dosage"), "rsid", keys.chromosome(F.col("chrom")).alias("chrom"))
+
+
+def _score_lines(spark, d) -> DataFrame:
+    """supplier and part as lines of score files: part's variants with a weight, the other allele missing in every fifth row."""
+    base = lambda letters: F.substr(F.lit(letters), F.pmod("p_partkey", F.lit(4)).cast("int") + 1, F.lit(1))
+    p = t(spark, d, "part").withColumn("n", F.explode(F.array(F.lit(1), F.lit(2))))
+    effect, other = F.when(F.col("n") == 1, base("CGTA")).otherwise(base("ACGT")), F.when(F.col("n") == 1, base("ACGT")).otherwise(base("CGTA"))
+    cell = lambda c, k: F.when(F.col("p_partkey") % k == 0, "NA").otherwise(c)
+    row = F.concat_ws("\t", (F.col("p_size") % 22 + 1).cast("string"), cell(F.col("p_partkey").cast("string"), 11), effect, cell(other, 5), ((F.col("p_size") - 25) / 8).cast("string"), F.when(F.col("p_partkey") % 7 == 0, "True").otherwise(""))
+    body = p.select(F.concat(F.lit("/x/PGS"), "n", F.lit(".txt")).alias("file"), (F.col("p_partkey") + 2).alias("line_no"), row.alias("value"))
+    names = "chr_name\tchr_position\teffect_allele\tother_allele\teffect_weight\tis_recessive"
+    head = spark.createDataFrame([(f"/x/PGS{n}.txt", 0, "#c") for n in (1, 2)] + [(f"/x/PGS{n}.txt", 1, names) for n in (1, 2)], "file string, line_no long, value string")
+    return head.unionByName(body)
+
+
+@query("""SELECT concat('PGS', n) AS pgs_id, p_partkey AS pos, p_size % 22 + 1 AS chrom, CASE n WHEN 1 THEN substring('CGTA', CAST(p_partkey % 4 AS INT) + 1, 1) ELSE substring('ACGT', CAST(p_partkey % 4 AS INT) + 1, 1) END AS effect,
+  CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN n = 1 THEN substring('ACGT', CAST(p_partkey % 4 AS INT) + 1, 1) ELSE substring('CGTA', CAST(p_partkey % 4 AS INT) + 1, 1) END AS other, (p_size - 25) / 8.0::DOUBLE AS weight, CASE WHEN p_partkey % 7 = 0 THEN 2 ELSE 0 END AS model
+FROM part, (SELECT unnest([1, 2]) AS n) WHERE p_partkey % 11 <> 0""")
+def q53_parse_scores(spark, d):
+    rows = text_sources.parse_scores(_score_lines(spark, d)).where("usable")
+    return rows.select("pgs_id", F.col("pos").cast("long").alias("pos"), F.col("chrom").cast("int").alias("chrom"), "effect", "other", "weight", "model")
+
+
+@query(f"""WITH {_CALLS_SQL}, r AS (SELECT v.*, n, (p_size - 25) / 8.0::DOUBLE AS weight, CASE WHEN v.p_partkey % 7 = 0 THEN 2 ELSE 0 END AS model, CASE g WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END AS d0 FROM v JOIN part USING (p_partkey), (SELECT unnest([1, 2]) AS n) WHERE v.p_partkey % 11 <> 0),
+x AS (SELECT *, (translate(ref, 'ACGT', 'TGCA') = alt) AS pal FROM r), y AS (SELECT *, CASE WHEN n = 1 THEN d0 ELSE 2 - d0 END AS d1 FROM x WHERE NOT pal),
+z AS (SELECT n, CASE WHEN model = 2 THEN CASE WHEN d1 >= 2 THEN 1 ELSE 0 END ELSE d1 END * weight AS part FROM y)
+SELECT concat('PGS', o.n) AS pgs_id, o.total AS variants_total, coalesce(k, 0) AS variants_matched, round(coalesce(s, 0), 4) + 0.0 AS raw_score FROM (SELECT n, count(*) AS total FROM r GROUP BY 1) o LEFT JOIN (SELECT n, count(*) AS k, sum(part) AS s FROM z GROUP BY 1) USING (n)""")
+def q54_score_files(spark, d):
+    g = text_sources.parse_vcf(_call_lines(spark, d))
+    scores = text_sources.parse_scores(_score_lines(spark, d))
+    target = g.select(F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", "ref", "alt")
+    w = text_sources.weight_rows(scores, target)
+    out = scoring.score_samples(g, w, text_sources.weight_meta(scores, w))
+    return out.select("pgs_id", "variants_total", "variants_matched", r(F.col("raw_score"), 4).alias("raw_score"))
+
+
+@query("""WITH p AS (SELECT p_partkey, [p_size % 3, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_partkey % 3 END, (p_size + p_partkey) % 3] AS ds, (p_size % 10) / 20.0::DOUBLE AS afreq FROM part),
+w AS (SELECT l_suppkey AS pgs_id, l_partkey, l_discount - CAST(0.05 AS DOUBLE) AS weight, l_linenumber % 2 AS flip, CAST(l_suppkey % 3 AS INT) AS model FROM lineitem),
+j AS (SELECT pgs_id, weight, flip, model, afreq, unnest(ds) AS d, unnest([0, 1, 2]) AS sample FROM w JOIN p ON l_partkey = p_partkey), i AS (SELECT *, coalesce(CAST(d AS DOUBLE), 2 * afreq) AS x FROM j), f AS (SELECT *, CASE WHEN flip = 1 THEN 2.0 - x ELSE x END AS y FROM i)
+SELECT pgs_id, sample, round(sum(CAST(CASE model WHEN 1 THEN least(y, 1.0) WHEN 2 THEN CASE WHEN y >= 2 THEN 1.0 ELSE 0.0 END ELSE y END AS DOUBLE) * weight), 4) + 0.0 AS score FROM f GROUP BY 1, 2""")
+def q55_panel_scores(spark, d):
+    panel = t(spark, d, "part").select(F.col("p_partkey").alias("vkey"), F.array((F.col("p_size") % 3).cast("long"), F.when(F.col("p_size") % 5 != 0, F.col("p_partkey") % 3), (F.col("p_size") + F.col("p_partkey")) % 3).alias("dosages"), ((F.col("p_size") % 10) / 20.0).alias("afreq"))
+    w = weights(spark, d).withColumnRenamed("l_partkey", "vkey")
+    return score.panel_scores(w, panel).select("pgs_id", "sample", r(F.col("score"), 4).alias("score"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'Cardiology' WHEN p_partkey % 3 = 0 THEN 'Nephrology_Urology' WHEN p_partkey % 2 = 0 THEN 'Oncology' WHEN p_size % 2 = 0 THEN 'Endocrinology' END AS domain,
+  CASE WHEN p_size % 2 = 0 THEN 'Other_Body' ELSE CASE WHEN p_partkey % 2 = 0 THEN 'Other_Lab' ELSE 'Lipids' END END AS subsection FROM part""")
+def q56_domains(spark, d):
+    k, none = F.col("p_partkey"), F.lit(None).cast("string")
+    family = F.when(k % 5 == 0, "Stroke").otherwise(none)
+    organs = F.when(k % 3 == 0, F.array(F.lit("dentistry"), F.lit("urology"))).otherwise(F.array().cast("array<string>"))
+    categories = F.when(k % 2 == 0, F.array(F.lit("Other trait"), F.lit("Cancer"))).otherwise(F.array(F.lit("Lipid or lipoprotein measurement")))
+    shape = F.when(F.col("p_size") % 2 == 0, "anthropometric").otherwise("biomarker_lab")
+    p = t(spark, d, "part").select("p_partkey", domains.domain(family, organs, F.when(k % 2 == 0, categories).otherwise(F.array().cast("array<string>")), shape).alias("domain"), domains.subsection(shape, F.col("p_name"), organs, categories).alias("subsection"))
+    return p
+
+
+def _patients(spark, d) -> tuple[DataFrame, DataFrame]:
+    """events as z-scores of users, and metadata of their event numbers as scores."""
+    e = t(spark, d, "events")
+    z = e.select(F.col("user_id").cast("string").alias("sample_id"), F.concat(F.lit("P"), "event_id").alias("pgs_id"), ((F.col("value") - 50) / 20).alias("z"))
+    i = F.col("event_id")
+    pick = lambda values, n: F.get(F.array(*(F.lit(v).cast("string") for v in values)), (i % n).cast("int"))
+    none = F.array().cast("array<string>")
+    meta = e.select(
+        F.concat(F.lit("P"), i).alias("pgs_id"), pick(["LDL level", "Height", "Gout"], 3).alias("short_report_label"), pick(["Gout", "Stroke", None, "CKD"], 4).alias("family_primary"), none.alias("organ_system_tags"), none.alias("categories"),
+        pick(["biomarker_lab", "anthropometric", "disease"], 3).alias("phenotype_type"), (i % 2000).alias("variants_number"), F.lit("LDpred").alias("method_name"), F.lit("text").alias("plain_language_summary"), ((i % 5) / 5.0).alias("reportability_score"), ((i % 7) / 7.0).alias("catalog_evidence_score"),
+        (i % 13 == 0).alias("proxy_trait_flag"), (i % 17 == 0).alias("technical_trait_flag"), F.filter(F.array(F.when(i % 3 == 0, "limited_evidence")), lambda x: x.isNotNull()).alias("quality_flags"))
+    quality = e.select(F.concat(F.lit("P"), i).alias("pgs_id"), (i % 101).cast("double").alias("total"), F.when(i % 19 == 0, "discard").otherwise("likely").alias("label"))
+    return z, report.score_metadata(meta, quality)
+
+
+@query("""WITH e AS (SELECT user_id, event_id, (value - 50) / 20 AS z, event_id % 3 AS tk, event_id % 4 AS fk FROM events WHERE event_id % 19 <> 0 AND abs((value - 50) / 20) <= 10),
+c AS (SELECT *, greatest(CASE WHEN fk = 2 THEN 0 ELSE count(*) OVER (PARTITION BY user_id, fk, z > 0) - 1 END, count(*) OVER (PARTITION BY user_id, tk, z > 0) - 1) AS conv FROM e),
+i AS (SELECT *, (abs(z) * greatest((event_id % 101) / 100.0::DOUBLE, 0.1::DOUBLE) * (0.3::DOUBLE + (event_id % 7) / 7.0::DOUBLE) * (0.5::DOUBLE + 0.7::DOUBLE * ((event_id % 5) / 5.0::DOUBLE)) * CASE WHEN event_id % 13 = 0 THEN 0.5::DOUBLE ELSE 1 END * CASE WHEN event_id % 17 = 0 THEN 0.3::DOUBLE ELSE 1 END
+  * CASE WHEN event_id % 3 = 0 THEN 0.6::DOUBLE ELSE 1 END * CASE WHEN event_id % 2000 > 0 AND event_id % 2000 < 500 THEN 0.6::DOUBLE ELSE 1 END) * (1 + 0.15::DOUBLE * least(conv, 8)) AS imp FROM c),
+q AS (SELECT user_id, quantile_cont(imp, 0.75) AS q3, quantile_cont(imp, 0.75) - quantile_cont(imp, 0.25) AS iqr FROM i GROUP BY 1)
+SELECT CAST(user_id AS VARCHAR) AS sample_id, concat('P', event_id) AS pgs_id, conv AS convergence, CASE WHEN imp >= q3 + 4 * iqr THEN 'T1' WHEN imp >= q3 + 2 * iqr THEN 'T2' ELSE 'T3' END AS tier, CASE WHEN z > 0 THEN 'elevated' ELSE 'reduced' END AS direction FROM i JOIN q USING (user_id)""")
+def q57_patient_tiers(spark, d):
+    z, meta = _patients(spark, d)
+    return report.tiers(report.kept_scores(z, meta)).select("sample_id", "pgs_id", "convergence", "tier", "direction")
+
+
+@query()
+def q58_report_json(spark, d):
+    z, meta = _patients(spark, d)
+    return report.report(z, meta, z.select("sample_id", F.lit("F").alias("sex")).distinct())
+
+
+@query()
+def q59_normalised(spark, d):
+    """Vectors' first component as a score, normalised against all vectors by label: gamma and least-squares fits."""
+    e = t(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.col("label").cast("string").alias("population"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    ref = e.select(F.lit("p").alias("pgs_id"), "sample_id", F.get("v", F.lit(0)).alias("score"))
+    places = e.select("sample_id", "population", F.slice("v", 2, 4).alias("pc"))
+    return stats.normalise(ref, places, ref.join(places, "sample_id"))
+
+
+@query()
+def q60_communities(spark, d):
+    return graph.communities(graph.reciprocal(_neighbours(spark, d)).withColumn("draw", F.lit(0)), ["draw"])
+
+
+@query()
+def q61_loadings(spark, d):
+    e = t(spark, d, "embeddings").select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    return graph.loadings(e, "label", "vec_id", "v")
+
+
+@query()
+def q62_forest(spark, d):
+    """Out-of-fold areas of a forest that tells label 0 from the others."""
+    e = t(spark, d, "embeddings").select("vec_id", (F.col("label") == 0).cast("double").alias("y"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    p = ml.cross_validated(ml.features(e, ["v"]), "vec_id", "y", 3, 20, 5)
+    return cohort.fold_areas(p.withColumn("disease", F.lit("0")))
+
+
+@query()
+def q63_projection_of_samples(spark, d):
+    """All vectors projected into the space of a reference panel of 200."""
+    import numpy as np
+
+    first = t(spark, d, "embeddings").orderBy("vec_id").limit(200).select("embedding").collect()  # a panel of fixed size is what is projected onto
+    x = np.array([list(v.embedding) for v in first], float).T
+    mean, std = x.mean(1, keepdims=True), x.std(1, keepdims=True)
+    u, s, vt = np.linalg.svd((x - mean) / std, full_matrices=False)
+    shape = spark.createDataFrame([(k, float(m), float(q)) for k, (m, q) in enumerate(zip(mean[:, 0], std[:, 0]))], "variant_index int, m double, q double")
+    e = t(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.posexplode("embedding").alias("variant_index", "x"))
+    z = e.join(F.broadcast(shape), "variant_index").select("sample_id", "variant_index", dosage.standardised(F.col("x").cast("double"), F.col("m"), F.col("q")).alias("w"))  # one row for each component
+    return ml.project_samples(z, u[:, :40], s[:40], vt[:40].T)
+
+
+@query()
+def q64_stability(spark, d):
+    """How stable the communities of the vectors' graph are when components are drawn anew."""
+    base = graph.communities(graph.reciprocal(_neighbours(spark, d)).withColumn("draw", F.lit(-1)), ["draw"]).select("node", "community")
+    parts = None
+    for n in range(2):
+        v = _vectors(spark, d).select("vec_id", F.slice("v", 1 + 8 * n, 48).alias("v"))
+        e = graph.reciprocal(graph.block_correlations(v, "vec_id", "v", 15, 0.18)).withColumn("draw", F.lit(n))
+        parts = e if parts is None else parts.unionByName(e)
+    return graph.stability(base, graph.communities(parts, ["draw"]))

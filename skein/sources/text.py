@@ -34,12 +34,16 @@ def vcf_header(text: DataFrame) -> DataFrame:
 
 
 def read_vcf(spark: SparkSession, path: str, sample_index: int = 0, missing: str = "zero", hashed: bool = True) -> DataFrame:
+    """parse_vcf of files."""
+    return parse_vcf(lines(spark, path), sample_index, missing, hashed)
+
+
+def parse_vcf(text: DataFrame, sample_index: int = 0, missing: str = "zero", hashed: bool = True) -> DataFrame:
     """Genotypes of a sample: sample_id, build, vkey, chrom, pos, ref, alt, dosage, rsid, line_no; one row for each alternative allele, the first of equal variants.
 
     Lines of fewer than ten fields or without an integer position are skipped, and so are
     chromosomes without a number. hashed: equal means equal keys, else equal alleles.
     """
-    text = lines(spark, path)
     f = F.split("value", "\t")
     body = text.where(~F.col("value").startswith("#")).where(F.size(f) >= 10)
     rows = body.select("file", "line_no", *(F.get(f, F.lit(k)).alias(n) for k, n in enumerate(VCF_FIXED)), F.get(f, F.lit(9 + sample_index)).alias("genotype"))
@@ -59,9 +63,9 @@ def read_variants(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.regexp_replace(part(0), "^chr", "").alias("chrom"), part(1).try_cast("int").alias("pos"), F.upper(part(3)).alias("ref"), F.upper(F.get(F.split(part(4), ","), F.lit(0))).alias("alt")).where("pos is not null")
 
 
-def _table_rows(spark: SparkSession, path: str) -> DataFrame:
+def _table_rows(text: DataFrame) -> DataFrame:
     """file, line_no and cells (map of lower-cased column name to cleaned cell) of files whose first line without # is a header. Tabs part cells; where there are none, white space does."""
-    text = lines(spark, path).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
+    text = text.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
     cut = F.when(F.col("value").contains("\t"), F.split("value", "\t")).otherwise(F.split(F.trim("value"), r"\s+"))
     heads = text.groupBy("file").agg(F.min("line_no").alias("_head"), F.min_by("value", "line_no").alias("_header"))
     rows = text.join(F.broadcast(heads), "file").where("line_no > _head")  # one header for each file
@@ -80,6 +84,11 @@ class _Cells(dict):
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """parse_scores of files."""
+    return parse_scores(lines(spark, path))
+
+
+def parse_scores(text: DataFrame) -> DataFrame:
     """Rows of score files: pgs_id (of the file's name), line_no, chrom, pos, effect, other, weight, model, rsid, usable.
 
     Columns are found by name, each from several candidates in order of preference; a row is
@@ -87,7 +96,7 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     """
     c = _Cells({*clean.CHROMOSOME_COLUMNS, *clean.POSITION_COLUMNS, *clean.WEIGHT_COLUMNS, *clean.OTHER_ALLELE_COLUMNS, *clean.RSID_COLUMNS, "effect_allele", "variant_description", "is_dominant", "is_recessive"})
     effect = F.upper(c["effect_allele"])
-    rows = _table_rows(spark, path).select(
+    rows = _table_rows(text).select(
         F.upper(F.regexp_extract("file", r"([^/]+?)(?:_hmPOS_GRCh\d+)?(?:\.txt|\.tsv)?(?:\.gz)?$", 1)).alias("pgs_id"), "line_no",
         clean.first_of([c[n] for n in clean.CHROMOSOME_COLUMNS]).alias("chrom"), clean.first_of([c[n].try_cast("int") for n in clean.POSITION_COLUMNS]).alias("pos"), effect.alias("effect"),
         clean.other_allele_of(c, effect).alias("other"), clean.weight_of(c).alias("weight"), clean.model_code(c["is_dominant"], c["is_recessive"]).alias("model"), clean.first_of([c[n] for n in clean.RSID_COLUMNS]).alias("rsid"))

@@ -254,3 +254,31 @@ def test_classifiers(spark):
     assert row.n_own == 1 and row.n_all == 2 and row.best_own == row.best_all
     null = cohort.permutation_null(df.drop("features").transform(lambda d: ml.features(d, ["a", "b"])), "u", "label", ["A", "B"], draws=1, folds=2, trees=3, depth=2)
     assert 0 <= null.first().top1 <= 1
+
+
+def test_bundle(spark, tmp_path):
+    from skein import __main__ as cli
+    from skein.plans import bundle
+
+    rng = np.random.default_rng(12)
+    n, scores = 40, [f"P{k}" for k in range(6)]
+    labels = ["Healthy"] * 16 + ["A"] * 12 + ["B"] * 12
+    shift = {"A": np.array([2.0, 0] * 3), "B": np.array([0, 2.0] * 3), "Healthy": np.zeros(6)}
+    ref = spark.createDataFrame([(p, f"r{i}", float(v)) for i in range(30) for p, v in zip(scores, rng.normal(size=6))], "pgs_id string, sample_id string, score double")
+    pcs = lambda letter, m: spark.createDataFrame([(f"{letter}{i}", *map(float, rng.normal(size=2))) for i in range(m)], "sample_id string, pc1 double, pc2 double")
+    members = spark.createDataFrame([(k % 2, p, 0.5) for k, p in enumerate(scores)], "module int, pgs_id string, loading double")
+    modules = spark.createDataFrame([(0, 3, 0.9), (1, 3, 0.8)], "community int, size long, mean_jaccard double")
+    quality = spark.createDataFrame([(p, 50.0) for p in scores], "pgs_id string, total double")
+    z = spark.createDataFrame([(f"u{i}", p, float(v)) for i, y in enumerate(labels) for p, v in zip(scores, rng.normal(size=6) * 0.3 + shift[y])], "sample_id string, pgs_id string, z double")
+    people = spark.createDataFrame([(f"u{i}", y, "M" if i % 2 else "F", 40.0 + i, {"EUR": 0.9, "AFR": 0.1}) for i, y in enumerate(labels)], "sample_id string, label string, sex string, age double, pop_probs map<string,double>")
+    made = bundle.build(ref, pcs("r", 30), modules, members, quality, _metadata(spark), z, pcs("u", n), people, ["A", "B"], trees=5, depth=3, n_pcs=2)
+    bundle.save(made, str(tmp_path / "model"))
+    _job(tmp_path, "src_J1_x", ["2.0", "0.1", "2.1", "-0.2", "1.9", "0.0"])
+    cli.main(["analyze", "--model", str(tmp_path / "model"), "--job", str(tmp_path / "jobs/src_J1_x"), "--sex", "M", "--age", "50", "--out", str(tmp_path / "out")])
+    out = json.loads(spark.read.text(str(tmp_path / "out/report")).first().value)
+    assert out["patient"]["barcode"] == "src_J1_x" and out["patient"]["ancestry"]["predicted_population"] == "EUR" and out["patient"]["modules_available"] == 2
+    ranked = out["disease_similarity"]["ranking"]
+    assert ranked[0]["disease"] == "A" and len(ranked) == 2 and {m["module_id"] for d in ranked for m in d["driving_modules"]} <= {0, 1}
+    member = next(m for d in ranked for m in d["driving_modules"])["member_pgs"][0]
+    assert member["loading"] == 0.5 and "trait" in member
+    assert len(out["disease_similarity"]["module_profile"]) == 2
