@@ -12,7 +12,10 @@ Documents with equal shingle sets are one class from the start. For the others:
 3. Only sets in such a component are fetched. Each component is joined in one task by a trie of
    its sets: a walk shares the overlap with all sets that begin alike, and leaves a subtree when
    the rest of either side is too short, or when all in it are in the walker's class already.
-   A component of more than BLOCK sets is joined block by block, in tasks of two blocks.
+   A component of more than BLOCK sets is dealt into blocks: each block is joined alone, then a few
+   sets of each class found, so that most classes meet, and then every set outside a component's
+   largest class against all of its sets, block by block. A large group of copies so costs about
+   what its rows cost, no task holds more than two blocks, and no pair of classes is left out.
 
 Only edges of a spanning forest leave a task, so a group of copies costs as many edges as it
 has members. Everything is exact but for 64-bit hashes of shingles and of sets.
@@ -32,13 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import scratch, table
+from skein.llm.common import scratch, table, written
 from skein.llm.components import components
 from skein.llm.shingles import set_id, shingle_sets, words_of
 
 SHINGLE = 4
 PERCENT = 85
-BLOCK = 4096
+BLOCK = 2048
+#: Sets of each class of a block that meet those of other blocks first.
+MEETING = 32
 #: Hashes whose top byte is below this are the class that is ordered by frequency.
 FIRST_CLASS = 60
 #: A shingle is frequent in a task if so many of its documents, and such a share, have it.
@@ -130,8 +135,11 @@ class _Node:
         self.low, self.deep, self.root = low, deep, root  # smallest set, longest rest; the class of all below, -1 if of several
 
 
-def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Pairs of set numbers whose edges connect what similar pairs connect (a spanning forest of the similarity graph)."""
+def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list[int] | None = None) -> list[tuple[int, int]]:
+    """Pairs of set numbers whose edges connect what similar pairs connect (a spanning forest of the similarity graph).
+
+    known: a class for each set; sets of one class count as connected already.
+    """
     sizes = [len(s) for s in sets]
     if len(sets) < 2:
         return []
@@ -143,7 +151,8 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int
     shared = counts[at] > 1
     ranks, bounds = rank[at], np.concatenate(([0], np.cumsum(sizes)))
     paths = [np.sort(ranks[a:b][shared[a:b]]).tolist() for a, b in zip(bounds, bounds[1:])]
-    parent = list(range(len(sets)))
+    first: dict[int, int] = {}
+    parent = [first.setdefault(c, k) for k, c in enumerate(known)] if known else list(range(len(sets)))
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -228,34 +237,71 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int
 
 
 def _fetch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """(key, name, set) of candidate documents (key, name, text)."""
-    for batch, texts in _read(batches, 2):
+    """(root, block, blocks, name, shingles) of candidate documents (root, block, blocks, name, text)."""
+    for batch, texts in _read(batches, 4):
         sets = shingle_sets(texts, size)
-        keep = [k for k, (s, name) in enumerate(zip(sets, batch.column(1).to_pylist())) if set_id(s) == name]
+        keep = [k for k, (s, name) in enumerate(zip(sets, batch.column(3).to_pylist())) if set_id(s) == name]
         rows = batch.take(pa.array(keep, pa.int64()))
-        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["key", "name", "shingles"])
+        yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["root", "block", "blocks", "name", "shingles"])
 
 
 def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) of rows (key, name, shingles), ordered by key."""
-    key, names, sets = None, [], []
+    """Edges (u, v) of rows (key, name, class, shingles), ordered by key and name; a set that comes twice counts once."""
+    key, names, known, sets = None, [], [], []
 
     def edges() -> pa.RecordBatch:
-        links = trie_links(sets, percent)
+        links = trie_links(sets, percent, known)
         return pa.RecordBatch.from_arrays([pa.array([names[x[k]] for x in links], pa.int64()) for k in range(2)], ["u", "v"])
 
     for batch in batches:
-        for k, name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+        for k, name, own, data in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3)):
             if k != key:
                 if len(sets) > 1:
                     yield edges()
-                key, names, sets = k, [], []
-            names.append(name)
-            sets.append(np.frombuffer(data.as_py(), np.uint64))
+                key, names, known, sets = k, [], [], []
+            if not names or names[-1] != name:
+                names.append(name)
+                known.append(own)
+                sets.append(np.frombuffer(data.as_py(), np.uint64))
     if len(sets) > 1:
         yield edges()
 
 
+def _links(rows: DataFrame, key: list[str], own: str, percent: int) -> DataFrame:
+    """Edges within each key of rows (name, shingles and a class)."""
+    keyed = rows.select(F.xxhash64(*key).alias("key"), "name", F.col(own).alias("class"), "shingles")
+    return keyed.repartition(F.col("key")).sortWithinPartitions("key", "name").mapInArrow(lambda b: _joined(b, percent), "u long, v long")
+
+
+def _classed(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """rows with the class (own) that links put them in."""
+    found = components(links).select(F.col("node").alias("name"), F.col("root").alias("_own"))
+    return rows.join(found, "name", "left").withColumn("own", F.coalesce("_own", "name")).drop("_own")
+
+
+def _large(rows: DataFrame, links: DataFrame, block: int, percent: int) -> DataFrame:
+    """links and what else connects the classes of components of several blocks (rows of theirs only)."""
+    most, per = rows.agg(F.max("blocks")).first()[0], max(2, block // MEETING)
+    reach = 1
+    while reach < most:
+        # Sets of each class of a group of blocks meet those of the groups next to it.
+        here = _classed(rows.withColumn("_g", F.floor(F.col("block") / reach)), links)
+        several = here.groupBy("root", "_g", "own").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+        rank = F.row_number().over(Window.partitionBy("root", "_g", "own").orderBy(F.xxhash64("name", F.lit(reach)), "name"))
+        meeting = here.join(several, ["root", "_g", "own"]).withColumn("_rank", rank).where(F.col("_rank") <= MEETING).withColumn("_at", F.floor(F.col("_g") / per))
+        links = links.unionByName(written(_links(meeting, ["root", "_at"], "own", percent), "links"))
+        reach *= per
+    here = written(_classed(rows, links), "classed")
+    largest = here.groupBy("root", "own").agg(F.count("*").alias("_n")).groupBy("root").agg(F.max_by("own", F.struct("_n", "own")).alias("_main"))
+    marked = here.join(largest, "root").withColumn("_out", F.col("own") != F.col("_main"))
+    left = marked.groupBy("root").agg(F.ceil(F.count_if("_out") / block).cast("int").alias("_parts")).where("_parts > 0")
+    both = marked.join(left, "root")
+    inside = both.withColumns({"_i": F.col("block"), "_s": F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))})
+    outside = both.where("_out").withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("_s", F.pmod(F.xxhash64("name", F.lit(1)), F.col("_parts").cast("long")).cast("int"))
+    tasks = inside.select("root", "_i", "_s", "name", "own", "shingles").unionByName(outside.select("root", "_i", "_s", "name", "own", "shingles"))
+    return links.unionByName(_links(tasks, ["root", "_i", "_s"], "own", percent))
+
+
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) of each row of docs."""
     spark = docs.sparkSession
@@ -284,16 +330,17 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     groups = components(stars.select(F.col("name").alias("u"), F.col("star").alias("v")))
 
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    whole = F.struct("root", F.lit(0).alias("i"), F.lit(0).alias("j"))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct("root", F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j")))
-    tasks = groups.join(sizes, "root").select("node", F.explode(F.when(F.col("blocks") == 1, F.array(whole)).otherwise(pairs)).alias("task")).select(F.col("node").alias("name"), F.xxhash64("task.root", "task.i", "task.j").alias("key"))
+    placed = groups.join(sizes, "root").select("root", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", F.col("node").alias("name"))
     # One document of each set, by its id; of rows that repeat an id those with another set fall out in _fetch.
     one = named.where("doc_id is not null and n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    wanted = tasks.join(one, "name")
-    rows = source.join(wanted.hint("shuffle_hash"), "doc_id").select("key", "name", "text").mapInArrow(lambda b: _fetch(b, size), "key long, name long, shingles binary")
-    ordered = rows.repartition(F.col("key")).sortWithinPartitions("key", "name")
-    linked = components(ordered.mapInArrow(lambda b: _joined(b, percent), "u long, v long"))
+    wanted = placed.join(one, "name")
+    fetched = source.join(wanted.hint("shuffle_hash"), "doc_id").select("root", "block", "blocks", "name", "text")
+    rows = written(fetched.mapInArrow(lambda b: _fetch(b, size), "root long, block int, blocks int, name long, shingles binary"), "candidate-sets")
+    links = written(_links(rows, ["root", "block"], "name", percent), "links")
+    large = rows.where("blocks > 1")
+    if large.limit(1).count():
+        links = _large(large, links, block, percent)
+    linked = components(links)
 
     ids = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
     roots = ids.join(linked, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("root", "name").alias("root"))

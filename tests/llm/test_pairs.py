@@ -80,7 +80,7 @@ def _corpus(seed, n=120):
     return texts
 
 
-@pytest.mark.parametrize("block", [4096, 3])
+@pytest.mark.parametrize("block", [4096, 40, 3])
 def test_ngram_join_equals_brute_force(spark, block):
     texts = _corpus(block)
     docs = [(k * 7 % 1009, t) for k, t in enumerate(texts)]
