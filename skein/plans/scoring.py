@@ -17,13 +17,17 @@ from skein.functions.keys import FIELD, FIELD_BITS
 from skein.sources import sinks, text
 
 
-def sync_scores(spark: SparkSession, path: str, requested: list[str], target: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def sync_scores(spark: SparkSession, path: str, requested: list[str], target: DataFrame | None = None, store: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(weights, rsid rows, meta, status) of the requested scores from one scan of all score files.
 
+    store: a folder the parsed rows are written to and read from, so that text is parsed once.
     status: pgs_id and ok, missing (no file), no_variants (no usable row) or no_keys (no row that stands on a key).
     """
     ids = spark.createDataFrame([(i.upper(),) for i in dict.fromkeys(requested)], "pgs_id string")
     rows = text.read_scores(spark, path).join(F.broadcast(ids), "pgs_id", "left_semi")  # the ids of one request
+    if store:
+        rows.write.mode("overwrite").parquet(store)
+        rows = spark.read.parquet(store)
     weights = text.weight_rows(rows, target)
     meta = text.weight_meta(rows, weights)
     state = F.when(F.col("num_original").isNull(), "missing").when(F.col("num_original") == 0, "no_variants").when(F.col("num_variants") == 0, "no_keys").otherwise("ok")
@@ -130,7 +134,7 @@ def run(spark: SparkSession, vcf: str, score_files: str, requested: list[str], o
     genotypes = text.read_vcf(spark, vcf, missing=missing)
     sinks.write_genotypes(genotypes, f"{out}/genotypes")
     sinks.write_json(sinks.qc_report(genotypes), f"{out}/qc")
-    weights, by_name, meta, status = sync_scores(spark, score_files, requested, genotypes)
+    weights, by_name, meta, status = sync_scores(spark, score_files, requested, genotypes, f"{out}/score_rows")
     sinks.write_weights(weights, meta, f"{out}/weights")
     stored, stored_meta = sinks.read_weights(spark, f"{out}/weights")
     scores = score_samples(genotypes, stored, stored_meta, by_name)

@@ -64,23 +64,22 @@ def read_variants(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _table_rows(text: DataFrame) -> DataFrame:
-    """file, line_no and cells (map of lower-cased column name to cleaned cell) of files whose first line without # is a header. Tabs part cells; where there are none, white space does."""
+    """file, line_no, cells and at (map of lower-cased column name to its place) of files whose first line without # is a header. Tabs part cells; where there are none, white space does."""
     text = text.where(~F.col("value").startswith("#") & (F.trim("value") != ""))
-    cut = F.when(F.col("value").contains("\t"), F.split("value", "\t")).otherwise(F.split(F.trim("value"), r"\s+"))
-    heads = text.groupBy("file").agg(F.min("line_no").alias("_head"), F.min_by("value", "line_no").alias("_header"))
-    rows = text.join(F.broadcast(heads), "file").where("line_no > _head")  # one header for each file
-    names = F.when(F.col("_header").contains("\t"), F.split(F.lower("_header"), "\t")).otherwise(F.split(F.trim(F.lower("_header")), r"\s+"))
-    rows = rows.withColumns({"_cells": cut, "_names": names}).where(F.size("_cells") >= 4)
-    known = F.transform("_names", lambda n, k: F.struct(n.alias("key"), clean.clean(F.get(F.col("_cells"), k)).alias("value")))
-    last = F.filter(known, lambda x, k: ~F.exists(F.slice(F.col("_names"), k + 2, F.size("_names")), lambda y: y == x["key"]))
-    return rows.select("file", "line_no", F.map_from_entries(last).alias("cells"))
+    cut = lambda c: F.when(c.contains("\t"), F.split(c, "\t")).otherwise(F.split(F.trim(c), r"\s+"))
+    heads = text.groupBy("file").agg(F.min("line_no").alias("_head"), F.min_by("value", "line_no").alias("_header")).withColumn("_names", cut(F.lower("_header")))
+    last = lambda name, k: ~F.exists(F.slice(F.col("_names"), k + 2, F.size("_names")), lambda y: y == name)
+    placed = F.filter(F.transform("_names", lambda n, k: F.when(last(n, k), F.struct(n.alias("key"), k.alias("value")))), lambda x: x.isNotNull())
+    heads = heads.select("file", "_head", F.map_from_entries(placed).alias("at"))  # one header for each file, read once
+    rows = text.join(F.broadcast(heads), "file").where("line_no > _head")
+    return rows.select("file", "line_no", cut(F.col("value")).alias("cells"), "at").where(F.size("cells") >= 4)
 
 
 class _Cells(dict):
-    """Cells by column name, as expressions on the map column; names that a list asks for and a file lacks are null."""
+    """Cleaned cells by column name, as expressions on cells and at; names that a file lacks are null."""
 
     def __init__(self, names) -> None:
-        super().__init__({n: F.try_element_at(F.col("cells"), F.lit(n)) for n in names})
+        super().__init__({n: clean.clean(F.get(F.col("cells"), F.try_element_at(F.col("at"), F.lit(n)))) for n in names})
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
