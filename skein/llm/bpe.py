@@ -304,12 +304,12 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def frequent_words(docs: DataFrame, size: int, text_col: str = "text") -> list[str]:
-    """The most frequent words (cut at spaces and line ends) of all texts: all of at least the smallest count, over 1, that no more than size words reach.
+def frequent_words(docs: DataFrame, size: int, text_col: str = "text", longest: int = 20) -> list[str]:
+    """The most frequent words of up to longest letters (cut at spaces and line ends) of all texts: all of at least the smallest count, over 1, that no more than size words reach.
 
     The counts go to the shared folder; the driver gets how many words have each count, and then the words.
     """
-    words = docs.select(F.explode(F.split(text_col, "[ \n]")).alias("word")).where("word != '' and length(word) <= 64")
+    words = docs.select(F.explode(F.split(text_col, "[ \n]")).alias("word")).where(F.length("word").between(1, longest))
     counted = written(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
     least, held = None, 0
     for r in counted.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():
