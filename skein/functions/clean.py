@@ -68,10 +68,11 @@ def orientations(effect: Column, other: Column) -> Column:
 
     Flip 1: the effect allele is the reference, so a dosage counts from the other side.
     """
-    pairs = [(other, effect, 0), (effect, other, 1), (complement(other), complement(effect), 0), (complement(effect), complement(other), 1)]
-    rows = F.array(*(F.struct(r.alias("ref"), a.alias("alt"), F.lit(f).alias("flip")) for r, a, f in pairs))
-    fresh = F.filter(rows, lambda x, k: F.size(F.filter(F.slice(rows, 1, k), lambda y: (y["ref"] == x["ref"]) & (y["alt"] == x["alt"]))) == 0)
-    return F.when(palindromic(effect, other), F.slice(rows, 1, 0)).otherwise(fresh)
+    pair = lambda r, a, f: F.struct(r.alias("ref"), a.alias("alt"), F.lit(f).alias("flip"))
+    own = [pair(other, effect, 0), pair(effect, other, 1)]
+    turned = [pair(complement(other), complement(effect), 0), pair(complement(effect), complement(other), 1)]
+    # Longer alleles that pair with each other stand in both strands alike.
+    return F.when(palindromic(effect, other), F.slice(F.array(*own), 1, 0)).when(effect == other, F.array(own[0], turned[0])).when(complement(effect) == other, F.array(*own)).otherwise(F.array(*own, *turned))
 
 
 def _wildcard_rows(base: str) -> list[tuple[str, str, int]]:

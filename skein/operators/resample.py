@@ -11,40 +11,58 @@ def hash_order(seed: int | Column, *ids: str) -> Column:
     return F.md5(F.concat_ws("-", seed if isinstance(seed, Column) else F.lit(seed), *(F.col(i).cast("string") for i in ids)).cast("binary"))
 
 
+def hash_rank(df: DataFrame, by: list[str], seed: int | str | Column, unit: str, out: str, per_part: int = 100_000) -> DataFrame:
+    """df with each row's place (from 1) in its group's hash order, ties by unit.
+
+    Hashes are even, so their first digits cut each group into parts of at most about per_part
+    rows; a row's place is its place in its part and the counts of the parts before it. No task
+    sees more than a part of a group, and the places are those of one window over the group.
+    """
+    hashed = df.withColumn("_h", hash_order(seed if isinstance(seed, Column) else F.lit(seed), unit))
+    digits, n = 0, df.count()
+    while n > per_part * 16**digits:
+        digits += 1
+    if not digits:
+        return hashed.withColumn(out, F.row_number().over(Window.partitionBy(*by).orderBy("_h", unit))).drop("_h")
+    cut = hashed.withColumn("_part", F.substring("_h", 1, digits))
+    counts = cut.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")).drop("_n")
+    inside = cut.withColumn("_inside", F.row_number().over(Window.partitionBy(*by, "_part").orderBy("_h", unit)))
+    return inside.join(before, [*by, "_part"]).withColumn(out, (F.col("_before") + F.col("_inside")).cast("int")).drop("_h", "_part", "_inside", "_before")
+
+
 def stratified_folds(df: DataFrame, label: str, unit: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """df with a fold number: dealt in turn within each class, in hash order."""
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(hash_order(seed, unit), unit)) - 1
-    return df.withColumn("fold", F.pmod(rank, F.lit(folds)))
+    return hash_rank(df, [label], seed, unit, "_rank").withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds))).drop("_rank")
 
 
 def subsamples(df: DataFrame, unit: str, draws: int, share: float = 0.8, seed: int = 42) -> DataFrame:
     """(draw, unit): for each draw the share of units that come first in its order, without replacement. One row for each unit and draw."""
-    units = df.select(unit).distinct().withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    order = Window.partitionBy("draw").orderBy(hash_order(F.concat_ws("/", F.lit(seed), "draw"), unit), unit)
-    ranked = units.withColumn("_rank", F.row_number().over(order)).withColumn("_n", F.count("*").over(Window.partitionBy("draw")))
-    return ranked.where(F.col("_rank") <= F.floor(F.col("_n") * share)).select("draw", unit)
+    units = df.select(unit).distinct()
+    n = units.count()
+    every = units.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    return hash_rank(every, ["draw"], F.concat_ws("/", F.lit(seed), "draw"), unit, "_rank").where(F.col("_rank") <= int(n * share)).select("draw", unit)
 
 
 def permuted(df: DataFrame, unit: str, label: str, draws: int, seed: int = 100) -> DataFrame:
     """(draw, unit, label): in each draw the labels in another order, every label once."""
-    rows = df.select(unit, label).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    place = F.row_number().over(Window.partitionBy("draw").orderBy(unit))
-    shuffled = F.row_number().over(Window.partitionBy("draw").orderBy(hash_order(F.concat_ws("/", F.lit(seed), "draw"), unit), unit))
-    left = rows.select("draw", unit, place.alias("_k"))
-    right = rows.select("draw", label, shuffled.alias("_k"))
+    rows = df.select(unit, label)
+    left = hash_rank(rows, [], "place", unit, "_k").select(unit, "_k").withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    every = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    right = hash_rank(every, ["draw"], F.concat_ws("/", F.lit(seed), "draw"), unit, "_k").select("draw", label, "_k")
     return left.join(right, ["draw", "_k"]).select("draw", unit, label)
 
 
 def bootstrap(df: DataFrame, unit: str, draws: int, seed: int = 42) -> DataFrame:
     """(draw, unit, ...): as many rows as df has in each draw, with replacement.
 
-    Slot k of a draw takes the row whose number is a hash of the slot modulo the count. Numbers
-    are dealt over the whole table once; the join is on (number), so draws spread evenly.
+    Slot k of a draw takes the row whose number is a hash of the slot modulo the count; the join
+    is on that number, so draws spread evenly.
     """
     n = df.count()
     if not n:
         return df.withColumn("draw", F.lit(0)).select("draw", *df.columns)
-    numbered = df.withColumn("_k", F.row_number().over(Window.orderBy(unit)) - 1)
+    numbered = hash_rank(df, [], "number", unit, "_k").withColumn("_k", F.col("_k") - 1)
     slots = df.sparkSession.range(n).withColumnRenamed("id", "_slot").withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
     pick = F.conv(F.substring(hash_order(F.concat_ws("/", F.lit(seed), "draw"), "_slot"), 1, 8), 16, 10).cast("long")
     return slots.withColumn("_k", F.pmod(pick, F.lit(n)).cast("int")).join(numbered, "_k").select("draw", *df.columns)

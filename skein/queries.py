@@ -525,7 +525,7 @@ def q49_folds(spark, d):
 
 
 @query("""WITH u AS (SELECT doc_id, quality, toxic, draw FROM labels, (SELECT unnest(range(0, 20)) AS draw)),
-l AS (SELECT draw, doc_id, toxic, row_number() OVER (PARTITION BY draw ORDER BY doc_id) AS k FROM u), s AS (SELECT draw, quality, row_number() OVER (PARTITION BY draw ORDER BY md5(concat_ws('-', concat_ws('/', 100, draw), CAST(doc_id AS VARCHAR))), doc_id) AS k FROM u),
+l AS (SELECT draw, doc_id, toxic, row_number() OVER (PARTITION BY draw ORDER BY md5(concat_ws('-', 'place', CAST(doc_id AS VARCHAR))), doc_id) AS k FROM u), s AS (SELECT draw, quality, row_number() OVER (PARTITION BY draw ORDER BY md5(concat_ws('-', concat_ws('/', 100, draw), CAST(doc_id AS VARCHAR))), doc_id) AS k FROM u),
 a AS (SELECT draw, avg(CASE WHEN quality <> toxic THEN 1.0 ELSE 0 END) AS acc FROM l JOIN s USING (draw, k) GROUP BY 1)
 SELECT round(avg(acc), 6) AS null_mean, round(greatest(stddev_pop(acc), 0.001), 6) AS null_std, round((0.9 - avg(acc)) / greatest(stddev_pop(acc), 0.001), 4) + 0.0 AS sigma, round(greatest(avg(CASE WHEN acc >= 0.9 THEN 1.0 ELSE 0 END), 1.0 / count(*)), 6) AS p, count(*) AS n FROM a""")
 def q50_permutation(spark, d):
@@ -535,7 +535,7 @@ def q50_permutation(spark, d):
     return s.select(*(r(F.col(c)).alias(c) for c in ("null_mean", "null_std")), r(F.col("sigma"), 4).alias("sigma"), r(F.col("p")).alias("p"), "n")
 
 
-@query("""WITH n AS (SELECT doc_id, quality AS y, toxic AS v, row_number() OVER (ORDER BY doc_id) - 1 AS k FROM labels),
+@query("""WITH n AS (SELECT doc_id, quality AS y, toxic AS v, row_number() OVER (ORDER BY md5(concat_ws('-', 'number', CAST(doc_id AS VARCHAR))), doc_id) - 1 AS k FROM labels),
 sl AS (SELECT draw, slot, CAST(('0x' || substring(md5(concat_ws('-', concat_ws('/', 42, draw), CAST(slot AS VARCHAR))), 1, 8)) AS BIGINT) % (SELECT count(*) FROM labels) AS k FROM (SELECT unnest(range(0, 10)) AS draw), (SELECT unnest(range(0, (SELECT count(*) FROM labels))) AS slot)),
 b AS (SELECT draw, y, v, doc_id % 50 + v AS x FROM sl JOIN n USING (k)),
 rk AS (SELECT *, rank() OVER (PARTITION BY draw ORDER BY x) + (count(*) OVER (PARTITION BY draw, x) - 1) / 2.0::DOUBLE AS rk FROM (SELECT draw, y, x FROM (SELECT sl.draw, n.y, n.doc_id % 50 + n.v AS x FROM sl JOIN n USING (k)))),

@@ -156,6 +156,9 @@ def test_resampling(spark):
     assert mixed.join(df.withColumnRenamed("y", "old"), "u").where("y <> old").count() > 0
     boot = resample.bootstrap(df, "u", 5).groupBy("draw").agg(F.count("*").alias("n"), F.countDistinct("u").alias("d")).collect()
     assert {r.n for r in boot} == {60} and all(r.d < 60 for r in boot)
+    one = resample.hash_rank(df, ["y"], 7, "u", "k")
+    parts = resample.hash_rank(df, ["y"], 7, "u", "k", per_part=5)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, parts.select(*one.columns).collect()))
     assert resample.bootstrap(df.limit(0), "u", 5).count() == 0
 
 
