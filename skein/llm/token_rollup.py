@@ -117,8 +117,8 @@ class Store:
 def query(spark, sf_dir: str) -> DataFrame:
     """Three batches over whole tables: all documents by version 1; German and Spanish ones revised to version 2; toxic ones deleted. The second comes twice."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), table(spark, sf_dir, "labels")
-    counts = written(counted(docs, v1=words_v1(F.col("text")), v2=words_v2(F.col("text"))), "token-counts")
     second = F.coalesce(F.col("lang").isin("de", "es"), F.lit(False))
+    counts = written(counted(docs, v1=words_v1(F.col("text")), v2=F.when(second, words_v2(F.col("text")))), "token-counts")
     store = Store(spark, scratch(spark, "token-rollup"))
     store.commit("1-insert", rows(counts, "words-1", "v1"))
     revised = rows(counts.where(second), "words-1", "v1", -1).unionByName(rows(counts.where(second), "words-2", "v2"))
