@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators import graph, ml, resample, stats
-from skein.operators.reshape import top_k_accuracy
+from skein.operators.reshape import top_k_accuracy, wide
 
 
 def standard_vectors(ref_scores: DataFrame) -> DataFrame:
@@ -101,6 +101,19 @@ def area_intervals(predictions: DataFrame, unit: str, draws: int = 1000, seed: i
     return stats.rank_auc(own, "p", "label", ["disease"], symmetric=False).select("disease", "auc").join(intervals, "disease")
 
 
+def prediction_table(predictions: DataFrame, unit: str, diseases: list[str]) -> DataFrame:
+    """One row for each unit: its probability of each disease, and the three most probable with theirs."""
+    place = F.row_number().over(Window.partitionBy(unit).orderBy(F.desc("p"), "disease"))
+    top = predictions.withColumn("_k", place).where("_k <= 3").groupBy(unit).agg(*(F.max(F.when(F.col("_k") == k, F.col(c))).alias(f"top{k}_{n}") for k in (1, 2, 3) for c, n in (("disease", "disease"), ("p", "p"))))
+    return wide(predictions, unit, "disease", "p", diseases).join(top, unit)
+
+
+def module_table(scores: DataFrame, modules: list) -> DataFrame:
+    """One row for each sample: its score of each module, as columns z_<module>."""
+    out = wide(scores, "sample_id", "module", "z", modules)
+    return out.select("sample_id", *(F.col(f"`{m}`").alias(f"z_{m}") for m in modules))
+
+
 def ranked_accuracy(predictions: DataFrame, truth: DataFrame, unit: str, ks: tuple[int, ...] = (1, 3)) -> DataFrame:
     """Share of diseased units whose disease is among the k most probable. truth: unit, truth."""
     return top_k_accuracy(predictions.join(truth, unit), unit, "truth", "disease", "p", ks)

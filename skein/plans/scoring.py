@@ -63,6 +63,10 @@ def score_reference(weights: DataFrame, genotypes: DataFrame, panel: DataFrame,
     return panel_scores(reduced_to(weights, genotypes.where("dosage is not null"), panel), panel, impute=impute)
 
 
+#: Of the saved form of a reference.
+REFERENCE_VERSION = 3
+
+
 @dataclass
 class Reference:
     """What normalisation needs of a reference: decomposition, standardisation, samples and a population model."""
@@ -94,6 +98,24 @@ class Reference:
         return cls(u, s, v, keys.join(shape, "variant_index"), located, names, ml.train_forest(shaped, "label", trees, 8, seed), dims)
 
 
+    def save(self, path: str) -> None:
+        """Writes all parts under path, by version."""
+        spark, root = self.keys.sparkSession, f"{path}/version={REFERENCE_VERSION}"
+        for name, m in (("u", self.u), ("v", self.v), ("s", self.s[None, :])):
+            spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(m)], "row long, x array<double>").write.mode("overwrite").parquet(f"{root}/{name}")
+        self.keys.write.mode("overwrite").parquet(f"{root}/keys")
+        self.samples.write.mode("overwrite").parquet(f"{root}/samples")
+        spark.createDataFrame([(self.populations, self.dims)], "populations array<string>, dims int").write.mode("overwrite").parquet(f"{root}/about")
+        self.model.write().overwrite().save(f"{root}/model")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Reference:
+        root = f"{path}/version={REFERENCE_VERSION}"
+        u, v, s = (np.array([r.x for r in spark.read.parquet(f"{root}/{n}").orderBy("row").collect()]) for n in "uvs")  # of the reference's fixed size
+        about = spark.read.parquet(f"{root}/about").first()
+        return cls(u, s[0], v, spark.read.parquet(f"{root}/keys"), spark.read.parquet(f"{root}/samples"), list(about.populations), RandomForestClassificationModel.load(f"{root}/model"), about.dims)
+
+
 def project(genotypes: DataFrame, reference: Reference, least: int = 1000) -> DataFrame:
     """(sample_id, pc, n_found) of target samples; samples with fewer than least of the reference's variants are left out."""
     ids = genotypes.select("sample_id").distinct()

@@ -190,7 +190,7 @@ def reference(spark):
     return rng.binomial(2, freq).astype(float), n, m
 
 
-def test_ancestry(spark, reference):
+def test_ancestry(spark, reference, tmp_path):
     d, n, m = reference
     from skein.functions.keys import variant_key
 
@@ -203,6 +203,8 @@ def test_ancestry(spark, reference):
     w = spark.createDataFrame([("p", keys[k], 0.1 * ((k % 5) - 2), 0, 0) for k in range(m)], "pgs_id string, vkey long, weight double, flip int, model int")
     meta = spark.createDataFrame([("p", m)], "pgs_id string, num_original long")
     scores = scoring.score_samples(g, w, meta)
+    ref.save(str(tmp_path / "ref"))
+    ref = scoring.Reference.load(spark, str(tmp_path / "ref"))
     named, adjusted = scoring.adjust(g, scores, w, panel, ref, least=100)
     who, row = named.first(), adjusted.first()
     assert who.most_similar == "AFR" and who.n_found == m and len(who.pc) == 4
@@ -229,6 +231,7 @@ def test_cohort(spark):
     z = ref.withColumnRenamed("score", "z")
     out = cohort.module_scores(fits, w, z, pcs, ["pc1"]).toPandas()
     assert len(out) == 3 * n and out.z.abs().max() <= 10 and (out.reliability == 1).all()
+    assert cohort.module_table(cohort.module_scores(fits, w, z, pcs, ["pc1"]), sorted(out.module.unique().tolist())).count() == n
     few = cohort.module_scores(fits, w, z.where("pgs_id = 'P0' and sample_id = 's00'"), pcs, ["pc1"]).toPandas()
     assert len(few) == 3 and sorted(few.n_available) == [0, 0, 1]
 
@@ -244,6 +247,8 @@ def test_classifiers(spark):
     assert {r.disease: r.auc > 0.9 for r in cohort.fold_areas(p).collect()} == {"A": True, "B": True}
     truth = df.where("label <> 'Healthy'").select("u", F.col("label").alias("truth"))
     assert cohort.ranked_accuracy(p, truth, "u", (1, 2)).first().top1 > 0.8
+    table = cohort.prediction_table(p, "u", ["A", "B"]).toPandas()
+    assert len(table) == 56 and list(table.columns) == ["u", "A", "B", "top1_disease", "top1_p", "top2_disease", "top2_p", "top3_disease", "top3_p"] and (table.top1_p == table[["A", "B"]].max(axis=1)).all()
     iv = {r.disease: r for r in cohort.area_intervals(p, "u", 10).collect()}
     assert iv["A"].low <= iv["A"].auc + 1e-9 and iv["A"].high <= 1.0
     z = df.select(F.col("u").alias("sample_id"), F.explode(F.create_map(F.lit("PA"), "a", F.lit("PB"), "b", F.lit("PC"), F.lit(1.0))).alias("pgs_id", "z"))
