@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm import bpe, compression_classifier, ngram_join, positional_index, quality_rules
-from skein.llm.common import table, written
+from skein.llm.common import mark, scratch, sweep, table
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,5 +65,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        begun = mark()
+        kept = stage(spark, docs, sf_dir)
+        path = scratch(spark, name.replace(" ", "-"))
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        sweep(spark, begun, path)  # the stage's own tables have been read for the last time
     return docs

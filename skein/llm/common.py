@@ -29,9 +29,27 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Paths that this process has made in the shared folder, in order.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def mark() -> int:
+    """A place in the list of scratch paths, for sweep."""
+    return len(_made)
+
+
+def sweep(spark: SparkSession, since: int, keep: str) -> None:
+    """Removes what was made since a mark, but for one path. What reads the others has to be done."""
+    for path in _made[since:]:
+        if path != keep:
+            remove(spark, path)
+    _made[since:] = [keep]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
