@@ -21,7 +21,9 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents that the base rule or the learned list rejects go."""
     rules = quality_rules.learn_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     packed = docs.select(F.struct(*docs.columns).alias("document"), "text")  # so that no statistic replaces a column
-    return quality_rules.apply_rules(packed, rules).where("kept").select("document.*")
+    # A row number keeps the filter above the statistics; pushed below, it would compute them once for each rule that names them.
+    judged = quality_rules.apply_rules(packed, rules).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_row") >= 0)).select("document.*")
 
 
 def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
