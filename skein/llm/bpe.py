@@ -225,6 +225,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes) -> None:
         self.vocabulary, self.lexicon = vocabulary, Transducer.from_bytes(lexicon)
+        self.longest = self.lexicon.longest
         self.read: dict[bytes, list[int]] = {}  # what was read from the lexicon: at most what it holds
         self.text_of = [str(i) for i in range(1 + max(vocabulary.bytes_of))]
         self.bytes_of = [vocabulary.bytes_of.get(i, b"") for i in range(len(self.text_of))]
@@ -234,12 +235,13 @@ class Encoder:
     def many(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece: the lexicon's, else merged."""
         out = list(map(self.read.get, pieces))
-        unread = [k for k, ids in enumerate(out) if ids is None]
+        longest = self.longest
+        unread = [k for k, ids in enumerate(out) if ids is None and len(pieces[k]) <= longest]
         held = self.lexicon.accepts([pieces[k] for k in unread]).tolist()
         for k, h in zip(unread, held):
             if h:
                 out[k] = self.read[pieces[k]] = self.lexicon.get(pieces[k])
-        rest = [k for k in unread if out[k] is None]
+        rest = [k for k, ids in enumerate(out) if ids is None]
         for k, ids in zip(rest, self.vocabulary.merge_many([pieces[k] for k in rest])):
             out[k] = ids
         return out
@@ -257,21 +259,41 @@ class Encoder:
         odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text or "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text
         return not odd and text[0] not in " \n" and text[-1] not in " \n" and (text.isascii() or not RARE_SPACE.search(text))
 
-    def learn(self, texts: list[str | None]) -> None:
-        """Encodes the words of texts that aren't known yet, so that encode only looks them up."""
+    def encode_all(self, texts: list[str | None]) -> Iterator[list[tuple[str, bytes]]]:
+        """encode of each text: what no cache knows of all their words is encoded first, at once."""
         bare: set[str] = {"\n"}
         spaced: set[str] = set()
+        cuts: list = []
         for text in texts:
-            if text and not (self.special and self.special.search(text)):
-                if self._simple(text):
-                    for line in text.split("\n"):
-                        first, *rest = line.split(" ")
-                        bare.add(first)
-                        spaced.update(rest)
-                else:
-                    bare.update(CHUNK.findall(text))
+            if not text or (self.special and self.special.search(text)):
+                cuts.append(None)
+            elif self._simple(text):
+                lines = []
+                for line in text.split("\n"):
+                    first, *rest = line.split(" ")
+                    bare.add(first)
+                    spaced.update(rest)
+                    lines.append((first, rest))
+                cuts.append(lines)
+            else:
+                cuts.append(CHUNK.findall(text))
+                bare.update(cuts[-1])
         self.bare.learn(bare)
         self.spaced.learn(spaced)
+        of_bare, of_spaced = self.bare.__getitem__, self.spaced.__getitem__
+        for text, cut in zip(texts, cuts):
+            if cut is None:
+                yield self.encode(text)
+            elif isinstance(cut[0], str):
+                yield list(map(of_bare, cut))
+            else:
+                out: list[tuple[str, bytes]] = []
+                for first, rest in cut:
+                    out.append(of_bare(first))
+                    out.extend(map(of_spaced, rest))
+                    out.append(of_bare("\n"))
+                out.pop()
+                yield out
 
     def _plain(self, text: str, out: list[tuple[str, bytes]]) -> None:
         if self._simple(text):
@@ -304,12 +326,12 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def frequent_words(docs: DataFrame, size: int, text_col: str = "text", longest: int = 20) -> list[str]:
-    """The most frequent words of up to longest letters (cut at spaces and line ends) of all texts: all of at least the smallest count, over 1, that no more than size words reach.
+def frequent_words(docs: DataFrame, size: int, text_col: str = "text", longest: int = 14) -> list[str]:
+    """The most frequent words of up to longest bytes (cut at spaces and line ends) of all texts: all of at least the smallest count, over 1, that no more than size words reach.
 
     The counts go to the shared folder; the driver gets how many words have each count, and then the words.
     """
-    words = docs.select(F.explode(F.split(text_col, "[ \n]")).alias("word")).where(F.length("word").between(1, longest))
+    words = docs.select(F.explode(F.split(F.replace(text_col, F.lit("\n"), F.lit(" ")), " ")).alias("word")).where(F.octet_length("word").between(1, longest))
     counted = written(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
     least, held = None, 0
     for r in counted.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():
@@ -369,8 +391,7 @@ def encode(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFrame
         for batch in batches:
             ids = []
             for texts in _groups(batch.column(1)):
-                encoder.learn(texts)
-                ids += [encoder.ids(t) for t in texts]
+                ids += [[int(i) for c in chunks for i in c[0].split(",")] for chunks in encoder.encode_all(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
     return docs.select(key, "text").mapInArrow(run, schema)
@@ -399,9 +420,7 @@ def digests(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFram
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
             for texts in _groups(batch.column(1)):
-                encoder.learn(texts)
-                for text in texts:
-                    chunks = encoder.encode(text)
+                for chunks in encoder.encode_all(texts):
                     ids = ",".join([c[0] for c in chunks])
                     n.append(ids.count(",") + 1 if chunks else 0)
                     ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())

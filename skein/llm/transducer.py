@@ -127,6 +127,15 @@ class Transducer:
             at += 4 * n
         self._first, self._final, self._targets, self._arc_out, self._outs = parts
         self._buffer, self._labels_at = buffer, at
+        self.longest = self._depth()
+
+    def _depth(self) -> int:
+        """The length of the longest key: states are stored after all they lead to."""
+        depth = [0] * self.n_states
+        for state in range(self.n_states):
+            arcs = self._targets[self._first[state] : self._first[state + 1]]
+            depth[state] = 1 + max(depth[t] for t in arcs) if len(arcs) else 0
+        return depth[self.root]
 
     @classmethod
     def open(cls, path: str) -> Transducer:

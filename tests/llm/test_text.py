@@ -88,6 +88,7 @@ PARTS = ["a", "b", "'s", " ", "  ", "\n", "\t", "\r\n", "é", "²", "Ⅷ", "٣",
 def test_bpe_equals_library(coder, library, text):
     want = library.encode(text, add_special_tokens=False).ids
     assert coder.ids(text) == want
+    assert [[int(i) for c in chunks for i in c[0].split(",")] for chunks in coder.encode_all([text, None, text + "é"])][:2] == [want, []]
     assert coder.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
@@ -102,6 +103,7 @@ def test_transducer():
     t = Transducer.from_bytes(compile_transducer(entries.items()))
     assert all(t.get(k) == list(v) for k, v in entries.items())
     assert all(t.get(k) is None for k in (b"zzz", b"abcabcab", b"d") if k not in entries)
+    assert t.longest == max(map(len, entries)) and t.accepts([*entries, b"zzz"]).tolist() == [True] * len(entries) + [False]
     shared = Transducer.from_bytes(compile_transducer(((p + b"ending", (1,)) for p in (b"a", b"b", b"c", b"dd"))))
     assert shared.n_states == 9  # one path for the suffix, the first letters and the second d
     assert Transducer.from_bytes(compile_transducer([])).get(b"") is None
