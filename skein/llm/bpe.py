@@ -41,7 +41,7 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: A coarser cut that never crosses a border of the fine one.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 RARE_SPACE = re.compile("[\x85\xa0  -     　]")
-CACHE = 250_000
+CACHE = 150_000
 #: Characters whose words are encoded at once.
 GROUP = 2 << 20
 
@@ -253,6 +253,11 @@ class Encoder:
             ids += self.lexicon.get(word) or self.vocabulary.merge(word)
         return ids
 
+    def forget(self) -> None:
+        """Empties the caches: a worker that waits holds no words of texts it has done."""
+        self.bare.clear()
+        self.spaced.clear()
+
     @staticmethod
     def _simple(text: str) -> bool:
         """Whether a text's white space is single spaces and line ends between words."""
@@ -426,6 +431,7 @@ def digests(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFram
                     ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                     text_sha.append(hashlib.sha256(b"".join([c[1] for c in chunks])).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder.forget()
         gc.enable()
 
     return docs.select(key, "text").mapInArrow(run, schema)
