@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import table, written
+from skein.llm.common import release, table, written
 from skein.llm.transducer import Transducer, compile_transducer
 
 #: White space as Unicode has it.
@@ -433,6 +433,7 @@ def digests(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
         encoder.forget()
         gc.enable()
+        release()
 
     return docs.select(key, "text").mapInArrow(run, schema)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,13 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release() -> None:
+    """Gives a Python worker's freed memory back to the system, at the end of a task: the worker waits for the next one beside others."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once, however often body names it.
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import scratch, table, written
+from skein.llm.common import release, scratch, table, written
 
 WINDOW = 10
 #: Words of a segment; a longer document is a segment of its own.
@@ -78,6 +78,8 @@ def _index(batches: Iterator[pa.RecordBatch], segment_words: int) -> Iterator[pa
             total += len(found)
     if ids:
         yield pa.RecordBatch.from_pylist([_segment(number, ids, counts, codes, terms)], schema)
+    ids = counts = codes = terms = None
+    release()
 
 
 def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", segment_words: int = SEGMENT_WORDS) -> DataFrame:
