@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from skein.llm import bpe, compression_classifier, ngram_join, positional_index, quality_rules
 from skein.llm.common import mark, scratch, sweep, table
 
+#: Near duplicates of the stage share this much of their shingles of so many words (op10's query has its own contract, 4 and 85).
+SHINGLE, PERCENT = 5, 80
+
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the learned list rejects go."""
@@ -34,7 +37,7 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document of the smallest id stays; of rows with one id and one text, one."""
-    gone = ngram_join.classes(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = ngram_join.classes(docs, SHINGLE, PERCENT).where("doc_id <> component_id").select("doc_id").distinct()
     same = Window.partitionBy("doc_id", "_text").orderBy("source", "lang", "n_chars")
     left = docs.join(gone, "doc_id", "left_anti").withColumn("_text", F.xxhash64("text")).withColumn("_row", F.row_number().over(same))
     return left.where("_row = 1").select(*docs.columns)

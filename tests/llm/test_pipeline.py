@@ -43,3 +43,13 @@ def test_stages_edges(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), D).count() == 0
         stage(spark, docs, D).count()
+
+
+def test_near_duplicates_of_five_words_and_four_fifths(spark):
+    words = [f"w{k}" for k in range(104)]
+    texts = [" ".join(words + [f"{name}{k}" for k in range(n)]) for name, n in (("a", 0), ("b", 22), ("c", 25), ("d", 26))]
+    texts += [" ".join(f"{name}{k}" for k in range(60)) for name in "xy"]
+    docs = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    roots = ngram_join.brute_force(list(enumerate(texts)), 5, 80)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, docs, D).collect()}
+    assert kept == {d for d in roots if roots[d][1] == d} == {0, 3, 4, 5}
