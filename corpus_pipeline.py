@@ -10,11 +10,11 @@ sample), since after the first stage hardly any bad row is left to learn from.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import bpe, compression_classifier, ngram_join, positional_index, quality_rules
-from skein.llm.common import mark, scratch, sweep, table
+from skein.llm.common import mark, scratch, sweep, table, written
 
 #: Near duplicates of the stage share this much of their shingles of so many words (op10's query has its own contract, 4 and 85).
 SHINGLE, PERCENT = 5, 80
@@ -35,18 +35,27 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return compression_classifier.scored(docs, model).where("predicted = 1").select(*docs.columns)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with a stored number of each row (_row), so that a decision meets its own row only: ids can be null or repeat."""
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed-rows")
+
+
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document of the smallest id stays; of rows with one id and one text, one."""
-    gone = ngram_join.classes(docs, SHINGLE, PERCENT).where("doc_id <> component_id").select("doc_id").distinct()
-    same = Window.partitionBy("doc_id", "_text").orderBy("source", "lang", "n_chars")
-    left = docs.join(gone, "doc_id", "left_anti").withColumn("_text", F.xxhash64("text")).withColumn("_row", F.row_number().over(same))
-    return left.where("_row = 1").select(*docs.columns)
+    """Of each class of near duplicates one row stays, that of the smallest id (null ids come last); of rows without words with one id and one text, one."""
+    rows = keyed(docs)
+    found = ngram_join.classes(rows, SHINGLE, PERCENT, key="_row").select(F.col("doc_id").alias("_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_class"))
+    facts = rows.select("_row", "doc_id", "source", "lang", "n_chars", F.xxhash64("text").alias("_text")).join(found, "_row")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "source", "lang", "n_chars", "_row"))
+    own = [F.when(F.col("_class").isNull(), F.col(c)).alias(f"_own{c}") for c in ("doc_id", "_text")]
+    kept = facts.groupBy("_class", *own).agg(least.alias("_least")).select("_least._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
-    found = positional_index.hits(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where(F.size("spans") > 0).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = keyed(docs)
+    found = positional_index.hits(rows, table(spark, sf_dir, "benchmark"), key="_row")
+    return rows.join(found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ Words: A-Z lower-cased, runs of digits, a-z and all that is not ASCII.
 
 Defined results: null and empty texts have no words and no hits; null or repeated ids keep
 their rows; an item without words is never found; an item of fewer words than a window is one
-window; repeated items each count; empty tables give no rows or no hits.
+window; repeated items each count; an item of a null id is searched, but not in the list of items; empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -161,12 +161,14 @@ class Segment:
 
 
 def windows_of(items: list[tuple[int, str | None]], size: int = WINDOW) -> dict[tuple[bytes, ...], list[int]]:
-    """Windows of so many words to the items that have them. An item of fewer words, but not none, is one window."""
+    """Windows of so many words to the items that have them; those of null ids are searched and not named. An item of fewer words, but not none, is one window."""
     found: dict[tuple[bytes, ...], list[int]] = {}
     for item, text in items:
         w = split_words(text)
         for window in {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else ():
-            found.setdefault(window, []).append(item)
+            named = found.setdefault(window, [])
+            if item is not None:
+                named.append(item)
     return found
 
 
@@ -269,12 +271,12 @@ def stated_items(benchmark: DataFrame, max_bytes: int = 256 << 20) -> list[tuple
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + 16 * F.count("*")).first()[0]
     if size > max_bytes:
         raise ValueError(f"the query set has {size} bytes; search it in parts of at most {max_bytes}")
-    return [(r.item_id, r.text) for r in benchmark.where("item_id is not null").select("item_id", "text").collect()]
+    return [(r.item_id, r.text) for r in benchmark.select("item_id", "text").collect()]
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, spans and items of each row of docs."""
-    return search(stored_index(docs), stated_items(benchmark), size)
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, key: str = "doc_id") -> DataFrame:
+    """doc_id (the key), n_words, spans and items of each row of docs."""
+    return search(stored_index(docs, key), stated_items(benchmark), size)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -294,7 +296,7 @@ def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str |
         w, hit, names = split_words(text), set(), set()
         for n in {len(x) for x in found}:
             for k in range(len(w) - n + 1):
-                if own := found.get(tuple(w[k : k + n])):
+                if (own := found.get(tuple(w[k : k + n]))) is not None:
                     hit.update(range(k, k + n))
                     names.update(own)
         joined = ",".join(sorted(map(str, names)))

@@ -140,6 +140,14 @@ def test_index_edges(spark):
         positional_index.stated_items(spark.createDataFrame(_items(), "item_id long, text string"), 10)
 
 
+def test_items_of_null_ids_are_searched(spark):
+    docs, items = [(1, "a short item here"), (2, "an other thing here"), (3, "nothing")], [(None, "short item here"), (2, "other thing"), (None, "other thing")]
+    frame, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in positional_index.digest(positional_index.hits(frame, benchmark)).collect()}
+    assert got == positional_index.brute_force(docs, items)
+    assert {d: (x[1], x[2], x[4]) for d, x in got.items()} == {1: (3, 0, True), 2: (2, 1, True), 3: (0, 0, False)}
+
+
 def test_proximity(spark):
     frame = spark.createDataFrame([(1, "short x item y here"), (2, "short x y z item w here"), (3, "item short here")], "doc_id long, text string")
     found = positional_index.proximity(positional_index.build_index(frame), [(2, "short item here")], 2)

@@ -53,3 +53,18 @@ def test_near_duplicates_of_five_words_and_four_fifths(spark):
     roots = ngram_join.brute_force(list(enumerate(texts)), 5, 80)
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates_stage(spark, docs, D).collect()}
     assert kept == {d for d in roots if roots[d][1] == d} == {0, 3, 4, 5}
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    long = lambda name, n=40: " ".join(f"{name}{k}" for k in range(n))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, long("a"), "1"), (7, long("a") + " z", "copy of 1"), (7, long("b"), "repeats the id"), (None, long("a") + " y", "null copy"), (None, long("c"), "null first"), (None, long("c") + " x", "null second"), (None, long("d"), "null alone"), (9, long("e"), "9"), (9, long("e") + " w", "own copy")]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], schema)
+    kept = sorted(r.source for r in corpus_pipeline.near_duplicates_stage(spark, docs, D).collect())
+    assert kept == ["1", "9", "null alone", "null first", "repeats the id"]
+
+    spark.createDataFrame([(1, long("q", 12)), (None, long("u", 12))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(3, "x " + long("q", 12), "hit"), (3, long("f"), "same id"), (None, long("q", 12) + " y", "null hit"), (None, long("g"), "null clean"), (4, long("u", 12), "hit by the item of a null id"), (5, None, "no text")]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], schema)
+    kept = sorted(r.source for r in corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).collect())
+    assert kept == ["no text", "null clean", "same id"]
