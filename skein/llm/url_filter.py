@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import table, written
+from skein.llm.common import scratch, table, written
 
 #: (verdict, host, path prefix)
 RULES = (
@@ -60,37 +60,42 @@ def segment(raw: Column) -> Column:
     return F.concat(kind, ext)
 
 
-def shape_of(path: Column, depth: int) -> Column:
-    """The first segments generalised; those beyond depth as one ``**``."""
-    parts = F.split(F.regexp_replace(path, r"\A/", ""), "/", -1)
-    head = F.transform(F.slice(parts, 1, depth), segment)
-    return F.when(F.size(parts) > depth, F.concat(head, F.array(F.lit("**")))).otherwise(head)
+def shape_of(path: Column) -> Column:
+    """All segments, generalised."""
+    return F.transform(F.split(F.regexp_replace(path, r"\A/", ""), "/", -1), segment)
 
 
-def tree(urls: DataFrame, depth: int = 3, z: float = 2.58, smoothing: float = 10.0) -> DataFrame:
+def tree(urls: DataFrame, z: float = 2.58, smoothing: float = 10.0) -> DataFrame:
     """urls (host, path, label) to templates: host, path_key, template, n, labelled, good, purity.
 
     label is 1, 0 or null. path_key is the path with its variable segments generalised, which
-    is what urls join on; template is what the merged branches leave of it.
+    is what urls join on; template is what the merged branches leave of it. There are as many
+    levels as the data has: a path goes on to the next while it has a further step, and one
+    that is alone in its node keeps the rest of its steps at once.
     """
     spark = urls.sparkSession
-    steps = [f"s{k}" for k in range(depth + 1)]
-    shaped = urls.select("host", shape_of(F.col("path"), depth).alias("shape"), "label")
+    shaped = urls.select("host", shape_of(F.col("path")).alias("shape"), "label")
     base = shaped.groupBy("host", F.concat_ws("/", "shape").alias("path_key"), "shape").agg(
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0)).cast("long").alias("good"))
-    base = written(base.select("host", "path_key", *(F.get("shape", F.lit(k)).alias(s) for k, s in enumerate(steps)), "n", "labelled", "good", F.lit("").alias("template")), "url-tree")
+    base = written(base.withColumns({"template": F.lit(""), "done": F.lit(False)}), "url-tree")
     sums = lambda extra: (F.sum("labelled").alias("labelled" + extra), F.sum("good").alias("good" + extra))
-    for step in steps:
+    levels, left = [], base
+    while not levels or left.limit(1).count():
         # Children of a node against their siblings: counts per child, then totals per node.
-        children = base.where(F.col(step).isNotNull()).groupBy("host", "template", step).agg(*sums("_c"))
-        nodes = children.groupBy("host", "template").agg(F.sum("labelled_c").alias("labelled_p"), F.sum("good_c").alias("good_p"), F.count("*").alias("branches"))
+        left = left.withColumn("step", F.element_at("shape", len(levels) + 1))
+        children = left.groupBy("host", "template", "step").agg(*sums("_c"), F.count("*").alias("paths_c"))
+        nodes = children.groupBy("host", "template").agg(F.sum("labelled_c").alias("labelled_p"), F.sum("good_c").alias("good_p"), F.count("*").alias("branches"), F.sum("paths_c").alias("paths"))
         rest, pooled = F.col("labelled_p") - F.col("labelled_c"), F.try_divide("good_p", "labelled_p")
         own, others = F.try_divide("good_c", "labelled_c"), F.try_divide(F.col("good_p") - F.col("good_c"), rest)
         spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "labelled_c") + F.try_divide(F.lit(1), rest)))
         differs = (pooled > 0) & (pooled < 1) & (F.abs(own - others) > z * spread)  # null where either side has no label
-        named = children.join(nodes, ["host", "template"]).select("host", "template", step, F.when((F.col("branches") == 1) | F.coalesce(differs, F.lit(False)), F.col(step)).otherwise("*").alias("branch"))
-        base = base.join(named, ["host", "template", step], "left").withColumn("template", F.when(F.col("branch").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "branch"))).drop("branch")
-        base = written(base, "url-tree")
+        named = children.join(nodes, ["host", "template"]).select("host", "template", "step", (F.col("paths") == 1).alias("alone"), F.when((F.col("branches") == 1) | F.coalesce(differs, F.lit(False)), F.col("step")).otherwise("*").alias("branch"))
+        further = F.concat("template", F.lit("/"), F.when(F.col("alone"), F.array_join(F.slice("shape", len(levels) + 1, F.size("shape")), "/")).otherwise(F.col("branch")))
+        gone_on = left.join(named, ["host", "template", "step"]).withColumns({"template": further, "done": F.col("alone") | (F.size("shape") == len(levels) + 1)})
+        levels.append(scratch(spark, "url-tree"))
+        gone_on.select(*base.columns).write.parquet(levels[-1])
+        left = spark.read.schema(base.schema).parquet(levels[-1]).where(~F.col("done"))
+    base = spark.read.schema(base.schema).parquet(*levels).where("done")
     total = base.agg(*sums("_all"))
     hosts = base.groupBy("host").agg(*sums("_h"))
     templates = base.groupBy("host", "template").agg(F.sum("n").alias("n"), *sums(""))
@@ -101,17 +106,17 @@ def tree(urls: DataFrame, depth: int = 3, z: float = 2.58, smoothing: float = 10
     return keys.join(templates.select("host", "template", "n", "labelled", "good", "purity", prior.alias("prior")), ["host", "template"])
 
 
-def judged(pages: DataFrame, labels: DataFrame, rules=RULES, depth: int = 3, min_purity: float = 0.7, z: float = 2.58, smoothing: float = 10.0) -> DataFrame:
+def judged(pages: DataFrame, labels: DataFrame, rules=RULES, min_purity: float = 0.7, z: float = 2.58, smoothing: float = 10.0) -> DataFrame:
     """pages (url and others) plus host, path, rule, verdict, template and purity.
 
     labels (label_key, label): label_key is the last number in a url's path, that is the id
     of the document a page shows.
     """
     located = pages.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    located = located.withColumn("_shape", F.concat_ws("/", shape_of(F.col("path"), depth)))
+    located = located.withColumn("_shape", F.concat_ws("/", shape_of(F.col("path"))))
     numbered = located.select("host", "path", F.expr(r"try_cast(nullif(regexp_extract(path, '([0-9]+)[^0-9/]*/?$', 1), '') as bigint)").alias("label_key"))
     one_each = labels.where("label_key is not null and label is not null").groupBy("label_key").agg(F.min("label").alias("label"))
-    templates = tree(numbered.join(one_each, "label_key", "left").select("host", "path", "label"), depth, z, smoothing)
+    templates = tree(numbered.join(one_each, "label_key", "left").select("host", "path", "label"), z, smoothing)
     out = located.join(templates.select("host", F.col("path_key").alias("_shape"), "template", "purity"), ["host", "_shape"], "left")
     learned = F.when(F.col("purity") < min_purity, "block").otherwise("allow")
     fitting = rule_of(F.col("host"), F.col("path"), rules)

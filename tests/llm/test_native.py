@@ -92,6 +92,18 @@ def test_url_tree_blocks_impure_templates(spark):
     assert {r.template for r in url_filter.judged(pages, alike).select("template").collect()} == {"/*/{n}"}
 
 
+def test_url_tree_goes_as_deep_as_paths(spark):
+    deep = lambda k: f"http://h.org/blog/2024/05/{'spam-x' if k % 4 == 0 else 'good-y'}/en/{'old' if k % 8 == 1 else 'new'}/{k}"
+    rows = [(k, deep(k)) for k in range(800)] + [(900, "http://h.org/blog"), (901, "http://one.org/" + "a/" * 300 + "z"), (902, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(k, int(k % 4 != 0 and k % 8 != 1)) for k in range(800)], "label_key long, label int")
+    out = {r.page_id: r for r in url_filter.judged(pages, labels).collect()}
+    assert len(out) == len(rows)
+    assert {(r.template, r.verdict) for k, r in out.items() if k < 800} == {
+        ("/blog/{n}/{n}/spam-x/en/new/{n}", "block"), ("/blog/{n}/{n}/good-y/en/new/{n}", "allow"), ("/blog/{n}/{n}/good-y/en/old/{n}", "block")}
+    assert (out[900].template, out[901].template, out[902].template) == ("/blog", "/" + "a/" * 300 + "z", "/")
+
+
 def test_sharding(spark):
     texts = [f"text {k} " + "y" * (k % 97) for k in range(3000)] + ["hot copy of some length"] * 1500 + [None, "", "", "one text " * 400]
     frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
