@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.functions import array_to_vector
@@ -59,6 +60,41 @@ def project_sample(u: np.ndarray, s: np.ndarray, v: np.ndarray, sample: np.ndarr
     return (moved[-1] @ rotation * scale + shift)[:dims]
 
 
+def reference_space(df: DataFrame, vector: str, mean: list[float], std: list[float], dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(u, s, v) of all vectors, standardised by component: directions, singular values and places, for project_sample.
+
+    u and s come from the Gram matrix of the components, summed in the tasks. project_sample uses the
+    places only through their count-free sums: their Gram matrix (1) and, as components are centred,
+    their mean (0). So v has dims + 1 rows of the same sums, not one for each vector.
+    """
+    n, center, scale = len(mean), np.array(mean, float), np.array(std, float)
+
+    def summed(batches):
+        total = np.zeros((n, n))
+        for batch in batches:
+            part = [x for x in batch.column(0).to_pylist() if x is not None]
+            z = np.full((len(part), n), np.nan)
+            for k, x in enumerate(part):
+                z[k, : len(x)] = [np.nan if c is None else c for c in x]
+            with np.errstate(all="ignore"):
+                z = (z - center) / scale
+            z[~np.isfinite(z)] = 0.0
+            total += z.T @ z
+        i, j = np.indices((n, n))
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "g"])
+
+    gram = np.zeros((n, n))
+    for r in df.select(vector).mapInArrow(summed, "i int, j int, g double").groupBy("i", "j").agg(F.sum("g").alias("g")).collect():  # components squared
+        gram[r.i, r.j] = r.g
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    k = min(dims, int((values > 1e-10 * max(values[0], 1e-300)).sum())) if n else 0
+    u = vectors[:, :k] * np.where(vectors[np.abs(vectors).argmax(0), np.arange(n)] < 0, -1.0, 1.0)[:k]
+    # Orthonormal columns that are orthogonal to a constant one.
+    places = np.linalg.qr(np.hstack([np.ones((k + 1, 1)), np.eye(k + 1)[:, :k]]))[0][:, 1:]
+    return u, np.sqrt(values[:k]), places
+
+
 def project_samples(standardised: DataFrame, u: np.ndarray, s: np.ndarray, v: np.ndarray, variant: str = "variant_index", sample: str = "sample_id", value: str = "w", dims: int = 10) -> DataFrame:
     """(sample, pc array) of long standardised rows. A sample's vector is one group; the reference's matrices (of fixed size) are broadcast."""
     shipped = standardised.sparkSession.sparkContext.broadcast((u, s, v))

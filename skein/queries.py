@@ -689,17 +689,13 @@ def q62_forest(spark, d):
 
 @query()
 def q63_projection_of_samples(spark, d):
-    """All vectors projected into the space of a reference panel of 200."""
-    import numpy as np
-
-    first = t(spark, d, "embeddings").orderBy("vec_id").limit(200).select("embedding").collect()  # a panel of fixed size is what is projected onto
-    x = np.array([list(v.embedding) for v in first], float).T
-    mean, std = x.mean(1, keepdims=True), x.std(1, keepdims=True)
-    u, s, vt = np.linalg.svd((x - mean) / std, full_matrices=False)
-    shape = spark.createDataFrame([(k, float(m), float(q)) for k, (m, q) in enumerate(zip(mean[:, 0], std[:, 0]))], "variant_index int, m double, q double")
+    """All vectors projected into the space that all of them span."""
     e = t(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.posexplode("embedding").alias("variant_index", "x"))
-    z = e.join(F.broadcast(shape), "variant_index").select("sample_id", "variant_index", dosage.standardised(F.col("x").cast("double"), F.col("m"), F.col("q")).alias("w"))  # one row for each component
-    return ml.project_samples(z, u[:, :40], s[:40], vt[:40].T)
+    shape = e.groupBy("variant_index").agg(F.avg(F.col("x").cast("double")).alias("m"), F.stddev_pop(F.col("x").cast("double")).alias("q"))
+    rows = sorted(tuple(r) for r in shape.collect())  # one for each component
+    z = e.join(F.broadcast(spark.createDataFrame(rows, "variant_index int, m double, q double")), "variant_index").select("sample_id", "variant_index", dosage.standardised(F.col("x").cast("double"), F.col("m"), F.col("q")).alias("w"))
+    u, s, v = ml.reference_space(t(spark, d, "embeddings"), "embedding", [r[1] for r in rows], [r[2] for r in rows], 40)
+    return ml.project_samples(z, u, s, v)
 
 
 @query()

@@ -145,6 +145,21 @@ def test_projection_of_reference_sample_stays():
     assert scale == pytest.approx(0.5) and np.allclose((2 * places + 1) @ turn * scale + shift, places)
 
 
+def test_projection_onto_all_samples(spark, tmp_path):
+    from skein.queries import Q
+
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(size=(200, 12)), 3 + rng.normal(size=(60, 12)) @ rng.normal(size=(12, 12))])  # those of larger ids are of another kind
+    spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    z = ((x - x.mean(0)) / x.std(0)).T
+    u, s, vt = np.linalg.svd(z, full_matrices=False)
+    got = {int(r.sample_id): np.abs(r.pc) for r in Q["q63_projection_of_samples"](spark, str(tmp_path)).collect()}
+    assert len(got) == 260
+    for k in (0, 77, 199, 200, 259):
+        want = ml.project_sample(u[:, :40], s[:40], vt[:40].T, z[:, k], 10, 12)
+        assert got[k] == pytest.approx(np.abs(want), rel=1e-5, abs=1e-6)
+
+
 def test_resampling(spark):
     df = spark.createDataFrame([(k, k % 3) for k in range(60)], "u long, y int")
     folds = resample.stratified_folds(df, "y", "u").groupBy("y", "fold").count().collect()
