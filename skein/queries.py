@@ -529,8 +529,18 @@ l AS (SELECT draw, doc_id, toxic, row_number() OVER (PARTITION BY draw ORDER BY
 a AS (SELECT draw, avg(CASE WHEN quality <> toxic THEN 1.0 ELSE 0 END) AS acc FROM l JOIN s USING (draw, k) GROUP BY 1)
 SELECT round(avg(acc), 6) AS null_mean, round(greatest(stddev_pop(acc), 0.001), 6) AS null_std, round((0.9 - avg(acc)) / greatest(stddev_pop(acc), 0.001), 4) + 0.0 AS sigma, round(greatest(avg(CASE WHEN acc >= 0.9 THEN 1.0 ELSE 0 END), 1.0 / count(*)), 6) AS p, count(*) AS n FROM a""")
 def q50_permutation(spark, d):
+    return _permutation(spark, d, 20)
+
+
+@query(SQL["q50_permutation"].replace("range(0, 20)", "range(0, 100)"))
+def q50b_permutation_whole(spark, d):
+    """q50 with the reference's 100 permutations."""
+    return _permutation(spark, d, 100)
+
+
+def _permutation(spark, d, draws: int) -> DataFrame:
     labels = t(spark, d, "labels")
-    null = resample.permuted(labels, "doc_id", "quality", 20).join(labels.select("doc_id", "toxic"), "doc_id").groupBy("draw").agg(F.avg((F.col("quality") != F.col("toxic")).cast("double")).alias("acc"))
+    null = resample.permuted(labels, "doc_id", "quality", draws).join(labels.select("doc_id", "toxic"), "doc_id").groupBy("draw").agg(F.avg((F.col("quality") != F.col("toxic")).cast("double")).alias("acc"))
     s = resample.null_summary(null, "acc", 0.9)
     return s.select(*(r(F.col(c)).alias(c) for c in ("null_mean", "null_std")), r(F.col("sigma"), 4).alias("sigma"), r(F.col("p")).alias("p"), "n")
 
@@ -542,7 +552,17 @@ rk AS (SELECT *, rank() OVER (PARTITION BY draw ORDER BY x) + (count(*) OVER (PA
 a AS (SELECT draw, (sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y) * (count(*) - sum(y))) AS auc FROM rk GROUP BY 1)
 SELECT round(quantile_cont(auc, 0.025), 6) AS low, round(quantile_cont(auc, 0.975), 6) AS high, count(*) AS n FROM a""")
 def q51_bootstrap(spark, d):
-    draws = resample.bootstrap(t(spark, d, "labels"), "doc_id", 10).withColumn("x", F.col("doc_id") % 50 + F.col("toxic"))
+    return _bootstrap(spark, d, 10)
+
+
+@query()
+def q51b_bootstrap_whole(spark, d):
+    """q51 with the reference's 1,000 resamples."""
+    return _bootstrap(spark, d, 1000)
+
+
+def _bootstrap(spark, d, n: int) -> DataFrame:
+    draws = resample.bootstrap(t(spark, d, "labels"), "doc_id", n).withColumn("x", F.col("doc_id") % 50 + F.col("toxic"))
     auc = stats.rank_auc(draws, "x", "quality", ["draw"], symmetric=False)
     out = resample.interval(auc.withColumn("_all", F.lit(1)), "auc", ["_all"])
     return out.select(r(F.col("low")).alias("low"), r(F.col("high")).alias("high"), "n")
@@ -683,7 +703,7 @@ def q61_loadings(spark, d):
 def q62_forest(spark, d):
     """Out-of-fold areas of a forest that tells label 0 from the others."""
     e = t(spark, d, "embeddings").select("vec_id", (F.col("label") == 0).cast("double").alias("y"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    p = ml.cross_validated(ml.features(e, ["v"]), "vec_id", "y", 3, 20, 5)
+    p = ml.cross_validated(ml.features(e, ["v"]), "vec_id", "y")
     return cohort.fold_areas(p.withColumn("disease", F.lit("0")))
 
 
@@ -700,11 +720,18 @@ def q63_projection_of_samples(spark, d):
 
 @query()
 def q64_stability(spark, d):
-    """How stable the communities of the vectors' graph are when components are drawn anew."""
+    """How stable the communities of the vectors' graph are in 25 draws of 80 % of the components."""
     base = graph.communities(graph.reciprocal(_neighbours(spark, d)).withColumn("draw", F.lit(-1)), ["draw"]).select("node", "community")
     parts = None
-    for n in range(2):
-        v = _vectors(spark, d).select("vec_id", F.slice("v", 1 + 8 * n, 48).alias("v"))
+    for n, picked in _component_draws(spark, d).items():
+        v = _vectors(spark, d).select("vec_id", F.array(*(F.get("v", F.lit(k)) for k in picked)).alias("v"))
         e = graph.reciprocal(graph.block_correlations(v, "vec_id", "v", 15, 0.18)).withColumn("draw", F.lit(n))
         parts = e if parts is None else parts.unionByName(e)
     return graph.stability(base, graph.communities(parts, ["draw"]))
+
+
+def _component_draws(spark, d, draws: int = 25) -> dict[int, list[int]]:
+    """The components of each draw, at random without replacement."""
+    n = _vectors(spark, d).agg(F.max(F.size("v"))).first()[0] or 0
+    picked = resample.subsamples(spark.range(n).withColumnRenamed("id", "component"), "component", draws).collect()  # draws times dimensions
+    return {k: sorted(r.component for r in picked if r.draw == k) for k in range(draws)}

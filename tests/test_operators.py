@@ -177,6 +177,25 @@ def test_resampling(spark):
     assert resample.bootstrap(df.limit(0), "u", 5).count() == 0
 
 
+def test_queries_resample_in_full(spark, monkeypatch):
+    import duckdb
+    from skein import queries
+
+    d, con = "/root/testdata/sf0.001", duckdb.connect()
+    con.sql(f"create view labels as from '{d}/labels.parquet'")
+    for name, sql, few, many in (("q50b_permutation_whole", "q50_permutation", "range(0, 20)", "range(0, 100)"), ("q51b_bootstrap_whole", "q51_bootstrap", "range(0, 10)", "range(0, 1000)")):
+        got, want = tuple(queries.Q[name](spark, d).first()), con.sql(queries.SQL[sql].replace(few, many)).fetchall()[0]
+        assert got == pytest.approx(want, abs=2e-6) and got[-1] == int(many[9:-1])
+
+    picked = queries._component_draws(spark, d)
+    n = len(t.embedding) if (t := queries.t(spark, d, "embeddings").first()) else 0
+    assert len(picked) == 25 and {len(set(p)) for p in picked.values()} == {int(n * 0.8)} and set().union(*picked.values()) == set(range(n))
+    seen, fit = [], ml.train_forest
+    monkeypatch.setattr(ml, "train_forest", lambda df, label, trees, depth, seed: seen.append((trees, depth)) or fit(df, label, 2, 2, seed))
+    queries.Q["q62_forest"](spark, d)
+    assert seen == [(500, 12)] * 5
+
+
 def test_forest_and_validation(spark):
     rows = [(k, [float(k % 2) + 0.01 * k, 1.0, None], float(k % 2)) for k in range(60)]
     df = ml.features(spark.createDataFrame(rows, "u long, x array<double>, y double"), ["x"])
