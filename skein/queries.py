@@ -400,6 +400,16 @@ def q37b_confusion_matrix(spark, d):
     return names.join(wide, "lang", "left").fillna(0, ["src0", "src1", "src2"])
 
 
+@query("""SELECT l.lang, s.source, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT lang FROM documents) l CROSS JOIN (SELECT DISTINCT source FROM documents) s
+LEFT JOIN (SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2) c ON c.lang IS NOT DISTINCT FROM l.lang AND c.source IS NOT DISTINCT FROM s.source""")
+def q37c_confusion_matrix_whole(spark, d):
+    """All cells of language by source, whatever classes the table has; null is a class of its own. Long, since the classes aren't stated."""
+    counts = t(spark, d, "documents").groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(F.count("*").alias("_n"))
+    cells = counts.select(F.col("_lang").alias("lang")).distinct().crossJoin(counts.select(F.col("_source").alias("source")).distinct())
+    found = cells.join(counts, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+    return found.select("lang", "source", F.coalesce("_n", F.lit(0)).cast("long").alias("n"))
+
+
 def _dots(spark, d) -> DataFrame:
     """Similarity of each vector to the mean of each label: vec_id, label, candidate, p."""
     e = t(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: F.round(x.cast("double"), 3)).alias("v"))

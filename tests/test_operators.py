@@ -177,6 +177,19 @@ def test_resampling(spark):
     assert resample.bootstrap(df.limit(0), "u", 5).count() == 0
 
 
+def test_confusion_matrix_has_all_classes(spark, tmp_path):
+    import duckdb
+    from skein.queries import Q, SQL
+
+    rows = [("de", "src0"), ("de", "src7"), ("de", "src7"), ("nl", "src19"), (None, "src0"), ("en", None), (None, None)]
+    spark.createDataFrame(rows, "lang string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.lang, r.source): r.n for r in Q["q37c_confusion_matrix_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(a, b): rows.count((a, b)) for a in ("de", "nl", "en", None) for b in ("src0", "src7", "src19", None)}
+    con = duckdb.connect()
+    con.sql(f"create view documents as from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == {(a, b): n for a, b, n in con.sql(SQL["q37c_confusion_matrix_whole"]).fetchall()}
+
+
 def test_queries_resample_in_full(spark, monkeypatch):
     import duckdb
     from skein import queries
