@@ -28,12 +28,16 @@ def hash_rank(df: DataFrame, by: list[str], seed: int | str | Column, unit: str,
     counts = cut.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_n")).drop("_n")
     inside = cut.withColumn("_inside", F.row_number().over(Window.partitionBy(*by, "_part").orderBy("_h", unit)))
-    return inside.join(before, [*by, "_part"]).withColumn(out, (F.col("_before") + F.col("_inside")).cast("int")).drop("_h", "_part", "_inside", "_before")
+    same, names = F.col("_part") == F.col("_in_part"), [f"_by{k}" for k in range(len(by))]
+    for name, c in zip(names, by):
+        same &= F.col(c).eqNullSafe(F.col(name))  # null groups have places too
+    before = before.select(*(F.col(c).alias(name) for name, c in zip(names, by)), F.col("_part").alias("_in_part"), "_before")
+    return inside.join(before, same).withColumn(out, (F.col("_before") + F.col("_inside")).cast("int")).drop("_h", "_part", "_inside", "_before", "_in_part", *names)
 
 
-def stratified_folds(df: DataFrame, label: str, unit: str, folds: int = 5, seed: int = 42) -> DataFrame:
-    """df with a fold number: dealt in turn within each class, in hash order."""
-    return hash_rank(df, [label], seed, unit, "_rank").withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds))).drop("_rank")
+def stratified_folds(df: DataFrame, label: str, unit: str, folds: int = 5, seed: int = 42, per_part: int = 100_000) -> DataFrame:
+    """df with a fold number: dealt in turn within each class (null is one), in hash order."""
+    return hash_rank(df, [label], seed, unit, "_rank", per_part).withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds))).drop("_rank")
 
 
 def subsamples(df: DataFrame, unit: str, draws: int, share: float = 0.8, seed: int = 42) -> DataFrame:

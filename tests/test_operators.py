@@ -177,6 +177,13 @@ def test_resampling(spark):
     assert resample.bootstrap(df.limit(0), "u", 5).count() == 0
 
 
+def test_null_groups_have_places_in_parts(spark):
+    df = spark.createDataFrame([(k, [0, 1, None][k % 3]) for k in range(60)], "u long, y int")
+    one, parts = resample.stratified_folds(df, "y", "u"), resample.stratified_folds(df, "y", "u", per_part=5)
+    assert parts.columns == one.columns and sorted(map(str, parts.collect())) == sorted(map(str, one.collect()))
+    assert parts.where("y is null").count() == 20
+
+
 def test_confusion_matrix_has_all_classes(spark, tmp_path):
     import duckdb
     from skein.queries import Q, SQL
