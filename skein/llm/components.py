@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating large and small stars.
 
-Edges only move to the drivers of the shuffle, never to the Spark driver; each round is
-written to the shared folder, so a lost executor repeats one round at most. Minima are
-partial aggregations and the joins are plain, so that adaptive execution can split a hub.
+No edge goes to the Spark driver; each round is written to the shared folder, so a lost executor
+repeats one round at most. Minima are partial aggregations, so a hub costs one row per task there;
+they are dealt anew before they join the edges, since adaptive execution splits a hub's edges only
+where neither side of a join was aggregated in the same stage.
 """
 
 from __future__ import annotations
@@ -30,12 +31,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     current, path = keep(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), None)
     state = _sum(current)
+    anew = lambda df: df.repartition(F.xxhash64("u", "m"))
     for _ in range(max_rounds):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.where("v > u").join(anew(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(lower, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v"))).distinct()
+        small = large.join(anew(lower), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(lower.select("u", F.col("m").alias("v"))).distinct()
         current, path = keep(small, path)
         now = _sum(current)
         if now == state:

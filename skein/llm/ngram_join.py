@@ -6,9 +6,13 @@ Documents with equal shingle sets are one class from the start. For the others:
    only costs or saves time) come last; of the rest a fixed class of hashes comes first,
    ordered by frequency, then all others by hash. Two sets that are similar enough share a
    shingle among the first n - ceil(t n) + 1 of each in that order.
-2. A shingle of these that only one set has is dropped; sets that share one are linked to the
-   smallest of its sets, which makes stars, not pairs. The stars' components hold every
-   pair that can be similar.
+2. A shingle of these that only one set has is dropped. The sets that share one are its group. Each
+   set comes with its size and a parity bitmap of its shingles: two bitmaps differ in at most as
+   many bits as the sets differ in shingles, so a pair is left out for good if its sizes or its
+   bitmaps are too far apart. What is left of a group is sent as a spanning forest. In a group of
+   more than GROUP sets (a hot shingle, which is salted on its way) the sets of like size are linked to the
+   smallest of theirs instead. Components of these links hold every similar pair, and
+   unlike texts that share a passage don't chain into one component.
 3. Only sets in such a component are fetched. Each component is joined in one task by a trie of
    its sets: a walk shares the overlap with all sets that begin alike, and leaves a subtree when
    the rest of either side is too short, or when all in it are in the walker's class already.
@@ -18,7 +22,8 @@ Documents with equal shingle sets are one class from the start. For the others:
    what its rows cost, no task holds more than two blocks, and no pair of classes is left out.
 
 Only edges of a spanning forest leave a task, so a group of copies costs as many edges as it
-has members. Everything is exact but for 64-bit hashes of shingles and of sets.
+has members. Everything is exact but for hashes of shingles (62 bits, under a key drawn for the
+run) and of sets (64 bits).
 
 Defined results: null and empty texts have no shingles and are linked with nothing; rows of a
 null id get their count and a null class; rows that repeat an id each get a row; an empty table
@@ -37,15 +42,19 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import scratch, table, written
 from skein.llm.components import components
-from skein.llm.shingles import set_id, shingle_sets, words_of
+from skein.llm.shingles import fresh_key, set_id, shingle_sets, words_of
 
 SHINGLE = 4
 PERCENT = 85
 BLOCK = 2048
 #: Sets of each class of a block that meet those of other blocks first.
 MEETING = 32
-#: Hashes whose top byte is below this are the class that is ordered by frequency.
-FIRST_CLASS = 60
+#: Sets of a shingle's group that are compared in one task.
+GROUP = 1024
+#: Words of 64 bits that a set's bitmap can have.
+WIDTHS = (1, 2, 4, 8, 16)
+#: Parts that the sets of a frequent shingle are dealt into.
+SALTS = 256
 #: A shingle is frequent in a task if so many of its documents, and such a share, have it.
 FREQUENT, FREQUENT_SHARE, MOST_FREQUENT = 8, 0.004, 200_000
 _READ = 4 << 20
@@ -60,6 +69,26 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def first_class(percent: int) -> int:
+    """Hashes whose top byte is below this are the class that is ordered by frequency: over one and a half times as many as a prefix has."""
+    return min(256, 4 * (100 - percent))
+
+
+def size_classes(percent: int, most: int = 1 << 40) -> np.ndarray:
+    """Where classes of set sizes begin: sets that can be similar are in the same class or in neighbours."""
+    begins = [1]
+    while begins[-1] < most:
+        begins.append(100 * begins[-1] // percent + 1)
+    return np.array(begins, np.int64)
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """For each remainder of hashes whether an odd number of the set has it: about a bit for each shingle, up to 1,024."""
+    width = next((w for w in WIDTHS if 64 * w >= len(s)), WIDTHS[-1])
+    odd = np.bincount((s % np.uint64(64 * width)).astype(np.int64), minlength=64 * width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
 def _read(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Batches cut so that each has a few MB of text."""
     for batch in batches:
@@ -72,17 +101,20 @@ def _read(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[tuple[
                 texts, at, held = [], k + 1, 0
 
 
-def _named(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Rows (0, id, set, n) of all documents and (1, null, shingle, count) of the task's frequent shingles."""
+def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Rows (0, id, set, n, bitmap, size class) of all documents and (1, null, shingle, count, null, null) of the task's frequent shingles."""
     names, counts, docs = [], [], 0
-    held = 0
+    held, begins = 0, size_classes(percent)
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
         keys, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *names]), return_inverse=True)
         return keys, np.bincount(at, np.concatenate([np.zeros(0), *counts]), len(keys)).astype(np.int64)
 
+    def batch_of(kind: int, ids: pa.Array, name: list | np.ndarray, n: np.ndarray, bits: pa.Array, level: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), ids, pa.array(name, pa.int64()), pa.array(n, pa.int64()), bits, level], ["kind", "doc_id", "name", "n", "bits", "level"])
+
     for batch, texts in _read(batches):
-        sets = shingle_sets(texts, size)
+        sets = shingle_sets(texts, size, key)
         docs += len(sets)
         keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
         names.append(keys[n > 1])
@@ -91,21 +123,21 @@ def _named(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
         if held > 2_000_000:
             keys, n = merged()
             names, counts, held = [keys[n > 2]], [n[n > 2]], int((n > 2).sum())
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.zeros(len(sets), np.int8)), batch.column(0), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], ["kind", "doc_id", "name", "n"])
+        sizes = np.array([len(s) for s in sets], np.int64)
+        yield batch_of(0, batch.column(0), [set_id(s) for s in sets], sizes, pa.array([bitmap(s) for s in sets], pa.binary()), pa.array(np.searchsorted(begins, sizes, "right"), pa.int64()))
     keys, n = merged()
     hot = n >= max(FREQUENT, FREQUENT_SHARE * docs)
-    yield pa.RecordBatch.from_arrays([
-        pa.array(np.ones(int(hot.sum()), np.int8)), pa.nulls(int(hot.sum()), pa.int64()), pa.array(keys[hot].view(np.int64)), pa.array(n[hot])], ["kind", "doc_id", "name", "n"])
+    some = int(hot.sum())
+    yield batch_of(1, pa.nulls(some, pa.int64()), keys[hot].view(np.int64), n[hot], pa.nulls(some, pa.binary()), pa.nulls(some, pa.int64()))
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(shingle, set, first, p) of what may be among a set's first p: all of the first class (so many as first says), and as many others as it lacks."""
+def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tuple[int, int], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(shingle, salt, set, first, p) of what may be among a set's first p: all of the first class (so many as first says), and as many others as it lacks. Salt is 0 but for frequent shingles."""
     seen: set[int] = set()
-    limit = np.uint64(FIRST_CLASS << 56)
+    limit = first_class(percent) << 56
     for _, texts in _read(batches):
-        out: list[tuple[np.ndarray, int, int, int]] = []
-        for s in shingle_sets(texts, size):
+        out: list[tuple[np.ndarray, int, int, int, int]] = []
+        for s in shingle_sets(texts, size, key):
             if not len(s) or (name := set_id(s)) in seen:
                 continue
             if len(seen) < 1_000_000:
@@ -114,15 +146,107 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, freque
             at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1) if len(frequent) else None
             hot = frequent[at] == s if at is not None else np.zeros(len(s), bool)
             cold = s[~hot]
-            first = int(np.searchsorted(cold, limit))
+            first = int(np.searchsorted(cold, np.uint64(limit))) if limit < 1 << 64 else len(cold)
             sent = cold[: max(first, p)]
             if len(sent) < p:
-                sent = np.concatenate((sent, s[hot][: p - len(sent)]))
-            out.append((sent, name, first, p))
+                out.append((s[hot][: p - len(sent)], 1 + name % SALTS, name, first, p))
+            out.append((sent, 0, name, first, p))
         n = [len(x[0]) for x in out]
         column = lambda k: pa.array(np.repeat(np.array([x[k] for x in out], np.int64), n))
         tokens = np.concatenate([np.zeros(0, np.uint64), *(x[0] for x in out)]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(tokens), column(1), column(2), column(3)], ["shingle", "name", "first", "p"])
+        yield pa.RecordBatch.from_arrays([pa.array(tokens), *(column(k) for k in range(1, 5))], ["shingle", "salt", "name", "first", "p"])
+
+
+class _Near:
+    """Finds the pairs of groups whose sizes and bitmaps let them be similar, and gives a spanning forest of them."""
+
+    def __init__(self, percent: int) -> None:
+        self.percent, self.root = percent, {}
+
+    def find(self, x: int) -> int:
+        root = self.root
+        if x not in root:
+            return x
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = root[x]
+        return x
+
+    def union(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a == b:
+            return False
+        self.root[max(a, b)] = min(a, b)
+        return True
+
+    def may(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether rows i and j (size[i] <= size[j]) can be similar."""
+        a, b, percent = self.size[i], self.size[j], self.percent
+        allowed = a + b - 2 * -(-percent * (a + b) // (100 + percent))
+        out = 100 * a >= percent * b
+        for w, bits in self.bits.items():
+            at = np.flatnonzero(out & (self.width[i] == w))
+            if len(at):
+                out[at] = np.bitwise_count(bits[i[at]] ^ bits[j[at]]).sum(axis=1) <= allowed[at]
+        return out
+
+    def edges(self, shingle: np.ndarray, size: np.ndarray, name: np.ndarray, maps: list[bytes]) -> list[tuple[int, int]]:
+        """Of rows ordered by shingle and size, whole groups."""
+        self.size, n = size, len(size)
+        self.width = np.array([len(m) // 8 for m in maps], np.int64)
+        folded = np.zeros((n, WIDTHS[-1]), np.uint64)
+        for w in WIDTHS:
+            at = np.flatnonzero(self.width == w)
+            folded[at, :w] = np.frombuffer(b"".join([maps[k] for k in at.tolist()]), np.uint64).reshape(-1, w)
+        self.bits = {WIDTHS[-1]: folded}
+        for w in WIDTHS[-2::-1]:  # a bitmap of half the width is one half over the other
+            folded = folded[:, :w] ^ folded[:, w:]
+            self.bits[w] = folded
+        begins = np.concatenate(([0], np.flatnonzero(shingle[1:] != shingle[:-1]) + 1, [n]))
+        members = np.diff(begins)
+        group = np.repeat(np.arange(len(members)), members)
+        few = members[group] <= 8
+        links: list[tuple[int, int]] = []
+        names = name.tolist()
+        for d in range(1, 8):
+            i = np.flatnonzero(few[: n - d] & (group[: n - d] == group[d:])) if n > d else np.zeros(0, np.int64)
+            i = i[self.may(i, i + d)]
+            if len(i):
+                pairs = np.unique(np.stack((name[i], name[i + d])), axis=1).tolist()
+                links += [(a, b) for a, b in zip(*pairs) if self.union(a, b)]
+        for g in np.flatnonzero(members > 8).tolist():
+            lo, hi = int(begins[g]), int(begins[g + 1])
+            roots = np.array([self.find(x) for x in names[lo:hi]], np.int64)
+            for j in range(lo + 1, hi):
+                near = np.flatnonzero(roots[: j - lo] != roots[j - lo]) + lo
+                near = near[self.may(near, np.full(len(near), j))]
+                for root in np.unique(roots[near - lo]).tolist():
+                    if self.union(root, int(roots[j - lo])):
+                        links.append((root, names[j]))
+                if len(near):
+                    roots[np.isin(roots, [*roots[near - lo], roots[j - lo]])] = self.find(names[j])
+        if len(self.root) > 2_000_000:
+            self.root.clear()  # costs repeated links, no link
+        return links
+
+
+def _near(batches: Iterator[pa.RecordBatch], percent: int, held_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of rows (shingle, size, name, bits), ordered by shingle and size."""
+    near, held = _Near(percent), None
+
+    def found(rows: pa.RecordBatch) -> pa.RecordBatch:
+        links = near.edges(*(rows.column(k).to_numpy(zero_copy_only=False) for k in range(3)), rows.column(3).to_pylist())
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["u", "v"])
+
+    for batch in batches:
+        held = pa.concat_batches([held, batch]) if held is not None else batch
+        if held.num_rows >= held_rows:
+            shingle = held.column(0).to_numpy(zero_copy_only=False)
+            if cut := int(np.searchsorted(shingle, shingle[-1])):  # the last group may go on
+                yield found(held.slice(0, cut))
+                held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield found(held)
 
 
 class _Node:
@@ -236,10 +360,10 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list[int]
     return links
 
 
-def _fetch(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _fetch(batches: Iterator[pa.RecordBatch], size: int, key: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """(root, block, blocks, name, shingles) of candidate documents (root, block, blocks, name, text)."""
     for batch, texts in _read(batches, 4):
-        sets = shingle_sets(texts, size)
+        sets = shingle_sets(texts, size, key)
         keep = [k for k, (s, name) in enumerate(zip(sets, batch.column(3).to_pylist())) if set_id(s) == name]
         rows = batch.take(pa.array(keep, pa.int64()))
         yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["root", "block", "blocks", "name", "shingles"])
@@ -302,48 +426,51 @@ def _large(rows: DataFrame, links: DataFrame, block: int, percent: int) -> DataF
     return links.unionByName(_links(tasks, ["root", "_i", "_s"], "own", percent))
 
 
-def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
+def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text", block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) of each row of docs."""
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    path = scratch(spark, "shingle-sets")
-    source.mapInArrow(lambda b: _named(b, size), "kind byte, doc_id long, name long, n long").write.parquet(path)
-    stored = spark.read.schema("kind byte, doc_id long, name long, n long").parquet(path)
+    path, hashed = scratch(spark, "shingle-sets"), fresh_key()
+    named_schema = "kind byte, doc_id long, name long, n long, bits binary, level long"
+    source.mapInArrow(lambda b: _named(b, size, percent, hashed), named_schema).write.parquet(path)
+    stored = spark.read.schema(named_schema).parquet(path)
     named = stored.where("kind = 0").drop("kind")
     top = stored.where("kind = 1").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(MOST_FREQUENT)
     frequent = np.sort(np.array([r.name for r in top.select("name").collect()], np.int64).view(np.uint64))
     shipped = spark.sparkContext.broadcast(frequent)  # MOST_FREQUENT numbers at most
+    # One document of each set, by its id; of rows that repeat an id those with another set fall out in _fetch.
+    facts = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"), F.first("n").alias("size"), F.first("bits").alias("bits"), F.first("level").alias("level"))
 
-    sent = source.select("doc_id", "text").mapInArrow(lambda b: _prefixes(b, size, percent, shipped.value), "shingle long, name long, first long, p long")
-    same = Window.partitionBy("shingle")
-    several = sent.select("*", F.count("*").over(same).alias("n"), F.min("name").over(same).alias("_a"), F.max("name").over(same).alias("_b")).where("_a <> _b")
-    is_first = "shiftrightunsigned(shingle, 56) < {}".format(FIRST_CLASS)
+    sent = source.select("doc_id", "text").mapInArrow(lambda b: _prefixes(b, size, percent, hashed, shipped.value), "shingle long, salt long, name long, first long, p long")
+    same = Window.partitionBy("shingle", "salt")
+    several = sent.select("*", F.count("*").over(same).alias("n"), F.min("name").over(same).alias("_a"), F.max("name").over(same).alias("_b")).where("salt > 0 or _a <> _b")
     # What a set sent is of the first class up to the count "first"; frequent shingles of these hashes were sent after it and always count.
-    hot = F.broadcast(spark.createDataFrame([(int(x),) for x in frequent.view(np.int64).tolist()], "hot long"))
-    ranked = several.join(hot, F.col("shingle") == F.col("hot"), "left").withColumn("ranked", F.expr(is_first) & F.col("hot").isNull())
+    is_first = f"shiftrightunsigned(shingle, 56) < {first_class(percent)}"
+    ranked = several.withColumn("ranked", F.expr(is_first) & (F.col("salt") == 0)).withColumn("_s", F.struct(F.when(F.col("salt") == 0, F.col("n")).otherwise(1 << 62).alias("n"), "shingle"))
     by_set = ranked.groupBy("name").agg(
-        F.collect_set(F.when(F.col("ranked"), F.struct("n", "shingle"))).alias("r"), F.collect_set(F.when(~F.col("ranked"), F.col("shingle"))).alias("o"), F.max("first").alias("first"), F.max("p").alias("p"))
+        F.collect_set(F.when(F.col("ranked"), F.col("_s"))).alias("r"), F.collect_set(F.when(~F.col("ranked"), F.col("_s"))).alias("o"), F.max("first").alias("first"), F.max("p").alias("p"))
     room = F.col("p") - (F.col("first") - F.size("r"))
-    chosen = F.concat(F.transform(F.slice(F.sort_array("r"), 1, F.greatest(room, F.lit(0)).cast("int")), lambda x: x["shingle"]), "o")
-    members = by_set.select("name", F.explode(chosen).alias("shingle"))
-    stars = members.select("name", F.min("name").over(Window.partitionBy("shingle")).alias("star")).where("name <> star").distinct()
-    groups = components(stars.select(F.col("name").alias("u"), F.col("star").alias("v")))
+    chosen = F.concat(F.slice(F.sort_array("r"), 1, F.greatest(room, F.lit(0)).cast("int")), "o")
+    listed = by_set.select("name", F.explode(chosen).alias("_s")).join(facts, "name")
+    members = written(listed.select("_s.shingle", "_s.n", "name", "size", "level", "bits"), "members")
+    near = members.where(F.col("n") <= group).select("shingle", "size", "name", "bits").repartition(F.col("shingle")).sortWithinPartitions("shingle", "size", "name").mapInArrow(lambda b: _near(b, percent), "u long, v long")
+    alike = members.where(F.col("n") > group).select("shingle", "name", F.explode(F.array("level", F.col("level") + 1)).alias("level"))
+    stars = alike.groupBy("shingle", "level").agg(F.min("name").alias("star")).repartition(F.xxhash64("shingle", "level", "star"))
+    hubs = alike.join(stars, ["shingle", "level"]).where("name <> star").select(F.col("name").alias("u"), F.col("star").alias("v"))
+    groups = components(near.unionByName(hubs))
 
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     placed = groups.join(sizes, "root").select("root", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", F.col("node").alias("name"))
-    # One document of each set, by its id; of rows that repeat an id those with another set fall out in _fetch.
-    one = named.where("doc_id is not null and n > 0").groupBy("name").agg(F.min("doc_id").alias("doc_id"))
-    wanted = placed.join(one, "name")
+    wanted = placed.join(facts.where("least is not null").select("name", F.col("least").alias("doc_id")), "name")
     fetched = source.join(wanted.hint("shuffle_hash"), "doc_id").select("root", "block", "blocks", "name", "text")
-    rows = written(fetched.mapInArrow(lambda b: _fetch(b, size), "root long, block int, blocks int, name long, shingles binary"), "candidate-sets")
+    rows = written(fetched.mapInArrow(lambda b: _fetch(b, size, hashed), "root long, block int, blocks int, name long, shingles binary"), "candidate-sets")
     links = written(_links(rows, ["root", "block"], "name", percent), "links")
     large = rows.where("blocks > 1")
     if large.limit(1).count():
         links = _large(large, links, block, percent)
     linked = components(links)
 
-    ids = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"))
-    roots = ids.join(linked, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("root", "name").alias("root"))
+    roots = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least")).join(linked, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("root", "name").alias("root"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     found = roots.join(least, "root").select("name", "component_id")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).cast("long")

@@ -1,34 +1,54 @@
-"""Word shingles as sets of 64-bit hashes, computed for many texts at once.
+"""Word shingles as sets of 62-bit hashes, computed for many texts at once.
 
 A shingle is a stretch of the normalised text (words joined by single spaces), so its
 hash is a difference of prefix sums of a polynomial over the bytes; no shingle string is
-ever built. Long texts are cut into pieces that overlap by one shingle less a word.
+ever built. The polynomial is taken modulo two primes (a power of two as the modulus
+would make some words collide whatever the base), at bases drawn anew by ``fresh_key`` for
+each run, so that nobody can plant texts that collide. Long texts are cut into pieces that
+overlap by one shingle less a word.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_BASE = 0x9E3779B97F4A7C15
-_BACK = pow(_BASE, -1, 1 << 64)
+#: Below 2^31, so that products fit into 64 bits and sums over CHUNK bytes do.
+PRIMES = (2_147_483_647, 2_147_483_629)
+KEY = (1_234_567_891, 987_654_323)
 #: Bytes that are hashed at once.
 CHUNK = 2 << 20
-_powers: list[np.ndarray] = []
+_powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
+def fresh_key() -> tuple[int, int]:
+    """Bases that nobody could know before."""
+    return tuple(secrets.randbelow(p - 1_000_000) + 500_000 for p in PRIMES)
+
+
+def _powers_of(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += more
+    return out
+
+
+def _tables(base: int, prime: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base and of its inverse."""
+    found = _powers.get((base, prime))
+    if found is None or len(found[0]) < n:
+        if len(_powers) > 3:
+            _powers.clear()
         size = max(n, CHUNK + 65536)
-        _powers[:] = []
-        for base in (_BASE, _BACK):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers.append(np.cumprod(steps))
-    return _powers[0][:n], _powers[1]
+        found = _powers[base, prime] = _powers_of(base, prime, size), _powers_of(pow(base, -1, prime), prime, size)
+    return found
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -42,13 +62,16 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(_LOWER).split() if text else []
 
 
-def _hashes(pieces: list[tuple[int, bytes]], size: int) -> Iterator[tuple[int, np.ndarray]]:
+def _hashes(pieces: list[tuple[int, bytes]], size: int, key: tuple[int, int]) -> Iterator[tuple[int, np.ndarray]]:
     """(number, hashes) of normalised pieces, none empty."""
     blob = b"\n".join([p for _, p in pieces])
     arr = np.frombuffer(blob, np.uint8)
-    power, back = _tables(len(arr) + 1)
-    prefix = np.zeros(len(arr) + 1, np.uint64)
-    np.cumsum((arr.astype(np.uint64) + np.uint64(1)) * power[: len(arr)], out=prefix[1:])
+    sums = []
+    for base, prime in zip(key, PRIMES):
+        power, back = _tables(base, prime, len(arr) + 1)
+        prefix = np.zeros(len(arr) + 1, np.uint64)
+        np.cumsum((arr.astype(np.uint64) + np.uint64(1)) * power[: len(arr)], out=prefix[1:])
+        sums.append((prefix, back, np.uint64(prime)))
     cuts = np.flatnonzero((arr == 32) | (arr == 10))
     starts, ends = np.concatenate(([0], cuts + 1)), np.concatenate((cuts, [len(arr)]))
     last = np.concatenate((np.flatnonzero(arr[cuts] == 10), [len(starts) - 1]))  # each piece's last word
@@ -58,10 +81,11 @@ def _hashes(pieces: list[tuple[int, bytes]], size: int) -> Iterator[tuple[int, n
             s, e = starts[a : a + 1], ends[b : b + 1]
         else:
             s, e = starts[a : b - size + 2], ends[a + size - 1 : b + 1]
-        yield number, _mix((prefix[e] - prefix[s]) * back[s])
+        one, two = ((prefix[e] - prefix[s]) % prime * back[s] % prime for prefix, back, prime in sums)
+        yield number, _mix(one << np.uint64(32) | two)
 
 
-def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None], size: int, key: tuple[int, int] = KEY) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, ascending. A text of fewer words, but not none, is one shingle."""
     found: list[list[np.ndarray]] = [[] for _ in texts]
     pending: list[tuple[int, bytes]] = []
@@ -69,7 +93,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
 
     def flush() -> None:
         nonlocal held
-        for number, h in _hashes(pending, size):
+        for number, h in _hashes(pending, size, key):
             found[number].append(h)
         pending.clear()
         held = 0

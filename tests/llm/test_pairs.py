@@ -80,12 +80,12 @@ def _corpus(seed, n=120):
     return texts
 
 
-@pytest.mark.parametrize("block", [4096, 40, 3])
-def test_ngram_join_equals_brute_force(spark, block):
+@pytest.mark.parametrize("block, group", [(4096, 1024), (40, 4), (3, 1)])
+def test_ngram_join_equals_brute_force(spark, block, group):
     texts = _corpus(block)
     docs = [(k * 7 % 1009, t) for k, t in enumerate(texts)]
     frame = spark.createDataFrame([(a, b, "x") for a, b in docs], "doc_id long, text string, component_id string").repartition(3)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(frame, block=block).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(frame, block=block, group=group).collect()}
     assert got == ngram_join.brute_force(docs)
 
 
@@ -95,6 +95,52 @@ def test_ngram_join_edges(spark):
     assert ngram_join.classes(frame.limit(0)).count() == 0
 
 
+def test_ngram_join_of_words_that_collide_modulo_powers_of_two(spark):
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    docs = [(1, f"x y z {one}"), (2, f"x y z {two}"), (3, f"x y z {one} x y z {two}")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == ngram_join.brute_force(docs) == {1: (1, 1), 2: (1, 2), 3: (5, 3)}
+
+
+def test_near_pairs_lose_no_similar_one():
+    random.seed(6)
+    for percent in (50, 80, 85, 100):
+        begins = ngram_join.size_classes(percent, 10_000)
+        for a in range(1, 400):
+            b = 100 * a // percent
+            assert np.searchsorted(begins, b, "right") - np.searchsorted(begins, a, "right") <= 1
+        sets = []
+        for _ in range(60):
+            base = random.sample(range(1 << 40), random.choice([3, 70, 200, 1500]))
+            for _ in range(random.randint(1, 9)):
+                s = set(base)
+                for _ in range(random.randint(0, len(s) // 3)):
+                    s ^= {random.choice(base), random.randrange(1 << 40)}
+                sets.append(np.array(sorted(s), np.uint64))
+        sets = sorted((s for s in sets if len(s)), key=len)
+        rows = [(shingle, k) for shingle in range(3) for k in range(len(sets)) if shingle < 2 or k % 7 == 0]
+        near = ngram_join._Near(percent)
+        links = near.edges(np.array([r[0] for r in rows]), np.array([len(sets[k]) for _, k in rows]), np.array([k for _, k in rows]), [ngram_join.bitmap(sets[k]) for _, k in rows])
+        roots = _classes(len(sets), links)
+        assert len(links) < len(sets)
+        similar = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(common := np.intersect1d(sets[a], sets[b])) >= percent * (len(sets[a]) + len(sets[b]) - len(common))]
+        assert all(roots[a] == roots[b] for a, b in similar)
+        assert percent < 80 or len(set(roots)) > 20  # unlike sets aren't linked
+
+
+def test_ngram_join_stays_linear_where_unlike_texts_chain(spark, monkeypatch):
+    sizes = {}
+    for name in ("written",):
+        real = getattr(ngram_join, name)
+        monkeypatch.setattr(ngram_join, name, lambda df, label, real=real: sizes.__setitem__(label, (out := real(df, label)).count()) or out)
+    for n in (200, 800):
+        passage = lambda k: " ".join(f"p{k}x{i}" for i in range(30))
+        chain = [(k, f"{passage(k)} {passage(k + 1)} own{k} w{k} line that all have in them") for k in range(n)]
+        got = {r.component_id for r in ngram_join.classes(spark.createDataFrame(chain, "doc_id long, text string").repartition(4)).collect()}
+        assert len(got) == n and sizes["candidate-sets"] <= 0.02 * n and sizes["members"] <= 14 * n
+
+
 def test_overlap_bounds():
     for a in range(1, 60):
         for b in range(a, 60):

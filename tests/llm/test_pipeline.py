@@ -22,7 +22,7 @@ def test_pipeline_equals_plain_steps(spark):
     second = corpus_pipeline.quality_classifier_stage(spark, first, D)
     assert first.columns == second.columns == docs.columns and second.count() <= first.count() < docs.count()
     texts = {r.doc_id: r.text for r in second.select("doc_id", "text").collect()}
-    roots = ngram_join.brute_force(sorted(texts.items()))
+    roots = ngram_join.brute_force(sorted(texts.items()), 5, 80)
     kept = {d: t for d, t in texts.items() if roots[d][1] == d}
     items = [tuple(r) for r in table(spark, D, "benchmark").select("item_id", "text").collect()]
     hit = positional_index.brute_force(sorted(kept.items()), items)
