@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import scratch, table, written
+from skein.llm.common import release, scratch, table, written
 from skein.llm.components import components
 from skein.llm.shingles import fresh_key, set_id, shingle_sets, words_of
 
@@ -57,7 +57,9 @@ WIDTHS = (1, 2, 4, 8, 16)
 SALTS = 256
 #: A shingle is frequent in a task if so many of its documents, and such a share, have it.
 FREQUENT, FREQUENT_SHARE, MOST_FREQUENT = 8, 0.004, 200_000
-_READ = 4 << 20
+_READ = 2 << 20
+#: Entries that a worker remembers to save work.
+HELD = 500_000
 
 
 def least_overlap(a: int, b: int, percent: int = PERCENT) -> int:
@@ -120,7 +122,7 @@ def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tupl
         names.append(keys[n > 1])
         counts.append(n[n > 1])
         held += len(names[-1])
-        if held > 2_000_000:
+        if held > HELD:
             keys, n = merged()
             names, counts, held = [keys[n > 2]], [n[n > 2]], int((n > 2).sum())
         sizes = np.array([len(s) for s in sets], np.int64)
@@ -129,18 +131,21 @@ def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tupl
     hot = n >= max(FREQUENT, FREQUENT_SHARE * docs)
     some = int(hot.sum())
     yield batch_of(1, pa.nulls(some, pa.int64()), keys[hot].view(np.int64), n[hot], pa.nulls(some, pa.binary()), pa.nulls(some, pa.int64()))
+    names = counts = keys = n = None
+    release()
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tuple[int, int], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(shingle, salt, set, first, p) of what may be among a set's first p: all of the first class (so many as first says), and as many others as it lacks. Salt is 0 but for frequent shingles."""
     seen: set[int] = set()
+    out = tokens = None
     limit = first_class(percent) << 56
     for _, texts in _read(batches):
         out: list[tuple[np.ndarray, int, int, int, int]] = []
         for s in shingle_sets(texts, size, key):
             if not len(s) or (name := set_id(s)) in seen:
                 continue
-            if len(seen) < 1_000_000:
+            if len(seen) < HELD:
                 seen.add(name)
             p = prefix_length(len(s), percent)
             at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1) if len(frequent) else None
@@ -155,6 +160,8 @@ def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: t
         column = lambda k: pa.array(np.repeat(np.array([x[k] for x in out], np.int64), n))
         tokens = np.concatenate([np.zeros(0, np.uint64), *(x[0] for x in out)]).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(tokens), *(column(k) for k in range(1, 5))], ["shingle", "salt", "name", "first", "p"])
+    seen = out = tokens = None
+    release()
 
 
 class _Near:
@@ -225,14 +232,14 @@ class _Near:
                         links.append((root, names[j]))
                 if len(near):
                     roots[np.isin(roots, [*roots[near - lo], roots[j - lo]])] = self.find(names[j])
-        if len(self.root) > 2_000_000:
+        if len(self.root) > HELD:
             self.root.clear()  # costs repeated links, no link
         return links
 
 
 def _near(batches: Iterator[pa.RecordBatch], percent: int, held_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Edges (u, v) of rows (shingle, size, name, bits), ordered by shingle and size."""
-    near, held = _Near(percent), None
+    near, held, batch = _Near(percent), None, None
 
     def found(rows: pa.RecordBatch) -> pa.RecordBatch:
         links = near.edges(*(rows.column(k).to_numpy(zero_copy_only=False) for k in range(3)), rows.column(3).to_pylist())
@@ -247,6 +254,8 @@ def _near(batches: Iterator[pa.RecordBatch], percent: int, held_rows: int = 50_0
                 held = held.slice(cut)
     if held is not None and held.num_rows:
         yield found(held)
+    near = held = batch = None
+    release()
 
 
 class _Node:
@@ -367,6 +376,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], size: int, key: tuple[int, int]) -
         keep = [k for k, (s, name) in enumerate(zip(sets, batch.column(3).to_pylist())) if set_id(s) == name]
         rows = batch.take(pa.array(keep, pa.int64()))
         yield pa.RecordBatch.from_arrays([*rows.columns[:4], pa.array([sets[k].tobytes() for k in keep], pa.binary())], ["root", "block", "blocks", "name", "shingles"])
+    release()
 
 
 def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -389,6 +399,8 @@ def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
                 sets.append(np.frombuffer(data.as_py(), np.uint64))
     if len(sets) > 1:
         yield edges()
+    names = known = sets = batch = None
+    release()
 
 
 def _links(rows: DataFrame, key: list[str], own: str, percent: int) -> DataFrame:
@@ -459,7 +471,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     hubs = alike.join(stars, ["shingle", "level"]).where("name <> star").select(F.col("name").alias("u"), F.col("star").alias("v"))
     groups = components(near.unionByName(hubs))
 
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    # What is counted for a root is dealt anew before it joins, so that adaptive execution can split the rows of a large root.
+    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).repartition(F.xxhash64("root", "blocks"))
     placed = groups.join(sizes, "root").select("root", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", F.col("node").alias("name"))
     wanted = placed.join(facts.where("least is not null").select("name", F.col("least").alias("doc_id")), "name")
     fetched = source.join(wanted.hint("shuffle_hash"), "doc_id").select("root", "block", "blocks", "name", "text")
@@ -471,7 +484,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     linked = components(links)
 
     roots = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least")).join(linked, F.col("name") == F.col("node"), "left").select("name", "least", F.coalesce("root", "name").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id")).repartition(F.xxhash64("root", "component_id"))
     found = roots.join(least, "root").select("name", "component_id")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).cast("long")
     return named.join(found, "name", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))

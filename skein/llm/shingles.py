@@ -21,7 +21,7 @@ _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 PRIMES = (2_147_483_647, 2_147_483_629)
 KEY = (1_234_567_891, 987_654_323)
 #: Bytes that are hashed at once.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 _powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -37,7 +37,7 @@ def _powers_of(base: int, prime: int, n: int) -> np.ndarray:
         more = min(done, n - done)
         out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
         done += more
-    return out
+    return out.astype(np.uint32)
 
 
 def _tables(base: int, prime: int, n: int) -> tuple[np.ndarray, np.ndarray]:
