@@ -2,11 +2,14 @@
 
 A batch is a table of signed rows: an insert counts 1, a delete -1, and a revised count is a
 delete of the old one with an insert of the new. A batch is reduced to additive sums by source,
-language and tokenizer version (partial aggregation: a hot source costs one row per task) and
-written as one folder of the store. The folder's commit marker makes it count, so a batch that
-is committed again under its name changes nothing, and one that failed half-way is written anew.
-Totals are the sums over all committed batches; ``compact`` folds batches into a base without
-losing their names.
+language and tokenizer version (partial aggregation: a hot source costs one row per task).
+
+The store is a log of versions. Each attempt writes its sums to a folder of a new name; a version
+is a small file that lists the folders that count and the names of all batches they hold. It is
+written aside and then renamed to the next number, which fails if that is taken, so of two writers
+one begins again with what the other has published. What an attempt that died has left is in no version
+and is never read; a batch that is committed again under its name changes nothing. ``compact``
+folds the folders of a version into one. Totals are one scan over the folders of the last version.
 
 Defined results: null texts have no tokens; null sources, languages or versions are groups of
 their own; repeated rows each count; an empty batch commits and adds nothing; other columns are
@@ -15,27 +18,35 @@ not read; groups whose documents and tokens all came to nothing are left out of
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import uuid
+from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm.common import scratch, table, written
+from skein.llm.common import remove, scratch, table, written
 
 KEYS = ("source", "lang", "tokenizer")
 SUMS = ("n_docs", "n_tokens", "n_chars")
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long, n_chars long"
 #: Two versions of a counter: stretches without white space; the same with signs counted apart from letters and digits.
-SPACE = "\\x20\\x09-\\x0D"
+SPACE, BLANKS = "\\x20\\x09-\\x0D", " \t\n\x0b\x0c\r"
+
+
+def _marks(text: Column, word: str) -> Column:
+    """How many signs are left when each match of word is one letter and white space is gone: no list of matches is made."""
+    return F.length(F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), word, "a"), BLANKS, "")).cast("long")
 
 
 def words_v1(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
+    return _marks(text, f"[^{SPACE}]+")
 
 
 def words_v2(text: Column) -> Column:
     signs = "\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E"
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}{signs}]+|[{signs}]")).cast("long")
+    return _marks(text, f"[^{SPACE}{signs}]+")
 
 
 def counted(docs: DataFrame, **tokenizers: Column) -> DataFrame:
@@ -53,65 +64,102 @@ def rolled(signed: DataFrame) -> DataFrame:
     return signed.groupBy(*KEYS).agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in SUMS))
 
 
+@dataclass(frozen=True)
+class Version:
+    """What counts: folders of sums, and the names of the batches in them."""
+
+    number: int = 0
+    folders: list[str] = field(default_factory=list)
+    names: list[str] = field(default_factory=list)
+
+
 class Store:
     """Committed batches under a path that all executors see."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _exists(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.exists(p)
-
-    def batches(self) -> list[str]:
-        """Names of what counts: folders with a commit marker, but for those that a base holds."""
-        fs, p = self._fs(self.path)
-        if not fs.exists(p):
-            return []
-        names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-        done = [n for n in names if self._exists(f"{self.path}/{n}/_SUCCESS")]
-        bases = [n for n in done if n.startswith("base-")]
-        if not bases:
-            return done
-        last = max(bases, key=lambda n: int(n.split("-")[1]))
-        held = {r.name for r in self.spark.read.schema("name string").parquet(f"{self.path}/{last}/_names").collect()} if self._exists(f"{self.path}/{last}/_names/_SUCCESS") else set()
-        return [last, *(n for n in done if not n.startswith("base-") and n.removeprefix("batch-") not in held)]
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._log = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_versions")
+        self._fs = self._log.getFileSystem(self._conf)
+
+    def _file(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(self._log, name)
+
+    def version(self) -> Version:
+        """The last version."""
+        if not self._fs.exists(self._log):
+            return Version()
+        numbers = [int(n) for s in self._fs.listStatus(self._log) if (n := s.getPath().getName()).isdigit()]
+        if not numbers:
+            return Version()
+        stream = self._fs.open(self._file(f"{max(numbers):012d}"))
+        try:
+            return Version(**json.loads(bytes(stream.readAllBytes())))
+        finally:
+            stream.close()
+
+    def _publish(self, new: Version) -> bool:
+        """Makes new the last version; False if another writer has its number."""
+        aside = self._file(f".{uuid.uuid4().hex}")
+        out = self._fs.create(aside)
+        out.write(json.dumps(vars(new)).encode())
+        out.close()
+        names = self._jvm.org.apache.hadoop.fs
+        none = self.spark.sparkContext._gateway.new_array(getattr(names, "Options$Rename"), 0)
+        target = self._file(f"{new.number:012d}")
+        try:
+            names.FileContext.getFileContext(aside.toUri() if aside.toUri().getScheme() else self._fs.getUri(), self._conf).rename(aside, target, none)
+        except Py4JJavaError:
+            if not self._fs.exists(target):
+                raise
+            self._fs.delete(aside, False)
+            return False
+        return True
 
     def committed(self, name: str) -> bool:
-        if self._exists(f"{self.path}/batch-{name}/_SUCCESS"):
-            return True
-        return any(n.startswith("base-") and name in self._held(n) for n in self.batches())
-
-    def _held(self, base: str) -> set[str]:
-        return {r.name for r in self.spark.read.schema("name string").parquet(f"{self.path}/{base}/_names").collect()}
+        return name in self.version().names
 
     def commit(self, name: str, signed: DataFrame) -> bool:
         """Adds a batch once; False if a batch of this name counts already."""
         if self.committed(name):
             return False
-        rolled(signed).write.mode("overwrite").parquet(f"{self.path}/batch-{name}")
-        return True
+        folder = f"batch-{uuid.uuid4().hex}"
+        rolled(signed).write.parquet(f"{self.path}/{folder}")
+        while True:
+            last = self.version()
+            if name in last.names:
+                remove(self.spark, f"{self.path}/{folder}")
+                return False
+            if self._publish(Version(last.number + 1, [*last.folders, folder], [*last.names, name])):
+                return True
+
+    def _sums(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], SCHEMA)
+        return rolled(self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/{f}" for f in folders))).where("n_docs <> 0 or n_tokens <> 0 or n_chars <> 0")
 
     def totals(self) -> DataFrame:
-        names = self.batches()
-        if not names:
-            return self.spark.createDataFrame([], SCHEMA)
-        parts = [self.spark.read.schema(SCHEMA).parquet(f"{self.path}/{n}") for n in names]
-        return rolled(reduce(DataFrame.unionByName, parts)).where("n_docs <> 0 or n_tokens <> 0 or n_chars <> 0")
-
-    def compact(self) -> None:
-        """Folds all that counts into a new base, which keeps the batches' names."""
-        names = self.batches()
-        held = set().union(*(self._held(n) for n in names if n.startswith("base-")), {n.removeprefix("batch-") for n in names if n.startswith("batch-")})
-        number = 1 + max((int(n.split("-")[1]) for n in names if n.startswith("base-")), default=-1)
-        base = f"{self.path}/base-{number}"
-        self.spark.createDataFrame([(n,) for n in sorted(held)], "name string").write.mode("overwrite").parquet(f"{base}/_names")
-        # The base counts once this is there; its names are there before.
-        self.totals().write.mode("append").parquet(base)
+        return self._sums(self.version().folders)
+
+    def compact(self) -> bool:
+        """Folds all that counts into one folder; False if another compaction came first."""
+        seen, folder = self.version(), f"base-{uuid.uuid4().hex}"
+        self._sums(seen.folders).write.parquet(f"{self.path}/{folder}")
+        while True:
+            last = self.version()
+            if not {*seen.folders} <= {*last.folders}:
+                remove(self.spark, f"{self.path}/{folder}")
+                return False
+            if self._publish(Version(last.number + 1, [folder, *(f for f in last.folders if f not in seen.folders)], last.names)):
+                return True
+
+    def vacuum(self) -> None:
+        """Deletes the folders that the last version doesn't list. Nothing may be reading or writing."""
+        held = {*self.version().folders, "_versions"}
+        for status in self._fs.listStatus(self._log.getParent()):
+            if status.getPath().getName() not in held:
+                self._fs.delete(status.getPath(), True)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -144,6 +144,56 @@ def test_rollup_against_sql_and_replay(spark, tmp_path):
     assert sorted(map(tuple, store.totals().collect()), key=str) == sorted([("s1", "de", "v1", 1, 3, 6), (None, None, "v1", 1, 0, 0)], key=str)
 
 
+def test_rollup_survives_attempts_that_die(spark, tmp_path, monkeypatch):
+    store = token_rollup.Store(spark, f"file://{tmp_path}/r")
+    batch = lambda n: spark.createDataFrame([("s", "en", "v", n, 10 * n, 100 * n)], token_rollup.SCHEMA)
+    store.commit("a", batch(1))
+    store.commit("b", batch(2))
+    monkeypatch.setattr(store, "_publish", lambda new: 1 / 0)
+    for attempt in (store.compact, lambda: store.commit("c", batch(5))):
+        try:
+            attempt()
+        except ZeroDivisionError:
+            pass
+    monkeypatch.undo()
+    want = [("s", "en", "v", 3, 30, 300)]
+    assert [tuple(r) for r in store.totals().collect()] == want
+    assert store.compact() and [tuple(r) for r in store.totals().collect()] == want
+    assert store.commit("c", batch(5)) and not store.commit("c", batch(5))
+    assert len(list((tmp_path / "r").iterdir())) > 3
+    store.vacuum()
+    assert len(list((tmp_path / "r").iterdir())) == 3 and [tuple(r) for r in store.totals().collect()] == [("s", "en", "v", 8, 80, 800)]
+
+
+def test_rollup_of_two_writers(spark, tmp_path, monkeypatch):
+    one, two = (token_rollup.Store(spark, f"file://{tmp_path}/r") for _ in range(2))
+    batch = lambda n: spark.createDataFrame([("s", "en", "v", n, n, n)], token_rollup.SCHEMA)
+    one.commit("a", batch(1))
+    real, late = one._publish, []
+
+    def publish(new):
+        if not late:  # the other writer comes between reading the last version and publishing the next
+            late.append(two.commit("b", batch(2)))
+            late.append(two.commit("same", batch(4)))
+        return real(new)
+
+    monkeypatch.setattr(one, "_publish", publish)
+    assert not one.commit("same", batch(4)) and late == [True, True]
+    late.clear()
+    monkeypatch.setattr(two, "commit", lambda *_: two.compact())
+    assert not one.compact()
+    assert [tuple(r) for r in one.totals().collect()] == [("s", "en", "v", 7, 7, 7)] and one.version() == two.version()
+
+
+def test_token_counts_equal_matches(spark):
+    random.seed(8)
+    texts = [*TEXTS, "a,b c", "--a--", ", ,", *("".join(random.choice("ab ,.é\n\t_") for _ in range(random.randint(0, 30))) for _ in range(100))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    got = {r.k: (r.a, r.b) for r in frame.select("k", token_rollup.words_v1(F.col("text")).alias("a"), token_rollup.words_v2(F.col("text")).alias("b")).collect()}
+    signs = r"\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E"
+    assert got == {k: (len(re.findall(r"[^\x20\x09-\x0D]+", t or "")), len(re.findall(rf"[^\x20\x09-\x0D{signs}]+|[{signs}]", t or ""))) for k, t in enumerate(texts)}
+
+
 def test_rollup_query_equals_sql(spark):
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()
