@@ -5,18 +5,21 @@ each term the ascending list of its positions in the segment (documents follow e
 with a gap between them, so that no phrase crosses a border). The row is written to the
 shared folder and searched from there. A phrase is looked up by intersecting the lists of
 its terms, each shifted by the term's place in the phrase, from the rarest term on; all
-phrases of a block are intersected at once. A segment holds whole documents only, so hits
-of a document are complete where its segment is searched, and nothing is shuffled.
+phrases of a block are intersected at once. A proximity match lets up to ``slack`` other words
+stand between them: the shifted lists then meet within an interval, and what is left is followed
+from the rarest term outwards. A segment holds whole documents only, so hits of a document are
+complete where its segment is searched, and nothing is shuffled.
 
-Phrases come from a stated query set. They are searched in blocks of at most
-``block_windows`` windows (the size bound of what is broadcast); with several blocks the
-stored index is read once for each, and the word intervals are joined per document.
+Phrases come from a stated query set, a table. Its windows are made and grouped by the executors and
+stored; the driver sees one block of about ``block_windows`` of them at a time, to broadcast it. With several
+blocks the stored index is read once for each, and the word intervals are joined per document.
 
 Words: A-Z lower-cased, runs of digits, a-z and all that is not ASCII.
 
 Defined results: null and empty texts have no words and no hits; null or repeated ids keep
 their rows; an item without words is never found; an item of fewer words than a window is one
-window; repeated items each count; an item of a null id is searched, but not in the list of items; empty tables give no rows or no hits.
+window; an item is named once however often the table has its id; an item of a null id is searched,
+but not in the list of items; empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -100,61 +103,75 @@ class Segment:
         # The lists one after another, each entry as term * size + position: ascending throughout.
         self.keys = np.repeat(np.arange(len(self.offsets) - 1, dtype=np.int64) * self.size, np.diff(self.offsets)) + self.positions
 
-    def has(self, codes: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Whether each term stands at each place."""
+    def within(self, codes: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Whether each term stands at a place from low to high."""
         if not len(self.keys):
             return np.zeros(len(codes), bool)
-        wanted = codes * self.size + places
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return (places >= 0) & (places < self.size) & (self.keys[at] == wanted)
+        base = codes * self.size
+        at = np.searchsorted(self.keys, base + np.maximum(low, 0))
+        return (high >= 0) & (at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] <= base + np.minimum(high, self.size - 1))
 
     def phrases(self, phrases: list[tuple[bytes, ...]]) -> tuple[np.ndarray, np.ndarray]:
         """(phrase, place) of all exact occurrences."""
-        lengths = sorted({len(p) for p in phrases})
-        found = [self._of_length(n, [k for k, p in enumerate(phrases) if len(p) == n], phrases) for n in lengths if n]
-        return tuple(np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in range(2))
+        phrase, place, _ = self._matches(phrases, 0)
+        return phrase, place
 
-    def _of_length(self, n: int, which: list[int], phrases: list[tuple[bytes, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    def near(self, phrases: list[tuple[bytes, ...]], slack: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrase, first, last): for each place of a phrase's rarest term the closest others around it in their order, where at most slack other words stand between them in all."""
+        return self._matches(phrases, slack)
+
+    def _matches(self, phrases: list[tuple[bytes, ...]], slack: int) -> tuple[np.ndarray, ...]:
+        lengths = sorted({len(p) for p in phrases} - {0})
+        found = [self._of_length(n, [k for k, p in enumerate(phrases) if len(p) == n], phrases, slack) for n in lengths]
+        return tuple(np.concatenate([np.zeros(0, np.int64), *(f[k] for f in found)]) for k in range(3))
+
+    def _of_length(self, n: int, which: list[int], phrases: list[tuple[bytes, ...]], slack: int) -> tuple[np.ndarray, ...]:
         get = self.code.get
         codes = np.array([[get(t, -1) for t in phrases[k]] for k in which], np.int64).reshape(-1, n)
         known = (codes >= 0).all(axis=1)
         which, codes = np.array(which, np.int64)[known], codes[known]
-        lengths = np.diff(self.offsets)[codes] if len(codes) else codes
-        order = np.argsort(lengths, axis=1, kind="stable")  # rarest term first
+        sizes = np.diff(self.offsets)
+        order = np.argsort(sizes[codes] if len(codes) else codes, axis=1, kind="stable")  # rarest term first
         rarest = np.take_along_axis(codes, order[:, :1], 1)[:, 0]
-        n_first = np.diff(self.offsets)[rarest] if len(rarest) else rarest
-        out_p, out_at = [], []
+        n_first = sizes[rarest] if len(rarest) else rarest
+        out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
         # So many candidates at a time that memory stays bounded.
         parts = np.searchsorted(np.cumsum(n_first), np.arange(0, int(n_first.sum()) + 1, 2_000_000)) if len(n_first) else []
         edges = sorted({0, len(which), *map(int, parts)})
         for lo, hi in zip(edges, edges[1:]):
-            sizes = n_first[lo:hi]
-            phrase = np.repeat(np.arange(lo, hi), sizes)
-            inside = np.arange(len(phrase)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            place = self.positions[self.offsets[rarest[phrase]] + inside].astype(np.int64) - order[phrase, 0]
+            own = n_first[lo:hi]
+            phrase = np.repeat(np.arange(lo, hi), own)
+            inside = np.arange(len(phrase)) - np.repeat(np.cumsum(own) - own, own)
+            place = self.positions[self.offsets[rarest[phrase]] + inside].astype(np.int64)
             for step in range(1, n):
                 if not len(phrase):
                     break
                 term = order[phrase, step]
-                keep = self.has(codes[phrase, term], place + term)
+                shift = term - order[phrase, 0]
+                keep = self.within(codes[phrase, term], place + shift - slack * (shift < 0), place + shift + slack * (shift > 0))
                 phrase, place = phrase[keep], place[keep]
-            out_p.append(which[phrase])
-            out_at.append(place)
-        return np.concatenate([np.zeros(0, np.int64), *out_p]), np.concatenate([np.zeros(0, np.int64), *out_at])
-
-    def near(self, phrase: tuple[bytes, ...], slack: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first, last) places where the terms stand in order with at most slack other words between them in all."""
-        codes = [self.code.get(t, -1) for t in phrase]
-        if not codes or min(codes) < 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        lists = [self.positions[self.offsets[c] : self.offsets[c + 1]].astype(np.int64) for c in codes]
-        first = last = lists[0]
-        for nxt in lists[1:]:
-            at = np.searchsorted(nxt, last, side="right")
-            keep = at < len(nxt)
-            first, last = first[keep], nxt[at[keep]]
-        keep = (last - first <= len(codes) - 1 + slack) & (self.document(first) == self.document(last))
-        return first[keep], last[keep]
+            first, last = (place - order[phrase, 0], place - order[phrase, 0] + n - 1) if not slack else self._around(codes[phrase], order[phrase, 0], place)
+            keep = (first >= 0) & (last - first <= n - 1 + slack)
+            keep &= self.document(first) == self.document(last)
+            out.append((which[phrase[keep]], first[keep], last[keep]))
+        return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
+
+    def _around(self, codes: np.ndarray, anchor: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From each anchor's place outwards, the closest place of the term before and of the term after, and so on; first is -1 where a term is missing."""
+        ends, n = [], codes.shape[1]
+        for way in (-1, 1):
+            at, lost = place.copy(), np.zeros(len(place), bool)
+            for step in range(1, n):
+                j = anchor + way * step
+                todo = np.flatnonzero((j >= 0) & (j < n) & ~lost)
+                code = codes[todo, j[todo]]
+                here = code * self.size + at[todo]
+                k = np.searchsorted(self.keys, here, "left") - 1 if way < 0 else np.searchsorted(self.keys, here, "right")
+                key = self.keys[np.clip(k, 0, len(self.keys) - 1)]
+                lost[todo] = (k < 0) | (k >= len(self.keys)) | (key // self.size != code)
+                at[todo] = key - code * self.size
+            ends.append(np.where(lost, -1 if way < 0 else 4 * self.size, at))
+        return ends[0], ends[1]
 
     def document(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, places, side="right") - 1
@@ -162,17 +179,41 @@ class Segment:
 
 def windows_of(items: list[tuple[int, str | None]], size: int = WINDOW) -> dict[tuple[bytes, ...], list[int]]:
     """Windows of so many words to the items that have them; those of null ids are searched and not named. An item of fewer words, but not none, is one window."""
-    found: dict[tuple[bytes, ...], list[int]] = {}
+    found: dict[tuple[bytes, ...], set[int]] = {}
     for item, text in items:
         w = split_words(text)
         for window in {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else ():
-            named = found.setdefault(window, [])
-            if item is not None:
-                named.append(item)
-    return found
+            found.setdefault(window, set()).update([] if item is None else [item])
+    return {window: sorted(named) for window, named in found.items()}
+
+
+def _item_windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for item, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            windows = [b" ".join(w) for w in windows_of([(0, text.as_py())], size)]
+            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.binary()), pa.array([item] * len(windows), pa.int64())], ["window", "item"])
+
+
+def stored_windows(items: DataFrame, size: int = WINDOW, block_windows: int = 100_000, most_items: int = 4096) -> tuple[DataFrame, int]:
+    """(block, window, items) of a query set (item_id, text), in the shared folder, and how many blocks there are.
+
+    A window that more than most_items items have is a row for each part of them.
+    """
+    pairs = items.select(F.col("item_id").cast("long"), F.col("text")).mapInArrow(lambda b: _item_windows(b, size), "window binary, item long")
+    counted = pairs.groupBy("window").agg(F.ceil(F.count("*") / most_items).alias("parts")).repartition(F.xxhash64("window", "parts"))
+    grouped = pairs.join(counted, "window").groupBy("window", F.pmod(F.xxhash64("item"), F.col("parts")).alias("part")).agg(F.array_sort(F.collect_set("item")).alias("items"))
+    stored = written(grouped, "item-windows")
+    weight = stored.agg(F.coalesce(F.sum(1 + F.size("items") / 16), F.lit(0)).alias("w")).first().w
+    blocks = max(1, int(-(-weight // block_windows)))
+    return stored.select(F.pmod(F.xxhash64("window", "part"), F.lit(blocks)).cast("int").alias("block"), "window", "items"), blocks
 
 
-def _search(batches: Iterator[pa.RecordBatch], windows: list[tuple[tuple[bytes, ...], list[int]]]) -> Iterator[pa.RecordBatch]:
+HITS = "doc_id long, n_words long, spans array<array<long>>, items array<long>, near_items array<long>, segment long, _row long"
+
+
+def _search(batches: Iterator[pa.RecordBatch], block: list[tuple[bytes, list[int]]], slack: int, all_rows: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of HITS: all documents, or those with a hit."""
+    windows = [(tuple(w.split(b" ")), items) for w, items in block]
     phrases, lengths = [w for w, _ in windows], np.array([len(w) for w, _ in windows], np.int64)
     for batch in batches:
         for row in batch.to_pylist():
@@ -183,6 +224,7 @@ def _search(batches: Iterator[pa.RecordBatch], windows: list[tuple[tuple[bytes,
             doc, end = seg.document(place), place + lengths[phrase] if len(phrase) else place
             spans: dict[int, list[list[int]]] = defaultdict(list)
             items: dict[int, set[int]] = defaultdict(set)
+            near: dict[int, set[int]] = defaultdict(set)
             for d, p, a, b in zip(doc.tolist(), phrase.tolist(), (place - seg.starts[doc]).tolist(), (end - seg.starts[doc]).tolist()):
                 items[d].update(windows[p][1])
                 last = spans[d]
@@ -190,103 +232,91 @@ def _search(batches: Iterator[pa.RecordBatch], windows: list[tuple[tuple[bytes,
                     last[-1][1] = max(b, last[-1][1])
                 else:
                     last.append([a, b])
+            if slack:
+                phrase, first, _ = seg.near(phrases, slack)
+                for d, p in zip(seg.document(first).tolist(), phrase.tolist()):
+                    near[d].update(windows[p][1])
+            rows = list(range(seg.rows)) if all_rows else sorted({*spans, *near})
+            ids = pa.array(seg.ids, pa.int64(), mask=seg.null.astype(bool)).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([
-                pa.array(seg.ids, pa.int64(), mask=seg.null.astype(bool)), pa.array(seg.counts, pa.int64()),
-                pa.array([spans.get(k, []) for k in range(seg.rows)], pa.list_(pa.list_(pa.int64()))), pa.array([sorted(items.get(k, ())) for k in range(seg.rows)], pa.list_(pa.int64()))],
-                ["doc_id", "n_words", "spans", "items"])
+                ids, pa.array(seg.counts[rows], pa.int64()), pa.array([spans.get(k, []) for k in rows], pa.list_(pa.list_(pa.int64()))),
+                *(pa.array([sorted(x.get(k, ())) for k in rows], pa.list_(pa.int64())) for x in (items, near)), pa.array([row["segment"]] * len(rows), pa.int64()), pa.array(rows, pa.int64())],
+                ["doc_id", "n_words", "spans", "items", "near_items", "segment", "_row"])
 
 
-def search(index: DataFrame, items: list[tuple[int, str | None]], size: int = WINDOW, block_windows: int = 200_000) -> DataFrame:
-    """doc_id, n_words, spans (first word, word after the last; disjoint, ascending) and items of each document.
+def search(index: DataFrame, items: DataFrame, size: int = WINDOW, block_windows: int = 100_000, slack: int = 0) -> DataFrame:
+    """doc_id, n_words, spans (first word, word after the last; disjoint, ascending), items, and near_items (with up to slack other words between a window's words; none if slack is 0) of each document.
 
-    items is a stated query set; it is broadcast in blocks of block_windows windows.
+    index has to be stored: its segments are numbered for good. items (item_id, text) is a
+    stated query set; it is broadcast in blocks of about block_windows windows.
     """
-    found = sorted(windows_of(items, size).items())
-    blocks = [found[k : k + block_windows] for k in range(0, len(found), block_windows)] or [[]]
-    schema = "doc_id long, n_words long, spans array<array<long>>, items array<long>"
-
-    def one(block) -> DataFrame:
-        shipped = index.sparkSession.sparkContext.broadcast(block)
-        return index.mapInArrow(lambda b: _search(b, shipped.value), schema)
-
-    if len(blocks) == 1:
-        return one(blocks[0])
-    # A document is told from others of the same id by its segment and its place there; segments are numbered for good once they are stored.
-    if "InArrow" in index._jdf.queryExecution().optimizedPlan().toString():
-        index = written(index, "positional-index")
-    out = _numbered(index, blocks[0], schema)
-    for block in blocks[1:]:
-        out = out.unionByName(_numbered(index, block, schema))
-    merged = out.groupBy("segment", "_row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    join = lambda acc, x: F.when((F.size(acc) > 0) & (F.element_at(F.element_at(acc, -1), 2) >= F.get(x, F.lit(0))), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.array(F.element_at(F.element_at(acc, -1), 1), F.greatest(F.element_at(F.element_at(acc, -1), 2), F.get(x, F.lit(1))))))).otherwise(F.concat(acc, F.array(x)))
-    empty = F.array().cast("array<array<bigint>>")
-    # size() > 0 guards element_at on an empty list.
-    return merged.select("doc_id", "n_words", F.aggregate("s", empty, lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(join(acc, x))).alias("spans"), "items")
-
-
-def _numbered(index: DataFrame, block, schema: str) -> DataFrame:
-    """search of one block, with the document's place in the index."""
-    shipped = index.sparkSession.sparkContext.broadcast(block)
+    spark = index.sparkSession
+    windows, blocks = stored_windows(items, size, block_windows)
+
+    def one(number: int) -> DataFrame:
+        block = [(bytes(r.window), list(r["items"])) for r in windows.where(F.col("block") == number).collect()]
+        shipped = spark.sparkContext.broadcast(sorted(block))
+        return index.mapInArrow(lambda b: _search(b, shipped.value, slack, number == 0), HITS)
+
+    if blocks == 1:
+        return one(0).drop("segment", "_row")
+    paths = []
+    for number in range(blocks):
+        paths.append(scratch(spark, "hits"))
+        one(number).write.parquet(paths[-1])
+    # A document is told from others of the same id by its segment and its place there.
+    lists = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    merged = spark.read.schema(HITS).parquet(*paths).groupBy("segment", "_row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), lists("items"), lists("near_items"))
+    last = lambda acc: F.element_at(acc, -1)
+
+    def join(acc, x):
+        grown = F.array(F.get(last(acc), F.lit(0)), F.greatest(F.get(last(acc), F.lit(1)), F.get(x, F.lit(1))))
+        return F.when(F.get(last(acc), F.lit(1)) >= F.get(x, F.lit(0)), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(x)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                for out in _search(iter([row]), shipped.value):
-                    n = out.num_rows
-                    yield out.append_column("segment", pa.array([row.column("segment")[0].as_py()] * n, pa.int64())).append_column("_row", pa.array(range(n), pa.int64()))
-
-    return index.mapInArrow(run, f"{schema}, segment long, _row long")
+    empty = F.array().cast("array<array<bigint>>")
+    # size() = 0 guards element_at on an empty list.
+    return merged.select("doc_id", "n_words", F.aggregate("s", empty, lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(join(acc, x))).alias("spans"), "items", "near_items")
 
 
 def _near(batches: Iterator[pa.RecordBatch], items: list[tuple[int, tuple[bytes, ...]]], slack: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            seg, out = Segment(row), []
-            for item, phrase in items:
-                first, last = seg.near(phrase, slack)
-                doc = seg.document(first)
-                out += [(None if seg.null[d] else int(seg.ids[d]), item, int(a - seg.starts[d]), int(b - seg.starts[d])) for d, a, b in zip(doc, first, last)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(4)], ["doc_id", "item_id", "first", "last"])
+            seg = Segment(row)
+            phrase, first, last = seg.near([p for _, p in items], slack)
+            doc = seg.document(first)
+            ids = pa.array(seg.ids, pa.int64(), mask=seg.null.astype(bool)).take(pa.array(doc, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array([items[k][0] for k in phrase.tolist()], pa.int64()), *(pa.array(x - seg.starts[doc], pa.int64()) for x in (first, last))], ["doc_id", "item_id", "first", "last"])
 
 
 def proximity(index: DataFrame, items: list[tuple[int, str | None]], slack: int = 3) -> DataFrame:
-    """doc_id, item_id, first, last: where an item's words stand in order, with at most slack others between them in all."""
+    """doc_id, item_id, first, last: where an item's words stand in order, with at most slack others between them in all, around each place of its rarest word. items: a list that the caller holds."""
     phrases = [(i, tuple(w)) for i, t in items if (w := split_words(t))]
     shipped = index.sparkSession.sparkContext.broadcast(phrases)
     return index.mapInArrow(lambda b: _near(b, shipped.value, slack), "doc_id long, item_id long, first long, last long")
 
 
-def stored_index(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+def stored_index(docs: DataFrame, key: str = "doc_id", segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """The index of docs, written to the shared folder."""
     spark = docs.sparkSession
     path = scratch(spark, "positional-index")
-    build_index(docs, key).write.option("compression", "zstd").parquet(path)
+    build_index(docs, key, segment_words=segment_words).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(INDEX).parquet(path)
 
 
-def stated_items(benchmark: DataFrame, max_bytes: int = 256 << 20) -> list[tuple[int, str | None]]:
-    """The query set, collected behind a check of its size."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)) + 16 * F.count("*")).first()[0]
-    if size > max_bytes:
-        raise ValueError(f"the query set has {size} bytes; search it in parts of at most {max_bytes}")
-    return [(r.item_id, r.text) for r in benchmark.select("item_id", "text").collect()]
-
-
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, key: str = "doc_id") -> DataFrame:
-    """doc_id (the key), n_words, spans and items of each row of docs."""
-    return search(stored_index(docs, key), stated_items(benchmark), size)
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, key: str = "doc_id", slack: int = 0) -> DataFrame:
+    """doc_id (the key), n_words, spans, items and near_items of each row of docs."""
+    return search(stored_index(docs, key), benchmark, size, slack=slack)
 
 
 def digest(found: DataFrame) -> DataFrame:
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + F.get(s, F.lit(1)) - F.get(s, F.lit(0)))
     names = F.array_sort(F.transform(F.array_distinct("items"), lambda i: i.cast("string")))
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return digest(hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    """The contract's columns, and n_near: items of which a window stands there with up to two other words in it."""
+    return digest(hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slack=2))
 
 
 def brute_force(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]], size: int = WINDOW) -> dict[int, tuple]:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from skein.llm import components as cc
@@ -158,43 +159,81 @@ def _documents():
     return [(1, "x " + q.replace(" ", "--") + " y"), (2, None), (3, ""), (4, "a short, ITEM here; and short item here"), (5, "z " * 40), (6, " ".join(f"q{k}" for k in range(9))), (7, "w " * 9000 + q), (8, "q1 q2"), (9, q + " " + q)]
 
 
+ITEM = "item_id long, text string"
+
+
+def _digests(found):
+    return {r.doc_id: tuple(r)[1:-1] for r in positional_index.digest(found).collect()}
+
+
 def test_index_equals_brute_force(spark):
     docs, items = _documents(), _items()
     frame = spark.createDataFrame([(a, b, "x") for a, b in docs], "doc_id long, text string, n_words string").repartition(2)
     want = positional_index.brute_force(docs, items)
-    benchmark = spark.createDataFrame(items, "item_id long, text string")
-    got = {r.doc_id: tuple(r)[1:] for r in positional_index.digest(positional_index.hits(frame, benchmark)).collect()}
-    assert got == want
-    blocks = positional_index.search(positional_index.build_index(frame, segment_words=100), items, block_windows=2)
-    assert {r.doc_id: tuple(r)[1:] for r in positional_index.digest(blocks).collect()} == want
+    benchmark = spark.createDataFrame(items, ITEM)
+    assert _digests(positional_index.hits(frame, benchmark)) == want
+    for most in (4096, 1):
+        windows, blocks = positional_index.stored_windows(benchmark, block_windows=2, most_items=most)
+        assert blocks > 3 and {(tuple(bytes(r.window).split(b" ")), i) for r in windows.collect() for i in r["items"]} == {(w, i) for w, own in positional_index.windows_of(items).items() for i in own}
+    assert _digests(positional_index.search(positional_index.stored_index(frame, segment_words=100), benchmark, block_windows=2)) == want
     random.seed(3)
     many = [(k, " ".join(random.choice("abc") for _ in range(random.randint(0, 80)))) for k in range(60)]
     few = [(k, " ".join(random.choice("abc") for _ in range(random.randint(1, 14)))) for k in range(30)]
-    found = positional_index.search(positional_index.build_index(spark.createDataFrame(many, "doc_id long, text string")), few, 4)
-    assert {r.doc_id: tuple(r)[1:] for r in positional_index.digest(found).collect()} == positional_index.brute_force(many, few, 4)
+    found = positional_index.search(positional_index.stored_index(spark.createDataFrame(many, "doc_id long, text string")), spark.createDataFrame(few, ITEM), 4)
+    assert _digests(found) == positional_index.brute_force(many, few, 4)
 
 
 def test_index_edges(spark):
     frame = spark.createDataFrame([(None, "short item here"), (1, "short item here"), (1, "short item here")], "doc_id long, text string")
-    out = positional_index.digest(positional_index.hits(frame, spark.createDataFrame(_items(), "item_id long, text string"))).collect()
+    items = spark.createDataFrame([*_items(), (2, "short ITEM here")], ITEM)
+    out = positional_index.digest(positional_index.hits(frame, items)).collect()
     assert len(out) == 3 and all(r.n_hit == 3 and r.n_items == 2 for r in out)
-    assert positional_index.digest(positional_index.search(positional_index.build_index(frame), _items(), block_windows=1)).count() == 3
-    assert positional_index.hits(frame.limit(0), spark.createDataFrame(_items(), "item_id long, text string")).count() == 0
-    none = positional_index.hits(frame, spark.createDataFrame([], "item_id long, text string"))
-    assert {r.n_hit for r in positional_index.digest(none).collect()} == {0}
-    with pytest.raises(ValueError):
-        positional_index.stated_items(spark.createDataFrame(_items(), "item_id long, text string"), 10)
+    out = positional_index.digest(positional_index.search(positional_index.stored_index(frame), items, block_windows=1)).collect()
+    assert len(out) == 3 and all(r.n_hit == 3 and r.n_items == 2 for r in out)
+    assert positional_index.hits(frame.limit(0), items).count() == 0
+    none = positional_index.hits(frame, items.limit(0))
+    assert {r.n_hit for r in positional_index.digest(none).collect()} == {0} and none.count() == 3
 
 
 def test_items_of_null_ids_are_searched(spark):
     docs, items = [(1, "a short item here"), (2, "an other thing here"), (3, "nothing")], [(None, "short item here"), (2, "other thing"), (None, "other thing")]
     frame, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    got = {r.doc_id: tuple(r)[1:] for r in positional_index.digest(positional_index.hits(frame, benchmark)).collect()}
+    got = _digests(positional_index.hits(frame, benchmark))
     assert got == positional_index.brute_force(docs, items)
     assert {d: (x[1], x[2], x[4]) for d, x in got.items()} == {1: (3, 0, True), 2: (2, 1, True), 3: (0, 0, False)}
 
 
+def _plain_near(words, phrase, slack):
+    """Places of the first and last word of all ways to find a phrase in order, that have at most slack other words."""
+    found = {(k, k) for k, w in enumerate(words) if w == phrase[0]}
+    for term in phrase[1:]:
+        found = {(a, k) for a, b in found for k in range(b + 1, len(words)) if words[k] == term}
+    return {(a, b) for a, b in found if b - a <= len(phrase) - 1 + slack}
+
+
 def test_proximity(spark):
-    frame = spark.createDataFrame([(1, "short x item y here"), (2, "short x y z item w here"), (3, "item short here")], "doc_id long, text string")
+    frame = spark.createDataFrame([(1, "short x item y here"), (2, "short x y z item w here"), (3, "item short here"), (None, "short item here")], "doc_id long, text string")
     found = positional_index.proximity(positional_index.build_index(frame), [(2, "short item here")], 2)
-    assert [tuple(r) for r in found.collect()] == [(1, 2, 0, 4)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([(1, 2, 0, 4), (None, 2, 0, 2)], key=str)
+    near = positional_index.digest(positional_index.hits(frame, spark.createDataFrame([(2, "short item here")], ITEM), slack=2)).collect()
+    assert sorted((r.doc_id or 0, r.n_items, r.n_near) for r in near) == [(0, 1, 1), (1, 0, 1), (2, 0, 0), (3, 0, 0)]
+
+
+def test_proximity_equals_plain_search():
+    random.seed(12)
+    for slack in (0, 1, 3):
+        docs = [(k, [random.choice("abcd") for _ in range(random.randint(0, 30))]) for k in range(12)]
+        texts = [(k, " ".join(w)) for k, w in docs]
+        rows = list(positional_index._index(iter([pa.RecordBatch.from_pydict({"doc_id": [k for k, _ in texts], "text": [t for _, t in texts]})]), 60))
+        phrases = [tuple(random.choice("abcd").encode() for _ in range(random.randint(1, 5))) for _ in range(20)]
+        got = {}
+        for batch in rows:
+            seg = positional_index.Segment(batch.to_pylist()[0])
+            for p, a, b in zip(*(x.tolist() for x in seg.near(phrases, slack))):
+                d = int(seg.document(np.array([a]))[0])
+                got.setdefault((int(seg.ids[d]), p), set()).add((a - int(seg.starts[d]), b - int(seg.starts[d])))
+        for k, words in docs:
+            for p, phrase in enumerate(phrases):
+                want = _plain_near(words, [t.decode() for t in phrase], slack)
+                least = {(a, b) for a, b in want if not any((c, d) != (a, b) and a <= c and d <= b for c, d in want)}
+                assert least <= got.get((k, p), set()) <= want
