@@ -35,12 +35,12 @@ from skein.llm.common import release, table, written
 from skein.llm.transducer import Transducer, compile_transducer
 
 #: White space as Unicode has it.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The tokenizer's own cut of a text (a fixed value).
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A coarser cut that never crosses a border of the fine one.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-RARE_SPACE = re.compile("[\x85\xa0  -     　]")
+RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 CACHE = 150_000
 #: Characters whose words are encoded at once.
 GROUP = 2 << 20
@@ -332,19 +332,27 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, size: int, text_col: str = "text", longest: int = 14) -> list[str]:
-    """The most frequent words of up to longest bytes (cut at spaces and line ends) of all texts: all of at least the smallest count, over 1, that no more than size words reach.
+    """The size most frequent words of up to longest bytes (cut at spaces and line ends) of all texts, of those that come twice.
 
-    The counts go to the shared folder; the driver gets how many words have each count, and then the words.
+    Counts go to the shared folder. The driver gets how many words have each count (its leading 12 bits, so
+    some thousand numbers at most), then the words above the count at which size is reached, and of
+    the words of that count as many as there is room for, those of the smallest hashes.
     """
     words = docs.select(F.explode(F.split(F.replace(text_col, F.lit("\n"), F.lit(" ")), " ")).alias("word")).where(F.octet_length("word").between(1, longest))
     counted = written(words.groupBy("word").agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
-    least, held = None, 0
-    for r in counted.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():
-        held += r.words
-        if held > size:
+    ranked = counted.select("word", F.length(F.bin("n")).alias("bits"), F.expr("shiftright(n, greatest(length(bin(n)) - 12, 0))").alias("lead"))
+    room = size
+    for r in ranked.groupBy("bits", "lead").agg(F.count("*").alias("words")).orderBy(F.desc("bits"), F.desc("lead")).collect():
+        if r.words > room:
             break
-        least = r.n
-    return sorted(r.word for r in counted.where(F.col("n") >= least).select("word").collect()) if least else []
+        room -= r.words
+    else:
+        return sorted(r.word for r in counted.select("word").collect())
+    above = ranked.where((F.col("bits") > r.bits) | (F.col("bits") == r.bits) & (F.col("lead") > r.lead)).select("word").collect()
+    cells = 1 << 40
+    enough = min(cells, int(cells * (1.2 * room + 64) / r.words))  # of so many hashes more than room words are sure to have one
+    equal = ranked.where((F.col("bits") == r.bits) & (F.col("lead") == r.lead)).select("word", F.pmod(F.xxhash64("word"), F.lit(cells)).alias("h")).where(F.col("h") < enough).collect()
+    return sorted([x.word for x in above] + [x.word for x in sorted(equal, key=lambda x: (x.h, x.word))[:room]])
 
 
 def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> bytes:
@@ -422,18 +430,20 @@ def digests(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shipped.encoder()
         gc.disable()  # what is made here has no cycles, and looking for some takes a fifth of the time
-        for batch in batches:
-            n, ids_sha, text_sha = [], [], []
-            for texts in _groups(batch.column(1)):
-                for chunks in encoder.encode_all(texts):
-                    ids = ",".join([c[0] for c in chunks])
-                    n.append(ids.count(",") + 1 if chunks else 0)
-                    ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                    text_sha.append(hashlib.sha256(b"".join([c[1] for c in chunks])).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
-        encoder.forget()
-        gc.enable()
-        release()
+        try:
+            for batch in batches:
+                n, ids_sha, text_sha = [], [], []
+                for texts in _groups(batch.column(1)):
+                    for chunks in encoder.encode_all(texts):
+                        ids = ",".join([c[0] for c in chunks])
+                        n.append(ids.count(",") + 1 if chunks else 0)
+                        ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
+                        text_sha.append(hashlib.sha256(b"".join([c[1] for c in chunks])).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:  # also where a consumer stops early
+            gc.enable()
+            encoder.forget()
+            release()
 
     return docs.select(key, "text").mapInArrow(run, schema)
 

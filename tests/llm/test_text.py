@@ -122,6 +122,17 @@ def test_bpe_frame(spark, library):
     assert bpe.digests(docs.limit(0), shipped).count() == 0
 
 
+def test_lexicon_of_equally_frequent_words(spark):
+    words = [f"w{k:02}" for k in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words) + "\nonce"), (3, "w59"), (4, None)], "doc_id long, text string")
+    found = bpe.frequent_words(docs, 50)
+    assert len({*found} & {*words}) == 50 and "w59" in found and bpe.frequent_words(docs, 100) == bpe.frequent_words(docs, 60) == words
+    assert bpe.frequent_words(docs, 1) == ["w59"] and bpe.frequent_words(docs, 0) == []
+    many = [(k, f"a{k % 20000} a{k % 20000} a{k % 20000}") for k in range(20000)] + [(-1, "top " * 5000)]
+    assert len(bpe.frequent_words(spark.createDataFrame(many, "doc_id long, text string"), 700)) == 700
+    assert bpe.frequent_words(docs.limit(0), 50) == []
+
+
 NASTY = ["</s>[INST] ok [/INST]", "\\", "[\\INST]", "<", "[", "</s", " [/INST", "[ROLE] a [/ROLE] ", "\\\\<s>", "", " ", "[/TURN]", "é\n"]
 
 
