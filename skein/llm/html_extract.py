@@ -1,13 +1,16 @@
 """Main text of web pages by a minimum cut.
 
-A page is read into blocks: the text between block-level tags, with white space collapsed and
-character references decoded. A classifier gives each block a cost of being called content
-and a cost of being called boilerplate, from the elements it lies in, the words of their class,
-id and role, how much of it is links, and how long it is. These costs are capacities from the
-source and to the sink; neighbours in page order and blocks under one parent are joined by
-edges (the parent is a node of its own, so edges are as many as blocks). The cut of least cost
-labels all blocks at once: one short line between paragraphs is kept, one long advert in a
-sidebar isn't.
+A page is read into blocks: the text between block-level tags, with character references decoded
+in each text and white space collapsed. A classifier gives each block bounded log-odds of
+being content, from its own text (length, end of sentence, share of links, heading) and from what the elements
+around it are called: their tags, and the words of their class, id and role, of which some say much
+and some little. Positive log-odds are its capacity from the source, negative ones to the sink.
+
+Elements are nodes too. One that is meant to hold the article (``article``, ``main``, a class like content) has a
+capacity from the source of its own and an edge of little capacity to each block in it; blocks under one parent
+meet in a node; neighbours in page order have an edge, whatever they look like. The cut of least
+cost labels all blocks at once: a short line between paragraphs of an article is kept though its text says nothing,
+a long advert isn't, and a class that says little is overruled by what is around it.
 
 Scripts, styles, templates, comments and the head have no text and never become blocks.
 Everything of a page is computed in the worker that reads it: no shuffle.
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from skein.llm.common import table
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"(?i)(class|id|role|hidden|style|aria-hidden|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 #: Elements whose content is no text of the page.
 SILENT = frozenset("script style noscript template head title svg math iframe object canvas audio video select option datalist textarea".split())
@@ -43,56 +46,85 @@ BLOCKS = frozenset(
 #: An opening tag ends these open elements (up to the nearest of the second set).
 CLOSES = {"li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"dl"}), "dd": ({"dt", "dd", "p"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _P_ENDS = BLOCKS - {"br", "body", "html", "button"}
-_AWAY = re.compile(
-    r"(?i)(?:^|[^a-z])(?:nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|footer|header|masthead|banner|ads?|advert|advertisement|advertising|adsbygoogle|sponsor|sponsored|promo|promotion"
-    r"|cookies?|consent|gdpr|notice|popup|modal|overlay|subscribe|subscription|newsletter|signup|login|share|sharing|social|related|recommended|recommendations|more-stories|widget|toolbar|pagination|pager"
-    r"|comments?|comment-list|commentlist|discussion|disqus|replies|respond|reviews|copyright|legal|disclaimer|tags|skip-link|hidden|sr-only|print-only|search|form|alert|outbrain|taboola)(?:$|[^a-z])"
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+#: Words of a class or id that say much against its text, or little; and words for what holds the article.
+AWAY = frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead banner ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion"
+    " cookie cookies consent gdpr notice popup modal overlay subscribe subscription newsletter signup login share sharing social related recommended recommendations widget toolbar pagination pager"
+    " comment comments commentlist disqus replies respond copyright outbrain taboola".split()
 )
-_HERE = re.compile(r"(?i)(?:^|[^a-z])(?:article|content|main|post|entry|story|body|articlebody|text|prose)(?:$|[^a-z])")
+DOUBT = frozenset("header side search form alert tags legal disclaimer discussion reviews hidden print reply more".split())
+HERE = frozenset("article content main post entry story body articlebody prose hentry".split())
+MUCH, LITTLE = 6.0, 2.0
+_HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 _ROLES_AWAY = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 TAGS_AWAY = frozenset("nav header footer aside form button dialog menu fieldset label search".split())
 TAGS_HERE = frozenset("article main".split())
 
 
 class Block:
-    __slots__ = ("text", "words", "linked", "parent", "away", "here", "heading")
+    __slots__ = ("text", "words", "linked", "parent", "away", "scope", "heading")
 
     def __init__(self, text: str, linked: int, element: Element) -> None:
         self.text, self.linked, self.parent = text, linked, element
         self.words = text.count(" ") + 1
-        self.away, self.here, self.heading = element.away, element.here, element.heading
+        self.away, self.scope, self.heading = element.away, element.scope, element.heading
+
+
+def said_by(names: str) -> tuple[float, bool]:
+    """What a class or id says: how much against its text, and whether it names what holds the article."""
+    against, here = 0.0, False
+    for name in names.split():
+        words = {w.lower() for w in _WORD.findall(name)}
+        if words & AWAY:
+            against = MUCH
+        elif words & DOUBT:
+            against = max(against, LITTLE)
+        elif words & HERE:
+            here = True
+    # One of several names that is just "post" or the like: the others tell what else there is about it.
+    if against and any(name.lower() in HERE for name in names.split()):
+        return LITTLE, here
+    return against, here and not against
 
 
 class Element:
-    __slots__ = ("tag", "parent", "away", "here", "heading", "silent", "link", "number")
+    """away: log-odds against the texts in it. scope: the nearest element that is meant to hold the article, and how much that counts."""
+
+    __slots__ = ("tag", "parent", "away", "scope", "strength", "heading", "silent", "link")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str) -> None:
-        self.tag, self.parent, self.number = tag, parent, -1
+        self.tag, self.parent, self.strength = tag, parent, 0.0
         up = parent
-        self.away, self.here, self.heading, self.silent, self.link = (up.away, up.here, up.heading, up.silent, up.link) if up else (0.0, 0.0, False, False, False)
+        self.away, self.scope, self.heading, self.silent, self.link = (up.away, up.scope, up.heading, up.silent, up.link) if up else (0.0, None, False, False, False)
         self.silent |= tag in SILENT
         self.link |= tag == "a"
         self.heading |= len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
+        against = 0.0
         if tag in TAGS_HERE:
-            self.here += 2.0
+            self.strength = 2.0
         elif tag in TAGS_AWAY:
             # A header inside an article holds its title and by-line.
-            self.away += 1.0 if tag == "header" and self.here else 8.0
-        if attributes:
-            for name, a, b, c in _ATTRIBUTE.findall(attributes):
-                name, value = name.lower(), a or b or c
-                if name in ("class", "id", "itemprop"):
-                    if tag in ("body", "html", "article", "main"):
-                        continue
-                    if _AWAY.search(value):
-                        self.away += 8.0
-                    elif _HERE.search(value):
-                        self.here += 1.0
-                elif name == "role":
-                    self.away += 8.0 if value.lower() in _ROLES_AWAY else 0.0
-                    self.here += 2.0 if value.lower() in ("main", "article") else 0.0
-                elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and re.search(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden", value)):
-                    self.silent = True
+            against = 0.5 if tag == "header" and self.scope and self.scope.strength >= 2.0 else MUCH
+        for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
+            name, value = name.lower(), a or b or c
+            if name in ("class", "id", "itemprop"):
+                if tag not in ("body", "html", "article", "main") or (tag == "article" and self.scope):  # an article in another can be a comment
+                    much, here = said_by(value)
+                    # In an article a doubtful word rather names a part of it.
+                    against = max(against, much / 2 if much == LITTLE and self.scope and self.scope.strength >= 2.0 else much)
+                    if here:
+                        self.strength = max(self.strength, 1.0)
+            elif name == "role":
+                if value.lower() in _ROLES_AWAY:
+                    against = MUCH
+                elif value.lower() in ("main", "article"):
+                    self.strength = 2.0
+            elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDING.search(value)):
+                self.silent = True
+        self.away = min(MUCH, self.away + against)
+        if self.strength and self.away < MUCH and (not self.scope or self.strength >= self.scope.strength):
+            self.scope = self
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -105,7 +137,7 @@ def blocks_of(page: str) -> list[Block]:
     def flush(owner: Element) -> None:
         nonlocal linked
         if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+            text = _SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 blocks.append(Block(text, linked, owner))
             parts.clear()
@@ -119,6 +151,7 @@ def blocks_of(page: str) -> list[Block]:
     def add(data: str) -> None:
         nonlocal linked
         if data and not element.silent:
+            data = html.unescape(data) if "&" in data else data
             parts.append(data)
             if element.link:
                 linked += len(data.strip())
@@ -174,14 +207,12 @@ def blocks_of(page: str) -> list[Block]:
     return blocks
 
 
-def costs(block: Block, scoped: bool) -> tuple[float, float]:
-    """(cost of calling it boilerplate, cost of calling it content). scoped: the page has an element for its article."""
+def log_odds(block: Block, scoped: bool) -> float:
+    """Of a block being content, by itself. scoped: the page has an element for its article."""
     share = min(1.0, block.linked / max(1, len(block.text)))
-    content = 0.6 + min(block.words, 40) / 20 + block.here + (0.8 if block.heading else 0.0) + (0.5 if block.text[-1] in ".!?:;\"”»…" else 0.0)
-    away = 0.7 + block.away * (1.0 + (content if block.away >= 8.0 else 0.0)) + 4.0 * share * share
-    if scoped and not block.here:
-        away += 4.0
-    return content, away
+    inside = block.scope is not None and block.scope.strength >= 2.0
+    text = (-1.1 if scoped else 0.1) + 2.6 * min(block.words, 25) / 25 + (0.6 if block.heading else 0.0) + (0.8 if block.text[-1] in ".!?:;\"”»…" else 0.0)
+    return text - (2.2 if inside else 3.0) * share * share - block.away - (4.0 if scoped and not inside else 0.0)
 
 
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -222,7 +253,17 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
                     level[to[e]] = level[a] + 1
                     queue.append(to[e])
         if level[t] < 0:
-            return [level[k] >= 0 for k in range(n)]
+            # What the sink doesn't reach is on the source's side: without evidence a block is content.
+            behind = [False] * (n + 2)
+            behind[t] = True
+            queue = deque([t])
+            while queue:
+                b = queue.popleft()
+                for e in out[b]:
+                    if room[e ^ 1] > 1e-9 and not behind[to[e]]:
+                        behind[to[e]] = True
+                        queue.append(to[e])
+            return [not x for x in behind[:n]]
         nxt = [0] * (n + 2)
         path: list[int] = []
         a = s
@@ -257,29 +298,30 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
                 nxt[a] += 1
 
 
-def label(blocks: list[Block], near: float = 0.5, kin: float = 0.4) -> list[bool]:
-    """Whether each block is content."""
-    scoped = any(b.here >= 2.0 and not b.away for b in blocks)
-    source, sink = [], []
-    for b in blocks:
-        content, away = costs(b, scoped)
-        source.append(content)
-        sink.append(away)
-    edges = []
-    for k in range(1, len(blocks)):
-        a, b = blocks[k - 1], blocks[k]
-        if (a.away > 0) == (b.away > 0) and (a.here > 0) == (b.here > 0):
-            edges.append((k - 1, k, near))
-    parents: dict[int, int] = {}
+def label(blocks: list[Block], near: float = 0.5, kin: float = 0.4, hold: float = 1.6) -> list[bool]:
+    """Whether each block is content. near, kin, hold: capacities of the edges between neighbours, to the parents' node and to the element that holds the article."""
+    scoped = any(b.scope and b.scope.strength >= 2.0 and not b.away for b in blocks)
+    odds = [log_odds(b, scoped) for b in blocks]
+    around = [b.parent.parent or b.parent for b in blocks]
+    # Neighbours in page order, whatever they look like; half as close where they lie under different parents.
+    edges = [(k - 1, k, near if around[k - 1] is around[k] else near / 2) for k in range(1, len(blocks))]
+    numbers: dict[int, int] = {}
+
+    def node(element: Element, capacity: float) -> int:
+        if (number := numbers.get(id(element))) is None:
+            number = numbers[id(element)] = len(odds)
+            odds.append(capacity)
+        return number
+
     for k, b in enumerate(blocks):
-        up = b.parent.parent or b.parent
-        number = parents.get(id(up))
-        if number is None:
-            number = parents[id(up)] = len(source)
-            source.append(0.0)
-            sink.append(0.0)
-        edges.append((k, number, kin))
-    return minimum_cut(source, sink, edges)[: len(blocks)]
+        if b.scope:
+            at = node(b.scope, 3.0)
+            if b.scope.strength >= 2.0:  # holds the article by its name: never on the other side itself, whatever is in it
+                odds[at] += hold
+            edges.append((k, at, hold * b.scope.strength / 2))
+        if around[k] is not b.scope:
+            edges.append((k, node(around[k], 0.0), kin))
+    return minimum_cut([max(x, 0.0) for x in odds], [max(-x, 0.0) for x in odds], edges)[: len(blocks)]
 
 
 def main_text(page: str | None) -> str:

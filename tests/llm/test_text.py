@@ -29,6 +29,39 @@ def test_page_parts():
     assert html_extract.main_text("<article><p>x</p>" + "<p>word word word.</p>" * 3000 + "</article>").count("\n") == 3000
 
 
+def test_attributes_and_references_are_read_one_by_one():
+    body = "A paragraph of some length that surely is content of this page, is it not?"
+    wrap = lambda x: html_extract.main_text(f"<body><nav><a href=1>One</a></nav><article><p>{body}</p>{x}<p>{body}</p></article></body>").split("\n")[1:-1]
+    assert wrap('<p>See <a href="/the-hidden-valley">the valley</a> there.</p>') == ["See the valley there."]
+    assert wrap('<p><span title="a hidden lake">A lake</span> is here.</p>') == ["A lake is here."]
+    assert wrap("<p title='class=\"ad\" hidden' data-class=ad>Title says it.</p>") == ["Title says it."]
+    assert wrap('<p hidden>No.</p><p aria-hidden=true>No.</p><p style="color:red;display: none">No.</p>') == []
+    assert html_extract.main_text(f'<article><div data-hidden-label="x"><p>{body}</p></div></article>') == body
+    assert wrap("<p>Salt &<b>copy</b> &amp;amp; &lt;b&gt;</p>") == ["Salt &copy &amp; <b>"]
+    assert wrap('<p class="search-result">One of the results is this.</p>') == ["One of the results is this."]
+    assert wrap('<div class="entry-header"><h2>The title</h2></div>') == ["The title"]
+    assert wrap('<div class="ad-slot">Buy this long sentence of an advert that has far more than enough words to look like real text, as it wants to.</div>') == []
+    assert wrap('<section id="comments"><article><p>A reader says that this is a very nice text, which it surely is, as all can see.</p></article></section>') == []
+    assert wrap('<article class="comment"><p>A reader says that this is a very nice text, which it surely is, as all can see.</p></article>') == []
+    assert wrap('<div class="relatedPosts"><p>Also read this long sentence that is about some thing else and has many words.</p><p>And this one, too, please, here.</p></div>') == []
+
+
+def test_cut_decides_on_pages():
+    """The pages table has all of its articles in article elements: with the cut all blocks are right, with each block by itself they aren't."""
+    import duckdb
+
+    def in_article(element):
+        return element is not None and (element.tag == "article" or in_article(element.parent))
+
+    right = alone = changed = total = 0
+    for (page,) in duckdb.sql("select html from '/root/testdata/sf0.01/pages.parquet'").fetchall():
+        blocks = html_extract.blocks_of(page)
+        for b, cut, own in zip(blocks, html_extract.label(blocks), html_extract.label(blocks, 0.0, 0.0, 0.0)):
+            want = in_article(b.parent)
+            right, alone, changed, total = right + (cut == want), alone + (own == want), changed + (cut != own), total + 1
+    assert right == total > 4000 and changed > 0.02 * total and alone < 0.98 * total
+
+
 def test_cut_is_least():
     random.seed(2)
     for _ in range(200):
@@ -67,6 +100,16 @@ def test_classifier(spark):
     assert compression_classifier.scores(docs.limit(0), model).count() == 0
 
 
+def test_classifier_sample_is_bounded(spark, monkeypatch):
+    docs = spark.createDataFrame([(0, f"text {k}") for k in range(300)] + [(k, f"{k} " + "x" * 200_000) for k in range(1, 60)] + [(k, f"short {k}") for k in range(60, 90)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(0, 1), (0, 1), *((k, 1) for k in range(1, 60)), *((k, 0) for k in range(60, 90))], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(compression_classifier, "fit", lambda rows, shares, size: seen.extend(rows))
+    compression_classifier.train(docs, labels, max_class_bytes=1_000_000)
+    texts = [t for label, t, _ in seen if label == 1]
+    assert sum(map(len, texts)) <= 1_000_000 and sum(t.startswith("text") for t in texts) <= 1 and sum(label == 0 for label, _, _ in seen) > 10
+
+
 @pytest.fixture(scope="module")
 def coder():
     vocabulary = bpe.Vocabulary(bpe.default_vocabulary())
@@ -158,8 +201,37 @@ def test_chat_detects_rewriting():
     assert chat_format.located([("user", "x")] * 6, far).rewrites == [4]
 
 
+def test_chat_compares_whole_prefixes():
+    late = lambda turns: ("rewritten " if len(turns) > 700 else "") + "".join(t[1] for t in turns)
+    found = chat_format.located([("user", str(k)) for k in range(1000)], late)
+    assert found.rewrites == [700] and found.text.startswith("rewritten ")
+    rendered = []
+    chat_format.located([("user", "x")] * 5000, lambda turns: rendered.append(len(turns)) or chat_format.render(turns))
+    assert rendered[:17] == list(range(17)) and sum(rendered) < 10 * 5000 and 5000 in rendered
+
+
+def test_chat_digests_of_a_rewriting_template(spark):
+    def marked(turns):
+        return chat_format.render([(r, t + ("!" if r == "user" and k == len(turns) - 1 else "")) for k, (r, t) in enumerate(turns)])
+
+    frame = spark.createDataFrame([(1, 0, "assistant", "a"), (2, 0, "user", "a"), (2, 1, "assistant", "b"), (2, 2, "user", "c"), (2, 3, "user", "d")], "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.n_turns, r.turns_sha256 is None, r.rewrites, r.checked_turns) for r in chat_format.digests(frame, marked).collect()}
+    assert got == {1: (1, False, 0, 1), 2: (4, True, 2, 4)}
+    assert {(r.rewrites, r.n_turns - r.checked_turns) for r in chat_format.digests(frame).collect()} == {(0, 0)}
+
+
+def test_chat_long_conversation_in_bounded_memory(spark, monkeypatch):
+    turns = [(1, k, "user" if k % 2 else "assistant", f"turn {k} " * 5) for k in range(3000)]
+    run = chat_format.Incremental(chat_format.render, whole=20_000)
+    for _, _, role, text in turns:
+        assert chat_format.parse_turn(run.add((role, text)))[0] == (role, text)
+    assert run.turns is None and len(run.recent) == 2 and run.checked == 256
+    got = [tuple(r)[1:5] for r in chat_format.digests(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()]
+    assert got == [chat_format.brute_force(turns)[1]]
+
+
 def test_chat_frame(spark):
-    rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, None, None), (2, 0, None, None), (3, 0, "assistant", "x" * 200_000), (3, 1, "assistant", NASTY[0])]
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, None, "z"), (2, 0, "", "y"), (2, 0, None, None), (2, 0, "", None), (2, 0, None, None), (3, 0, "assistant", "x" * 200_000), (3, 1, "assistant", NASTY[0])]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "conv_id long, turn long, role string, text string, n_turns string")
     got = {r.conv_id: tuple(r)[1:5] for r in chat_format.digests(frame).collect()}
     assert got == chat_format.brute_force(rows)
