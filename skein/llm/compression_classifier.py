@@ -7,8 +7,8 @@ share of the text, go through a logistic calibration fitted on labelled rows tha
 dictionaries have not seen.
 
 Fitting reads at most ``max_labelled`` texts of each class (those of the smallest hash, of at
-most ``max_text_bytes``), on the driver, whatever the size of the corpus; the sample is weighted
-back to the classes' true shares. Scoring is one pass without a shuffle; two dictionaries of
+most ``max_text_bytes``, one for each id and ``max_class_bytes`` together), on the driver, whatever the size of the corpus; the
+sample is weighted back to the classes' true shares. Scoring is one pass without a shuffle; two dictionaries of
 ``dictionary_bytes`` and three numbers are broadcast.
 
 Defined results: null and empty texts get the score of a text without evidence (the share of
@@ -25,11 +25,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import table
+from skein.llm.common import table, written
 
 BLOCK = 2048
 LEVEL = 3
@@ -126,7 +126,7 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_text_bytes: int = 1 << 18, dictionary_bytes: int = 112_640) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_text_bytes: int = 1 << 18, dictionary_bytes: int = 112_640, max_class_bytes: int = 24 << 20) -> Model:
     """A model of the labels of docs that are not held out."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("label"))
     shares = {r.label: float(r["count"]) for r in usable.groupBy("label").count().collect()}
@@ -134,8 +134,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_text
     for label in (0, 1):
         part = usable.where(F.col("label") == label).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
         few = part if few is None else few.unionByName(part)
-    chosen = docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).where(F.octet_length("text").between(1, max_text_bytes))
-    rows = chosen.select("label", "text", F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(2)).cast("int").alias("fold"), "_id").collect()
+    chosen = docs.join(F.broadcast(few.distinct()), docs["doc_id"] == few["_id"]).where(F.octet_length("text").between(1, max_text_bytes))
+    # Rows that repeat an id give one text; what each class holds is summed over numbers alone.
+    single = written(chosen.groupBy("_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"))).alias("t")).select("_id", "label", "t.text"), "labelled-texts")
+    held = F.sum("bytes").over(Window.partitionBy("label").orderBy(F.xxhash64("_id"), "_id"))
+    fits = single.select("_id", "label", F.octet_length("text").cast("long").alias("bytes")).withColumn("held", held).where(F.col("held") <= max_class_bytes).select("_id", "label")
+    rows = single.join(F.broadcast(fits), ["_id", "label"]).select("label", "text", F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(2)).cast("int").alias("fold"), "_id").collect()
     rows.sort(key=lambda r: (r._id, r.label, r.text))
     return fit([(r.label, r.text, r.fold) for r in rows], shares, dictionary_bytes)
 
