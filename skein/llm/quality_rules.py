@@ -6,7 +6,7 @@ it on the other third, and removes the rows it covers. What comes out is an orde
 conditional expression, so that applying it is a projection: no join, no shuffle, no Python.
 
 Learning sees the statistics (some dozen numbers) of at most ``max_labelled`` labelled
-documents, the ones of the smallest hash, whatever the size of the corpus.
+documents, the ones of the smallest hash and one row for each id, whatever the size of the corpus.
 
 Defined results: a null or empty text has no words, fails the base rule and is not
 kept; null ids are carried through; repeated rows each get their own row; an empty
@@ -62,17 +62,17 @@ def repeat_words(tokens: Column, window: int = WINDOW) -> Column:
 def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs plus the base statistics and the ones the rules may test."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    solid, plain = F.translate(text, SPACE, ""), F.translate(text, SPACE + SYMBOLS, "")
+    count = lambda inside: F.length(F.regexp_replace(text, f"[^{inside}]+", "")).cast("long")
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.btrim(x, F.lit(SPACE)) != "")
-    both = let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), repeat_words(w).alias("r")))
+    both = let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n"), F.length(F.array_join(w, "")).cast("long").alias("chars"), repeat_words(w).alias("r")))
     out = docs.withColumns({
-        "_w": both, "word_chars": F.length(solid).cast("long"), "_plain": F.length(plain).cast("long"),
+        "_w": both, "n_symbols": count(SYMBOLS),
         "_lines": let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("d"))),
         "_exclaims": (F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))).cast("long"),
-        "_upper": F.length(F.regexp_replace(text, "[^A-Z]+", "")).cast("long"),
+        "_upper": count("A-Z"),
     })
     out = out.withColumns({
-        "n_words": F.col("_w.n"), "n_repeat_words": F.col("_w.r"), "n_symbols": F.col("word_chars") - F.col("_plain"),
+        "n_words": F.col("_w.n"), "word_chars": F.col("_w.chars"), "n_repeat_words": F.col("_w.r"),
         "n_dup_lines": F.col("_lines.n") - F.col("_lines.d"), "n_lines": F.col("_lines.n"),
     })
     share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
@@ -81,7 +81,7 @@ def with_stats(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "exclaims_per_word": share(F.col("_exclaims"), F.col("n_words")), "dup_line_share": share(F.col("n_dup_lines"), F.col("n_lines")),
         "repeat_share": share(F.col("n_repeat_words"), F.col("n_words")), "upper_share": share(F.col("_upper"), F.col("word_chars")),
     })
-    return out.drop("_w", "_plain", "_lines", "_exclaims", "_upper")
+    return out.drop("_w", "_lines", "_exclaims", "_upper")
 
 
 @dataclass(frozen=True)
@@ -180,12 +180,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int, label
     max_labelled rows of two numbers at most.
     """
     few = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), (F.col(label) == 0).cast("int").alias("bad"))
-    few = few.orderBy(F.xxhash64("_id"), "_id", "bad").limit(max_labelled)
+    few = few.distinct().orderBy(F.xxhash64("_id"), "_id", "bad").limit(max_labelled)
     return docs.join(F.broadcast(few), docs["doc_id"] == few["_id"]).withColumn("fold", F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(3)).cast("int")).drop("_id")
 
 
 def learn_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = 20_000, **how) -> list[Rule]:
-    sample = with_stats(labelled_sample(docs.select("doc_id", "text"), labels, max_labelled)).select("doc_id", *FEATURES, "bad", "fold")
+    stats = with_stats(labelled_sample(docs.select("doc_id", "text"), labels, max_labelled)).select("doc_id", *FEATURES, "bad", "fold")
+    # Rows that repeat an id give one, so that no more than max_labelled come to the driver.
+    sample = stats.groupBy("doc_id", "bad", "fold").agg(F.min(F.struct(*FEATURES)).alias("f")).select("doc_id", "f.*", "bad", "fold")
     rows = sorted((r.asDict() for r in sample.collect()), key=lambda r: (r["doc_id"], *(r[f] for f in FEATURES)))
     return learn(rows, **how)
 

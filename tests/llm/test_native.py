@@ -57,6 +57,35 @@ def test_rules_edges(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_rules_sample_is_bounded_by_ids(spark):
+    frame = spark.createDataFrame([(7, f"a b c {k}") for k in range(500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 0), (7, 0), (8, 1)], "doc_id long, quality int")
+    seen = []
+    real, qr.learn = qr.learn, lambda rows, **how: seen.extend(rows) or []
+    try:
+        qr.learn_rules(frame, labels, 5)
+    finally:
+        qr.learn = real
+    assert len(seen) == 1
+
+
+def test_verdict_equals_plain_rules(spark):
+    """base_failed at its border and kept, against the statistics and Rule.holds, over a whole table."""
+    d = "/root/testdata/sf0.01"
+    frame, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    border = ["a b c d e f g h i", "a b c d e f g h i j", " ".join(f"w{k}" for k in range(40)) + " 1 2 3 4 5 1 2 3 4 5", " ".join(f"w{k}" for k in range(39)) + " 1 2 3 4 5 1 2 3 4 5"]
+    frame = frame.select("doc_id", "text").unionByName(spark.createDataFrame([(-1 - k, t) for k, t in enumerate(border)], "doc_id long, text string"))
+    rules = qr.learn_rules(frame, labels)
+    assert rules
+    out = qr.apply_rules(frame, rules).select("doc_id", "text", *qr.STATS, *(f for f in qr.FEATURES if f not in qr.STATS), "base_failed", "kept", "rule").collect()
+    for r in out:
+        n, _, _, _, repeated = stats = plain_stats(r.text)
+        assert tuple(r[c] for c in qr.STATS) == stats and r.base_failed == (n < 10 or 100 * repeated > 20 * n)
+        first = next((k for k, rule in enumerate(rules, 1) if rule.holds(r.asDict())), 0)
+        assert r.rule == first and r.kept == (not r.base_failed and not first)
+    assert {r.doc_id: r.base_failed for r in out if r.doc_id < 0} == {-1: True, -2: False, -3: False, -4: True}
+
+
 def test_learning_is_sequential_covering():
     rows = [{"a": float(i % 50), "b": float(i % 7), "bad": int(i % 50 >= 40), "fold": i % 3} for i in range(900)]
     rules = qr.learn(rows, features=("a", "b"))
@@ -92,6 +121,41 @@ def test_url_tree_blocks_impure_templates(spark):
     assert {r.template for r in url_filter.judged(pages, alike).select("template").collect()} == {"/*/{n}"}
 
 
+def test_url_tree_merges_branches_that_are_alike(spark):
+    names = ["bad1", "good1", "bad2", "good2", "half1", "half2"]
+    rows = [(k, f"http://h.org/{names[k % 6]}/{k}") for k in range(1200)] + [(5000 + k, f"http://h.org/few{k}/x") for k in range(3)]
+    labels = spark.createDataFrame([(k, int(k % 6 in (1, 3) or (k % 6 > 3 and k // 6 % 2 == 0))) for k in range(1200)], "label_key long, label int")
+    out = url_filter.judged(spark.createDataFrame(rows, "page_id long, url string"), labels).select("url", "template", "verdict", "purity").collect()
+    got = {r.url.split("/")[3]: (r.template, r.verdict) for r in out}
+    # What is half good doesn't differ from its siblings taken together, and unlabelled branches differ from nothing.
+    assert got == {"bad1": ("/*1/{n}", "block"), "bad2": ("/*1/{n}", "block"), "good1": ("/*2/{n}", "allow"), "good2": ("/*2/{n}", "allow"), **{k: ("/*/*", "block") for k in ("half1", "half2", "few0", "few1", "few2")}}
+
+
+def test_url_classes_by_plain_merging(spark):
+    random.seed(11)
+    rows = []
+    for k in range(300):
+        cells = sorted(random.sample(range(50), random.randint(1, 12)))
+        rows.append((k, [(c, c, n := random.randint(1, 400), n * c // 50, random.randint(1, 3)) for c in cells]))
+    frame = spark.createDataFrame(rows, "k int, cells array<struct<low:int,high:int,labelled:long,good:long,branches:long>>")
+    for r in frame.select("k", url_filter.merged(F.col("cells"), 2.58).alias("m")).collect():
+        want = [list(c) for c in rows[r.k][1]]
+        while True:
+            out = []
+            for c in want:
+                if out:
+                    a, n, m = out[-1], out[-1][2], c[2]
+                    p = (a[3] + c[3]) / (n + m)
+                    if abs(a[3] / n - c[3] / m) <= 2.58 * (p * (1 - p) * (1 / n + 1 / m)) ** 0.5:
+                        out[-1] = [a[0], c[1], n + m, a[3] + c[3], a[4] + c[4]]
+                        continue
+                out.append(list(c))
+            if len(out) == len(want):
+                break
+            want = out
+        assert [list(c) for c in r.m] == want
+
+
 def test_url_tree_goes_as_deep_as_paths(spark):
     deep = lambda k: f"http://h.org/blog/2024/05/{'spam-x' if k % 4 == 0 else 'good-y'}/en/{'old' if k % 8 == 1 else 'new'}/{k}"
     rows = [(k, deep(k)) for k in range(800)] + [(900, "http://h.org/blog"), (901, "http://one.org/" + "a/" * 300 + "z"), (902, None)]
