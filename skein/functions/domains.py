@@ -20,7 +20,7 @@ ORGAN_DOMAINS = {
     "pulmonology": "Pulmonology",
     "musculoskeletal": "Musculoskeletal", "orthopedics": "Musculoskeletal",
     "ophthalmology": "Ophthalmology",
-    "dentistry": None,
+    "dentistry": None,  # known, and of no domain here: the next organ system decides
     "andrology": "Nephrology_Urology",
 }
 CATEGORY_DOMAINS = {

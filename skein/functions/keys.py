@@ -19,11 +19,21 @@ BASES = "ACGT"
 PAIRED = "TGCA"
 
 
+def fnv1a_of(text: str) -> int:
+    out = FNV_OFFSET
+    for byte in text.encode():
+        out = (out ^ byte) * FNV_PRIME & 0xFFFFFFFF
+    return out
+
+
 def fnv1a(text: Column) -> Column:
-    """The 32-bit FNV-1a hash of an ASCII string, as a long."""
+    """The 32-bit FNV-1a hash of an ASCII string, as a long. Single bases, what most alleles are, are looked up."""
     step = lambda h, k: (h.bitwiseXOR(F.ascii(F.substr(text, k, F.lit(1))).cast("long")) * F.lit(FNV_PRIME)).bitwiseAND(F.lit(0xFFFFFFFF))
     start = F.lit(FNV_OFFSET).cast("long")
-    return F.when(F.length(text) > 0, F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step)).when(text.isNotNull(), start)
+    known = F
+    for base in BASES:
+        known = known.when(text == base, F.lit(fnv1a_of(base)).cast("long"))
+    return known.when(F.length(text) > 0, F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step)).when(text.isNotNull(), start)
 
 
 def fnv14(text: Column) -> Column:

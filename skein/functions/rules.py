@@ -114,7 +114,7 @@ def match_confidence(match_rate: Column, z: Column) -> Column:
 
 def quality_label(total: Column, match_rate: Column, z: Column) -> Column:
     """The label of a total; little coverage or a far-out result overrule it."""
-    gated = F.coalesce((match_rate < 0.02) | (F.abs(z) > 10), F.lit(False)) | F.coalesce(match_rate < 0.05, F.lit(False)) | F.coalesce(F.abs(z) > 10, F.lit(False))
+    gated = F.coalesce(match_rate < 0.05, F.lit(False)) | F.coalesce(F.abs(z) > 10, F.lit(False))
     return F.when(gated, "discard").when(total >= 60, "confident").when(total >= 40, "likely").when(total >= 25, "uncertain").otherwise("discard")
 
 
@@ -122,7 +122,7 @@ def importance(z: Column, quality: Column, evidence: Column, reportable: Column,
     """|z| weighed by quality, evidence and reportability, less the penalties. Nulls stand for absent values."""
     has = lambda flag: F.coalesce(F.array_contains(flags, flag), F.lit(False))
     cut = lambda when, by: F.when(F.coalesce(when, F.lit(False)), F.lit(by)).otherwise(F.lit(1.0))
-    base = F.abs(z) * F.greatest(F.coalesce(quality, F.lit(0.0)) / 100.0, F.lit(0.1)) * (F.coalesce(evidence, F.lit(0.5)) + 0.3) * (F.coalesce(reportable, F.lit(0.5)) * 0.7 + 0.5)
+    base = F.abs(z) * F.greatest(F.coalesce(quality, F.lit(0.0)) / 100.0, F.lit(0.1)) * (0.3 + F.coalesce(evidence, F.lit(0.5))) * (0.5 + 0.7 * F.coalesce(reportable, F.lit(0.5)))
     return base * cut(proxy, 0.5) * cut(technical, 0.3) * cut(has("limited_evidence"), 0.6) * cut(has("no_performance_metrics"), 0.5) * cut((variants > 0) & (variants < 500), 0.6)
 
 

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.session import cut
+
 
 def pair_correlations(values: DataFrame, item: str, unit: str, z: str) -> DataFrame:
     """Correlations a < b of standardised items over their shared units, as a self-join on the unit: sum(z1 * z2) / (n - 1).
@@ -22,13 +24,19 @@ def pair_correlations(values: DataFrame, item: str, unit: str, z: str) -> DataFr
     return out.withColumn("corr", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "corr")))
 
 
-def block_correlations(vectors: DataFrame, item: str, vector: str, k: int, threshold: float, blocks: int = 8, standardise: bool = True) -> DataFrame:
+#: Items of a block; edges of a graph and items of a module that one task takes.
+BLOCK_ITEMS, MOST_EDGES, MOST_ITEMS = 1500, 20_000_000, 50_000
+
+
+def block_correlations(vectors: DataFrame, item: str, vector: str, k: int, threshold: float, blocks: int | None = None, standardise: bool = True) -> DataFrame:
     """The k strongest correlations (a, b, corr) of each item a by |corr|, then those of at least threshold.
 
     vectors: one row for each item, with its values over the same units. Items are dealt into
     blocks; a task multiplies two blocks and keeps k for each item, so no pair leaves it that is
     not among the strongest of its block. Pairs of blocks, not of items, are what is replicated.
+    blocks: as many as keep a block at BLOCK_ITEMS, so that a task's matrix doesn't grow with the items.
     """
+    blocks = blocks or max(4, -(-vectors.count() // BLOCK_ITEMS))
     schema = vectors.schema[item].dataType.simpleString()
     own = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
     base = vectors.select(F.col(item).alias("item"), F.col(vector).alias("v"), own.alias("own"))
@@ -73,11 +81,9 @@ def reciprocal(neighbours: DataFrame) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, component): the smallest node reachable, by spreading minima and shortening paths until nothing changes.
 
-    Each round is cut off from the one before by a checkpoint where the session has a folder for it.
+    Each round is written to the shared folder, which cuts it off from the one before.
     """
-    spark = edges.sparkSession
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    cut = (lambda d: d.checkpoint()) if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) else (lambda d: d)
     both = cut(both)
     label = cut(both.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("component")).withColumnRenamed("src", "node"))
     for _ in range(rounds):
@@ -161,11 +167,13 @@ def modularity(edges: list[tuple[int, int, float]], place: dict[int, int]) -> fl
 
 
 def communities(edges: DataFrame, by: list[str], seed: int = 42) -> DataFrame:
-    """Louvain communities (by, node, community) of each group of edges (src, dst, abs_corr). A group is one task's graph."""
+    """Louvain communities (by, node, community) of each group of edges (src, dst, abs_corr). A group is one task's graph, of MOST_EDGES edges at most."""
     kinds = ", ".join(f"{c} {edges.schema[c].dataType.simpleString()}" for c in by)
     node = edges.schema["src"].dataType.simpleString()
 
     def one(key, part: pd.DataFrame) -> pd.DataFrame:
+        if len(part) > MOST_EDGES:
+            raise ValueError(f"the graph of {key} has {len(part)} edges, over {MOST_EDGES}: raise the threshold or lower the number of neighbours")
         part = part.sort_values(["src", "dst"])
         place = louvain(list(zip(part.src.tolist(), part.dst.tolist(), part.abs_corr.tolist())), seed)
         out = pd.DataFrame({"node": list(place), "community": list(place.values())})
@@ -202,10 +210,12 @@ def retained(modules: DataFrame, min_size: int = 3, min_jaccard: float = 0.70) -
 
 
 def loadings(members: DataFrame, module: str, item: str, vector: str) -> DataFrame:
-    """First right singular vector of each module's items (rows of standardised values), its sign so that the mean loading isn't negative."""
+    """First right singular vector of each module's items (rows of standardised values), its sign so that the mean loading isn't negative. A module is one task's matrix, of MOST_ITEMS items at most."""
     m, i = (members.schema[c].dataType.simpleString() for c in (module, item))
 
     def one(key, part: pd.DataFrame) -> pd.DataFrame:
+        if len(part) > MOST_ITEMS:
+            raise ValueError(f"module {key} has {len(part)} items, over {MOST_ITEMS}")
         part = part.sort_values(item)
         block = np.array([np.asarray(v, float) for v in part[vector]]).T
         first = np.linalg.svd(block, full_matrices=False)[2][0]

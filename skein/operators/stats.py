@@ -100,6 +100,14 @@ def confusion(df: DataFrame, truth: Column, predicted: Column, by: list[str]) ->
     return out.select(*by, "tp", "fp", "tn", "fn", rate("tp", "fn").alias("sensitivity"), rate("tn", "fp").alias("specificity"), rate("tp", "fp").alias("ppv"))
 
 
+def confusion_cells(df: DataFrame, truth: str, predicted: str, n: str = "n") -> DataFrame:
+    """(truth, predicted, n) for all pairs of classes that the table has, null as a class of its own; long, since the classes aren't stated."""
+    counts = df.groupBy(F.col(truth).alias("_t"), F.col(predicted).alias("_p")).agg(F.count("*").alias("_n"))
+    cells = counts.select(F.col("_t").alias(truth)).distinct().crossJoin(counts.select(F.col("_p").alias(predicted)).distinct())  # the result has a row for each pair of classes
+    found = cells.join(counts, F.col(truth).eqNullSafe(F.col("_t")) & F.col(predicted).eqNullSafe(F.col("_p")), "left")
+    return found.select(truth, predicted, F.coalesce("_n", F.lit(0)).cast("long").alias(n))
+
+
 def confusion_matrix(df: DataFrame, truth: str, predicted: str, classes: list[str]) -> DataFrame:
     """One row for each true class, one column for each predicted class, zeros filled in."""
     spark = df.sparkSession
@@ -187,25 +195,34 @@ def gamma_fit(x: np.ndarray, y: np.ndarray, alpha: float = 1.0, rounds: int = 10
     return beta
 
 
-def normalised_group(scores: np.ndarray, pcs: np.ndarray, target: float, target_pcs: np.ndarray) -> tuple[float, float]:
-    """(z by residual deviation, z by predicted variance) of a target score against reference scores and their components."""
-    centered, at = scores - scores.mean(), target - scores.mean()
-    mean, std = pcs.mean(0), pcs.std(0)
-    std[std == 0] = 1.0
-    x, t = (pcs - mean) / std, (target_pcs - mean) / std
+def normalising_fit(scores: np.ndarray, pcs: np.ndarray) -> dict:
+    """What normalises a score against reference scores and their components: means, a least-squares fit on standardised components, and a gamma fit of the squared residuals (none if one is 0 or it fails)."""
+    center, mean, std = scores.mean(), pcs.mean(0), pcs.std(0)
+    std = np.where(std == 0, 1.0, std)
+    x = (pcs - mean) / std
     design = np.c_[np.ones(len(x)), x]
-    beta = np.linalg.lstsq(design, centered, rcond=None)[0]
-    residual = centered - design @ beta
-    left, deviation = at - np.r_[1.0, t] @ beta, residual.std()
-    z1 = left / deviation if deviation > 0 else 0.0
-    squared = (residual - residual.mean()) ** 2
-    if not (squared > 0).all():
-        return z1, z1
-    try:
-        variance = float(np.exp(np.r_[1.0, t] @ gamma_fit(x, squared)))
-    except (np.linalg.LinAlgError, FloatingPointError):
-        return z1, z1
-    return z1, left / np.sqrt(variance) if np.isfinite(variance) and variance > 0 else z1
+    beta = np.linalg.lstsq(design, scores - center, rcond=None)[0]
+    residual = scores - center - design @ beta
+    squared, gamma = (residual - residual.mean()) ** 2, None
+    if (squared > 0).all():
+        try:
+            gamma = gamma_fit(x, squared).tolist()
+        except (np.linalg.LinAlgError, FloatingPointError):
+            pass
+    return {"_center": float(center), "_pc_mean": mean.tolist(), "_pc_std": std.tolist(), "_beta": beta.tolist(), "_deviation": float(residual.std()), "_gamma": gamma}
+
+
+def percentiles_of(targets: DataFrame, ref: DataFrame, by: list[str], value: str = "score", out: str = "percentile") -> DataFrame:
+    """targets with the percentile of their value among the reference's values of their group, null without any.
+
+    Both sides' values are counted together and ranked by a window over distinct values, so no target meets a reference row.
+    """
+    both = ref.select(*by, F.col(value).alias("_v"), F.lit(1).alias("_r")).unionByName(targets.select(*by, F.col(value).alias("_v"), F.lit(0).alias("_r")))
+    counts = both.groupBy(*by, "_v").agg(F.sum("_r").alias("_n"))
+    group = Window.partitionBy(*by)
+    ranked = counts.withColumn("_upto", F.sum("_n").over(group.orderBy("_v"))).withColumn("_all", F.sum("_n").over(group)).where("_all > 0")
+    rank = percentile_rank(F.col("_upto") - F.col("_n"), F.col("_upto"), F.col("_all"))
+    return targets.join(ranked.select(*by, F.col("_v").alias(value), rank.alias(out)), [*by, value], "left")
 
 
 def normalise(ref_scores: DataFrame, ref_pcs: DataFrame, targets: DataFrame, n_pcs: int = 4) -> DataFrame:
@@ -213,22 +230,27 @@ def normalise(ref_scores: DataFrame, ref_pcs: DataFrame, targets: DataFrame, n_p
 
     ref_scores: pgs_id, sample_id, score. ref_pcs: sample_id, population, pc (array). targets:
     sample_id, pgs_id, score, population, pc. Result: sample_id, pgs_id, z_population,
-    percentile, z_norm1, z_norm2. Population statistics are plain aggregations; the two
-    regressions run in one grouped pandas function for each score, whose size is that of the
-    reference panel.
+    percentile, z_norm1 (by the residuals' deviation), z_norm2 (by the predicted variance). Population
+    statistics are plain aggregations. The two regressions of a score are fitted once, in a grouped
+    pandas function whose size is that of the reference panel, and applied to targets as expressions.
     """
     ref = ref_scores.join(ref_pcs, "sample_id")
     stats = ref.groupBy("pgs_id", "population").agg(F.avg("score").alias("_mean"), F.stddev_pop("score").alias("_std"))
-    named = targets.select(F.col("sample_id").alias("sample_id"), F.col("pgs_id").alias("pgs_id"), F.col("score").alias("_t"), F.col("population").alias("population"))
-    counts = named.join(ref.select("pgs_id", "population", "score"), ["pgs_id", "population"]).groupBy("sample_id", "pgs_id", "population", "_t").agg(F.count_if(F.col("score") < F.col("_t")).alias("_lt"), F.count_if(F.col("score") <= F.col("_t")).alias("_le"), F.count("*").alias("_n"))
     # Renamed, so that targets may come from the same tables as the reference.
-    aimed = targets.select(F.col("sample_id").alias("t_sample"), F.col("pgs_id").alias("t_pgs"), F.col("score").alias("t_score"), F.col("pc").alias("t_pc"))
-    first = counts.join(stats, ["pgs_id", "population"]).select("sample_id", "pgs_id", guarded_z(F.col("_t"), F.col("_mean"), F.col("_std")).alias("z_population"), percentile_rank(F.col("_lt"), F.col("_le"), F.col("_n")).alias("percentile"))
-
-    def regress(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        pcs = np.array([p[:n_pcs] for p in left["pc"]], float).reshape(len(left), -1)
-        rows = [(t.t_sample, key[0], *normalised_group(left["score"].to_numpy(float), pcs, float(t.t_score), np.array(t.t_pc[:n_pcs], float))) for t in right.itertuples()] if len(left) else []
-        return pd.DataFrame(rows, columns=["sample_id", "pgs_id", "z_norm1", "z_norm2"])
-
-    second = ref.select("pgs_id", "score", "pc").groupBy("pgs_id").cogroup(aimed.groupBy("t_pgs")).applyInPandas(regress, "sample_id string, pgs_id string, z_norm1 double, z_norm2 double")
-    return targets.select("sample_id", "pgs_id").join(first, ["sample_id", "pgs_id"], "left").join(second, ["sample_id", "pgs_id"], "left")
+    aimed = targets.select(*(F.col(c).alias(c) for c in ("sample_id", "pgs_id", "score", "population", "pc")))
+    placed = percentiles_of(aimed, ref, ["pgs_id", "population"]).join(stats, ["pgs_id", "population"], "left")
+    fields = "_center double, _pc_mean array<double>, _pc_std array<double>, _beta array<double>, _deviation double, _gamma array<double>"
+
+    def fit(key, part: pd.DataFrame) -> pd.DataFrame:
+        pcs = np.array([p[:n_pcs] for p in part["pc"]], float).reshape(len(part), -1)
+        return pd.DataFrame([{"pgs_id": key[0], **normalising_fit(part["score"].to_numpy(float), pcs)}])
+
+    fits = ref.select("pgs_id", "score", "pc").groupBy("pgs_id").applyInPandas(fit, f"pgs_id string, {fields}")
+    shifted = F.zip_with(F.slice("pc", 1, n_pcs), "_pc_mean", lambda a, b: a.cast("double") - b)
+    x = placed.join(fits, "pgs_id", "left").withColumn("_x", F.zip_with(shifted, "_pc_std", lambda a, b: a / b))
+    at = lambda c: F.get(c, F.lit(0)) + F.aggregate(F.zip_with("_x", F.slice(c, 2, n_pcs), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    left, variance = F.col("score") - F.col("_center") - at("_beta"), F.exp(at("_gamma"))
+    x = x.withColumns({"_left": left, "_variance": variance}).withColumn("z_norm1", F.when(F.col("_deviation") > 0, F.col("_left") / F.col("_deviation")).when(F.col("_deviation").isNotNull(), 0.0))
+    usable = (F.col("_variance") > 0) & (F.col("_variance") < float("inf"))
+    second = F.when(usable, F.col("_left") / F.sqrt("_variance")).otherwise(F.col("z_norm1"))
+    return x.select("sample_id", "pgs_id", F.when(F.col("_mean").isNotNull(), guarded_z(F.col("score"), F.col("_mean"), F.col("_std"))).alias("z_population"), "percentile", "z_norm1", second.alias("z_norm2"))

@@ -17,12 +17,12 @@ def standard_vectors(ref_scores: DataFrame) -> DataFrame:
     return z.groupBy("pgs_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("sample_id", "z"))), lambda x: x["z"]).alias("v"))
 
 
-def correlation_edges(ref_scores: DataFrame, k: int = 15, threshold: float = 0.18, blocks: int = 8) -> DataFrame:
+def correlation_edges(ref_scores: DataFrame, k: int = 15, threshold: float = 0.18, blocks: int | None = None) -> DataFrame:
     """Edges of scores that are each among the other's k most correlated."""
     return graph.reciprocal(graph.block_correlations(standard_vectors(ref_scores), "pgs_id", "v", k, threshold, blocks, standardise=False))
 
 
-def stable_modules(ref_scores: DataFrame, k: int = 15, threshold: float = 0.18, draws: int = 25, share: float = 0.8, min_size: int = 3, min_jaccard: float = 0.70, seed: int = 42, draw_k: int | None = None, blocks: int = 8) -> tuple[DataFrame, DataFrame]:
+def stable_modules(ref_scores: DataFrame, k: int = 15, threshold: float = 0.18, draws: int = 25, share: float = 0.8, min_size: int = 3, min_jaccard: float = 0.70, seed: int = 42, draw_k: int | None = None, blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(modules, members): communities of the graph that come out again in graphs of subsamples.
 
     modules: community, size, mean_jaccard. members: module, pgs_id, loading. draw_k: neighbours

@@ -121,7 +121,8 @@ def _listed() -> Column:
 def _counts() -> list[Column]:
     z = F.bround("z", 4)
     n = lambda t: F.count_if(F.col("tier") == t).alias(t)
-    return [F.count("*").alias("n_pgs"), F.count_if(F.abs(z) >= 1.5).alias("n_elevated"), F.avg(z).alias("_mean"), F.struct(n("T1"), n("T2"), n("T3")).alias("tier_counts")]
+    mean = F.avg(z.cast("decimal(20,4)")).cast("double")  # exact, whatever the order of rows: it is rounded again
+    return [F.count("*").alias("n_pgs"), F.count_if(F.abs(z) >= 1.5).alias("n_elevated"), mean.alias("_mean"), F.struct(n("T1"), n("T2"), n("T3")).alias("tier_counts")]
 
 
 def domain_section(tiered: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skein.functions import clean, domains, keys, rules
 from skein.operators import dosage, graph, match, ml, resample, reshape, score, stats
 from skein.plans import cohort, report, scoring
+from skein.session import cut
 from skein.sources import text as text_sources
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -392,22 +393,16 @@ def q37_confusion(spark, d):
     return stats.confusion(t(spark, d, "labels").withColumn("grp", F.col("doc_id") % 5), F.col("quality"), F.col("toxic"), ["grp"])
 
 
-@query("""SELECT lang, count(*) FILTER (source = 'src0') AS src0, count(*) FILTER (source = 'src1') AS src1, count(*) FILTER (source = 'src2') AS src2 FROM (SELECT unnest(['de','en','es','fr','xx']) AS lang) l LEFT JOIN documents USING (lang) GROUP BY 1""")
+@query("""SELECT quality, count(toxic) FILTER (toxic = '0') AS "0", count(toxic) FILTER (toxic = '1') AS "1" FROM (SELECT unnest(['0', '1']) AS quality) c LEFT JOIN (SELECT CAST(quality AS VARCHAR) AS quality, CAST(toxic AS VARCHAR) AS toxic FROM labels) l USING (quality) GROUP BY 1""")
 def q37b_confusion_matrix(spark, d):
-    docs = t(spark, d, "documents").select("lang", "source").where(F.col("source").isin("src0", "src1", "src2"))
-    wide = docs.groupBy("lang").pivot("source", ["src0", "src1", "src2"]).count()
-    names = spark.createDataFrame([(x,) for x in ("de", "en", "es", "fr", "xx")], "lang string")
-    return names.join(wide, "lang", "left").fillna(0, ["src0", "src1", "src2"])
+    """Both labels of all labelled rows as truth and prediction."""
+    return stats.confusion_matrix(t(spark, d, "labels").select(F.col("quality").cast("string"), F.col("toxic").cast("string")), "quality", "toxic", ["0", "1"])
 
 
 @query("""SELECT l.lang, s.source, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT lang FROM documents) l CROSS JOIN (SELECT DISTINCT source FROM documents) s
 LEFT JOIN (SELECT lang, source, count(*) AS n FROM documents GROUP BY 1, 2) c ON c.lang IS NOT DISTINCT FROM l.lang AND c.source IS NOT DISTINCT FROM s.source""")
 def q37c_confusion_matrix_whole(spark, d):
-    """All cells of language by source, whatever classes the table has; null is a class of its own. Long, since the classes aren't stated."""
-    counts = t(spark, d, "documents").groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(F.count("*").alias("_n"))
-    cells = counts.select(F.col("_lang").alias("lang")).distinct().crossJoin(counts.select(F.col("_source").alias("source")).distinct())
-    found = cells.join(counts, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    return found.select("lang", "source", F.coalesce("_n", F.lit(0)).cast("long").alias("n"))
+    return stats.confusion_cells(t(spark, d, "documents"), "lang", "source")
 
 
 def _dots(spark, d) -> DataFrame:
@@ -534,45 +529,27 @@ def q49_folds(spark, d):
     return resample.stratified_folds(t(spark, d, "labels"), "quality", "doc_id").groupBy("quality", "fold").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
 
 
-@query("""WITH u AS (SELECT doc_id, quality, toxic, draw FROM labels, (SELECT unnest(range(0, 20)) AS draw)),
+@query("""WITH u AS (SELECT doc_id, quality, toxic, draw FROM labels, (SELECT unnest(range(0, 100)) AS draw)),
 l AS (SELECT draw, doc_id, toxic, row_number() OVER (PARTITION BY draw ORDER BY md5(concat_ws('-', 'place', CAST(doc_id AS VARCHAR))), doc_id) AS k FROM u), s AS (SELECT draw, quality, row_number() OVER (PARTITION BY draw ORDER BY md5(concat_ws('-', concat_ws('/', 100, draw), CAST(doc_id AS VARCHAR))), doc_id) AS k FROM u),
 a AS (SELECT draw, avg(CASE WHEN quality <> toxic THEN 1.0 ELSE 0 END) AS acc FROM l JOIN s USING (draw, k) GROUP BY 1)
 SELECT round(avg(acc), 6) AS null_mean, round(greatest(stddev_pop(acc), 0.001), 6) AS null_std, round((0.9 - avg(acc)) / greatest(stddev_pop(acc), 0.001), 4) + 0.0 AS sigma, round(greatest(avg(CASE WHEN acc >= 0.9 THEN 1.0 ELSE 0 END), 1.0 / count(*)), 6) AS p, count(*) AS n FROM a""")
 def q50_permutation(spark, d):
-    return _permutation(spark, d, 20)
-
-
-@query(SQL["q50_permutation"].replace("range(0, 20)", "range(0, 100)"))
-def q50b_permutation_whole(spark, d):
-    """q50 with the reference's 100 permutations."""
-    return _permutation(spark, d, 100)
-
-
-def _permutation(spark, d, draws: int) -> DataFrame:
+    """100 permutations."""
     labels = t(spark, d, "labels")
-    null = resample.permuted(labels, "doc_id", "quality", draws).join(labels.select("doc_id", "toxic"), "doc_id").groupBy("draw").agg(F.avg((F.col("quality") != F.col("toxic")).cast("double")).alias("acc"))
+    null = resample.permuted(labels, "doc_id", "quality", 100).join(labels.select("doc_id", "toxic"), "doc_id").groupBy("draw").agg(F.avg((F.col("quality") != F.col("toxic")).cast("double")).alias("acc"))
     s = resample.null_summary(null, "acc", 0.9)
     return s.select(*(r(F.col(c)).alias(c) for c in ("null_mean", "null_std")), r(F.col("sigma"), 4).alias("sigma"), r(F.col("p")).alias("p"), "n")
 
 
 @query("""WITH n AS (SELECT doc_id, quality AS y, toxic AS v, row_number() OVER (ORDER BY md5(concat_ws('-', 'number', CAST(doc_id AS VARCHAR))), doc_id) - 1 AS k FROM labels),
-sl AS (SELECT draw, slot, CAST(('0x' || substring(md5(concat_ws('-', concat_ws('/', 42, draw), CAST(slot AS VARCHAR))), 1, 8)) AS BIGINT) % (SELECT count(*) FROM labels) AS k FROM (SELECT unnest(range(0, 10)) AS draw), (SELECT unnest(range(0, (SELECT count(*) FROM labels))) AS slot)),
+sl AS (SELECT draw, slot, CAST(('0x' || substring(md5(concat_ws('-', concat_ws('/', 42, draw), CAST(slot AS VARCHAR))), 1, 8)) AS BIGINT) % (SELECT count(*) FROM labels) AS k FROM (SELECT unnest(range(0, 1000)) AS draw), (SELECT unnest(range(0, (SELECT count(*) FROM labels))) AS slot)),
 b AS (SELECT draw, y, v, doc_id % 50 + v AS x FROM sl JOIN n USING (k)),
 rk AS (SELECT *, rank() OVER (PARTITION BY draw ORDER BY x) + (count(*) OVER (PARTITION BY draw, x) - 1) / 2.0::DOUBLE AS rk FROM (SELECT draw, y, x FROM (SELECT sl.draw, n.y, n.doc_id % 50 + n.v AS x FROM sl JOIN n USING (k)))),
 a AS (SELECT draw, (sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y) * (count(*) - sum(y))) AS auc FROM rk GROUP BY 1)
 SELECT round(quantile_cont(auc, 0.025), 6) AS low, round(quantile_cont(auc, 0.975), 6) AS high, count(*) AS n FROM a""")
 def q51_bootstrap(spark, d):
-    return _bootstrap(spark, d, 10)
-
-
-@query()
-def q51b_bootstrap_whole(spark, d):
-    """q51 with the reference's 1,000 resamples."""
-    return _bootstrap(spark, d, 1000)
-
-
-def _bootstrap(spark, d, n: int) -> DataFrame:
-    draws = resample.bootstrap(t(spark, d, "labels"), "doc_id", n).withColumn("x", F.col("doc_id") % 50 + F.col("toxic"))
+    """1,000 resamples."""
+    draws = resample.bootstrap(t(spark, d, "labels"), "doc_id", 1000).withColumn("x", F.col("doc_id") % 50 + F.col("toxic"))
     auc = stats.rank_auc(draws, "x", "quality", ["draw"], symmetric=False)
     out = resample.interval(auc.withColumn("_all", F.lit(1)), "auc", ["_all"])
     return out.select(r(F.col("low")).alias("low"), r(F.col("high")).alias("high"), "n")
@@ -626,11 +603,10 @@ x AS (SELECT *, (translate(ref, 'ACGT', 'TGCA') = alt) AS pal FROM r), y AS (SEL
 z AS (SELECT n, CASE WHEN model = 2 THEN CASE WHEN d1 >= 2 THEN 1 ELSE 0 END ELSE d1 END * weight AS part FROM y)
 SELECT concat('PGS', o.n) AS pgs_id, o.total AS variants_total, coalesce(k, 0) AS variants_matched, round(coalesce(s, 0), 4) + 0.0 AS raw_score FROM (SELECT n, count(*) AS total FROM r GROUP BY 1) o LEFT JOIN (SELECT n, count(*) AS k, sum(part) AS s FROM z GROUP BY 1) USING (n)""")
 def q54_score_files(spark, d):
-    g = text_sources.parse_vcf(_call_lines(spark, d)).cache()
-    scores = text_sources.parse_scores(_score_lines(spark, d)).cache()
+    g = cut(text_sources.parse_vcf(_call_lines(spark, d)))
+    scores = cut(text_sources.parse_scores(_score_lines(spark, d)))
     target = g.select(F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", "ref", "alt")
-    w = text_sources.weight_rows(scores, target)
-    w = w.cache()
+    w = cut(text_sources.weight_rows(scores, target))
     out = scoring.score_samples(g, w, text_sources.weight_meta(scores, w))
     return out.select("pgs_id", "variants_total", "variants_matched", r(F.col("raw_score"), 4).alias("raw_score"))
 
@@ -689,8 +665,38 @@ def q58_report_json(spark, d):
     return report.report(z, meta, z.select("sample_id", F.lit("F").alias("sex")).distinct())
 
 
-@query()
-def q59_normalised(spark, d):
+def _domain_case() -> str:
+    """The domain of what _patients says of an event, in SQL."""
+    by_family = " ".join(f"WHEN {k} THEN '{domains.FAMILY_DOMAINS[f]}'" for k, f in ((0, "Gout"), (1, "Stroke"), (3, "CKD")))
+    return f"CASE fk {by_family} ELSE CASE WHEN tk = 1 THEN 'Endocrinology' END END"
+
+
+#: Sums of whole ten-thousandths, and their mean to three digits, halves to even.
+_TENTHS = "CAST(sum(CAST(round(z * 10000) AS BIGINT)) AS BIGINT) AS s, 10 * count(*) AS b"
+_MEAN3 = "(CAST(floor(s / CAST(b AS DOUBLE)) AS BIGINT) + CASE WHEN 2 * (s - b * CAST(floor(s / CAST(b AS DOUBLE)) AS BIGINT)) > b OR (2 * (s - b * CAST(floor(s / CAST(b AS DOUBLE)) AS BIGINT)) = b AND CAST(floor(s / CAST(b AS DOUBLE)) AS BIGINT) % 2 <> 0) THEN 1 ELSE 0 END) / 1000.0::DOUBLE"
+_KEPT_SQL = "e AS (SELECT CAST(user_id AS VARCHAR) AS sample_id, round_even((value - 50) / 20, 4) AS z, event_id % 3 AS tk, event_id % 4 AS fk FROM events WHERE event_id % 19 <> 0 AND abs((value - 50) / 20) <= 10)"
+
+
+@query(f"""WITH {_KEPT_SQL}, g AS (SELECT sample_id, {_domain_case()} AS domain, count(*) AS n_pgs, count_if(abs(z) >= 1.5) AS n_elevated, sum(CAST(round(z * 10000) AS BIGINT)) / (10000.0::DOUBLE * count(*)) AS m, {_TENTHS} FROM e GROUP BY 1, 2),
+x AS (SELECT u.sample_id, d.domain, coalesce(n_pgs, 0) AS n, coalesce(n_elevated, 0) AS k, coalesce(m, 0) AS m, coalesce(s, 0) AS s, coalesce(b, 10) AS b FROM (SELECT DISTINCT sample_id FROM e) u CROSS JOIN (SELECT unnest({list(domains.DOMAIN_ORDER)!r}) AS domain) d LEFT JOIN g ON g.sample_id = u.sample_id AND g.domain = d.domain)
+SELECT sample_id, domain, n AS n_pgs, CAST(k AS BIGINT) AS n_elevated, {_MEAN3} AS mean_z, CASE WHEN n = 0 THEN 'INSUFFICIENT_DATA' WHEN m >= 1.5 OR (k / CAST(n AS DOUBLE) >= 0.40 AND abs(m) >= 0.3) THEN 'ELEVATED' WHEN m >= 0.8 OR (k / CAST(n AS DOUBLE) >= 0.33 AND abs(m) >= 0.3) THEN 'MILDLY_ELEVATED' ELSE 'TYPICAL' END AS risk_level FROM x""")
+def q58b_report_domains(spark, d):
+    """The report's domains, without the entries in them."""
+    z, meta = _patients(spark, d)
+    out = report.domain_section(report.tiers(report.kept_scores(z, meta)))
+    return out.select("sample_id", "domain", F.col("n_pgs").cast("long").alias("n_pgs"), F.col("n_elevated").cast("long").alias("n_elevated"), (F.col("mean_z") + F.lit(0.0)).alias("mean_z"), "risk_level")
+
+
+@query(f"""WITH {_KEPT_SQL}, x AS (SELECT *, CASE tk WHEN 0 THEN 'biomarkers' WHEN 1 THEN 'anthropometric' END AS landscape, CASE tk WHEN 0 THEN 'Other_Lab' WHEN 1 THEN 'Height' END AS subsection FROM e WHERE tk < 2)
+SELECT sample_id, landscape, subsection, n_pgs, n_elevated, {_MEAN3} AS mean_z FROM (SELECT sample_id, landscape, subsection, count(*) AS n_pgs, CAST(count_if(abs(z) >= 1.5) AS BIGINT) AS n_elevated, {_TENTHS} FROM x GROUP BY GROUPING SETS ((sample_id, landscape, subsection), (sample_id, landscape)))""")
+def q58c_report_landscapes(spark, d):
+    """The report's landscapes and their totals (subsection null), without the entries in them."""
+    z, meta = _patients(spark, d)
+    out = report.landscape_section(report.tiers(report.kept_scores(z, meta)))
+    return out.select("sample_id", "landscape", "subsection", "n_pgs", "n_elevated", (F.col("mean_z") + F.lit(0.0)).alias("mean_z"))
+
+
+def _normalised(spark, d) -> DataFrame:
     """Vectors' first component as a score, normalised against all vectors by label: gamma and least-squares fits."""
     e = t(spark, d, "embeddings").select(F.col("vec_id").cast("string").alias("sample_id"), F.col("label").cast("string").alias("population"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
     ref = e.select(F.lit("p").alias("pgs_id"), "sample_id", F.get("v", F.lit(0)).alias("score"))
@@ -698,15 +704,45 @@ def q59_normalised(spark, d):
     return stats.normalise(ref, places, ref.join(places, "sample_id"))
 
 
+@query()
+def q59_normalised(spark, d):
+    return _normalised(spark, d)
+
+
+def _swept(k: int) -> str:
+    """One step of a regression by sweeping: what later components and the score are without their part along component k."""
+    names = [f"x{j}" for j in range(k + 1, 5)] + ["y"]
+    return f"SELECT sample_id, label, score, " + ", ".join(f"{n} - x{k} * (sum(x{k} * {n}) OVER () / sum(x{k} * x{k}) OVER ()) AS {n}" for n in names) + f" FROM s{k - 1}"
+
+
+@query("""WITH e AS (SELECT CAST(vec_id AS VARCHAR) AS sample_id, label, CAST(embedding[1] AS DOUBLE) AS score, """ + ", ".join(f"CAST(embedding[{k + 1}] AS DOUBLE) AS x{k}" for k in range(1, 5)) + """ FROM embeddings),
+s0 AS (SELECT sample_id, label, score, score - avg(score) OVER () AS y, """ + ", ".join(f"x{k} - avg(x{k}) OVER () AS x{k}" for k in range(1, 5)) + f""" FROM e), s1 AS ({_swept(1)}), s2 AS ({_swept(2)}), s3 AS ({_swept(3)}), s4 AS ({_swept(4)}),
+p AS (SELECT *, rank() OVER (PARTITION BY label ORDER BY score) - 1 AS lt, count(*) OVER (PARTITION BY label, score) AS eq, count(*) OVER (PARTITION BY label) AS n FROM s4)
+SELECT sample_id, 'p' AS pgs_id, round((score - avg(score) OVER (PARTITION BY label)) / stddev_pop(score) OVER (PARTITION BY label), 6) + 0.0 AS z_population, round(50.0::DOUBLE * (lt + lt + eq + 1) / n, 6) AS percentile, round(y / stddev_pop(y) OVER (), 6) + 0.0 AS z_norm1 FROM p""")
+def q59b_least_squares_z(spark, d):
+    """What SQL can state of q59: all but the gamma fit."""
+    return _normalised(spark, d).select("sample_id", "pgs_id", *(r(F.col(c)).alias(c) for c in ("z_population", "percentile", "z_norm1")))
+
+
 @query()
 def q60_communities(spark, d):
     return graph.communities(graph.reciprocal(_neighbours(spark, d)).withColumn("draw", F.lit(0)), ["draw"])
 
 
-@query()
+def _squared(k: int) -> str:
+    """A Gram matrix times itself, scaled by its trace."""
+    return f"""m{k} AS MATERIALIZED (SELECT label, i, j, x / sum(x) FILTER (i = j) OVER (PARTITION BY label) AS x FROM (SELECT a.label, a.i, b.j, sum(a.x * b.x) AS x FROM m{k - 1} a JOIN m{k - 1} b ON a.label = b.label AND a.j = b.i GROUP BY 1, 2, 3))"""
+
+
+@query(f"""WITH e AS (SELECT label, vec_id, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings),
+m0 AS MATERIALIZED (SELECT label, i, j, x / sum(x) FILTER (i = j) OVER (PARTITION BY label) AS x FROM (SELECT a.label, a.k AS i, b.k AS j, sum(a.x * b.x) AS x FROM e a JOIN e b ON a.label = b.label AND a.vec_id = b.vec_id GROUP BY 1, 2, 3)),
+{", ".join(_squared(k) for k in range(1, 12))},
+u AS (SELECT m.label, m.i AS k, m.x FROM m11 m JOIN (SELECT label, arg_max(i, x) AS j FROM m11 WHERE i = j GROUP BY 1) USING (label, j)), w AS (SELECT label, vec_id, sum(e.x * u.x) AS w FROM e JOIN u USING (label, k) GROUP BY 1, 2)
+SELECT label, vec_id, round(w / sqrt(sum(w * w) OVER (PARTITION BY label)) * CASE WHEN sum(w) OVER (PARTITION BY label) < 0 THEN -1 ELSE 1 END, 5) + 0.0 AS loading FROM w""")
 def q61_loadings(spark, d):
+    """The SQL squares each label's Gram matrix eleven times, which leaves its first direction."""
     e = t(spark, d, "embeddings").select("label", "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return graph.loadings(e, "label", "vec_id", "v")
+    return graph.loadings(e, "label", "vec_id", "v").select("label", "vec_id", r(F.col("loading"), 5).alias("loading"))
 
 
 @query()

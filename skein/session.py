@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "skein", cpus: int | str = "*", shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
@@ -25,3 +28,21 @@ def build_session(app: str = "skein", cpus: int | str = "*", shuffle_partitions:
     for key, value in extra.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share, as the cluster names it in spark.checkpoint.dir. Only where that is unset on one machine (local runs, tests) a folder is made and named there."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="skein-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read again: its lineage ends there."""
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
