@@ -13,7 +13,7 @@ from skein.operators import ml, stats
 from skein.plans import cohort, report
 from skein.sources import text
 
-POPULATIONS = ("AFR", "AMR", "CSA", "EAS", "EUR", "MID")
+POPULATIONS = cohort.POPULATIONS
 
 
 @dataclass

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.operators import graph, ml, resample, stats
 from skein.operators.reshape import top_k_accuracy, wide
+from skein.session import cut
+from skein.sources import sinks, text
+
+POPULATIONS = ("AFR", "AMR", "CSA", "EAS", "EUR", "MID")
+#: Models that the driver has fitted at a time: each is a distributed job, and small ones leave executors idle.
+PARALLEL = 4
+
+
+def _each(f: Callable, items: Iterable) -> list:
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(f, items))
 
 
 def standard_vectors(ref_scores: DataFrame) -> DataFrame:
@@ -75,13 +89,14 @@ def module_scores(fits: DataFrame, weights: DataFrame, z_scores: DataFrame, pcs:
 
 def one_against_healthy(features: DataFrame, unit: str, label: str, diseases: list[str], healthy: str = "Healthy", folds: int = 5, trees: int = 500, depth: int = 12, seed: int = 42) -> DataFrame:
     """(unit, disease, label, fold, p): for each disease a forest against the healthy, out of fold; the other diseases' samples are scored and not learned from."""
-    parts = []
-    for disease in sorted(diseases):
+
+    def one(disease: str) -> DataFrame:
         own = features.where(F.col(label).isin(disease, healthy)).withColumn("_y", (F.col(label) == disease).cast("double"))
         others = features.where(~F.col(label).isin(disease, healthy))
         found = ml.cross_validated(own, unit, "_y", folds, trees, depth, seed, others)
-        parts.append(found.withColumn("disease", F.lit(disease)))
-    return reduce(DataFrame.unionByName, parts)
+        return found.withColumn("disease", F.lit(disease))
+
+    return reduce(DataFrame.unionByName, _each(one, sorted(diseases)))
 
 
 def fold_areas(predictions: DataFrame) -> DataFrame:
@@ -122,15 +137,17 @@ def ranked_accuracy(predictions: DataFrame, truth: DataFrame, unit: str, ks: tup
 def permutation_null(features: DataFrame, unit: str, label: str, diseases: list[str], draws: int = 100, healthy: str = "Healthy", folds: int = 5, trees: int = 200, depth: int = 8, seed: int = 100) -> DataFrame:
     """(draw, top1, top3): accuracies of models refitted on disease labels dealt anew among the diseased; the healthy keep theirs."""
     sick = features.where(F.col(label) != healthy).select(unit, label)
-    dealt = resample.permuted(sick, unit, label, draws, seed)
+    dealt = cut(resample.permuted(sick, unit, label, draws, seed))
     rest = features.drop(label)
-    parts = []
-    for draw in range(draws):
+
+    def one(draw: int) -> tuple[int, float, float]:
         new = dealt.where(F.col("draw") == draw).select(unit, label).unionByName(features.where(F.col(label) == healthy).select(unit, label))
         found = one_against_healthy(rest.join(new, unit), unit, label, diseases, healthy, folds, trees, depth, seed + draw)
         truth = new.where(F.col(label) != healthy).select(unit, F.col(label).alias("truth"))
-        parts.append(ranked_accuracy(found, truth, unit).withColumn("draw", F.lit(draw)))
-    return reduce(DataFrame.unionByName, parts)
+        right = ranked_accuracy(found, truth, unit).first()
+        return draw, right.top1, right.top3
+
+    return features.sparkSession.createDataFrame(_each(one, range(draws)), "draw int, top1 double, top3 double")
 
 
 def stress_test(z_scores: DataFrame, cohort: DataFrame, min_std: float = 1e-8) -> DataFrame:
@@ -146,3 +163,83 @@ def compared(model: DataFrame, single: DataFrame, named: DataFrame) -> DataFrame
     x = single.withColumnRenamed("auc", "other").join(own, ["disease", "pgs_id"], "left").join(model.select("disease", "auc"), "disease")
     beats = lambda c: F.count_if(F.col("auc") > F.col(c))
     return x.groupBy("disease").agg(F.max("auc").alias("auc"), F.count("own").alias("n_own"), beats("own").alias("beaten_own"), F.max("own").alias("best_own"), F.count("*").alias("n_all"), beats("other").alias("beaten_all"), F.max("other").alias("best_all"), F.median(F.col("auc") - F.col("own")).alias("median_margin"))
+
+
+def people_of(spark: SparkSession, jobs: str, manifest: DataFrame, n_pcs: int = 10) -> DataFrame:
+    """(sample_id, label, sex, age, pop_probs, pc1, ...) of the manifest's barcodes: places and populations from their jobs' ancestry tables."""
+    found = text.read_ancestry(spark, f"{jobs}/jobs/*/results/ancestry.tsv").select(text.job_id(F.col("file")).alias("job_id"), "pc", "pop_probs")
+    x = manifest.join(found, "job_id", "left").groupBy("barcode").agg(*(F.max_by(c, "job_id").alias(c) for c in ("label", "sex", "age", "pc", "pop_probs")))
+    pcs = [F.coalesce(F.get("pc", F.lit(k)), F.lit(0.0)).alias(f"pc{k + 1}") for k in range(n_pcs)]
+    return x.select(F.col("barcode").alias("sample_id"), "label", "sex", F.col("age").try_cast("double").alias("age"), "pop_probs", *pcs)
+
+
+def run(spark: SparkSession, jobs: str, manifest: str, ref_scores: DataFrame, ref_pcs: DataFrame, quality: DataFrame, metadata: DataFrame, families: dict[str, str], out: str, healthy: str = "Healthy", n_pcs: int = 10, k: int = 15, threshold: float = 0.18, boots: int = 25, folds: int = 5, trees: int = 500, depth: int = 12, permutations: int = 100, null_trees: int = 200, null_depth: int = 8, draws: int = 1000, seed: int = 42, min_size: int = 3, min_jaccard: float = 0.70) -> None:
+    """The whole analysis of a cohort, from its jobs' results to the tables, reports and models under out.
+
+    ref_scores: pgs_id, sample_id, score. ref_pcs: sample_id, pc1, .... quality: pgs_id, total.
+    metadata: see text.read_metadata. families: the metadata's family of each disease, whose scores it is compared to.
+    """
+    from skein.plans.bundle import feature_names, feature_rows
+
+    columns = [f"pc{i + 1}" for i in range(n_pcs)]
+    with sinks.RunRecord(spark, out, jobs=jobs, manifest=manifest, k=k, threshold=threshold, boots=boots, folds=folds, trees=trees, permutations=permutations, seed=seed) as record:
+        with record.step("scores of the cohort"):
+            rows = text.read_manifest(spark, manifest)
+            people = cut(people_of(spark, jobs, rows, n_pcs))
+            text.read_jobs(spark, jobs, rows).withColumnRenamed("barcode", "sample_id").write.mode("overwrite").parquet(f"{out}/z_scores")
+            z = spark.read.parquet(f"{out}/z_scores")
+            ids = sorted(r.pgs_id for r in z.select("pgs_id").distinct().collect())  # the columns of the wide table
+            sinks.write_tsv(wide(z, "sample_id", "pgs_id", "z", ids), f"{out}/z_matrix")
+            sinks.write_tsv(people.select("sample_id", "label", *(F.try_element_at("pop_probs", F.lit(p)).alias(f"RF_P_{p}") for p in POPULATIONS)), f"{out}/patient_ancestry")
+        with record.step("atlas"):
+            residual = cut(stats.residualised(ref_scores, ref_pcs, columns).select("pgs_id", "sample_id", F.col("residual").alias("score")))
+            modules, members = (cut(x) for x in stable_modules(residual, k, threshold, boots, seed=seed, min_size=min_size, min_jaccard=min_jaccard))
+            listed = F.sort_array(F.collect_list(F.struct("pgs_id", F.round("loading", 5).alias("loading"))))
+            sinks.write_json(members.groupBy("module").agg(listed.alias("members")).join(modules.withColumnRenamed("community", "module"), "module"), f"{out}/atlas_modules")
+        with record.step("module scores"):
+            weights = module_weights(members, quality)
+            fits = cut(fit_modules(weights, residual, ref_pcs, columns))
+            scores = cut(module_scores(fits, weights, z, people.select("sample_id", *columns), columns))
+            order = sorted(r.module for r in fits.select("module").collect())
+            both = [wide(scores, "sample_id", "module", c, order).select("sample_id", *(F.round(f"`{m}`", 4).alias(f"{name}_{m}") for m in order)) for name, c in (("z", "z"), ("rel", "reliability"))]
+            sinks.write_tsv(people.select("sample_id", "label").join(both[0], "sample_id").join(both[1], "sample_id"), f"{out}/patient_module_scores")
+        with record.step("classifiers"):
+            ages = people.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
+            full = cut(feature_rows(scores, people, order, ages.m or 0.0, ages.s or 0.0))
+            genome = cut(ml.features(full.drop("features").join(both[0], "sample_id").join(both[1], "sample_id"), [c for part in both for c in part.columns[1:]]).select("sample_id", "label", "features"))
+            diseases = sorted(r.label for r in people.select("label").distinct().collect() if r.label not in (healthy, None))
+            found, plain = (cut(one_against_healthy(x, "sample_id", "label", diseases, healthy, folds, trees, depth, seed)) for x in (full, genome))
+            truth = people.where(F.col("label") != healthy).select("sample_id", F.col("label").alias("truth"))
+            right, right_plain = (ranked_accuracy(x, truth, "sample_id").first() for x in (found, plain))
+            sinks.write_json(stats.rank_auc(found.where("label is not null"), "p", "label", ["disease", "fold"], symmetric=False), f"{out}/per_fold_aucs")
+            renamed = prediction_table(plain, "sample_id", diseases).select("sample_id", *(F.col(f"`{d}`").alias(f"genome_prob_{d}") for d in diseases), F.col("top1_disease").alias("genome_rank1"))
+            sinks.write_tsv(people.select("sample_id", F.col("label").alias("true_label")).join(prediction_table(found, "sample_id", diseases), "sample_id").join(renamed, "sample_id"), f"{out}/patient_predictions")
+            sinks.write_json(stats.confusion(found.where("label is not null").withColumn("_hit", (F.col("p") >= 0.5).cast("int")), F.col("label"), F.col("_hit"), ["disease"]), f"{out}/confusion")
+            best = found.groupBy("sample_id").agg(F.max_by("disease", F.struct("p", F.lit(0))).alias("predicted")).join(truth, "sample_id")
+            sinks.write_json(stats.confusion_matrix(best, "truth", "predicted", diseases), f"{out}/confusion_matrix")
+
+            def final(disease: str) -> list[tuple]:
+                own = full.where(F.col("label").isin(disease, healthy)).withColumn("_y", (F.col("label") == disease).cast("double"))
+                model = ml.train_forest(own, "_y", trees, depth, seed)
+                model.write().overwrite().save(f"{out}/models/{disease}")
+                return [(disease, place, name, value) for place, (name, value) in enumerate(ml.importances(model, feature_names(order), 20), 1)]
+
+            top = [row for part in _each(final, diseases) for row in part]
+            sinks.write_json(spark.createDataFrame(top, "disease string, place int, feature string, importance double"), f"{out}/feature_importances")
+        with record.step("checks"):
+            null = permutation_null(full.select("sample_id", "label", "features"), "sample_id", "label", diseases, permutations, healthy, folds, null_trees, null_depth)
+            null = cut(null)
+            sinks.write_json(null, f"{out}/permutation_null")
+            sigma = resample.null_summary(null, "top1", right.top1).first() if permutations else None
+            intervals = cut(area_intervals(found, "sample_id", draws, seed))
+            sinks.write_json(intervals, f"{out}/intervals")
+            names = spark.createDataFrame([(d,) for d in diseases], "disease string")
+            cohort = people.select("sample_id", F.col("label").alias("_l")).crossJoin(F.broadcast(names)).where((F.col("_l") == F.col("disease")) | (F.col("_l") == healthy)).select("sample_id", "disease", (F.col("_l") == F.col("disease")).cast("int").alias("label"))  # a row for each disease
+            single = cut(stress_test(z, cohort))
+            own = spark.createDataFrame(list(families.items()), "disease string, family_primary string")
+            for name, kept in (("margins_all", metadata), ("margins_clean", metadata.where("not proxy_trait_flag and not technical_trait_flag"))):
+                sinks.write_json(compared(fold_areas(found), single, kept.join(F.broadcast(own), "family_primary").select("disease", "pgs_id")), f"{out}/{name}")
+            record.facts |= {
+                "multiclass": {"top1": right.top1, "top3": right.top3}, "multiclass_genome": {"top1": right_plain.top1, "top3": right_plain.top3},
+                "permutation": sigma.asDict() if sigma else None, "atlas": {"n_ref_samples": ref_pcs.count(), "n_retained": len(order), "n_boot": boots}, "metadata": {"n_patients": people.count(), "n_diseases": len(diseases)}}
+            sinks.write_json(spark.createDataFrame([(json.dumps(record.facts, default=str),)], "results string"), f"{out}/results")

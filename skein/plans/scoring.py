@@ -152,17 +152,22 @@ def adjust(genotypes: DataFrame, scores: DataFrame, weights: DataFrame, panel: D
 
 
 def run(spark: SparkSession, vcf: str, score_files: str, requested: list[str], out: str, missing: str = "zero") -> DataFrame:
-    """Calls to raw scores, with the stores and tables written under out."""
-    genotypes = text.read_vcf(spark, vcf, missing=missing)
-    sinks.write_genotypes(genotypes, f"{out}/genotypes")
-    sinks.write_json(sinks.qc_report(genotypes), f"{out}/qc")
-    weights, by_name, meta, status = sync_scores(spark, score_files, requested, genotypes, f"{out}/score_rows")
-    sinks.write_weights(weights, meta, f"{out}/weights")
-    stored, stored_meta = sinks.read_weights(spark, f"{out}/weights")
-    scores = score_samples(genotypes, stored, stored_meta, by_name)
-    sinks.write_tsv(sinks.score_table(scores), f"{out}/scores")
-    sinks.write_tsv(sinks.match_table(scores), f"{out}/match_rates")
-    sinks.write_tsv(status, f"{out}/status")
+    """Calls to raw scores, with the stores, the tables and a record of the run written under out."""
+    with sinks.RunRecord(spark, out, input=vcf, pgs_ids=requested, missing=missing) as record:
+        with record.step("calls"):
+            sinks.write_genotypes(text.read_vcf(spark, vcf, missing=missing), f"{out}/genotypes")
+            genotypes = sinks.read_genotypes(spark, f"{out}/genotypes")
+            sinks.write_json(sinks.qc_report(genotypes), f"{out}/qc")
+            record.facts["variant_count"] = genotypes.count()
+        with record.step("scores"):
+            weights, by_name, meta, status = sync_scores(spark, score_files, requested, genotypes, f"{out}/score_rows")
+            sinks.write_weights(weights, meta, f"{out}/weights")
+            sinks.write_tsv(status, f"{out}/status")
+        with record.step("scoring"):
+            stored, stored_meta = sinks.read_weights(spark, f"{out}/weights")
+            scores = score_samples(genotypes, stored, stored_meta, by_name)
+            sinks.write_tsv(sinks.score_table(scores), f"{out}/scores")
+            sinks.write_tsv(sinks.match_table(scores), f"{out}/match_rates")
     return scores
 
 

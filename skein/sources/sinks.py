@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +18,13 @@ STORE_VERSION = 2
 
 def write_genotypes(genotypes: DataFrame, path: str) -> None:
     """A genotype store: by sample, sorted by key inside files, so readers of a key range skip row groups."""
-    genotypes.select("sample_id", "vkey", "dosage", "rsid", "chrom", "pos", "ref", "alt").repartition("sample_id", F.shiftright("vkey", 56)).sortWithinPartitions("sample_id", "vkey").write.mode("overwrite").partitionBy("sample_id").parquet(path)
+    genotypes.select("sample_id", "build", "vkey", F.col("dosage").cast("double").alias("dosage"), "rsid", "chrom", "pos", "ref", "alt").repartition("sample_id", F.shiftright("vkey", 56)).sortWithinPartitions("sample_id", "vkey").write.mode("overwrite").partitionBy("sample_id").parquet(path)
+
+
+def read_genotypes(spark: SparkSession, path: str, samples: list[str] | None = None) -> DataFrame:
+    """A genotype store, or some of its samples: their folders only are read."""
+    rows = spark.read.schema("build string, vkey long, dosage double, rsid string, chrom string, pos int, ref string, alt string, sample_id string").parquet(path)
+    return rows.where(F.col("sample_id").isin(samples)) if samples is not None else rows
 
 
 def qc_report(genotypes: DataFrame) -> DataFrame:
@@ -73,6 +84,52 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+class RunRecord:
+    """config, benchmark and log of a run, as small text files under a path on any file system.
+
+    Used as a context: step(name) times a part, log adds a line; both files are written at the end, also of a run that fails.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, **config) -> None:
+        self.spark, self.path, self.config = spark, path.rstrip("/"), config
+        self.steps: dict[str, float] = {}
+        self.facts: dict[str, object] = {}
+        self.lines: list[str] = []
+
+    def log(self, line: str) -> None:
+        self.lines.append(f"[{time.strftime('%Y-%m-%d %H:%M:%S')}] {line}")
+
+    @contextmanager
+    def step(self, name: str) -> Iterator[None]:
+        begun = time.time()
+        self.log(f"{name}: begins")
+        try:
+            yield
+        finally:
+            self.steps[name] = round(time.time() - begun, 3)
+            self.log(f"{name}: {self.steps[name]} s")
+
+    def __enter__(self) -> RunRecord:
+        self.begun = time.time()
+        self._write("config.json", json.dumps(self.config | {"created": time.strftime("%Y-%m-%dT%H:%M:%S%z")}, default=str, indent=2))
+        return self
+
+    def __exit__(self, kind, error, _) -> None:
+        if error:
+            self.log(f"failed: {kind.__name__}: {error}")
+        conf = self.spark.sparkContext
+        about = {"timestamp": time.strftime("%Y-%m-%dT%H:%M:%S%z"), **self.config, **self.facts, "total_time_seconds": round(time.time() - self.begun, 3), "steps": self.steps, "master": conf.master, "parallelism": conf.defaultParallelism, "ok": error is None}
+        self._write("benchmark.json", json.dumps(about, default=str, indent=2))
+        self._write("pipeline.log", "\n".join(self.lines) + "\n")
+
+    def _write(self, name: str, text: str) -> None:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+        out.write(text.encode())
+        out.close()
+
+
 def quality_table(quality: DataFrame) -> DataFrame:
     """The columns of a quality table in order, rows without an error, by id."""
     names = ["pgs_id", "total", "label", "performance", "applicability", "match_confidence", "performance_source", "trait", "method_name", "variants_number", "performance_detail", "applicability_detail", "match_detail"]

@@ -7,6 +7,11 @@ kept by an id where the meaning depends on it (headers first, first row wins).
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -191,7 +196,7 @@ def read_manifest(spark: SparkSession, path: str, key: str = "job_id") -> DataFr
     return best.select(key, *(F.col("_r")[c].alias(c) for c in others))
 
 
-def _job_id(path: Column) -> Column:
+def job_id(path: Column) -> Column:
     """The second part, by underscores, of the job folder's name."""
     folder = F.regexp_extract(path, r"([^/]+)/results/[^/]+$", 1)
     return F.coalesce(F.get(F.split(folder, "_"), F.lit(1)), F.lit(""))
@@ -205,7 +210,7 @@ def read_jobs(spark: SparkSession, root: str, manifest: DataFrame, not_a_number:
     rows = spark.read.option("sep", "\t").option("header", True).csv(f"{root}/jobs/*/results/scores_adjusted.tsv")
     name = "Z_norm1" if "Z_norm1" in rows.columns else "Z_MostSimilarPop"
     z = clean.no_nan(F.col(name).try_cast("double")) if name in rows.columns else F.lit(None).cast("double")
-    tagged = rows.select(_job_id(F.col("_metadata.file_path")).alias("job_id"), "pgs_id", F.coalesce(z, F.lit(not_a_number)).alias("z"), F.monotonically_increasing_id().alias("_seq"))
+    tagged = rows.select(job_id(F.col("_metadata.file_path")).alias("job_id"), "pgs_id", F.coalesce(z, F.lit(not_a_number)).alias("z"), F.monotonically_increasing_id().alias("_seq"))
     joined = tagged.join(F.broadcast(manifest.select("job_id", "barcode")), "job_id")  # one row for each job
     return joined.groupBy("barcode", "pgs_id").agg(F.max_by("z", "_seq").alias("z"))
 
@@ -213,7 +218,7 @@ def read_jobs(spark: SparkSession, root: str, manifest: DataFrame, not_a_number:
 def skipped_jobs(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
     """Job ids that have results and no manifest row."""
     rows = spark.read.option("sep", "\t").option("header", True).csv(f"{root}/jobs/*/results/scores_adjusted.tsv")
-    return rows.select(_job_id(F.col("_metadata.file_path")).alias("job_id")).distinct().join(manifest, "job_id", "left_anti")
+    return rows.select(job_id(F.col("_metadata.file_path")).alias("job_id")).distinct().join(manifest, "job_id", "left_anti")
 
 
 def read_ancestry(spark: SparkSession, path: str) -> DataFrame:
@@ -248,6 +253,34 @@ def read_performance(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", f"map<string,{PERFORMANCE}>")).alias("id", "performance"))
 
 
+#: What cohorts read of the scores' metadata.
+METADATA_COLUMNS = ("pgs_id", "family_primary", "proxy_trait_flag", "technical_trait_flag")
+
+
+def read_metadata(spark: SparkSession, path: str, columns: tuple[str, ...] = METADATA_COLUMNS) -> DataFrame:
+    """Some columns of a metadata table; those that it lacks are null strings, missing flags false."""
+    found = spark.read.parquet(path)
+    cell = lambda c: F.col(c) if c in found.columns else F.lit(None).cast("boolean" if c.endswith("_flag") else "string")
+    return found.select(*((F.coalesce(cell(c).cast("boolean"), F.lit(False)) if c.endswith("_flag") else cell(c)).alias(c) for c in columns))
+
+
+def read_matrix(spark: SparkSession, path: str, samples: DataFrame | None = None) -> DataFrame:
+    """(pgs_id, place, score) of a folder of .npy files, one vector for each score, named by the file; with samples (place, sample_id), those in place of the numbers.
+
+    Files are read by Spark, so the folder can be on any file system; a file is one row of a task.
+    """
+
+    def opened(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for path, content in zip(part["path"], part["content"]):
+                values = np.load(io.BytesIO(content), allow_pickle=False).astype(float).ravel()
+                yield pd.DataFrame({"pgs_id": path.rsplit("/", 1)[-1].removesuffix(".npy"), "place": np.arange(len(values), dtype=np.int64), "score": values})
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(path).select("path", "content")
+    long = files.mapInPandas(opened, "pgs_id string, place long, score double")
+    return long.join(samples.select("place", "sample_id"), "place").select("pgs_id", "sample_id", "score") if samples is not None else long
+
+
 def complemented(df: DataFrame, allele: str) -> DataFrame:
     return df.withColumn(allele, complement(F.col(allele)))
 

@@ -236,6 +236,53 @@ def test_cohort(spark):
     assert len(few) == 3 and sorted(few.n_available) == [0, 0, 1]
 
 
+def test_cohort_in_one_call(spark, tmp_path):
+    from skein import __main__ as cli
+
+    rng = np.random.default_rng(3)
+    n, scores = 30, [f"P{k}" for k in range(9)]
+    base = rng.normal(size=(3, n))
+    (tmp_path / "m").mkdir()
+    for k, p in enumerate(scores):
+        np.save(tmp_path / "m" / f"{p}.npy", (base[k % 3] + 0.2 * rng.normal(size=n)).astype(np.float32))
+    (tmp_path / "pcs.tsv").write_text("sample_id\tpc1\tpc2\n" + "".join(f"r{i}\t{rng.normal()}\t{rng.normal()}\n" for i in range(n)))
+    rows = []
+    for i in range(24):
+        label = ["Healthy", "A", "B"][i % 3]
+        _job(tmp_path, f"src_J{i}_x", [f"{rng.normal() * 0.2 + (3 if label == 'A' and k % 3 == 0 or label == 'B' and k % 3 == 1 else 0):.3f}" for k in range(9)])
+        rows.append(f"B{i},J{i},{label},{'MF'[i % 2]},{30 + i}")
+    (tmp_path / "manifest.csv").write_text("barcode,job_id,label,sex,age\n" + "\n".join(rows) + "\n")
+    (tmp_path / "q.tsv").write_text("pgs_id\ttotal\n" + "".join(f"{p}\t{50 + k}\n" for k, p in enumerate(scores)))
+    spark.createDataFrame([(p, ["fa", "fb", "fc"][k % 3], k == 3) for k, p in enumerate(scores)], "pgs_id string, family_primary string, proxy_trait_flag boolean").write.parquet(str(tmp_path / "meta"))
+    sizes = {"k": 3, "boots": 1, "folds": 3, "trees": 30, "depth": 4, "permutations": 1, "null_trees": 2, "null_depth": 2, "draws": 5, "min_jaccard": 0.5}
+    out = tmp_path / "out"
+    cli.main(["cohort", "--root", str(tmp_path), "--manifest", str(tmp_path / "manifest.csv"), "--matrix", str(tmp_path / "m"), "--pcs", str(tmp_path / "pcs.tsv"), "--quality", str(tmp_path / "q.tsv"), "--metadata", str(tmp_path / "meta"), "--families", "A=fa,B=fb", "--out", str(out), "--sizes", json.dumps(sizes)])
+    wanted = {"z_scores", "z_matrix", "patient_ancestry", "atlas_modules", "patient_module_scores", "per_fold_aucs", "patient_predictions", "confusion", "confusion_matrix", "models", "feature_importances", "permutation_null", "intervals", "margins_all", "margins_clean", "results", "config.json", "benchmark.json", "pipeline.log"}
+    assert wanted <= {p.name for p in out.iterdir()}
+    about = json.loads((out / "benchmark.json").read_text())
+    assert about["ok"] and about["atlas"]["n_retained"] == 3 and about["multiclass"]["top1"] > 0.8 and set(about["steps"]) == {"scores of the cohort", "atlas", "module scores", "classifiers", "checks"}
+    table = {r.sample_id: r for r in spark.read.option("sep", "\t").option("header", True).csv(str(out / "patient_predictions")).collect()}
+    assert len(table) == 24 and sum(table[f"B{i}"].top1_disease == "AB"[i % 3 - 1] for i in range(24) if i % 3) >= 13
+    assert {r.disease: (r.n_own, r.n_all) for r in spark.read.json(str(out / "margins_clean")).collect()} == {"A": (2, 9), "B": (3, 9)}
+    atlas = {r.module: {m.pgs_id for m in r.members} for r in spark.read.json(str(out / "atlas_modules")).collect()}
+    assert sorted(map(sorted, atlas.values())) == [sorted(scores[k::3]) for k in range(3)]
+
+
+def test_run_record_of_a_failed_run(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError), sinks.RunRecord(spark, f"file://{tmp_path}/r", input="x") as record, record.step("first"):
+        1 / 0
+    about = json.loads((tmp_path / "r/benchmark.json").read_text())
+    assert not about["ok"] and "first" in about["steps"] and "failed: ZeroDivisionError" in (tmp_path / "r/pipeline.log").read_text()
+
+
+def test_genotype_store(spark, files):
+    sinks.write_genotypes(text.read_vcf(spark, str(files / "calls.vcf.gz")), str(files / "g"))
+    sinks.write_genotypes(text.read_vcf(spark, str(files / "calls.vcf.gz"), 1), str(files / "g2"))
+    stored = sinks.read_genotypes(spark, str(files / "g"), ["S1", "S9"])
+    assert sorted(map(tuple, stored.select("sample_id", "vkey", "dosage", "rsid").collect()), key=str) == sorted(map(tuple, text.read_vcf(spark, str(files / "calls.vcf.gz")).select("sample_id", "vkey", "dosage", "rsid").collect()), key=str)
+    assert sinks.read_genotypes(spark, str(files / "g"), ["S2"]).count() == 0
+
+
 def test_classifiers(spark):
     from skein.operators import ml
 
