@@ -6,7 +6,8 @@ before it holds), so the number of things placed doesn't grow with the corpus an
 ones are small enough to level the shards. A group that holds more than 1/64 of a shard is a
 cell of its own; one that holds more than a shard is split by the hash of the id.
 Largest first, a cell goes where the dot product of its size vector and the residual
-capacity is highest. The law that holds is ``bytes``: bytes weigh most in the product.
+capacity is highest; then cells are taken out and put back by the same rule, in rounds, until none
+moves, which levels all three measures. The law that holds is ``bytes``: bytes weigh most in the product.
 
 Slots are numbered inside small parts of a shard; a part's first number comes from a running
 sum over the parts' counts, so no task sees a whole shard's rows.
@@ -26,19 +27,40 @@ from skein.llm.common import table, written
 
 LEVELS, PER_LEVEL = 8, 1024
 #: Of the dot product: bytes, tokens, rows.
-WEIGHTS = (1.0, 0.05, 0.05)
+WEIGHTS = (1.0, 0.25, 0.25)
+#: Rounds of levelling with these weights, and then with a tenth and a hundredth of those of tokens and rows: bytes get the last word.
+ROUNDS = 6
 
 
-def place(sizes: np.ndarray, shards: int, weights=WEIGHTS) -> np.ndarray:
-    """The shard of each item (rows of sizes: one column for each measure), largest first to the highest dot product with residual capacity."""
+def place(sizes: np.ndarray, shards: int, weights=WEIGHTS, rounds: int = ROUNDS) -> np.ndarray:
+    """The shard of each item (rows of sizes: one column for each measure), largest first to the highest dot product with residual capacity.
+
+    The dot product is what a placement takes off the weighted squares of the residual capacities,
+    so that each later round, in which items are placed anew one by one, can only level them.
+    """
     total = np.maximum(sizes.sum(axis=0), 1e-12)
-    share = sizes / total * np.array(weights)
-    room = np.full((shards, sizes.shape[1]), 1.0 / shards) * np.array(weights)
-    out = np.zeros(len(sizes), np.int64)
-    unit = np.array([weights], float) / sum(weights)
-    for k in np.argsort(-(share * unit).sum(axis=1), kind="stable"):
-        out[k] = best = int(np.argmax(room @ share[k]))
-        room[best] -= share[k]
+    out = np.full(len(sizes), -1, np.int64)
+    for less in (1.0, 0.1, 0.01) if rounds else (1.0,):
+        scale = np.sqrt(np.array(weights, float) * [1.0, *[less] * (sizes.shape[1] - 1)])
+        share = sizes / total * scale
+        room = np.full((shards, sizes.shape[1]), 1.0 / shards) * scale
+        np.subtract.at(room, out[out >= 0], share[out >= 0])
+        order = np.argsort(-(share * scale).sum(axis=1), kind="stable").tolist()
+        for _ in range((less == 1.0) + rounds):
+            moved = False
+            for k in order:
+                before = out[k]
+                if before >= 0:
+                    room[before] += share[k]
+                worth = room @ share[k]
+                best = int(np.argmax(worth))
+                if before >= 0 and worth[best] <= worth[before] + 1e-15:
+                    best = before
+                moved |= best != before
+                out[k] = best
+                room[best] -= share[k]
+            if not moved:
+                break
     return out
 
 
