@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import shutil
 import tempfile
@@ -41,6 +42,20 @@ def scratch(spark: SparkSession, name: str) -> str:
     return _made[-1]
 
 
+def _sweep_at_exit() -> None:
+    """Results are read lazily from scratch tables, so those of queries go when the driver ends."""
+    spark = SparkSession.getActiveSession()
+    for path in _made:
+        try:
+            if path.startswith("file://") or spark is not None:
+                remove(spark, path)
+        except Exception:  # the session can be gone: what is left is in the shared folder under skein's names  # noqa: BLE001
+            return
+
+
+atexit.register(_sweep_at_exit)
+
+
 def mark() -> int:
     """A place in the list of scratch paths, for sweep."""
     return len(_made)
