@@ -27,6 +27,24 @@ def read_genotypes(spark: SparkSession, path: str, samples: list[str] | None = N
     return rows.where(F.col("sample_id").isin(samples)) if samples is not None else rows
 
 
+def write_panel(panel: DataFrame, samples: DataFrame, path: str) -> None:
+    """A panel store: variants in ranges of their keys, sorted, so readers of a range skip files and row groups; its samples beside it."""
+    panel.repartitionByRange("vkey").sortWithinPartitions("vkey").write.mode("overwrite").parquet(f"{path}/version={STORE_VERSION}/variants")
+    samples.write.mode("overwrite").parquet(f"{path}/version={STORE_VERSION}/samples")
+
+
+def read_panel(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    root = f"{path}/version={STORE_VERSION}"
+    return spark.read.parquet(f"{root}/variants"), spark.read.parquet(f"{root}/samples")
+
+
+def write_score_input(weights: DataFrame, path: str) -> None:
+    """Weights as tab-separated text (ID, A1, WEIGHT, KEY), a folder for each score and model. weights: pgs_id, vkey, weight, flip, model, and effect, chrom and pos."""
+    model = F.element_at(F.array(F.lit("additive"), F.lit("dominant"), F.lit("recessive")), F.col("model") + 1)
+    rows = weights.select("pgs_id", model.alias("model"), F.concat_ws(":", "chrom", "pos").alias("ID"), F.col("effect").alias("A1"), F.col("weight").cast("string").alias("WEIGHT"), F.col("vkey").alias("KEY"))
+    rows.repartition("pgs_id", "model").sortWithinPartitions("pgs_id", "model", "KEY").write.mode("overwrite").partitionBy("pgs_id", "model").option("sep", "\t").option("header", True).csv(path)
+
+
 def qc_report(genotypes: DataFrame) -> DataFrame:
     """One row of counts, rates and checksums for each sample. Checksums don't depend on row order."""
     counts = qc_counts(genotypes)

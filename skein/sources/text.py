@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import clean
 from skein.functions.keys import complement, fnv14, variant_key
-from skein.operators.dosage import expand_alternatives
+from skein.operators.dosage import allele_dosage, expand_alternatives
 from skein.operators.match import first_wins
 
 VCF_FIXED = ("chrom", "pos", "id", "ref", "alt")
@@ -60,6 +60,40 @@ def parse_vcf(text: DataFrame, sample_index: int = 0, missing: str = "zero", has
     return once.join(F.broadcast(head), "file", "left").select(F.coalesce(F.get("samples", F.lit(sample_index)), F.lit("sample")).alias("sample_id"), F.coalesce("build", F.lit("unknown")).alias("build"), "vkey", "chrom", "pos", "ref", "alt", "dosage", "rsid", "line_no")  # one header row for each file
 
 
+def parse_panel(text: DataFrame, keep: list[str] | None = None, frequencies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(panel, samples) of call lines with many samples: panel vkey, id, dosages (of the first alternative, null where not called) and afreq; samples place and sample_id, in the dosages' order.
+
+    keep: the samples to take. frequencies (id, afreq): in place of the panel's own. A variant is one row from line to
+    store, so the panel is spread however many variants it has; of equal keys the first line stands.
+    """
+    head = vcf_header(text).select("file", "samples")
+    wanted = F.array(*(F.lit(s) for s in keep)) if keep is not None else None
+    at = F.transform("samples", lambda n, k: F.struct(k.alias("k"), n.alias("n")))
+    at = F.filter(at, lambda x: F.array_contains(wanted, x["n"])) if keep is not None else at
+    head = head.withColumn("at", at)
+    samples = head.orderBy("file").limit(1).select(F.posexplode("at").alias("place", "_x")).select("place", F.col("_x.n").alias("sample_id"))
+    f = F.split("value", "\t")
+    part = lambda k: F.get(f, F.lit(k))
+    rows = text.where(~F.col("value").startswith("#")).where(F.size(f) >= 10).join(F.broadcast(head.select("file", "at")), "file")  # one header row for each file
+    alt = F.get(F.split(part(4), ","), F.lit(0))
+    rows = rows.where(part(1).try_cast("int").isNotNull() & ~alt.isin("*", ".", ""))
+    keyed = rows.select("line_no", variant_key(part(0), part(1).try_cast("int"), F.upper(part(3)), F.upper(alt)).alias("vkey"), part(2).alias("id"), F.transform("at", lambda x: allele_dosage(F.get(f, x["k"] + 9), F.lit(1), "null").cast("tinyint")).alias("dosages"))
+    once = first_wins(keyed.where("vkey <> 0"), ["vkey"], ["line_no"])
+    known = F.filter("dosages", lambda x: x.isNotNull())
+    own = F.when(F.size(known) > 0, F.aggregate(known, F.lit(0.0), lambda a, x: a + x) / (2 * F.size(known))).otherwise(0.0)
+    if frequencies is not None:
+        named = frequencies.where("afreq is not null").groupBy("id").agg(F.min("afreq").alias("_f"))
+        once = once.join(named, "id", "left").withColumn("afreq", F.coalesce("_f", own)).drop("_f")
+    else:
+        once = once.withColumn("afreq", own)
+    return once.select("vkey", "id", "dosages", "afreq"), samples
+
+
+def read_panel(spark: SparkSession, path: str, keep: list[str] | None = None, frequencies: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """parse_panel of files."""
+    return parse_panel(lines(spark, path), keep, frequencies)
+
+
 def read_variants(spark: SparkSession, path: str) -> DataFrame:
     """chrom, pos, ref, alt (the first) of a variant list with the columns chrom, pos, id, ref, alt."""
     f = F.split("value", r"\s+")
@@ -83,8 +117,28 @@ def _table_rows(text: DataFrame) -> DataFrame:
 class _Cells(dict):
     """Cleaned cells by column name, as expressions on cells and at; names that a file lacks are null."""
 
-    def __init__(self, names) -> None:
-        super().__init__({n: clean.clean(F.get(F.col("cells"), F.try_element_at(F.col("at"), F.lit(n)))) for n in names})
+    def __init__(self, names, tokens=clean.NULL_TOKENS) -> None:
+        super().__init__({n: clean.clean(F.get(F.col("cells"), F.try_element_at(F.col("at"), F.lit(n))), tokens) for n in names})
+
+
+#: What the narrower reading of score files takes: fewer columns, and fewer cells that mean nothing (fixed values).
+NARROW = {"chrom": ("hm_chr", "chr_name"), "pos": ("hm_pos", "chr_position"), "other": ("other_allele", "hm_inferotherallele"), "weight": "effect_weight", "tokens": (".", "", "NA")}
+
+
+def parse_scores_narrow(text: DataFrame) -> DataFrame:
+    """Usable rows of score files by the narrower reading: pgs_id, line_no, chrom (without chr), pos, effect, other (null where it names several), weight, model."""
+    c = _Cells({*NARROW["chrom"], *NARROW["pos"], *NARROW["other"], NARROW["weight"], "effect_allele", "is_dominant", "is_recessive"}, NARROW["tokens"])
+    first = lambda names: clean.first_of([c[n] for n in names])
+    other = first(NARROW["other"])
+    rows = _table_rows(text).select(
+        score_id(F.col("file")).alias("pgs_id"), "line_no", F.regexp_replace(first(NARROW["chrom"]), "^[chr]+", "").alias("chrom"), first(NARROW["pos"]).try_cast("int").alias("pos"), F.upper(c["effect_allele"]).alias("effect"),
+        F.upper(F.when(~other.contains("/"), other)).alias("other"), c[NARROW["weight"]].try_cast("double").alias("weight"), clean.model_code(c["is_dominant"], c["is_recessive"]).alias("model"))
+    return rows.where("chrom is not null and pos is not null and effect is not null and weight is not null")
+
+
+def score_id(file: Column) -> Column:
+    """The score that a file is named after."""
+    return F.upper(F.regexp_extract(file, r"([^/]+?)(?:_hmPOS_GRCh\d+)?(?:\.txt|\.tsv)?(?:\.gz)?$", 1))
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -101,7 +155,7 @@ def parse_scores(text: DataFrame) -> DataFrame:
     c = _Cells({*clean.CHROMOSOME_COLUMNS, *clean.POSITION_COLUMNS, *clean.WEIGHT_COLUMNS, *clean.OTHER_ALLELE_COLUMNS, *clean.RSID_COLUMNS, "effect_allele", "variant_description", "is_dominant", "is_recessive"})
     effect = F.upper(c["effect_allele"])
     rows = _table_rows(text).select(
-        F.upper(F.regexp_extract("file", r"([^/]+?)(?:_hmPOS_GRCh\d+)?(?:\.txt|\.tsv)?(?:\.gz)?$", 1)).alias("pgs_id"), "line_no",
+        score_id(F.col("file")).alias("pgs_id"), "line_no",
         clean.first_of([c[n] for n in clean.CHROMOSOME_COLUMNS]).alias("chrom"), clean.first_of([c[n].try_cast("int") for n in clean.POSITION_COLUMNS]).alias("pos"), effect.alias("effect"),
         clean.other_allele_of(c, effect).alias("other"), clean.weight_of(c).alias("weight"), clean.model_code(c["is_dominant"], c["is_recessive"]).alias("model"), clean.first_of([c[n] for n in clean.RSID_COLUMNS]).alias("rsid"))
     usable = F.col("chrom").isNotNull() & (F.coalesce("pos", F.lit(0)) != 0) & F.col("effect").isNotNull() & F.col("weight").isNotNull()

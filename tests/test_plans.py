@@ -268,6 +268,40 @@ def test_cohort_in_one_call(spark, tmp_path):
     assert sorted(map(sorted, atlas.values())) == [sorted(scores[k::3]) for k in range(3)]
 
 
+def test_panel_store(spark, files, tmp_path):
+    from skein.functions.keys import variant_key
+
+    panel, samples = text.read_panel(spark, str(files / "calls.vcf.gz"), frequencies=spark.createDataFrame([("rs2", 0.125)], "id string, afreq double"))
+    sinks.write_panel(panel, samples, str(tmp_path / "p"))
+    panel, samples = sinks.read_panel(spark, str(tmp_path / "p"))
+    assert [tuple(r) for r in samples.orderBy("place").collect()] == [(0, "S1"), (1, "S2")]
+    assert {r.id: (r.dosages, r.afreq) for r in panel.collect()} == {"rs1": ([1, 2], 0.75), "rs2": ([1, 0], 0.125), ".": ([None, 1], 0.5)}
+    key = spark.range(1).select(variant_key(F.lit("1"), F.lit(100), F.lit("A"), F.lit("G"))).first()[0]
+    assert panel.where("id = 'rs1'").first().vkey == key
+    few, one = text.read_panel(spark, str(files / "calls.vcf.gz"), ["S2", "S7"])
+    assert [r.sample_id for r in one.collect()] == ["S2"] and {tuple(r.dosages) for r in few.collect()} == {(2,), (0,), (1,)}
+
+
+def test_narrow_scores_and_their_tables(spark, files, tmp_path):
+    rows = text.parse_scores_narrow(text.lines(spark, str(files / "s")))
+    got = sorted((r.pgs_id, r.chrom, r.pos, r.effect, r.other, r.weight, r.model) for r in rows.collect())
+    assert got == [("PGS000001", "1", 100, "G", "A", 0.5, 0), ("PGS000001", "2", 200, "C", "T", 1.0, 1), ("PGS000001", "3", 300, "T", "C", 2.0, 0), ("PGS000001", "9", 900, "A", "T", 4.0, 0)]
+    sinks.write_score_input(rows.withColumn("vkey", F.col("pos").cast("long")), str(tmp_path / "w"))
+    assert sorted(p.name for p in (tmp_path / "w" / "pgs_id=PGS000001").iterdir()) == ["model=additive", "model=dominant"]
+    table = spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "w/pgs_id=PGS000001/model=dominant")).collect()
+    assert [tuple(r) for r in table] == [("2:200", "C", "1.0", "200")]
+
+
+def test_score_vectors_and_metadata(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    np.save(tmp_path / "m" / "P1.npy", np.array([0.5, -1.0], np.float32))
+    np.save(tmp_path / "m" / "P2.npy", np.array([[2.0], [3.0]]))
+    got = sorted(map(tuple, text.read_matrix(spark, str(tmp_path / "m"), spark.createDataFrame([(1, "b"), (0, "a")], "place long, sample_id string")).collect()))
+    assert got == [("P1", "a", 0.5), ("P1", "b", -1.0), ("P2", "a", 2.0), ("P2", "b", 3.0)]
+    spark.createDataFrame([("P1", "f", None, 1.0), ("P2", None, True, 2.0)], "pgs_id string, family_primary string, technical_trait_flag boolean, more double").write.parquet(str(tmp_path / "meta"))
+    assert sorted(map(tuple, text.read_metadata(spark, str(tmp_path / "meta")).collect())) == [("P1", "f", False, False), ("P2", None, False, True)]
+
+
 def test_run_record_of_a_failed_run(spark, tmp_path):
     with pytest.raises(ZeroDivisionError), sinks.RunRecord(spark, f"file://{tmp_path}/r", input="x") as record, record.step("first"):
         1 / 0
