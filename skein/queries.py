@@ -781,3 +781,94 @@ def _component_draws(spark, d, draws: int = 25) -> dict[int, list[int]]:
     n = _vectors(spark, d).agg(F.max(F.size("v"))).first()[0] or 0
     picked = resample.subsamples(spark.range(n).withColumnRenamed("id", "component"), "component", draws).collect()  # draws times dimensions
     return {k: sorted(r.component for r in picked if r.draw == k) for k in range(draws)}
+
+
+@query(SQL["q53_parse_scores"])
+def q65_narrow_scores(spark, d):
+    rows = text_sources.parse_scores_narrow(_score_lines(spark, d))
+    return rows.select("pgs_id", F.col("pos").cast("long").alias("pos"), F.col("chrom").cast("int").alias("chrom"), "effect", "other", "weight", "model")
+
+
+@query(f"""WITH {_CALLS_SQL} SELECT (CAST(c AS BIGINT) << 56) | (p_partkey << 28) | (({FNV_SQL.format('ref')} & 16383) << 14) | ({FNV_SQL.format('alt')} & 16383) AS vkey, CASE WHEN p_partkey % 3 = 0 THEN concat('rs', p_partkey) ELSE '.' END AS id,
+  CAST(CASE WHEN g < 3 THEN g END AS DOUBLE) AS dosage, CASE WHEN g < 3 THEN g / 2.0::DOUBLE ELSE 0 END AS afreq FROM v""")
+def q66_panel(spark, d):
+    panel, _ = text_sources.parse_panel(_call_lines(spark, d))
+    return panel.select("vkey", "id", F.get("dosages", F.lit(0)).cast("double").alias("dosage"), "afreq")
+
+
+@query("""SELECT p_partkey, CAST(CASE p_partkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN NULL ELSE 1 END AS DOUBLE) AS nonref, CAST(CASE p_partkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 0 WHEN 4 THEN 1 ELSE 1 END AS DOUBLE) AS first FROM part""")
+def q67_genotypes(spark, d):
+    g = F.get(F.array(*(F.lit(x) for x in ("0/0:9", "0/1", "1|2:3:4", "2/2", "./1", "1"))), (F.col("p_partkey") % 6).cast("int"))
+    return t(spark, d, "part").select("p_partkey", dosage.nonref_dosage(g).cast("double").alias("nonref"), dosage.allele_dosage(g, F.lit(1)).cast("double").alias("first"))
+
+
+def _components(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Components of the vectors as scores of samples, and each label but 9 as a disease against label 9."""
+    e = t(spark, d, "embeddings").select(F.col("vec_id").alias("sample_id"), "label", F.posexplode("embedding").alias("k", "x"))
+    z = e.select("sample_id", F.concat(F.lit("P"), "k").alias("pgs_id"), F.round(F.col("x").cast("double"), 4).alias("z"))
+    labels = t(spark, d, "embeddings").select(F.col("vec_id").alias("sample_id"), "label")
+    diseases = spark.range(9).select(F.col("id").cast("int").alias("_d"))
+    own = labels.crossJoin(F.broadcast(diseases)).where("label = _d or label = 9")  # nine rows
+    return z, own.select("sample_id", F.concat(F.lit("D"), "_d").alias("disease"), (F.col("label") == F.col("_d")).cast("int").alias("label"))
+
+
+_STRESS_SQL = """e AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings),
+x AS (SELECT concat('D', n) AS disease, concat('P', k) AS pgs_id, round(CAST(x AS DOUBLE), 4) AS z, CASE WHEN label = n THEN 1 ELSE 0 END AS y FROM e, (SELECT unnest(range(0, 9)) AS n) WHERE label = n OR label = 9),
+rk AS (SELECT *, rank() OVER (PARTITION BY disease, pgs_id ORDER BY z) + (count(*) OVER (PARTITION BY disease, pgs_id, z) - 1) / 2.0::DOUBLE AS rk FROM x),
+au AS (SELECT disease, pgs_id, CAST(sum(y) AS BIGINT) AS n_pos, CAST(count(*) - sum(y) AS BIGINT) AS n_neg, (sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y) * (count(*) - sum(y))) AS a FROM rk GROUP BY 1, 2 HAVING stddev_pop(z) >= 1e-8 AND sum(y) > 0 AND sum(y) < count(*))"""
+
+
+@query(f"WITH {_STRESS_SQL} SELECT disease, pgs_id, n_pos, n_neg, round(greatest(a, 1 - a), 6) AS auc FROM au")
+def q68_stress_test(spark, d):
+    z, own = _components(spark, d)
+    return cohort.stress_test(z, own).select("disease", "pgs_id", "n_pos", "n_neg", r(F.col("auc")).alias("auc"))
+
+
+@query(f"""WITH {_STRESS_SQL}, s AS (SELECT disease, round(greatest(a, 1 - a), 9) AS o, CAST(substring(pgs_id, 2) AS INT) % 4 = 0 AS own, CAST(substring(disease, 2) AS INT) / 40.0::DOUBLE + 0.5 AS m FROM au)
+SELECT disease, round(any_value(m), 6) AS auc, count_if(own) AS n_own, CAST(count_if(own AND m > o) AS BIGINT) AS beaten_own, round(max(CASE WHEN own THEN o END), 6) AS best_own, count(*) AS n_all, CAST(count_if(m > o) AS BIGINT) AS beaten_all, round(max(o), 6) AS best_all, round(median(CASE WHEN own THEN m - o END), 6) + 0.0 AS median_margin FROM s GROUP BY 1""".replace("count_if(own) AS n_own", "CAST(count_if(own) AS BIGINT) AS n_own"))
+def q69_margins(spark, d):
+    """Made-up areas of models against those of single scores, of which every fourth is a disease's own."""
+    z, own = _components(spark, d)
+    single = cohort.stress_test(z, own).select("disease", "pgs_id", r(F.col("auc"), 9).alias("auc"))
+    model = single.select("disease").distinct().withColumn("auc", F.substring("disease", 2, 2).cast("int") / 40.0 + 0.5)
+    named = single.where(F.substring("pgs_id", 2, 3).cast("int") % 4 == 0).select("disease", "pgs_id")
+    out = cohort.compared(model, single, named)
+    return out.select("disease", "n_own", "beaten_own", "n_all", "beaten_all", *(r(F.col(c)).alias(c) for c in ("auc", "best_own", "best_all", "median_margin")))
+
+
+_DOTS_SQL = """e AS (SELECT vec_id, label, unnest(list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 3))) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings),
+m AS (SELECT label AS candidate, k, round(avg(x), 6) AS m FROM e GROUP BY 1, 2), p AS (SELECT vec_id, label, CAST(candidate AS VARCHAR) AS candidate, round(sum(x * m), 6) AS p FROM e JOIN m USING (k) GROUP BY 1, 2, 3)"""
+
+
+@query("""WITH p AS (SELECT vec_id, CAST(k AS VARCHAR) AS candidate, ((vec_id * 37 + k * 101) % 97) / 97.0::DOUBLE AS p FROM embeddings, (SELECT unnest(range(0, 10)) AS k)), q AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, candidate) AS n FROM p)
+SELECT vec_id, """ + ", ".join(f"round(max(p) FILTER (candidate = '{k}'), 6) AS p{k}" for k in range(10)) + ", " + ", ".join(f"max(candidate) FILTER (n = {k}) AS top{k}_disease, round(max(p) FILTER (n = {k}), 6) AS top{k}_p" for k in (1, 2, 3)) + " FROM q GROUP BY 1")
+def q70_prediction_table(spark, d):
+    """Made-up probabilities of ten diseases."""
+    every = t(spark, d, "embeddings").select("vec_id", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k"))
+    p = every.select("vec_id", F.col("k").cast("string").alias("disease"), (((F.col("vec_id") * 37 + F.col("k") * 101) % 97) / 97.0).alias("p"))
+    out = cohort.prediction_table(p, "vec_id", [str(k) for k in range(10)])
+    return out.select("vec_id", *(r(F.col(f"`{k}`")).alias(f"p{k}") for k in range(10)), *(c for k in (1, 2, 3) for c in (F.col(f"top{k}_disease"), r(F.col(f"top{k}_p")).alias(f"top{k}_p"))))
+
+
+@query(f"""WITH {_DOTS_SQL}, x AS (SELECT candidate AS disease, CAST(vec_id % 5 AS INT) AS fold, p, CASE WHEN CAST(label AS VARCHAR) = candidate THEN 1 ELSE 0 END AS y FROM p),
+rk AS (SELECT *, rank() OVER (PARTITION BY disease, fold ORDER BY p) + (count(*) OVER (PARTITION BY disease, fold, p) - 1) / 2.0::DOUBLE AS rk FROM x),
+a AS (SELECT disease, fold, (sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y) * (count(*) - sum(y))) AS auc FROM rk GROUP BY 1, 2 HAVING sum(y) > 0 AND sum(y) < count(*)) SELECT disease, round(avg(auc), 6) AS auc, count(*) AS folds FROM a GROUP BY 1""")
+def q71_fold_areas(spark, d):
+    p = _dots(spark, d).select(F.col("candidate").cast("string").alias("disease"), (F.col("vec_id") % 5).cast("int").alias("fold"), "p", (F.col("label") == F.col("candidate")).cast("int").alias("label"))
+    return cohort.fold_areas(p).select("disease", r(F.col("auc")).alias("auc"), "folds")
+
+
+@query("""WITH q AS (SELECT vec_id, CAST(vec_id % 101 AS DOUBLE) AS total FROM embeddings WHERE vec_id % 7 <> 0)
+SELECT label AS module, vec_id AS pgs_id, round(CAST(embedding[1] AS DOUBLE) * coalesce(total / (SELECT max(total) FROM q), 0.5), 6) + 0.0 AS weight FROM embeddings LEFT JOIN q USING (vec_id)""")
+def q72_module_weights(spark, d):
+    e = t(spark, d, "embeddings")
+    members = e.select(F.col("label").alias("module"), F.col("vec_id").alias("pgs_id"), F.get("embedding", F.lit(0)).cast("double").alias("loading"))
+    quality = e.where("vec_id % 7 <> 0").select(F.col("vec_id").alias("pgs_id"), (F.col("vec_id") % 101).cast("double").alias("total"))
+    return cohort.module_weights(members, quality).select("module", "pgs_id", r(F.col("weight")).alias("weight"))
+
+
+@query("""WITH x AS (SELECT CASE WHEN quality = 1 THEN 'likely' ELSE 'discard' END AS label, CASE toxic WHEN 1 THEN 'estimated' ELSE 'measured' END AS performance_source, doc_id % 101 AS total FROM labels)
+SELECT label, performance_source, count(*) AS n, round(avg(total), 6) AS mean, round(median(total), 6) AS median, min(total) AS least, max(total) AS most FROM x GROUP BY 1, 2""")
+def q73_quality_summary(spark, d):
+    x = t(spark, d, "labels").select(F.when(F.col("quality") == 1, "likely").otherwise("discard").alias("label"), F.when(F.col("toxic") == 1, "estimated").otherwise("measured").alias("performance_source"), (F.col("doc_id") % 101).alias("total"))
+    return report.quality_summary(x).select("label", "performance_source", "n", r(F.col("mean")).alias("mean"), r(F.col("median")).alias("median"), "least", "most")
