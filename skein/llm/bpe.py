@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import release, table, written
+from skein.llm.common import keeps, only, release, table, written
 from skein.llm.transducer import Transducer, compile_transducer
 
 #: White space as Unicode has it.
@@ -41,9 +41,9 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: A coarser cut that never crosses a border of the fine one.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-CACHE = 150_000
+CACHE = 80_000
 #: Characters whose words are encoded at once.
-GROUP = 2 << 20
+GROUP = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -371,12 +371,16 @@ class _Shipped:
         self.key = hash((len(lexicon), hashlib.sha256(lexicon).hexdigest()))
 
     def encoder(self) -> Encoder:
+        only("bpe")
         if self.key not in self._of:
             self._of.clear()
             self._of[self.key] = Encoder(*pickle.loads(self.data.value))
         return self._of[self.key]
 
 
+keeps("bpe", _Shipped._of.clear)
+
+
 def _groups(column: pa.Array) -> Iterator[list[str | None]]:
     """The texts of a column, a few MB at a time."""
     texts, held = [], 0

@@ -7,6 +7,7 @@ import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,6 +87,21 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: What operators keep in a Python worker from task to task: by name, how to drop it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(name: str, drop: Callable[[], None]) -> None:
+    _kept[name] = drop
+
+
+def only(*names: str) -> None:
+    """At the start of a task: what other operators have kept in this worker goes."""
+    for name, drop in _kept.items():
+        if name not in names:
+            drop()
+
+
 def release() -> None:
     """Gives a Python worker's freed memory back to the system, at the end of a task: the worker waits for the next one beside others."""
     pa.default_memory_pool().release_unused()

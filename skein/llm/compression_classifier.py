@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.common import table, written
+from skein.llm.common import only, release, table, written
 
 BLOCK = 2048
 LEVEL = 3
@@ -152,10 +152,12 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         scorer = shipped.value.scorer()
         for batch in batches:
             scores = [scorer.score(t.as_py()) for t in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], [*batch.schema.names, "score", "predicted"])
+        release()
 
     return docs.mapInArrow(run, schema)
 
@@ -165,10 +167,12 @@ def scores(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only()
         scorer = shipped.value.scorer()
         for batch in batches:
             found = [scorer.score(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64()), pa.array([int(s >= 0.5) for s in found], pa.int32())], [key, "score", "predicted"])
+        release()
 
     return docs.select(key, "text").mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, score double, predicted int")
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm.common import release, scratch, table, written
+from skein.llm.common import only, release, scratch, table, written
 from skein.llm.components import components
 from skein.llm.shingles import fresh_key, set_id, shingle_sets, words_of
 
@@ -105,6 +105,7 @@ def _read(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[tuple[
 
 def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """Rows (0, id, set, n, bitmap, size class) of all documents and (1, null, shingle, count, null, null) of the task's frequent shingles."""
+    only("shingles")
     names, counts, docs = [], [], 0
     held, begins = 0, size_classes(percent)
 
@@ -137,6 +138,7 @@ def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tupl
 
 def _prefixes(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tuple[int, int], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(shingle, salt, set, first, p) of what may be among a set's first p: all of the first class (so many as first says), and as many others as it lacks. Salt is 0 but for frequent shingles."""
+    only("shingles")
     seen: set[int] = set()
     out = tokens = None
     limit = first_class(percent) << 56
@@ -239,6 +241,7 @@ class _Near:
 
 def _near(batches: Iterator[pa.RecordBatch], percent: int, held_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Edges (u, v) of rows (shingle, size, name, bits), ordered by shingle and size."""
+    only("shingles")
     near, held, batch = _Near(percent), None, None
 
     def found(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -371,6 +374,7 @@ def trie_links(sets: list[np.ndarray], percent: int = PERCENT, known: list[int]
 
 def _fetch(batches: Iterator[pa.RecordBatch], size: int, key: tuple[int, int]) -> Iterator[pa.RecordBatch]:
     """(root, block, blocks, name, shingles) of candidate documents (root, block, blocks, name, text)."""
+    only("shingles")
     for batch, texts in _read(batches, 4):
         sets = shingle_sets(texts, size, key)
         keep = [k for k, (s, name) in enumerate(zip(sets, batch.column(3).to_pylist())) if set_id(s) == name]
@@ -381,6 +385,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], size: int, key: tuple[int, int]) -
 
 def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Edges (u, v) of rows (key, name, class, shingles), ordered by key and name; a set that comes twice counts once."""
+    only("shingles")
     key, names, known, sets = None, [], [], []
 
     def edges() -> pa.RecordBatch:

@@ -35,11 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.common import release, scratch, table, written
+from skein.llm.common import only, release, scratch, table, written
 
 WINDOW = 10
 #: Words of a segment; a longer document is a segment of its own.
-SEGMENT_WORDS = 1_500_000
+SEGMENT_WORDS = 1_000_000
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 INDEX = "segment long, rows long, ids binary, starts binary, counts binary, terms array<binary>, offsets binary, positions binary"
 
@@ -66,6 +66,7 @@ def _index(batches: Iterator[pa.RecordBatch], segment_words: int) -> Iterator[pa
     def fresh() -> tuple:
         return [], [], [], defaultdict(count().__next__), 0
 
+    only()
     number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
     ids, counts, codes, terms, total = fresh()
     for batch in batches:
@@ -213,6 +214,7 @@ HITS = "doc_id long, n_words long, spans array<array<long>>, items array<long>,
 
 def _search(batches: Iterator[pa.RecordBatch], block: list[tuple[bytes, list[int]]], slack: int, all_rows: bool) -> Iterator[pa.RecordBatch]:
     """Rows of HITS: all documents, or those with a hit."""
+    only()
     windows = [(tuple(w.split(b" ")), items) for w, items in block]
     phrases, lengths = [w for w, _ in windows], np.array([len(w) for w, _ in windows], np.int64)
     for batch in batches:
@@ -242,6 +244,9 @@ def _search(batches: Iterator[pa.RecordBatch], block: list[tuple[bytes, list[int
                 ids, pa.array(seg.counts[rows], pa.int64()), pa.array([spans.get(k, []) for k in rows], pa.list_(pa.list_(pa.int64()))),
                 *(pa.array([sorted(x.get(k, ())) for k in rows], pa.list_(pa.int64())) for x in (items, near)), pa.array([row["segment"]] * len(rows), pa.int64()), pa.array(rows, pa.int64())],
                 ["doc_id", "n_words", "spans", "items", "near_items", "segment", "_row"])
+            seg = row = spans = items = near = None
+        batch = None
+    release()
 
 
 def search(index: DataFrame, items: DataFrame, size: int = WINDOW, block_windows: int = 100_000, slack: int = 0) -> DataFrame:

@@ -16,6 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from skein.llm.common import keeps
+
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 #: Below 2^31, so that products fit into 64 bits and sums over CHUNK bytes do.
 PRIMES = (2_147_483_647, 2_147_483_629)
@@ -23,6 +25,7 @@ KEY = (1_234_567_891, 987_654_323)
 #: Bytes that are hashed at once.
 CHUNK = 1 << 19
 _powers: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+keeps("shingles", _powers.clear)
 
 
 def fresh_key() -> tuple[int, int]:
