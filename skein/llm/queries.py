@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skein.llm import bpe, chat_format, compression_classifier, html_extract, ngram_join, positional_index, quality_rules, sharding, token_rollup, url_filter
+from skein.llm import bpe, chat_format, collocations, compression_classifier, html_extract, line_dedup, ngram_join, positional_index, quality_rules, sharding, token_rollup, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_rollup": token_rollup.query,
         "op9_positional_index": positional_index.query,
         "op10_ngram_join": ngram_join.query,
+        "op11_collocations": collocations.query,
+        "op12_line_dedup": line_dedup.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_token_rollup": token_rollup.SQL}
+    return {"op8_token_rollup": token_rollup.SQL, "op11_collocations": collocations.SQL, "op12_line_dedup": line_dedup.SQL}
