@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -12,60 +14,68 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def extended_svd(s: np.ndarray, v: np.ndarray, u: np.ndarray, sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Singular values and right vectors of a decomposition (u, s, v) with one more column."""
-    inside = u.T @ sample
-    rest = sample - u @ inside
-    norm = np.linalg.norm(rest)
-    rest = rest / norm if norm > 1e-10 else np.eye(1, len(rest))[0]
-    k = len(s)
-    core = np.zeros((k + 1, k + 1))
-    core[:k, :k], core[:k, k], core[k, k] = np.diag(s), inside, rest @ sample
-    _, values, turned = np.linalg.svd(core)
-    wide = np.zeros((len(v) + 1, k + 1))
-    wide[:-1, :k], wide[-1, k] = v, 1.0
-    return values, wide @ turned.T
-
-
-def similarity_transform(target: np.ndarray, source: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-    """Rotation, scale and shift that bring source closest to target."""
-    ts, ss = target.mean(0), source.mean(0)
-    left, values, right = np.linalg.svd((target - ts).T @ (source - ss), full_matrices=False)
-    rotation = (left @ right).T
-    scale = values.sum() / ((source - ss) ** 2).sum()
-    return rotation, scale, ts - scale * ss @ rotation
-
-
-def padded_transform(target: np.ndarray, source: np.ndarray, rounds: int = 10_000, tolerance: float = 1e-6) -> tuple[np.ndarray, float, np.ndarray]:
-    """similarity_transform where the source has more columns: the target's missing ones are filled by what the last transform gives, until they settle."""
-    extra = source.shape[1] - target.shape[1]
-    if not extra:
-        return similarity_transform(target, source)
-    filled = np.zeros((len(target), extra))
-    for _ in range(rounds):
-        rotation, scale, shift = similarity_transform(np.hstack([target, filled]), source)
-        new = (source @ rotation * scale + shift)[:, target.shape[1] :]
-        spread = ((new - new.mean(0)) ** 2).sum()
-        if spread <= 0 or ((new - filled) ** 2).sum() / spread < tolerance:
-            break
-        filled = new
-    return rotation, scale, shift
+class Places(NamedTuple):
+    """The reference samples' places as projection needs them: their number, their mean and their Gram matrix about it. None of it grows with the samples."""
+
+    n: int
+    mean: np.ndarray
+    gram: np.ndarray
+
+    @classmethod
+    def of(cls, v: np.ndarray) -> Places:
+        """Of places as rows (right vectors of a decomposition)."""
+        about = v - v.mean(0)
+        return cls(len(v), v.mean(0), about.T @ about)
+
+    @classmethod
+    def standard(cls, n: int, dims: int) -> Places:
+        """Of orthonormal, centred places: those of a matrix whose rows have mean 0."""
+        return cls(n, np.zeros(dims), np.eye(dims))
 
+    def first(self, dims: int) -> Places:
+        return Places(self.n, self.mean[:dims], self.gram[:dims, :dims])
 
-def project_sample(u: np.ndarray, s: np.ndarray, v: np.ndarray, sample: np.ndarray, dims: int = 10, study_dims: int = 20, online_dims: int = 40) -> np.ndarray:
-    """Components of a standardised sample in the reference's space: extend the decomposition by it, then bring the reference's new places onto the old ones."""
-    values, places = extended_svd(s[:online_dims], v[:, :online_dims], u[:, :online_dims], sample)
-    moved = places[:, :study_dims] * values[:study_dims]
-    rotation, scale, shift = padded_transform(v[:, :dims] * s[:dims], moved[:-1])
-    return (moved[-1] @ rotation * scale + shift)[:dims]
+
+def project_sample(u: np.ndarray, s: np.ndarray, places: Places, sample: np.ndarray, dims: int = 10, study_dims: int = 20, online_dims: int = 40, rounds: int = 10_000, tolerance: float = 1e-6) -> np.ndarray:
+    """Components of a standardised sample in the reference's space, by online augmentation of its decomposition and a Procrustes alignment to the old places.
+
+    The reference's new places are its old ones (v) times a small matrix, and so are the places to align to; means, cross products
+    and distances between them follow from v's mean and Gram matrix. Where fewer components are wanted than aligned, the missing ones
+    are what the last alignment gives (v times ``fill`` plus ``level``), until they settle.
+    """
+    k = min(online_dims, len(s))
+    n, mean, gram = places.first(k)
+    inside = u[:, :k].T @ sample
+    outside = np.linalg.norm(sample - u[:, :k] @ inside)
+    _, values, turned = np.linalg.svd(np.block([[np.diag(s[:k]), inside[:, None]], [np.zeros((1, k)), np.full((1, 1), outside)]]))
+    wide = min(study_dims, k + 1)
+    moved = turned.T[:, :wide] * values[:wide]
+    new, own = moved[:k], moved[k]
+    inner = gram @ new
+    size = float((new * inner).sum())
+    if size <= 0:
+        return np.zeros(dims)
+    dims = min(dims, k)
+    target, fill, level = np.diag(s[:k])[:, :dims], np.zeros((k, max(0, wide - dims))), np.zeros(max(0, wide - dims))
+    for _ in range(rounds):
+        left, cross, right = np.linalg.svd(np.hstack([target, fill]).T @ inner, full_matrices=False)
+        turn = (right.T @ left.T) * (cross.sum() / size)
+        shift = np.r_[mean @ target, mean @ fill + level] - mean @ new @ turn
+        if wide <= dims:
+            break
+        change, step = (new @ turn)[:, dims:] - fill, shift[dims:] - level
+        fill, level = fill + change, shift[dims:]
+        spread = float((fill * (gram @ fill)).sum())
+        far = float((change * (gram @ change)).sum()) + n * float(((mean @ change + step) ** 2).sum())
+        if spread <= 0 or far / spread < tolerance:
+            break
+    return (own @ turn + shift)[:dims]
 
 
-def reference_space(df: DataFrame, vector: str, mean: list[float], std: list[float], dims: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(u, s, v) of all vectors, standardised by component: directions, singular values and places, for project_sample.
+def reference_space(df: DataFrame, vector: str, mean: list[float], std: list[float], dims: int) -> tuple[np.ndarray, np.ndarray, Places]:
+    """(u, s, places) of all vectors, standardised by component: directions, singular values and places, for project_sample.
 
-    u and s come from the Gram matrix of the components, summed in the tasks. project_sample uses the
-    places only through their count-free sums: their Gram matrix (1) and, as components are centred,
-    their mean (0). So v has dims + 1 rows of the same sums, not one for each vector.
+    u and s come from the Gram matrix of the components, summed in the tasks. As components are centred, so are the places, whose Gram matrix is 1.
     """
     n, center, scale = len(mean), np.array(mean, float), np.array(std, float)
 
@@ -90,14 +100,12 @@ def reference_space(df: DataFrame, vector: str, mean: list[float], std: list[flo
     values, vectors = values[::-1], vectors[:, ::-1]
     k = min(dims, int((values > 1e-10 * max(values[0], 1e-300)).sum())) if n else 0
     u = vectors[:, :k] * np.where(vectors[np.abs(vectors).argmax(0), np.arange(n)] < 0, -1.0, 1.0)[:k]
-    # Orthonormal columns that are orthogonal to a constant one.
-    places = np.linalg.qr(np.hstack([np.ones((k + 1, 1)), np.eye(k + 1)[:, :k]]))[0][:, 1:]
-    return u, np.sqrt(values[:k]), places
+    return u, np.sqrt(values[:k]), Places.standard(df.count(), k)
 
 
-def project_samples(standardised: DataFrame, u: np.ndarray, s: np.ndarray, v: np.ndarray, variant: str = "variant_index", sample: str = "sample_id", value: str = "w", dims: int = 10) -> DataFrame:
+def project_samples(standardised: DataFrame, u: np.ndarray, s: np.ndarray, places: Places, variant: str = "variant_index", sample: str = "sample_id", value: str = "w", dims: int = 10) -> DataFrame:
     """(sample, pc array) of long standardised rows. A sample's vector is one group; the reference's matrices (of fixed size) are broadcast."""
-    shipped = standardised.sparkSession.sparkContext.broadcast((u, s, v))
+    shipped = standardised.sparkSession.sparkContext.broadcast((u, s, places))
 
     def one(key, part: pd.DataFrame) -> pd.DataFrame:
         a, b, c = shipped.value

@@ -124,7 +124,7 @@ def project(genotypes: DataFrame, reference: Reference, least: int = 1000) -> Da
     found = _by_sample(panel, target)
     enough = found.groupBy("sample_id").agg(F.count_if(F.col("matched") != "none").alias("n_found")).where(F.col("n_found") >= least)
     z = found.join(enough, "sample_id").select("sample_id", "variant_index", standardised(F.col("dosage"), F.col("mean"), F.col("std")).alias("w"))
-    return ml.project_samples(z, reference.u, reference.s, reference.v, dims=min(reference.dims, len(reference.s))).join(enough, "sample_id")
+    return ml.project_samples(z, reference.u, reference.s, ml.Places.of(reference.v), dims=min(reference.dims, len(reference.s))).join(enough, "sample_id")
 
 
 def _by_sample(panel: DataFrame, target: DataFrame) -> DataFrame:

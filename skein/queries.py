@@ -760,8 +760,7 @@ def q63_projection_of_samples(spark, d):
     shape = e.groupBy("variant_index").agg(F.avg(F.col("x").cast("double")).alias("m"), F.stddev_pop(F.col("x").cast("double")).alias("q"))
     rows = sorted(tuple(r) for r in shape.collect())  # one for each component
     z = e.join(F.broadcast(spark.createDataFrame(rows, "variant_index int, m double, q double")), "variant_index").select("sample_id", "variant_index", dosage.standardised(F.col("x").cast("double"), F.col("m"), F.col("q")).alias("w"))
-    u, s, v = ml.reference_space(t(spark, d, "embeddings"), "embedding", [r[1] for r in rows], [r[2] for r in rows], 40)
-    return ml.project_samples(z, u, s, v)
+    return ml.project_samples(z, *ml.reference_space(t(spark, d, "embeddings"), "embedding", [r[1] for r in rows], [r[2] for r in rows], 40))
 
 
 @query()

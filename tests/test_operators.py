@@ -132,17 +132,48 @@ def test_jaccard_and_stability(spark):
     assert graph.retained(graph.stability(a, b)).count() == 1
 
 
+def _by_the_formulas(u, s, v, b, dims, study, online):
+    """Online augmentation, decomposition and Procrustes as published, over the whole matrices: decompose [U S V', b], then align
+    the reference's new places to its old ones, with columns of their own for the components that the old ones lack."""
+    x = np.c_[(u[:, :online] * s[:online]) @ v[:, :online].T, b]
+    _, d, wt = np.linalg.svd(x, full_matrices=False)
+    study = min(study, online + 1, len(d))
+    moved = (wt.T * d)[:, :study]
+    old, new = v[:, :dims] * s[:dims], moved[:-1]
+    extra = np.zeros((len(old), study - dims))
+    while True:
+        target = np.hstack([old, extra])
+        l, c, r = np.linalg.svd((target - target.mean(0)).T @ (new - new.mean(0)))
+        turn = r.T @ l.T * c.sum() / ((new - new.mean(0)) ** 2).sum()
+        fitted = (new - new.mean(0)) @ turn + target.mean(0)
+        if study == dims or ((fitted[:, dims:] - extra) ** 2).sum() < 1e-6 * ((fitted[:, dims:] - fitted[:, dims:].mean(0)) ** 2).sum():
+            return ((moved[-1] - new.mean(0)) @ turn + target.mean(0))[:dims]
+        extra = fitted[:, dims:]
+
+
+@pytest.mark.parametrize("centred", [True, False])
+def test_projection_equals_the_formulas(centred):
+    rng = np.random.default_rng(6)
+    for dims, study, online in ((3, 6, 40), (5, 5, 30), (10, 20, 40), (2, 4, 4)):
+        z = rng.normal(size=(120, 60)) + 3 * rng.normal(size=(120, 3)) @ rng.normal(size=(3, 60))
+        z = z - z.mean(1, keepdims=True) if centred else z + 0.3
+        u, s, vt = np.linalg.svd(z, full_matrices=False)
+        u, s, v = u[:, :online], s[:online], vt[:online].T
+        places = ml.Places.of(v)
+        if centred:
+            assert np.allclose(places.mean, 0) and np.allclose(places.gram, np.eye(online)[: len(s), : len(s)])
+        for b in (z[:, 0], rng.normal(size=120), np.zeros(120), 100 * z[:, 1]):
+            assert ml.project_sample(u, s, places, b, dims, study, online) == pytest.approx(_by_the_formulas(u, s, v, b, dims, study, online), rel=1e-9, abs=1e-9)
+
+
 def test_projection_of_reference_sample_stays():
     rng = np.random.default_rng(6)
     z = rng.normal(size=(300, 60)) + 3 * rng.normal(size=(300, 3)) @ rng.normal(size=(3, 60))
     u, s, vt = np.linalg.svd(z, full_matrices=False)
     places = vt[:3].T * s[:3]
-    got = np.array([ml.project_sample(u, s, vt.T, z[:, k], 3, 6, 40) for k in range(5)])
+    got = np.array([ml.project_sample(u, s, ml.Places.of(vt.T), z[:, k], 3, 6, 40) for k in range(5)])
     assert np.abs(got - places[:5]).max() < 0.2 * np.abs(places).max()
-    values, wide = ml.extended_svd(s[:40], vt[:40].T, u[:, :40], z[:, 0])
-    assert len(values) == 41 and wide.shape == (61, 41) and np.allclose(wide.T @ wide, np.eye(41))
-    turn, scale, shift = ml.similarity_transform(places, 2 * places + 1)
-    assert scale == pytest.approx(0.5) and np.allclose((2 * places + 1) @ turn * scale + shift, places)
+    assert ml.project_sample(u[:, :0], s[:0], ml.Places.standard(60, 0), z[:, 0], 3).tolist() == [0, 0, 0]
 
 
 def test_projection_onto_all_samples(spark, tmp_path):
@@ -156,7 +187,7 @@ def test_projection_onto_all_samples(spark, tmp_path):
     got = {int(r.sample_id): np.abs(r.pc) for r in Q["q63_projection_of_samples"](spark, str(tmp_path)).collect()}
     assert len(got) == 260
     for k in (0, 77, 199, 200, 259):
-        want = ml.project_sample(u[:, :40], s[:40], vt[:40].T, z[:, k], 10, 12)
+        want = ml.project_sample(u[:, :40], s[:40], ml.Places.of(vt[:40].T), z[:, k], 10, 12)
         assert got[k] == pytest.approx(np.abs(want), rel=1e-5, abs=1e-6)
 
 
