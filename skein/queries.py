@@ -6,6 +6,7 @@ model = l_suppkey modulo 3. Doubles are rounded on both sides and + 0.0 makes a
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from skein.functions import clean, domains, keys, rules
 from skein.operators import dosage, graph, match, ml, resample, reshape, score, stats
 from skein.plans import cohort, report, scoring
-from skein.session import cut
+from skein.session import cut, shared_dir
+from skein.sources import blocks
 from skein.sources import text as text_sources
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -817,6 +819,15 @@ rk AS (SELECT *, rank() OVER (PARTITION BY disease, pgs_id ORDER BY z) + (count(
 au AS (SELECT disease, pgs_id, CAST(sum(y) AS BIGINT) AS n_pos, CAST(count(*) - sum(y) AS BIGINT) AS n_neg, (sum(CASE WHEN y = 1 THEN rk END) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE) / (sum(y) * (count(*) - sum(y))) AS a FROM rk GROUP BY 1, 2 HAVING stddev_pop(z) >= 1e-8 AND sum(y) > 0 AND sum(y) < count(*))"""
 
 
+@query(SQL["q52_parse_calls"])
+def q74_block_calls(spark, d):
+    """The calls of q52, written as a block-compressed file and read by a task for each 8 KB of it."""
+    path = f"{shared_dir(spark)}/calls-{uuid.uuid4().hex}"
+    blocks.write_blocks(_call_lines(spark, d).repartitionByRange(1, "line_no").sortWithinPartitions("line_no"), path)  # one call file
+    g = text_sources.read_calls(spark, path, split_bytes=8192)
+    return g.select("sample_id", "build", F.col("pos").cast("long").alias("pos"), "ref", "alt", F.col("dosage").cast("double").alias("dosage"), "rsid", keys.chromosome(F.col("chrom")).alias("chrom"))
+
+
 @query(f"WITH {_STRESS_SQL} SELECT disease, pgs_id, n_pos, n_neg, round(greatest(a, 1 - a), 6) AS auc FROM au")
 def q68_stress_test(spark, d):
     z, own = _components(spark, d)

@@ -1,7 +1,8 @@
 """Text formats: variant calls, score files, variant lists, panels, results.
 
 Everything is read with Spark's own readers, so paths may be folders, globs and any file system
-Spark knows; gzip files are read whole by one task each and dealt out afterwards. Line order is
+Spark knows; gzip files are read whole by one task each and dealt out afterwards, unless they are read by
+blocks (``read_calls``, ``blocks.block_lines``). Line order is
 kept by an id where the meaning depends on it (headers first, first row wins).
 """
 
@@ -19,6 +20,7 @@ from skein.functions import clean
 from skein.functions.keys import complement, fnv14, variant_key
 from skein.operators.dosage import allele_dosage, expand_alternatives
 from skein.operators.match import first_wins
+from skein.sources.blocks import SPLIT, block_lines
 
 VCF_FIXED = ("chrom", "pos", "id", "ref", "alt")
 
@@ -43,6 +45,11 @@ def read_vcf(spark: SparkSession, path: str, sample_index: int = 0, missing: str
     return parse_vcf(lines(spark, path), sample_index, missing, hashed)
 
 
+def read_calls(spark: SparkSession, path: str, sample_index: int = 0, missing: str = "zero", hashed: bool = True, split_bytes: int = SPLIT, regions: list[str] | None = None, in_order: bool = False) -> DataFrame:
+    """read_vcf of block-compressed files: many tasks read one file, and only the sample's column and, if stated, the regions leave them."""
+    return parse_vcf(block_lines(spark, path, split_bytes, [*range(9), 9 + sample_index], regions, in_order), 0, missing, hashed)
+
+
 def parse_vcf(text: DataFrame, sample_index: int = 0, missing: str = "zero", hashed: bool = True) -> DataFrame:
     """Genotypes of a sample: sample_id, build, vkey, chrom, pos, ref, alt, dosage, rsid, line_no; one row for each alternative allele, the first of equal variants.
 
