@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.session import cut
+from skein.session import written
 
 
 def pair_correlations(values: DataFrame, item: str, unit: str, z: str) -> DataFrame:
@@ -84,13 +84,13 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     Each round is written to the shared folder, which cuts it off from the one before.
     """
     both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    both = cut(both)
-    label = cut(both.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("component")).withColumnRenamed("src", "node"))
+    both = written(both)
+    label = written(both.groupBy("src").agg(F.least(F.col("src"), F.min("dst")).alias("component")).withColumnRenamed("src", "node"))
     for _ in range(rounds):
         near = both.join(label.select(F.col("node").alias("dst"), "component"), "dst").groupBy("src").agg(F.min("component").alias("_near"))
         spread = label.join(near, label.node == near.src).select("node", F.least("component", "_near").alias("component"))
         jump = spread.select(F.col("node").alias("component"), F.col("component").alias("_up"))
-        shorter = cut(spread.join(jump, "component", "left").select("node", F.least("component", F.coalesce("_up", "component")).alias("component")))
+        shorter = written(spread.join(jump, "component", "left").select("node", F.least("component", F.coalesce("_up", "component")).alias("component")))
         changed = shorter.join(label.select("node", F.col("component").alias("_old")), "node").where("component <> _old").limit(1).count()
         label = shorter
         if not changed:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.operators.regression import normalising_fits
+
 MAD_SCALE = 1.4826
 
 
@@ -168,50 +169,6 @@ def coefficients(values: DataFrame, design: DataFrame, columns: list[str], value
     return sums.select(by, beta(0).alias("intercept"), F.array(*(beta(i) for i in range(1, len(xs)))).alias("coefs"))
 
 
-def gamma_fit(x: np.ndarray, y: np.ndarray, alpha: float = 1.0, rounds: int = 1000) -> np.ndarray:
-    """Coefficients (intercept first) of a gamma regression with a log link and a squared penalty on all but the intercept: Newton's method on half the mean deviance."""
-    design = np.c_[np.ones(len(x)), x]
-    penalty = np.r_[0.0, np.full(x.shape[1], alpha)]
-    beta = np.zeros(design.shape[1])
-    beta[0] = np.log(max(y.mean(), 1e-300))
-
-    def loss(b):
-        eta = design @ b
-        return float(np.mean(y * np.exp(-eta) + eta) + 0.5 * (penalty * b * b).sum())
-
-    now = loss(beta)
-    for _ in range(rounds):
-        ratio = y * np.exp(-(design @ beta))
-        gradient = design.T @ (1 - ratio) / len(y) + penalty * beta
-        hessian = (design * ratio[:, None]).T @ design / len(y) + np.diag(penalty)
-        step = np.linalg.lstsq(hessian, gradient, rcond=None)[0]
-        size = 1.0
-        while size > 1e-8 and not (new := loss(beta - size * step)) <= now:
-            size /= 2
-        beta = beta - size * step
-        if abs(now - new) < 1e-14 and np.abs(gradient).max() < 1e-10:
-            break
-        now = new
-    return beta
-
-
-def normalising_fit(scores: np.ndarray, pcs: np.ndarray) -> dict:
-    """What normalises a score against reference scores and their components: means, a least-squares fit on standardised components, and a gamma fit of the squared residuals (none if one is 0 or it fails)."""
-    center, mean, std = scores.mean(), pcs.mean(0), pcs.std(0)
-    std = np.where(std == 0, 1.0, std)
-    x = (pcs - mean) / std
-    design = np.c_[np.ones(len(x)), x]
-    beta = np.linalg.lstsq(design, scores - center, rcond=None)[0]
-    residual = scores - center - design @ beta
-    squared, gamma = (residual - residual.mean()) ** 2, None
-    if (squared > 0).all():
-        try:
-            gamma = gamma_fit(x, squared).tolist()
-        except (np.linalg.LinAlgError, FloatingPointError):
-            pass
-    return {"_center": float(center), "_pc_mean": mean.tolist(), "_pc_std": std.tolist(), "_beta": beta.tolist(), "_deviation": float(residual.std()), "_gamma": gamma}
-
-
 def percentiles_of(targets: DataFrame, ref: DataFrame, by: list[str], value: str = "score", out: str = "percentile") -> DataFrame:
     """targets with the percentile of their value among the reference's values of their group, null without any.
 
@@ -231,21 +188,15 @@ def normalise(ref_scores: DataFrame, ref_pcs: DataFrame, targets: DataFrame, n_p
     ref_scores: pgs_id, sample_id, score. ref_pcs: sample_id, population, pc (array). targets:
     sample_id, pgs_id, score, population, pc. Result: sample_id, pgs_id, z_population,
     percentile, z_norm1 (by the residuals' deviation), z_norm2 (by the predicted variance). Population
-    statistics are plain aggregations. The two regressions of a score are fitted once, in a grouped
-    pandas function whose size is that of the reference panel, and applied to targets as expressions.
+    statistics are plain aggregations, the two regressions of all scores are fitted together by rounds of
+    grouped aggregation, and their fits are applied to targets as expressions.
     """
     ref = ref_scores.join(ref_pcs, "sample_id")
     stats = ref.groupBy("pgs_id", "population").agg(F.avg("score").alias("_mean"), F.stddev_pop("score").alias("_std"))
     # Renamed, so that targets may come from the same tables as the reference.
     aimed = targets.select(*(F.col(c).alias(c) for c in ("sample_id", "pgs_id", "score", "population", "pc")))
     placed = percentiles_of(aimed, ref, ["pgs_id", "population"]).join(stats, ["pgs_id", "population"], "left")
-    fields = "_center double, _pc_mean array<double>, _pc_std array<double>, _beta array<double>, _deviation double, _gamma array<double>"
-
-    def fit(key, part: pd.DataFrame) -> pd.DataFrame:
-        pcs = np.array([p[:n_pcs] for p in part["pc"]], float).reshape(len(part), -1)
-        return pd.DataFrame([{"pgs_id": key[0], **normalising_fit(part["score"].to_numpy(float), pcs)}])
-
-    fits = ref.select("pgs_id", "score", "pc").groupBy("pgs_id").applyInPandas(fit, f"pgs_id string, {fields}")
+    fits = normalising_fits(ref.select("pgs_id", "score", "pc"), n_pcs)
     shifted = F.zip_with(F.slice("pc", 1, n_pcs), "_pc_mean", lambda a, b: a.cast("double") - b)
     x = placed.join(fits, "pgs_id", "left").withColumn("_x", F.zip_with(shifted, "_pc_std", lambda a, b: a / b))
     at = lambda c: F.get(c, F.lit(0)) + F.aggregate(F.zip_with("_x", F.slice(c, 2, n_pcs), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)

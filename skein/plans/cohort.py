@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skein.operators import graph, ml, resample, stats
 from skein.operators.reshape import top_k_accuracy, wide
-from skein.session import cut
+from skein.session import written
 from skein.sources import sinks, text
 
 POPULATIONS = ("AFR", "AMR", "CSA", "EAS", "EUR", "MID")
@@ -137,7 +137,7 @@ def ranked_accuracy(predictions: DataFrame, truth: DataFrame, unit: str, ks: tup
 def permutation_null(features: DataFrame, unit: str, label: str, diseases: list[str], draws: int = 100, healthy: str = "Healthy", folds: int = 5, trees: int = 200, depth: int = 8, seed: int = 100) -> DataFrame:
     """(draw, top1, top3): accuracies of models refitted on disease labels dealt anew among the diseased; the healthy keep theirs."""
     sick = features.where(F.col(label) != healthy).select(unit, label)
-    dealt = cut(resample.permuted(sick, unit, label, draws, seed))
+    dealt = written(resample.permuted(sick, unit, label, draws, seed))
     rest = features.drop(label)
 
     def one(draw: int) -> tuple[int, float, float]:
@@ -185,30 +185,30 @@ def run(spark: SparkSession, jobs: str, manifest: str, ref_scores: DataFrame, re
     with sinks.RunRecord(spark, out, jobs=jobs, manifest=manifest, k=k, threshold=threshold, boots=boots, folds=folds, trees=trees, permutations=permutations, seed=seed) as record:
         with record.step("scores of the cohort"):
             rows = text.read_manifest(spark, manifest)
-            people = cut(people_of(spark, jobs, rows, n_pcs))
+            people = written(people_of(spark, jobs, rows, n_pcs))
             text.read_jobs(spark, jobs, rows).withColumnRenamed("barcode", "sample_id").write.mode("overwrite").parquet(f"{out}/z_scores")
             z = spark.read.parquet(f"{out}/z_scores")
             ids = sorted(r.pgs_id for r in z.select("pgs_id").distinct().collect())  # the columns of the wide table
             sinks.write_tsv(wide(z, "sample_id", "pgs_id", "z", ids), f"{out}/z_matrix")
             sinks.write_tsv(people.select("sample_id", "label", *(F.try_element_at("pop_probs", F.lit(p)).alias(f"RF_P_{p}") for p in POPULATIONS)), f"{out}/patient_ancestry")
         with record.step("atlas"):
-            residual = cut(stats.residualised(ref_scores, ref_pcs, columns).select("pgs_id", "sample_id", F.col("residual").alias("score")))
-            modules, members = (cut(x) for x in stable_modules(residual, k, threshold, boots, seed=seed, min_size=min_size, min_jaccard=min_jaccard))
+            residual = written(stats.residualised(ref_scores, ref_pcs, columns).select("pgs_id", "sample_id", F.col("residual").alias("score")))
+            modules, members = (written(x) for x in stable_modules(residual, k, threshold, boots, seed=seed, min_size=min_size, min_jaccard=min_jaccard))
             listed = F.sort_array(F.collect_list(F.struct("pgs_id", F.round("loading", 5).alias("loading"))))
             sinks.write_json(members.groupBy("module").agg(listed.alias("members")).join(modules.withColumnRenamed("community", "module"), "module"), f"{out}/atlas_modules")
         with record.step("module scores"):
             weights = module_weights(members, quality)
-            fits = cut(fit_modules(weights, residual, ref_pcs, columns))
-            scores = cut(module_scores(fits, weights, z, people.select("sample_id", *columns), columns))
+            fits = written(fit_modules(weights, residual, ref_pcs, columns))
+            scores = written(module_scores(fits, weights, z, people.select("sample_id", *columns), columns))
             order = sorted(r.module for r in fits.select("module").collect())
             both = [wide(scores, "sample_id", "module", c, order).select("sample_id", *(F.round(f"`{m}`", 4).alias(f"{name}_{m}") for m in order)) for name, c in (("z", "z"), ("rel", "reliability"))]
             sinks.write_tsv(people.select("sample_id", "label").join(both[0], "sample_id").join(both[1], "sample_id"), f"{out}/patient_module_scores")
         with record.step("classifiers"):
             ages = people.agg(F.avg("age").alias("m"), F.stddev_pop("age").alias("s")).first()
-            full = cut(feature_rows(scores, people, order, ages.m or 0.0, ages.s or 0.0))
-            genome = cut(ml.features(full.drop("features").join(both[0], "sample_id").join(both[1], "sample_id"), [c for part in both for c in part.columns[1:]]).select("sample_id", "label", "features"))
+            full = written(feature_rows(scores, people, order, ages.m or 0.0, ages.s or 0.0))
+            genome = written(ml.features(full.drop("features").join(both[0], "sample_id").join(both[1], "sample_id"), [c for part in both for c in part.columns[1:]]).select("sample_id", "label", "features"))
             diseases = sorted(r.label for r in people.select("label").distinct().collect() if r.label not in (healthy, None))
-            found, plain = (cut(one_against_healthy(x, "sample_id", "label", diseases, healthy, folds, trees, depth, seed)) for x in (full, genome))
+            found, plain = (written(one_against_healthy(x, "sample_id", "label", diseases, healthy, folds, trees, depth, seed)) for x in (full, genome))
             truth = people.where(F.col("label") != healthy).select("sample_id", F.col("label").alias("truth"))
             right, right_plain = (ranked_accuracy(x, truth, "sample_id").first() for x in (found, plain))
             sinks.write_json(stats.rank_auc(found.where("label is not null"), "p", "label", ["disease", "fold"], symmetric=False), f"{out}/per_fold_aucs")
@@ -228,14 +228,14 @@ def run(spark: SparkSession, jobs: str, manifest: str, ref_scores: DataFrame, re
             sinks.write_json(spark.createDataFrame(top, "disease string, place int, feature string, importance double"), f"{out}/feature_importances")
         with record.step("checks"):
             null = permutation_null(full.select("sample_id", "label", "features"), "sample_id", "label", diseases, permutations, healthy, folds, null_trees, null_depth)
-            null = cut(null)
+            null = written(null)
             sinks.write_json(null, f"{out}/permutation_null")
             sigma = resample.null_summary(null, "top1", right.top1).first() if permutations else None
-            intervals = cut(area_intervals(found, "sample_id", draws, seed))
+            intervals = written(area_intervals(found, "sample_id", draws, seed))
             sinks.write_json(intervals, f"{out}/intervals")
             names = spark.createDataFrame([(d,) for d in diseases], "disease string")
             cohort = people.select("sample_id", F.col("label").alias("_l")).crossJoin(F.broadcast(names)).where((F.col("_l") == F.col("disease")) | (F.col("_l") == healthy)).select("sample_id", "disease", (F.col("_l") == F.col("disease")).cast("int").alias("label"))  # a row for each disease
-            single = cut(stress_test(z, cohort))
+            single = written(stress_test(z, cohort))
             own = spark.createDataFrame(list(families.items()), "disease string, family_primary string")
             for name, kept in (("margins_all", metadata), ("margins_clean", metadata.where("not proxy_trait_flag and not technical_trait_flag"))):
                 sinks.write_json(compared(fold_areas(found), single, kept.join(F.broadcast(own), "family_primary").select("disease", "pgs_id")), f"{out}/{name}")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from skein.functions import clean, domains, keys, rules
 from skein.operators import dosage, graph, match, ml, resample, reshape, score, stats
 from skein.plans import cohort, report, scoring
-from skein.session import cut, shared_dir
+from skein.session import written, shared_dir
 from skein.sources import blocks
 from skein.sources import text as text_sources
 
@@ -605,10 +605,10 @@ x AS (SELECT *, (translate(ref, 'ACGT', 'TGCA') = alt) AS pal FROM r), y AS (SEL
 z AS (SELECT n, CASE WHEN model = 2 THEN CASE WHEN d1 >= 2 THEN 1 ELSE 0 END ELSE d1 END * weight AS part FROM y)
 SELECT concat('PGS', o.n) AS pgs_id, o.total AS variants_total, coalesce(k, 0) AS variants_matched, round(coalesce(s, 0), 4) + 0.0 AS raw_score FROM (SELECT n, count(*) AS total FROM r GROUP BY 1) o LEFT JOIN (SELECT n, count(*) AS k, sum(part) AS s FROM z GROUP BY 1) USING (n)""")
 def q54_score_files(spark, d):
-    g = cut(text_sources.parse_vcf(_call_lines(spark, d)))
-    scores = cut(text_sources.parse_scores(_score_lines(spark, d)))
+    g = written(text_sources.parse_vcf(_call_lines(spark, d)))
+    scores = written(text_sources.parse_scores(_score_lines(spark, d)))
     target = g.select(F.regexp_replace("chrom", "^chr", "").alias("chrom"), "pos", "ref", "alt")
-    w = cut(text_sources.weight_rows(scores, target))
+    w = written(text_sources.weight_rows(scores, target))
     out = scoring.score_samples(g, w, text_sources.weight_meta(scores, w))
     return out.select("pgs_id", "variants_total", "variants_matched", r(F.col("raw_score"), 4).alias("raw_score"))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
@@ -41,8 +44,53 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the shared folder and read again: its lineage ends there."""
-    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+#: Paths that this process has made in the shared folder, in order.
+_made: list[str] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def _sweep_at_exit() -> None:
+    """Results are read lazily from scratch tables, so those of queries go when the driver ends. What can't be removed then, as the session is gone, is in the shared folder under these names."""
+    spark = SparkSession.getActiveSession()
+    for path in _made:
+        if path.startswith("file://") or spark is not None:
+            with contextlib.suppress(Exception):
+                remove(spark, path)
+
+
+atexit.register(_sweep_at_exit)
+
+
+def mark() -> int:
+    """A place in the list of scratch paths, for sweep."""
+    return len(_made)
+
+
+def sweep(spark: SparkSession, since: int, keep: str) -> None:
+    """Removes what was made since a mark, but for one path. What reads the others has to be done."""
+    for path in _made[since:]:
+        if path != keep:
+            remove(spark, path)
+    _made[since:] = [keep]
+
+
+def written(df: DataFrame, name: str = "cut") -> DataFrame:
+    """df, written to the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a path of the shared folder, whatever file system it is on."""
+    if path.startswith("file://"):
+        shutil.rmtree(path[7:], ignore_errors=True)
+        return
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import graph, match, ml, resample, reshape, score, stats
+from skein.operators import graph, match, ml, regression, resample, reshape, score, stats
 
 
 def test_score_example(spark):
@@ -73,16 +73,82 @@ def test_residuals_equal_least_squares(spark):
     assert np.allclose([fits["p0"], fits["p1"]], beta.T)
 
 
+def gamma_fit(x: np.ndarray, y: np.ndarray, alpha: float = 1.0, rounds: int = 1000) -> np.ndarray:
+    """One group's coefficients by itself: coefficients (intercept first) of a gamma regression with a log link and a squared penalty on all but the intercept: Newton's method on half the mean deviance."""
+    design = np.c_[np.ones(len(x)), x]
+    penalty = np.r_[0.0, np.full(x.shape[1], alpha)]
+    beta = np.zeros(design.shape[1])
+    beta[0] = np.log(max(y.mean(), 1e-300))
+
+    def loss(b):
+        eta = design @ b
+        return float(np.mean(y * np.exp(-eta) + eta) + 0.5 * (penalty * b * b).sum())
+
+    now = loss(beta)
+    for _ in range(rounds):
+        ratio = y * np.exp(-(design @ beta))
+        gradient = design.T @ (1 - ratio) / len(y) + penalty * beta
+        hessian = (design * ratio[:, None]).T @ design / len(y) + np.diag(penalty)
+        step = np.linalg.lstsq(hessian, gradient, rcond=None)[0]
+        size = 1.0
+        while size > 1e-8 and not (new := loss(beta - size * step)) <= now:
+            size /= 2
+        beta = beta - size * step
+        if abs(now - new) < 1e-14 and np.abs(gradient).max() < 1e-10:
+            break
+        now = new
+    return beta
+
+
 def test_gamma_fit_is_stationary():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(200, 4))
     y = rng.gamma(2.0, np.exp(0.3 * x[:, 0]))
-    b = stats.gamma_fit(x, y)
+    b = gamma_fit(x, y)
     design = np.c_[np.ones(200), x]
     gradient = design.T @ (1 - y * np.exp(-design @ b)) / 200 + np.r_[0, b[1:]]
     assert np.abs(gradient).max() < 1e-9
 
 
+def test_gamma_regressions_equal_single_fits(spark):
+    rng = np.random.default_rng(12)
+    rows, want = [], {}
+    for g, n in (("a", 400), ("b", 60), ("c", 7), ("wild", 90), ("one", 1), ("flat", 30)):
+        x = rng.normal(size=(n, 3))
+        x = (x - x.mean(0)) / np.where(x.std(0) == 0, 1, x.std(0))
+        if g == "flat":
+            x[:, 1], x[:, 2] = 0.0, x[:, 0]  # no column, and twice the same
+        y = np.exp(x @ [0.5, -0.3, 0.1]) * rng.gamma(1.0, size=n) * (1e-6 if g == "b" else 1e5 if g == "a" else 1)
+        if g == "wild":
+            y = y**12
+        want[g] = gamma_fit(x, y)
+        rows += [(g, float(b), *map(float, a)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "g string, y double, x0 double, x1 double, x2 double")
+    got = {r.g: [r[f"gamma{k}"] for k in range(4)] for r in regression.gamma_regressions(df, "g", ["x0", "x1", "x2"], "y").collect()}
+    assert set(got) == set(want) and all(got[g] == pytest.approx(want[g], rel=1e-8, abs=1e-8) for g in want)
+    assert regression.gamma_regressions(df.limit(0), "g", ["x0", "x1", "x2"], "y").count() == 0
+
+
+def test_least_squares_of_groups(spark):
+    rng = np.random.default_rng(13)
+    a, b = rng.normal(size=(50, 3)), rng.normal(size=(4, 3))
+    b[:, 2] = b[:, 0] - 2 * b[:, 1]  # depends on the others: no coefficient of its own, the same fit
+    rows = [(g, float(y), *map(float, x)) for g, xs, ys in (("a", a, a @ [1, 2, 3] + rng.normal(size=50)), ("b", b, rng.normal(size=4))) for x, y in zip(xs, ys)]
+    df = spark.createDataFrame(rows, "g string, y double, x0 double, x1 double, x2 double")
+    got = {r.g: np.array([r[f"beta{k}"] for k in range(4)]) for r in regression.least_squares(df, "g", ["x0", "x1", "x2"], "y").collect()}
+    for g, x in (("a", a), ("b", b)):
+        y, design = np.array([r[1] for r in rows if r[0] == g]), np.c_[np.ones(len(x)), x]
+        assert design @ got[g] == pytest.approx(design @ np.linalg.lstsq(design, y, rcond=None)[0], abs=1e-8)
+    assert got["b"][3] == 0
+
+
+def test_normalise_runs_no_python(spark):
+    ref = spark.createDataFrame([("p", f"s{k}", float(k % 7)) for k in range(30)], "pgs_id string, sample_id string, score double")
+    places = spark.createDataFrame([(f"s{k}", "A", [float(k % 3), float(k % 5)]) for k in range(30)], "sample_id string, population string, pc array<double>")
+    plan = stats.normalise(ref, places, ref.join(places, "sample_id"), 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_normalise(spark):
     rng = np.random.default_rng(4)
     pcs, scores = rng.normal(size=(60, 5)), rng.normal(size=60)
