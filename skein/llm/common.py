@@ -2,89 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.session import mark, remove, scratch, shared_dir, sweep, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
-
-    Only where that is unset (local runs, tests) a folder of this process is made
-    and named there.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="skein-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-#: Paths that this process has made in the shared folder, in order.
-_made: list[str] = []
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
-    return _made[-1]
-
+__all__ = ["keeps", "let", "mark", "only", "release", "remove", "scratch", "shared_dir", "sweep", "table", "written"]
 
-def _sweep_at_exit() -> None:
-    """Results are read lazily from scratch tables, so those of queries go when the driver ends."""
-    spark = SparkSession.getActiveSession()
-    for path in _made:
-        try:
-            if path.startswith("file://") or spark is not None:
-                remove(spark, path)
-        except Exception:  # the session can be gone: what is left is in the shared folder under skein's names  # noqa: BLE001
-            return
 
-
-atexit.register(_sweep_at_exit)
-
-
-def mark() -> int:
-    """A place in the list of scratch paths, for sweep."""
-    return len(_made)
-
-
-def sweep(spark: SparkSession, since: int, keep: str) -> None:
-    """Removes what was made since a mark, but for one path. What reads the others has to be done."""
-    for path in _made[since:]:
-        if path != keep:
-            remove(spark, path)
-    _made[since:] = [keep]
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again: its lineage ends there, and a lost executor costs nothing."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a path of the shared folder, whatever file system it is on."""
-    if path.startswith("file://"):
-        shutil.rmtree(path[7:], ignore_errors=True)
-        return
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 #: What operators keep in a Python worker from task to task: by name, how to drop it.
