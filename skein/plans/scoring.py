@@ -14,6 +14,7 @@ from skein.operators.dosage import standardised
 from skein.operators.match import exact_else_flipped, fallback_flip, first_wins, reduced_to
 from skein.operators.score import panel_scores, weighted_scores
 from skein.functions.keys import FIELD, FIELD_BITS
+from skein.plans.reference_cache import reference_scores
 from skein.sources import sinks, text
 
 
@@ -139,11 +140,15 @@ def _by_sample(panel: DataFrame, target: DataFrame) -> DataFrame:
     return out.withColumns({"matched": how, "dosage": F.coalesce(F.col("_e").cast("double"), 2.0 - F.col("_f").cast("double"), F.lit(0.0))})
 
 
-def adjust(genotypes: DataFrame, scores: DataFrame, weights: DataFrame, panel: DataFrame, reference: Reference, least: int = 1000) -> tuple[DataFrame, DataFrame]:
-    """(ancestry, adjusted scores) of target samples: project, classify, score the panel, normalise. Scores without a reference stay, unadjusted."""
+def adjust(genotypes: DataFrame, scores: DataFrame, weights: DataFrame, panel: DataFrame, reference: Reference, least: int = 1000, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(ancestry, adjusted scores) of target samples: project, classify, score the panel, normalise. Scores without a reference stay, unadjusted.
+
+    store: a folder of stored reference scores, so that only those are computed that no run has had before.
+    """
     located = project(genotypes, reference, least)
     named = ml.classify_population(reference.model, reference.populations, located)
-    by_sample = score_reference(weights, genotypes, panel).join(reference.samples.where("unrelated").select("sample", "sample_id", "population", "pc"), "sample")
+    panel_rows = reference_scores(weights, genotypes, panel, store) if store else score_reference(weights, genotypes, panel)
+    by_sample = panel_rows.join(reference.samples.where("unrelated").select("sample", "sample_id", "population", "pc"), "sample")
     ref_scores, ref_pcs = by_sample.select("pgs_id", "sample_id", "score"), reference.samples.where("unrelated").select("sample_id", "population", "pc")
     targets = scores.join(named.select("sample_id", "pc", F.col("most_similar").alias("population")), "sample_id").select("sample_id", "pgs_id", F.col("raw_score").alias("score"), "population", "pc")
     z = stats.normalise(ref_scores, ref_pcs, targets)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import clean, domains, keys, rules
 from skein.operators import dosage, graph, match, ml, resample, reshape, score, stats
-from skein.plans import cohort, report, scoring
+from skein.plans import cohort, reference_cache, report, scoring
 from skein.session import written, shared_dir
 from skein.sources import blocks
 from skein.sources import text as text_sources
@@ -613,14 +613,29 @@ def q54_score_files(spark, d):
     return out.select("pgs_id", "variants_total", "variants_matched", r(F.col("raw_score"), 4).alias("raw_score"))
 
 
+def _panel(spark, d) -> DataFrame:
+    """part as a panel of three samples."""
+    return t(spark, d, "part").select(F.col("p_partkey").alias("vkey"), F.array((F.col("p_size") % 3).cast("long"), F.when(F.col("p_size") % 5 != 0, F.col("p_partkey") % 3), (F.col("p_size") + F.col("p_partkey")) % 3).alias("dosages"), ((F.col("p_size") % 10) / 20.0).alias("afreq"))
+
+
 @query("""WITH p AS (SELECT p_partkey, [p_size % 3, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_partkey % 3 END, (p_size + p_partkey) % 3] AS ds, (p_size % 10) / 20.0::DOUBLE AS afreq FROM part),
 w AS (SELECT l_suppkey AS pgs_id, l_partkey, l_discount - CAST(0.05 AS DOUBLE) AS weight, l_linenumber % 2 AS flip, CAST(l_suppkey % 3 AS INT) AS model FROM lineitem),
 j AS (SELECT pgs_id, weight, flip, model, afreq, unnest(ds) AS d, unnest([0, 1, 2]) AS sample FROM w JOIN p ON l_partkey = p_partkey), i AS (SELECT *, coalesce(CAST(d AS DOUBLE), 2 * afreq) AS x FROM j), f AS (SELECT *, CASE WHEN flip = 1 THEN 2.0 - x ELSE x END AS y FROM i)
 SELECT pgs_id, sample, round(sum(CAST(CASE model WHEN 1 THEN least(y, 1.0) WHEN 2 THEN CASE WHEN y >= 2 THEN 1.0 ELSE 0.0 END ELSE y END AS DOUBLE) * weight), 4) + 0.0 AS score FROM f GROUP BY 1, 2""")
 def q55_panel_scores(spark, d):
-    panel = t(spark, d, "part").select(F.col("p_partkey").alias("vkey"), F.array((F.col("p_size") % 3).cast("long"), F.when(F.col("p_size") % 5 != 0, F.col("p_partkey") % 3), (F.col("p_size") + F.col("p_partkey")) % 3).alias("dosages"), ((F.col("p_size") % 10) / 20.0).alias("afreq"))
     w = weights(spark, d).withColumnRenamed("l_partkey", "vkey")
-    return score.panel_scores(w, panel).select("pgs_id", "sample", r(F.col("score"), 4).alias("score"))
+    return score.panel_scores(w, _panel(spark, d)).select("pgs_id", "sample", r(F.col("score"), 4).alias("score"))
+
+
+@query("WITH q AS (" + SQL["q55_panel_scores"] + ") SELECT q.*, pgs_id % 3 = 0 AS cached FROM q")
+def q75_reference_cache(spark, d):
+    """q55 through a store that an earlier run has filled with every third score, and another version with all: a hit is what the first had."""
+    store = f"{shared_dir(spark)}/reference-{uuid.uuid4().hex}"
+    w, panel = weights(spark, d).withColumnRenamed("l_partkey", "vkey"), _panel(spark, d)
+    called = panel.select("vkey", F.lit(1).alias("dosage"))
+    reference_cache.reference_scores(w.where("pgs_id % 3 = 0"), called, panel, store)
+    reference_cache.reference_scores(w, called, panel, store, version=reference_cache.CACHE_VERSION - 1)
+    return reference_cache.reference_scores(w, called, panel, store).select("pgs_id", "sample", r(F.col("score"), 4).alias("score"), "cached")
 
 
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'Cardiology' WHEN p_partkey % 3 = 0 THEN 'Nephrology_Urology' WHEN p_partkey % 2 = 0 THEN 'Oncology' WHEN p_size % 2 = 0 THEN 'Endocrinology' END AS domain,

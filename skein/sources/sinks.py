@@ -64,11 +64,6 @@ def read_weights(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{root}/weights").drop("bucket"), spark.read.parquet(f"{root}/meta")
 
 
-def write_reference_scores(scores: DataFrame, path: str, variant_set: str) -> None:
-    """Reference scores under the checksum of the variants they were computed with."""
-    scores.write.mode("overwrite").parquet(f"{path}/variant_set={variant_set[:12]}")
-
-
 def _text(c: Column, digits: int) -> Column:
     """A number with fixed digits, NA if missing."""
     return F.coalesce(F.format_string(f"%.{digits}f", c), F.lit("NA"))
