@@ -16,7 +16,7 @@ Scripts, styles, templates, comments and the head have no text and never become
 Everything of a page is computed in the worker that reads it: no shuffle.
 
 Defined results: null and empty html give an empty text; a page without markup is one block;
-unclosed elements end with their parents; a null url or id is carried; repeated rows each get
+unclosed elements end with their parents; unclosed tags are text; a null url or id is carried; repeated rows each get
 a row; an empty table gives no rows; other columns are not read.
 """
 
@@ -33,7 +33,11 @@ from pyspark.sql import functions as F
 
 from skein.llm.common import table
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+_NAME = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+#: The rest of a tag without angle brackets in its quotes, as almost all are; it doesn't look beyond the next bracket.
+_PLAIN = re.compile(r"[^<>\"']*(?:(?:\"[^\"<>]*\"|'[^'<>]*')[^<>\"']*)*>")
+_STOP = re.compile(r"[>\"']")
+_RAW = {tag: re.compile(rf"(?i)</{tag}\s*>") for tag in ("script", "style", "textarea", "title", "iframe", "noscript")}
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 #: Elements whose content is no text of the page.
@@ -44,7 +48,11 @@ BLOCKS = frozenset(
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul br".split()
 )
 #: An opening tag ends these open elements (up to the nearest of the second set).
-CLOSES = {"li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"dl"}), "dd": ({"dt", "dd", "p"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+_CLOSES = {"li": ({"li", "p"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd", "p"}, {"dl"}), "dd": ({"dt", "dd", "p"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
+_KINDS = list({(frozenset(ends), frozenset(stops)) for ends, stops in _CLOSES.values()})
+_MARKED = frozenset().union(*(ends | stops for ends, stops in _KINDS))
+#: For an opening tag, which of these it ends.
+CLOSES = {tag: _KINDS.index((frozenset(ends), frozenset(stops))) for tag, (ends, stops) in _CLOSES.items()}
 _P_ENDS = BLOCKS - {"br", "body", "html", "button"}
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 #: Words of a class or id that say much against its text, or little; and words for what holds the article.
@@ -62,6 +70,57 @@ TAGS_AWAY = frozenset("nav header footer aside form button dialog menu fieldset
 TAGS_HERE = frozenset("article main".split())
 
 
+class Tags:
+    """The tags of a page, asked for in order. What ends where is found out once for the whole page, so a page costs its length, whatever is left open in it.
+
+    A tag ends at the first ``>`` outside quotes. One whose quote isn't closed, or that has no end, is text; an unclosed comment goes to the end.
+    """
+
+    __slots__ = ("page", "stops", "ends", "at", "last")
+
+    def __init__(self, page: str) -> None:
+        self.page, self.at, self.last, self.stops = page, 0, page.rfind(">"), None
+
+    def look_ahead(self) -> None:
+        """Finds all stops, and where a tag ends that meets one."""
+        page = self.page
+        self.stops = [m.start() for m in _STOP.finditer(page)]
+        # Outside quotes: there, or where it ends after the quote that opens there.
+        self.ends = [-1] * (len(self.stops) + 1)
+        closes = {'"': len(self.stops), "'": len(self.stops)}
+        for k in reversed(range(len(self.stops))):
+            c = page[self.stops[k]]
+            if c == ">":
+                self.ends[k] = self.stops[k]
+            else:
+                self.ends[k] = self.ends[min(closes[c] + 1, len(self.stops))]
+                closes[c] = k
+
+    def end_of(self, at: int) -> int:
+        """Where the tag ends whose name ends here, -1 if nowhere. Asked for ascending places."""
+        if m := _PLAIN.match(self.page, at):
+            return m.end() - 1
+        if self.stops is None:
+            self.look_ahead()
+        while self.at < len(self.stops) and self.stops[self.at] < at:
+            self.at += 1
+        return self.ends[self.at]
+
+    def next(self, at: int) -> tuple[int, int, str, str | None, str] | None:
+        """(begin, end, slash, name, attributes) of the next tag; a comment or declaration has no name."""
+        page = self.page
+        while (begin := page.find("<", at)) >= 0:
+            if page.startswith("<!--", begin):
+                close = page.find("-->", begin + 4)
+                return begin, close + 3 if close >= 0 else len(page), "", None, ""
+            if (m := _NAME.match(page, begin)) and (end := self.end_of(m.end())) >= 0:
+                return begin, end + 1, m[1], m[2], page[m.end() : end]
+            if page[begin + 1 : begin + 2] in ("!", "?", "/") and begin + 2 <= self.last:
+                return begin, page.find(">", begin + 2) + 1, "", None, ""
+            at = begin + 1
+        return None
+
+
 class Block:
     __slots__ = ("text", "words", "linked", "parent", "away", "scope", "heading")
 
@@ -91,10 +150,19 @@ def said_by(names: str) -> tuple[float, bool]:
 class Element:
     """away: log-odds against the texts in it. scope: the nearest element that is meant to hold the article, and how much that counts."""
 
-    __slots__ = ("tag", "parent", "away", "scope", "strength", "heading", "silent", "link")
+    __slots__ = ("tag", "parent", "away", "scope", "strength", "heading", "silent", "link", "block", "ended", "inline")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str) -> None:
         self.tag, self.parent, self.strength = tag, parent, 0.0
+        # The nearest block, itself included; how many elements of each inline tag are open in a block; what each kind of opening tag ends.
+        self.block = self if tag in BLOCKS or not parent else parent.block
+        self.inline: dict[str, int] | None = {} if self.block is self else None
+        if not parent:
+            self.ended = (None,) * len(_KINDS)
+        elif tag in _MARKED:
+            self.ended = tuple(None if tag in stops else e or (self if tag in ends else None) for (ends, stops), e in zip(_KINDS, parent.ended))
+        else:
+            self.ended = parent.ended
         up = parent
         self.away, self.scope, self.heading, self.silent, self.link = (up.away, up.scope, up.heading, up.silent, up.link) if up else (0.0, None, False, False, False)
         self.silent |= tag in SILENT
@@ -133,6 +201,7 @@ def blocks_of(page: str) -> list[Block]:
     blocks: list[Block] = []
     parts: list[str] = []
     linked = 0
+    opened: dict[str, int] = {}  # open elements of each block tag
 
     def flush(owner: Element) -> None:
         nonlocal linked
@@ -143,11 +212,6 @@ def blocks_of(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    def owner_of(e: Element) -> Element:
-        while e.parent and e.tag not in BLOCKS:
-            e = e.parent
-        return e
-
     def add(data: str) -> None:
         nonlocal linked
         if data and not element.silent:
@@ -156,54 +220,52 @@ def blocks_of(page: str) -> list[Block]:
             if element.link:
                 linked += len(data.strip())
 
-    at, end = 0, len(page)
-    while at < end:
-        m = _TAG.search(page, at)
-        if not m:
-            add(page[at:])
-            break
-        add(page[at : m.start()])
-        at = m.end()
-        tag = m[2]
+    def close(last: Element) -> None:
+        """Closes an element and all in it."""
+        nonlocal element
+        while element is not last.parent:
+            counts = opened if element.block is element else element.block.inline
+            counts[element.tag] -= 1
+            element = element.parent
+
+    def nearest(tag: str) -> Element | None:
+        """The innermost open element of a tag; an inline end tag doesn't reach beyond its block. Only looked for where there is one."""
+        if not (opened if tag in BLOCKS else element.block.inline).get(tag):
+            return None
+        e = element
+        while e.tag != tag:
+            e = e.parent
+        return e
+
+    tags, at = Tags(page), 0
+    while (found := tags.next(at)) is not None:
+        begin, end, slash, tag, attributes = found
+        add(page[at:begin])
+        at = end
         if not tag:
             continue
         tag = tag.lower()
-        if m[1]:
-            if tag in BLOCKS:
-                flush(owner_of(element))
-            e = element
-            while e.parent and e.tag != tag:
-                if tag not in BLOCKS and e.tag in BLOCKS:
-                    e = root  # an inline end tag doesn't reach beyond its block
-                    break
-                e = e.parent
-            if e is not root and e.tag == tag:
-                element = e.parent
-            continue
         if tag in BLOCKS:
-            flush(owner_of(element))
-            if tag in _P_ENDS:
-                e = element
-                while e.parent and e.tag != "p" and (e.tag not in BLOCKS):
-                    e = e.parent
-                if e.tag == "p":
-                    element = e.parent
-            if tag in CLOSES:
-                ends, stops = CLOSES[tag]
-                e, last = element, None
-                while e.parent and e.tag not in stops:
-                    if e.tag in ends:
-                        last = e
-                    e = e.parent
-                if last:
-                    element = last.parent
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in SILENT:
+            flush(element.block)
+        if slash:
+            if e := nearest(tag):
+                close(e)
+            continue
+        if tag in _P_ENDS and element.block.tag == "p":
+            close(element.block)
+        if tag in CLOSES and (e := element.ended[CLOSES[tag]]):
+            close(e)
+        if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in SILENT:
             continue
-        element = Element(tag, element, m[3])
         if tag in ("script", "style", "textarea", "title", "iframe", "noscript"):  # raw text up to its own end tag
-            close = re.compile(rf"(?i)</{tag}\s*>").search(page, at)
-            at, element = (close.end() if close else end), element.parent
-    flush(owner_of(element))
+            until = _RAW[tag].search(page, at)
+            at = until.end() if until else len(page)
+            continue
+        element = Element(tag, element, attributes)
+        counts = opened if tag in BLOCKS else element.block.inline
+        counts[tag] = counts.get(tag, 0) + 1
+    add(page[at:])
+    flush(element.block)
     return blocks
 
 

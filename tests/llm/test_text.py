@@ -240,3 +240,34 @@ def test_chat_frame(spark):
     assert chat_format.digests(frame.limit(0)).count() == 0
     nulls = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "user", "b")], "conv_id long, turn long, role string, text string")
     assert [(r.conv_id, r.n_turns) for r in chat_format.digests(nulls).collect()] == [(None, 2)]
+
+
+def test_pages_with_anything_left_open_cost_their_length():
+    """Each of these took the square of its length when tags were looked for anew from each bracket, or their elements climbed from each tag."""
+    import time
+
+    n = 20_000
+    pages = {
+        "tags": "<a " * 1_700_000, "quotes": "<a '" * n + '"', "ends": "</a '" * n, "both": "<a \"<b '" * n, "comments": "<!-" * n + "<!--x", "sections": "<div>" * n + "</section>" * n,
+        "inline": "<b><div>" + "<i>" * n + "</b>" * n, "items": "<div>" * n + "<li>x" * n, "rules": "<i>" * n + "<hr>" * n + "x"}
+    for name, page in pages.items():
+        begun = time.process_time()
+        html_extract.main_text(page)
+        assert time.process_time() - begun < 5, name
+    assert html_extract.main_text("<p>One tag is left <a href='open here, and the text goes on for a while, as it has to.") == "One tag is left <a href='open here, and the text goes on for a while, as it has to."
+
+
+def test_tags_are_those_of_one_expression():
+    import random
+    import re
+
+    whole = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
+    rnd = random.Random(2)
+    bits = ["<a", "</b", "<", "<!--", "-->", "<!x", "<?", ">", '"', "'", " x=", "/", "=", "t<", "y"]
+    for _ in range(3000):
+        page, at = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 30))), 0
+        tags = html_extract.Tags(page)
+        while m := whole.search(page, at):
+            assert tags.next(at) == (m.start(), m.end(), m[1] or "", m[2], m[3] or ""), page
+            at = m.end()
+        assert tags.next(at) is None
