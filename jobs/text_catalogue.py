@@ -5,11 +5,11 @@ took, as a stream that ends when there are none left; Spark's checkpoint knows w
 
     out/catalogue/batch=N/lang=..: doc_id, source, n_chars, method_tier, behaviour, body
 
-so a batch that fails and comes again replaces itself. Then the counts of the languages that the batch has rows of are computed anew,
+so a batch that fails and comes again replaces itself. Then the counts of the languages that the batch's documents are or were filed under are computed anew,
 
     out/summary/lang=..: source, n_documents, n_named (by a method better than the default), best_tier, top_behaviour
 
-and replace the old ones (dynamic partition overwrite). A document that comes again counts by its last batch, and by its longest text within one.
+and replace the old ones (dynamic partition overwrite); a language that has lost all its documents keeps a row of zeros. A document that comes again counts by its last batch, and by its longest text within one.
 The checkpoint is in out, since it says what out has: to start from nothing, take a new out.
 
     python -m jobs.text_catalogue --tables s3://catalogue/tables --out s3://catalogue/filed
@@ -45,13 +45,14 @@ def catalogue(spark: SparkSession, out: str) -> DataFrame:
     return latest.drop("_seq")
 
 
-def summarised(rows: DataFrame) -> DataFrame:
-    """Counts by language and source."""
+def summarised(rows: DataFrame, langs: DataFrame) -> DataFrame:
+    """Counts by language and source of rows in these languages; zeros for a language without rows."""
     by = ["lang", "source"]
+    langs = langs.select(F.coalesce("lang", F.lit("")).alias("lang"))
     keyed = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in by})
     counts = keyed.groupBy(*by).agg(F.count("*").alias("n_documents"), F.count_if(F.col("method_tier") > rules.METHOD_DEFAULT).alias("n_named"), F.max("method_tier").alias("best_tier"))
     top = stats.most_common(keyed, by, "behaviour", "doc_id").select(*by, F.col("behaviour").alias("top_behaviour"))
-    out = counts.join(top, by, "left")
+    out = langs.join(counts.join(top, by, "left"), "lang", "left").fillna(0, ["n_documents", "n_named"])
     return out.select(F.nullif("source", F.lit("")).alias("source"), "n_documents", "n_named", "best_tier", "top_behaviour", F.nullif("lang", F.lit("")).alias("lang"))
 
 
@@ -67,11 +68,14 @@ def run(spark: SparkSession, tables: str, out: str, files_per_batch: int = 100)
         filed(batch).write.mode("overwrite").partitionBy("lang").parquet(target)
         fresh = own.read.schema(CATALOGUE).option("basePath", f"{out}/catalogue").parquet(target)
         counts = fresh.groupBy("lang").count().collect()  # a row for each language
-        langs = [r.lang for r in counts]
-        log.info("batch %d: wrote %d rows of %d languages to %s", number, sum(r["count"] for r in counts), len(langs), target)
-        if langs:
-            changed = catalogue(own, out).where(F.col("lang").isin(*[x for x in langs if x is not None]) | (F.col("lang").isNull() if None in langs else F.lit(False)))
-            summarised(changed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lang").parquet(f"{out}/summary")
+        log.info("batch %d: wrote %d rows of %d languages to %s", number, sum(r["count"] for r in counts), len(counts), target)
+        if counts:
+            # Its own languages, and those that documents of the batch were filed under before.
+            stored, ids = own.read.schema(CATALOGUE).parquet(f"{out}/catalogue"), fresh.select(F.col("doc_id").alias("_id")).distinct()
+            langs = [r.lang for r in stored.join(ids, stored["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select("lang").distinct().collect()]
+            touched = own.createDataFrame([(x,) for x in langs], "lang string")
+            changed = catalogue(own, out).join(touched.withColumnRenamed("lang", "_lang"), F.col("lang").eqNullSafe(F.col("_lang")), "left_semi")
+            summarised(changed, touched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lang").parquet(f"{out}/summary")
             log.info("batch %d: counts of %s replaced in %s/summary", number, sorted(str(x) for x in langs), out)
 
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()

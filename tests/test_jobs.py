@@ -104,6 +104,11 @@ def test_catalogue_takes_only_what_is_new(spark, tmp_path, caplog):
     summary = {(r.lang, r.source): r for r in spark.read.schema(text_catalogue.SUMMARY).parquet(f"{out}/summary").collect()}
     assert set(summary) == {("en", "s"), ("fr", "s"), ("de", "s"), (None, "s")}
     assert (summary["en", "s"].n_documents, summary["en", "s"].n_named, summary["en", "s"].best_tier) == (3, 2, 14)
+    # Documents that come again in another language leave the old one.
+    arrive(spark, tables, (4, "moved", "en"), (2, "moved too", "fr"))
+    text_catalogue.run(spark, tables, out)
+    summary = {(r.lang, r.source): r.n_documents for r in spark.read.schema(text_catalogue.SUMMARY).parquet(f"{out}/summary").collect()}
+    assert summary == {("en", "s"): 4, ("fr", "s"): 1, ("de", "s"): 1, (None, None): 0}
 
 
 def test_catalogue_batch_that_comes_again_replaces_itself(spark, tmp_path):
