@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -36,17 +35,18 @@ class Places(NamedTuple):
         return Places(self.n, self.mean[:dims], self.gram[:dims, :dims])
 
 
-def project_sample(u: np.ndarray, s: np.ndarray, places: Places, sample: np.ndarray, dims: int = 10, study_dims: int = 20, online_dims: int = 40, rounds: int = 10_000, tolerance: float = 1e-6) -> np.ndarray:
+def place(s: np.ndarray, places: Places, inside: np.ndarray, square: float, dims: int = 10, study_dims: int = 20, online_dims: int = 40, rounds: int = 10_000, tolerance: float = 1e-6) -> np.ndarray:
     """Components of a standardised sample in the reference's space, by online augmentation of its decomposition and a Procrustes alignment to the old places.
 
+    inside, square: the sample's products with the reference's directions, and its square, which are all that is needed of it.
     The reference's new places are its old ones (v) times a small matrix, and so are the places to align to; means, cross products
     and distances between them follow from v's mean and Gram matrix. Where fewer components are wanted than aligned, the missing ones
     are what the last alignment gives (v times ``fill`` plus ``level``), until they settle.
     """
     k = min(online_dims, len(s))
     n, mean, gram = places.first(k)
-    inside = u[:, :k].T @ sample
-    outside = np.linalg.norm(sample - u[:, :k] @ inside)
+    inside = np.asarray(inside)[:k]
+    outside = np.sqrt(max(0.0, square - inside @ inside))
     _, values, turned = np.linalg.svd(np.block([[np.diag(s[:k]), inside[:, None]], [np.zeros((1, k)), np.full((1, 1), outside)]]))
     wide = min(study_dims, k + 1)
     moved = turned.T[:, :wide] * values[:wide]
@@ -72,6 +72,11 @@ def project_sample(u: np.ndarray, s: np.ndarray, places: Places, sample: np.ndar
     return (own @ turn + shift)[:dims]
 
 
+def project_sample(u: np.ndarray, s: np.ndarray, places: Places, sample: np.ndarray, dims: int = 10, study_dims: int = 20, online_dims: int = 40) -> np.ndarray:
+    """place of a sample that is at hand."""
+    return place(s, places, u.T @ sample, float(sample @ sample), dims, study_dims, online_dims)
+
+
 def reference_space(df: DataFrame, vector: str, mean: list[float], std: list[float], dims: int) -> tuple[np.ndarray, np.ndarray, Places]:
     """(u, s, places) of all vectors, standardised by component: directions, singular values and places, for project_sample.
 
@@ -103,18 +108,22 @@ def reference_space(df: DataFrame, vector: str, mean: list[float], std: list[flo
     return u, np.sqrt(values[:k]), Places.standard(df.count(), k)
 
 
-def project_samples(standardised: DataFrame, u: np.ndarray, s: np.ndarray, places: Places, variant: str = "variant_index", sample: str = "sample_id", value: str = "w", dims: int = 10) -> DataFrame:
-    """(sample, pc array) of long standardised rows. A sample's vector is one group; the reference's matrices (of fixed size) are broadcast."""
-    shipped = standardised.sparkSession.sparkContext.broadcast((u, s, places))
+def project_samples(standardised: DataFrame, directions: DataFrame, s: np.ndarray, places: Places, variant: str = "variant_index", sample: str = "sample_id", value: str = "w", dims: int = 10) -> DataFrame:
+    """(sample, pc array) of long standardised rows. directions: variant and u (array).
 
-    def one(key, part: pd.DataFrame) -> pd.DataFrame:
-        a, b, c = shipped.value
-        w = np.zeros(len(a))
-        w[part[variant].to_numpy(int)] = part[value].to_numpy(float)
-        study = min(2 * dims, len(b))
-        return pd.DataFrame({sample: [key[0]], "pc": [project_sample(a, b, c, w, min(dims, len(b)), study).tolist()]})
+    A sample's products with the directions are sums over its variants, combined where they are read; a task then sees a row of sums for each sample.
+    """
+    k, dims = len(s), min(dims, len(s))
+    w = F.col(value).cast("double")
+    joined = standardised.select(sample, variant, w.alias("_w")).join(directions.select(variant, "u"), variant)
+    sums = joined.groupBy(sample).agg(F.array(*(F.sum(F.col("_w") * F.get("u", F.lit(j))) for j in range(k))).cast("array<double>").alias("inside"), F.sum(F.col("_w") * F.col("_w")).alias("square"))
+
+    def run(batches):
+        for batch in batches:
+            pcs = [place(s, places, np.array(inside, float), square, dims, min(2 * dims, k)).tolist() for inside, square in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pcs, pa.list_(pa.float64()))], [sample, "pc"])
 
-    return standardised.select(sample, variant, value).groupBy(sample).applyInPandas(one, f"{sample} string, pc array<double>")
+    return sums.select(F.col(sample).cast("string").alias(sample), "inside", "square").mapInArrow(run, f"{sample} string, pc array<double>")
 
 
 def features(df: DataFrame, columns: list[str], out: str = "features") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import ml, stats
+from skein.operators import ml, space, stats
 from skein.operators.dosage import standardised
 from skein.operators.match import exact_else_flipped, fallback_flip, first_wins, reduced_to
 from skein.operators.score import panel_scores, weighted_scores
@@ -65,67 +65,59 @@ def score_reference(weights: DataFrame, genotypes: DataFrame, panel: DataFrame,
 
 
 #: Of the saved form of a reference.
-REFERENCE_VERSION = 3
+REFERENCE_VERSION = 4
 
 
 @dataclass
 class Reference:
-    """What normalisation needs of a reference: decomposition, standardisation, samples and a population model."""
+    """What normalisation needs of a reference: its decomposition, samples and a population model. Variants and samples are tables."""
 
-    u: np.ndarray
+    directions: DataFrame  # vkey, mean, std, u (array)
     s: np.ndarray
-    v: np.ndarray
-    keys: DataFrame  # variant_index, vkey, mean, std
+    places: ml.Places
     samples: DataFrame  # sample_id, sample (index), population, pc, unrelated
     populations: list[str]
     model: RandomForestClassificationModel
     dims: int = 10
 
     @classmethod
-    def build(cls, dosages: np.ndarray, keys: DataFrame, samples: DataFrame, dims: int = 10, trees: int = 100, seed: int = 42) -> Reference:
-        """From a panel's dosage matrix (variants by samples): its decomposition, and a forest on the first components."""
-        mean, std = dosages.mean(1), dosages.std(1)
-        z = np.where(std[:, None] > 0, (dosages - mean[:, None]) / np.where(std > 0, std, 1)[:, None], 0.0)
-        u, s, vt = np.linalg.svd(z, full_matrices=False)
-        rank = min(40, len(s))
-        u, s, v = u[:, :rank], s[:rank], vt[:rank].T
-        spark = keys.sparkSession
-        places = spark.createDataFrame([(int(k), [float(x) for x in (v[k, :dims] * s[:dims])]) for k in range(len(v))], "sample int, pc array<double>")
-        shape = spark.createDataFrame([(int(k), float(m), float(d)) for k, (m, d) in enumerate(zip(mean, std))], "variant_index int, mean double, std double")
+    def build(cls, panel: DataFrame, samples: DataFrame, dims: int = 10, trees: int = 100, seed: int = 42) -> Reference:
+        """From a panel (vkey, dosages by sample): its decomposition over blocks of variants, and a forest on the first components."""
+        spark = panel.sparkSession
+        s, v = space.principal_components(panel, settled=dims, seed=seed)
+        places = spark.createDataFrame([(int(k), x.tolist()) for k, x in enumerate(v[:, :dims] * s[:dims])], "sample int, pc array<double>")  # a row for each sample
         located = samples.join(places, "sample")
         names = sorted(r.population for r in samples.select("population").distinct().collect())
         label = F.array_position(F.array(*(F.lit(n) for n in names)), F.col("population")) - 1
         shaped = ml.features(located.withColumns({"_pc": F.slice("pc", 1, 5), "label": label.cast("double")}), ["_pc"])
-        return cls(u, s, v, keys.join(shape, "variant_index"), located, names, ml.train_forest(shaped, "label", trees, 8, seed), dims)
-
+        return cls(space.directions(panel, s, v, ["vkey"]), s, ml.Places.of(v), located, names, ml.train_forest(shaped, "label", trees, 8, seed), dims)
 
     def save(self, path: str) -> None:
         """Writes all parts under path, by version."""
-        spark, root = self.keys.sparkSession, f"{path}/version={REFERENCE_VERSION}"
-        for name, m in (("u", self.u), ("v", self.v), ("s", self.s[None, :])):
-            spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(m)], "row long, x array<double>").write.mode("overwrite").parquet(f"{root}/{name}")
-        self.keys.write.mode("overwrite").parquet(f"{root}/keys")
+        spark, root = self.directions.sparkSession, f"{path}/version={REFERENCE_VERSION}"
+        self.directions.write.mode("overwrite").parquet(f"{root}/directions")
         self.samples.write.mode("overwrite").parquet(f"{root}/samples")
-        spark.createDataFrame([(self.populations, self.dims)], "populations array<string>, dims int").write.mode("overwrite").parquet(f"{root}/about")
+        about = [(self.populations, self.dims, self.s.tolist(), self.places.n, self.places.mean.tolist(), self.places.gram.tolist())]
+        spark.createDataFrame(about, "populations array<string>, dims int, s array<double>, n long, mean array<double>, gram array<array<double>>").write.mode("overwrite").parquet(f"{root}/about")
         self.model.write().overwrite().save(f"{root}/model")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Reference:
         root = f"{path}/version={REFERENCE_VERSION}"
-        u, v, s = (np.array([r.x for r in spark.read.parquet(f"{root}/{n}").orderBy("row").collect()]) for n in "uvs")  # of the reference's fixed size
         about = spark.read.parquet(f"{root}/about").first()
-        return cls(u, s[0], v, spark.read.parquet(f"{root}/keys"), spark.read.parquet(f"{root}/samples"), list(about.populations), RandomForestClassificationModel.load(f"{root}/model"), about.dims)
+        places = ml.Places(about.n, np.array(about["mean"]), np.array(about.gram).reshape(len(about.s), -1))
+        return cls(spark.read.parquet(f"{root}/directions"), np.array(about.s), places, spark.read.parquet(f"{root}/samples"), list(about.populations), RandomForestClassificationModel.load(f"{root}/model"), about.dims)
 
 
 def project(genotypes: DataFrame, reference: Reference, least: int = 1000) -> DataFrame:
     """(sample_id, pc, n_found) of target samples; samples with fewer than least of the reference's variants are left out."""
     ids = genotypes.select("sample_id").distinct()
-    panel = ids.crossJoin(reference.keys.select("variant_index", "vkey", "mean", "std"))  # each sample's vector has a row for each variant
+    panel = ids.crossJoin(reference.directions.select("vkey"))  # each sample has a row for each variant
     target = genotypes.where("dosage is not null").select("sample_id", "vkey", "dosage")
     found = _by_sample(panel, target)
     enough = found.groupBy("sample_id").agg(F.count_if(F.col("matched") != "none").alias("n_found")).where(F.col("n_found") >= least)
-    z = found.join(enough, "sample_id").select("sample_id", "variant_index", standardised(F.col("dosage"), F.col("mean"), F.col("std")).alias("w"))
-    return ml.project_samples(z, reference.u, reference.s, ml.Places.of(reference.v), dims=min(reference.dims, len(reference.s))).join(enough, "sample_id")
+    z = found.join(enough, "sample_id").join(reference.directions.select("vkey", "mean", "std"), "vkey").select("sample_id", "vkey", standardised(F.col("dosage"), F.col("mean"), F.col("std")).alias("w"))
+    return ml.project_samples(z, reference.directions, reference.s, reference.places, variant="vkey", dims=reference.dims).join(enough, "sample_id")
 
 
 def _by_sample(panel: DataFrame, target: DataFrame) -> DataFrame:

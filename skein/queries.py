@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import clean, domains, keys, rules
-from skein.operators import dosage, graph, match, ml, resample, reshape, score, stats
+from skein.operators import dosage, graph, match, ml, resample, reshape, score, space, stats
 from skein.plans import cohort, reference_cache, report, scoring
 from skein.session import written, shared_dir
 from skein.sources import blocks
@@ -777,7 +777,9 @@ def q63_projection_of_samples(spark, d):
     shape = e.groupBy("variant_index").agg(F.avg(F.col("x").cast("double")).alias("m"), F.stddev_pop(F.col("x").cast("double")).alias("q"))
     rows = sorted(tuple(r) for r in shape.collect())  # one for each component
     z = e.join(F.broadcast(spark.createDataFrame(rows, "variant_index int, m double, q double")), "variant_index").select("sample_id", "variant_index", dosage.standardised(F.col("x").cast("double"), F.col("m"), F.col("q")).alias("w"))
-    return ml.project_samples(z, *ml.reference_space(t(spark, d, "embeddings"), "embedding", [r[1] for r in rows], [r[2] for r in rows], 40))
+    u, s, places = ml.reference_space(t(spark, d, "embeddings"), "embedding", [r[1] for r in rows], [r[2] for r in rows], 40)
+    directions = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(u)], "variant_index int, u array<double>")  # a row for each component
+    return ml.project_samples(z, directions, s, places)
 
 
 @query()
@@ -843,6 +845,24 @@ def q74_block_calls(spark, d):
     return g.select("sample_id", "build", F.col("pos").cast("long").alias("pos"), "ref", "alt", F.col("dosage").cast("double").alias("dosage"), "rsid", keys.chromosome(F.col("chrom")).alias("chrom"))
 
 
+def _panel_squared(k: int) -> str:
+    """A Gram matrix times itself, scaled by its trace."""
+    return f"m{k} AS MATERIALIZED (SELECT i, j, x / sum(x) FILTER (i = j) OVER () AS x FROM (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM m{k - 1} a JOIN m{k - 1} b ON a.j = b.i GROUP BY 1, 2))"
+
+
+@query(f"""WITH e AS (SELECT vec_id, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings),
+z AS (SELECT vec_id, k, (x - avg(x) OVER w) / stddev_pop(x) OVER w AS z FROM e WINDOW w AS (PARTITION BY vec_id)), m0 AS MATERIALIZED (SELECT a.k AS i, b.k AS j, sum(a.z * b.z) AS x FROM z a JOIN z b USING (vec_id) GROUP BY 1, 2),
+{", ".join(_panel_squared(k) for k in range(1, 13))},
+u AS (SELECT m.i AS k, m.x / sqrt(sum(m.x * m.x) OVER ()) AS v FROM m12 m WHERE j = (SELECT arg_max(i, x) FROM m12 WHERE i = j)), f AS (SELECT k, v * sign(arg_max(v, abs(v)) OVER ()) AS v FROM u),
+s AS (SELECT sqrt(sum(a.v * m.x * b.v)) AS s FROM m0 m JOIN f a ON a.k = m.i JOIN f b ON b.k = m.j)
+SELECT CAST(k AS INT) AS sample, round(v, 5) + 0.0 AS place, round(s, 4) AS singular_value FROM f, s""")
+def q76_panel_components(spark, d):
+    """The vectors as a panel's variants: the first component over its blocks, by samples. The SQL squares the Gram matrix twelve times, which leaves its first direction."""
+    panel = t(spark, d, "embeddings").select(F.transform("embedding", lambda x: x.cast("double")).alias("dosages"))
+    s, v = space.principal_components(panel)
+    return spark.createDataFrame([(k, round(float(x), 5) + 0.0, round(float(s[0]), 4)) for k, x in enumerate(v[:, 0])], "sample int, place double, singular_value double")  # a row for each sample
+
+
 @query(f"WITH {_STRESS_SQL} SELECT disease, pgs_id, n_pos, n_neg, round(greatest(a, 1 - a), 6) AS auc FROM au")
 def q68_stress_test(spark, d):
     z, own = _components(spark, d)

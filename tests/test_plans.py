@@ -197,9 +197,9 @@ def test_ancestry(spark, reference, tmp_path):
     pos = spark.createDataFrame([(k, "1", 10 + k, "A", "G") for k in range(m)], "variant_index int, chrom string, pos int, ref string, alt string").withColumn("vkey", variant_key(*map(F.col, ("chrom", "pos", "ref", "alt"))))
     keys = {r.variant_index: r.vkey for r in pos.collect()}
     samples = spark.createDataFrame([(k, f"r{k}", ["EUR", "AFR", "EUR"][k * 3 // n], True) for k in range(n)], "sample int, sample_id string, population string, unrelated boolean")
-    ref = scoring.Reference.build(d, pos.select("variant_index", "vkey"), samples, dims=4, trees=20)
-    g = spark.createDataFrame([("t", keys[k], float(d[k, 15]), None) for k in range(m)], "sample_id string, vkey long, dosage float, rsid string")
     panel = spark.createDataFrame([(keys[k], [int(x) for x in d[k]], float(d[k].mean() / 2)) for k in range(m)], "vkey long, dosages array<int>, afreq double")
+    ref = scoring.Reference.build(panel, samples, dims=4, trees=20)
+    g = spark.createDataFrame([("t", keys[k], float(d[k, 15]), None) for k in range(m)], "sample_id string, vkey long, dosage float, rsid string")
     w = spark.createDataFrame([("p", keys[k], 0.1 * ((k % 5) - 2), 0, 0) for k in range(m)], "pgs_id string, vkey long, weight double, flip int, model int")
     meta = spark.createDataFrame([("p", m)], "pgs_id string, num_original long")
     scores = scoring.score_samples(g, w, meta)
