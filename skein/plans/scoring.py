@@ -59,6 +59,19 @@ def score_samples(genotypes: DataFrame, weights: DataFrame, meta: DataFrame, by_
     return weighted_scores(matched_rows(genotypes, weights, by_name), meta)
 
 
+def store_cohort(genotypes: DataFrame, weights: DataFrame, meta: DataFrame, path: str, buckets: int = sinks.BUCKETS) -> None:
+    """Stores a cohort's first observations and all scores' weights by key, for score_cohort. Rows without a dosage are left out."""
+    seen = first_wins(genotypes, ["sample_id", "vkey"], ["line_no"]) if "line_no" in genotypes.columns else genotypes
+    sinks.write_keyed(seen.where("dosage is not null").select("sample_id", "vkey", F.col("dosage").cast("double").alias("dosage")), f"{path}/genotypes", buckets=buckets)
+    sinks.write_keyed(weights.select("pgs_id", "vkey", "weight", "flip", "model"), f"{path}/weights", buckets=buckets)
+    meta.write.mode("overwrite").parquet(f"{path}/meta")
+
+
+def score_cohort(spark: SparkSession, path: str, buckets: int = sinks.BUCKETS) -> DataFrame:
+    """All scores of all samples of a stored cohort. Neither the genotypes nor the weights are shuffled: buckets of a key meet where they are read, and sums leave the join."""
+    return score_samples(sinks.read_keyed(spark, f"{path}/genotypes", buckets=buckets), sinks.read_keyed(spark, f"{path}/weights", buckets=buckets), spark.read.parquet(f"{path}/meta"))
+
+
 def score_reference(weights: DataFrame, genotypes: DataFrame, panel: DataFrame, impute: bool = True) -> DataFrame:
     """Scores of the reference panel over the keys that target and panel both have."""
     return panel_scores(reduced_to(weights, genotypes.where("dosage is not null"), panel), panel, impute=impute)

@@ -845,6 +845,23 @@ def q74_block_calls(spark, d):
     return g.select("sample_id", "build", F.col("pos").cast("long").alias("pos"), "ref", "alt", F.col("dosage").cast("double").alias("dosage"), "rsid", keys.chromosome(F.col("chrom")).alias("chrom"))
 
 
+@query(f"""WITH {W_SQL}, c AS (SELECT unnest(['a', 'b']) AS sample_id), meta AS (SELECT pgs_id, count(*) AS total FROM w GROUP BY 1),
+g AS (SELECT sample_id, p_partkey, CASE sample_id WHEN 'a' THEN p_size % 3 ELSE p_partkey % 3 END AS g FROM part, c WHERE p_size % 5 <> 0),
+j AS (SELECT sample_id, pgs_id, weight, model, CASE WHEN flip = 1 THEN 2.0 - g ELSE CAST(g AS DOUBLE) END AS d FROM w JOIN g ON l_partkey = p_partkey),
+k AS (SELECT sample_id, pgs_id, sum(weight * CAST(CASE model WHEN 1 THEN least(d, 1.0) WHEN 2 THEN CASE WHEN d >= 2 THEN 1.0 ELSE 0.0 END ELSE d END AS DOUBLE)) AS x, count(*) AS n FROM j GROUP BY ALL)
+SELECT c.sample_id, meta.pgs_id, round(coalesce(x, 0), 4) + 0.0 AS raw_score, coalesce(n, 0) AS variants_matched, round(coalesce(n, 0) / CAST(total AS DOUBLE), 6) AS match_rate
+FROM c CROSS JOIN meta LEFT JOIN k ON k.sample_id = c.sample_id AND k.pgs_id = meta.pgs_id""")
+def q77_keyed_stores(spark, d):
+    """part as the genotypes of two samples and lineitem as weights, stored by key and scored where they lie."""
+    path = f"{shared_dir(spark)}/cohort-{uuid.uuid4().hex}"
+    w = weights(spark, d).withColumnRenamed("l_partkey", "vkey")
+    one = t(spark, d, "part").where("p_size % 5 <> 0")
+    called = lambda name, c: one.select(F.lit(name).alias("sample_id"), F.col("p_partkey").alias("vkey"), F.pmod(c, F.lit(3)).alias("dosage"))
+    scoring.store_cohort(called("a", "p_size").unionByName(called("b", "p_partkey")), w, w.groupBy("pgs_id").agg(F.count("*").alias("num_original")), path, 16)
+    out = scoring.score_cohort(spark, path, 16)
+    return out.select("sample_id", "pgs_id", r(F.col("raw_score"), 4).alias("raw_score"), "variants_matched", "match_rate")
+
+
 def _panel_squared(k: int) -> str:
     """A Gram matrix times itself, scaled by its trace."""
     return f"m{k} AS MATERIALIZED (SELECT i, j, x / sum(x) FILTER (i = j) OVER () AS x FROM (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM m{k - 1} a JOIN m{k - 1} b ON a.j = b.i GROUP BY 1, 2))"

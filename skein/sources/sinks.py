@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -12,8 +13,11 @@ from pyspark.sql import functions as F
 
 from skein.functions.keys import unordered_checksum
 from skein.operators.score import qc_counts
+from skein.session import remove
 
 STORE_VERSION = 2
+#: Of keyed stores: the same for all that are to be joined. So many tasks take part in a join, each with that share of either side.
+BUCKETS = 64
 
 
 def write_genotypes(genotypes: DataFrame, path: str) -> None:
@@ -27,6 +31,28 @@ def read_genotypes(spark: SparkSession, path: str, samples: list[str] | None = N
     return rows.where(F.col("sample_id").isin(samples)) if samples is not None else rows
 
 
+def write_keyed(df: DataFrame, path: str, key: str = "vkey", buckets: int = BUCKETS) -> None:
+    """A store dealt into buckets by the hash of a key, sorted in each: two such stores are joined on the key where they lie, without a shuffle.
+
+    The table's name is only there to write it; what stays is the folder, which is replaced. The writer's schema is read from its files.
+    """
+    spark, name = df.sparkSession, f"keyed_{uuid.uuid4().hex}"
+    remove(spark, path)
+    df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def read_keyed(spark: SparkSession, path: str, key: str = "vkey", buckets: int = BUCKETS) -> DataFrame:
+    """What write_keyed has written with this key and number of buckets."""
+    name = f"keyed_{uuid.uuid4().hex}"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the frame knows its files
+
+
 def write_panel(panel: DataFrame, samples: DataFrame, path: str) -> None:
     """A panel store: variants in ranges of their keys, sorted, so readers of a range skip files and row groups; its samples beside it."""
     panel.repartitionByRange("vkey").sortWithinPartitions("vkey").write.mode("overwrite").parquet(f"{path}/version={STORE_VERSION}/variants")

@@ -215,6 +215,31 @@ def test_ancestry(spark, reference, tmp_path):
     assert scoring.project(g, ref, least=10_000).count() == 0
 
 
+def test_stored_cohort_is_scored_without_a_shuffle(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    genotypes = spark.createDataFrame([(f"s{i}", int(k), float(rng.integers(0, 3)) if rng.random() > 0.1 else None, line) for i in range(5) for k in range(40) for line in (1, 2)], "sample_id string, vkey long, dosage double, line_no int")
+    weights = spark.createDataFrame([(f"p{p}", int(k), float(rng.normal()), int(k % 2), int(p % 3)) for p in range(4) for k in rng.choice(60, 25, replace=False)], "pgs_id string, vkey long, weight double, flip int, model int")
+    meta = weights.groupBy("pgs_id").agg(F.count("*").alias("num_original"))
+    want = {(r.sample_id, r.pgs_id): r for r in scoring.score_samples(genotypes, weights, meta).collect()}
+    path = f"file://{tmp_path}/cohort"
+    for _ in range(2):  # a second time replaces the first
+        scoring.store_cohort(genotypes, weights, meta, path, 4)
+    tables = [x.name for x in spark.catalog.listTables()]
+    got = scoring.score_cohort(spark, path, 4)
+    rows = {(r.sample_id, r.pgs_id): r for r in got.collect()}
+    assert set(rows) == set(want) and all(rows[k].raw_score == pytest.approx(want[k].raw_score) and rows[k].variants_matched == want[k].variants_matched for k in want)
+    assert [x.name for x in spark.catalog.listTables()] == tables
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = scoring.matched_rows(sinks.read_keyed(spark, f"{path}/genotypes", buckets=4), sinks.read_keyed(spark, f"{path}/weights", buckets=4))
+        plan = joined.groupBy("pgs_id").agg(F.sum("weight"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above, below = plan.split("SortMergeJoin", 1)
+    assert "Exchange" in above and "Exchange" not in below and below.count("Bucketed: true") == 2
+
+
 def test_cohort(spark):
     rng = np.random.default_rng(9)
     n, scores = 48, [f"P{k}" for k in range(12)]
