@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.operators.ranks import is_large, quantiles, running
 from skein.operators.regression import normalising_fits
 
 MAD_SCALE = 1.4826
@@ -27,39 +28,45 @@ def percentile_rank(n_below: Column, n_upto: Column, n: Column) -> Column:
     return 50.0 * (n_below + n_upto + F.when(n_upto > n_below, 1).otherwise(0)) / n
 
 
-def percentiles_within(df: DataFrame, value: str, by: list[str], out: str = "percentile") -> DataFrame:
-    """Each row's percentile among all rows of its group. Counts of equal values come first, so ties cost nothing."""
-    counts = df.groupBy(*by, value).agg(F.count("*").alias("_n"))
-    upto = Window.partitionBy(*by).orderBy(value)
-    ranked = counts.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
+def percentiles_within(df: DataFrame, value: str, by: list[str], out: str = "percentile", spread: bool | None = None) -> DataFrame:
+    """Each row's percentile among all rows of its group. Counts of equal values come first, so ties cost nothing. spread: see ranks.running."""
+    ranked = running(df.groupBy(*by, value).agg(F.count("*").alias("_n")), by, value, spread=spread)
     rank = percentile_rank(F.col("_upto") - F.col("_n"), F.col("_upto"), F.col("_all"))
     return df.join(ranked.select(*by, value, rank.alias(out)), [*by, value])
 
 
-def winsorised(df: DataFrame, value: str, by: list[str], low: float = 0.005, high: float = 0.995, out: str = "z") -> DataFrame:
-    """Values clipped to quantiles of their group and standardised by the clipped mean and sample deviation (0 counts as 1)."""
-    bounds = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(low), F.lit(high))).alias("_q"))
+def winsorised(df: DataFrame, value: str, by: list[str], low: float = 0.005, high: float = 0.995, out: str = "z", spread: bool | None = None) -> DataFrame:
+    """Values clipped to quantiles of their group and standardised by the clipped mean and sample deviation (0 counts as 1). spread: see ranks.running."""
+    bounds = quantiles(df, value, by, [low, high], spread=spread)
     clipped = df.join(bounds, by).withColumn("clipped", F.least(F.greatest(F.col(value).cast("double"), F.col("_q")[0]), F.col("_q")[1])).drop("_q")
     stats = clipped.groupBy(*by).agg(F.avg("clipped").alias("_mean"), F.stddev_samp("clipped").alias("_std"))
     std = F.when(F.coalesce(F.col("_std"), F.lit(0.0)) == 0, 1.0).otherwise(F.col("_std"))
     return clipped.join(stats, by).withColumn(out, (F.col("clipped") - F.col("_mean")) / std).drop("_mean", "_std")
 
 
-def robust_scale(df: DataFrame, value: str, by: list[str], floor: bool = True) -> DataFrame:
+def robust_scale(df: DataFrame, value: str, by: list[str], floor: bool = True, spread: bool | None = None) -> DataFrame:
     """center (median) and scale (1.4826 times the median distance from it; the sample deviation where that is nearly 0, then 1) of each group.
 
-    floor: whether a deviation that is nearly 0 too becomes 1.
+    floor: whether a deviation that is nearly 0 too becomes 1. spread: see ranks.running.
     """
-    centers = df.groupBy(*by).agg(F.median(value).alias("center"))
-    spread = df.join(centers, by).groupBy(*by).agg(F.first("center").alias("center"), (F.median(F.abs(F.col(value) - F.col("center"))) * MAD_SCALE).alias("_mad"), F.stddev_samp(value).alias("_std"), F.count(value).alias("_n"))
+    large = is_large(df) if spread is None else spread
+    centers = quantiles(df, value, by, [0.5], spread=large).select(*by, F.col("_q")[0].alias("center"))
+    joined = df.join(centers, by)
+    far = F.abs(F.col(value) - F.col("center"))
+    moments = [F.first("center").alias("center"), F.stddev_samp(value).alias("_std"), F.count(value).alias("_n")]
+    if large:
+        mad = quantiles(joined, far, by, [0.5], spread=True).select(*by, (F.col("_q")[0] * MAD_SCALE).alias("_mad"))
+        found = joined.groupBy(*by).agg(*moments).join(mad, by)
+    else:
+        found = joined.groupBy(*by).agg(*moments, (F.median(far) * MAD_SCALE).alias("_mad"))
     second = F.when(F.col("_n") > 1, F.col("_std")).otherwise(1.0)
     scale = F.when(F.col("_mad") >= 1e-8, F.col("_mad")).otherwise(F.when(second >= 1e-8, second).otherwise(F.lit(1.0)) if floor else second)
-    return spread.select(*by, "center", scale.alias("scale"))
+    return found.select(*by, "center", scale.alias("scale"))
 
 
-def iqr_thresholds(df: DataFrame, value: str, by: list[str], first: float = 4.0, second: float = 2.0) -> DataFrame:
-    """t1 and t2: so many interquartile ranges above the third quartile."""
-    q = df.groupBy(*by).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
+def iqr_thresholds(df: DataFrame, value: str, by: list[str], first: float = 4.0, second: float = 2.0, spread: bool | None = None) -> DataFrame:
+    """t1 and t2: so many interquartile ranges above the third quartile. spread: see ranks.running."""
+    q = quantiles(df, value, by, [0.25, 0.5, 0.75], spread=spread)
     iqr = F.col("_q")[2] - F.col("_q")[0]
     return q.select(*by, (F.col("_q")[2] + first * iqr).alias("t1"), (F.col("_q")[2] + second * iqr).alias("t2"))
 
@@ -77,15 +84,15 @@ def most_common(df: DataFrame, by: list[str], value: str, position: str) -> Data
     return best.select(*by, F.col("_best")[value].alias(value), F.col("_best")["n"].alias("n"))
 
 
-def rank_auc(df: DataFrame, value: str, label: str, by: list[str], symmetric: bool = True) -> DataFrame:
+def rank_auc(df: DataFrame, value: str, label: str, by: list[str], symmetric: bool = True, spread: bool | None = None) -> DataFrame:
     """Area under the ROC curve of a value for a 0/1 label in each group, ties at their mean rank; by distinct values, so the window is over counts.
 
-    Groups of one class have no area. symmetric: the larger of the area and its complement.
+    Groups of one class have no area. symmetric: the larger of the area and its complement. spread: see ranks.running.
     """
     y = F.col(label).cast("long")
     counts = df.where(F.col(value).isNotNull() & F.col(label).isNotNull()).groupBy(*by, value).agg(F.sum(y).alias("_pos"), F.count("*").alias("_n"))
-    below = F.sum("_n").over(Window.partitionBy(*by).orderBy(value)) - F.col("_n")
-    ranks = counts.withColumn("_sum", F.col("_pos") * (below + (F.col("_n") + 1) / 2))
+    below = F.col("_upto") - F.col("_n")
+    ranks = running(counts, by, value, spread=spread).withColumn("_sum", F.col("_pos") * (below + (F.col("_n") + 1) / 2))
     total = ranks.groupBy(*by).agg(F.sum("_sum").alias("_s"), F.sum("_pos").alias("n_pos"), (F.sum("_n") - F.sum("_pos")).alias("n_neg"))
     auc = (F.col("_s") - F.col("n_pos") * (F.col("n_pos") + 1) / 2) / (F.col("n_pos") * F.col("n_neg"))
     if symmetric:
@@ -169,15 +176,14 @@ def coefficients(values: DataFrame, design: DataFrame, columns: list[str], value
     return sums.select(by, beta(0).alias("intercept"), F.array(*(beta(i) for i in range(1, len(xs)))).alias("coefs"))
 
 
-def percentiles_of(targets: DataFrame, ref: DataFrame, by: list[str], value: str = "score", out: str = "percentile") -> DataFrame:
+def percentiles_of(targets: DataFrame, ref: DataFrame, by: list[str], value: str = "score", out: str = "percentile", spread: bool | None = None) -> DataFrame:
     """targets with the percentile of their value among the reference's values of their group, null without any.
 
-    Both sides' values are counted together and ranked by a window over distinct values, so no target meets a reference row.
+    Both sides' values are counted together and ranked by distinct values, so no target meets a reference row. spread: see ranks.running.
     """
     both = ref.select(*by, F.col(value).alias("_v"), F.lit(1).alias("_r")).unionByName(targets.select(*by, F.col(value).alias("_v"), F.lit(0).alias("_r")))
     counts = both.groupBy(*by, "_v").agg(F.sum("_r").alias("_n"))
-    group = Window.partitionBy(*by)
-    ranked = counts.withColumn("_upto", F.sum("_n").over(group.orderBy("_v"))).withColumn("_all", F.sum("_n").over(group)).where("_all > 0")
+    ranked = running(counts, by, "_v", spread=spread).where("_all > 0")
     rank = percentile_rank(F.col("_upto") - F.col("_n"), F.col("_upto"), F.col("_all"))
     return targets.join(ranked.select(*by, F.col("_v").alias(value), rank.alias(out)), [*by, value], "left")
 
