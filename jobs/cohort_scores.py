@@ -1,7 +1,7 @@
 """Nightly scores of a cohort: every sample by every published score, normalised within its population.
 
 Reads the calls (lineitem by order: the sample is the order's customer, the variant the part), the samples (customer, with its nation's
-region as population) and the weight tables (part: the score is the brand). Of a variant that was called twice the first call stands.
+region as population) and the weight tables (part: the score is the brand). Of a variant that was called twice the first call stands, and of two calls of one line number that of the lower dosage.
 Writes, partitioned by population,
 
 - ``scores``: sample_id, pgs_id, raw_score, variants_matched, match_rate, z and percentile (both among the population's samples);
@@ -37,7 +37,7 @@ def calls_of(spark: SparkSession, tables: str, samples: DataFrame) -> DataFrame:
     """sample_id, population, variant, dosage and flip: the first call of each sample and variant."""
     orders = spark.read.parquet(f"{tables}/orders.parquet").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("sample_id")).join(samples, "sample_id")
     lines = spark.read.parquet(f"{tables}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("variant"), F.pmod(F.col("l_quantity").cast("int"), F.lit(3)).alias("dosage"), F.pmod("l_linenumber", F.lit(2)).alias("flip"))
-    return match.first_wins(lines.join(orders, "l_orderkey"), ["sample_id", "variant"], ["l_orderkey", "l_linenumber"])
+    return match.first_wins(lines.join(orders, "l_orderkey"), ["sample_id", "variant"], ["l_orderkey", "l_linenumber", "dosage"])
 
 
 def weights_of(spark: SparkSession, tables: str) -> DataFrame:

@@ -32,7 +32,7 @@ def queries() -> dict:
 
 
 _COHORT_SQL = """WITH s AS (SELECT c_custkey AS sample_id, r_name AS population FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey),
-c AS (SELECT * FROM (SELECT sample_id, population, l_partkey AS variant, CAST(floor(l_quantity) AS INT) % 3 AS dosage, l_linenumber % 2 AS flip, row_number() OVER (PARTITION BY sample_id, l_partkey ORDER BY l_orderkey, l_linenumber) AS k
+c AS (SELECT * FROM (SELECT sample_id, population, l_partkey AS variant, CAST(floor(l_quantity) AS INT) % 3 AS dosage, l_linenumber % 2 AS flip, row_number() OVER (PARTITION BY sample_id, l_partkey ORDER BY l_orderkey, l_linenumber, CAST(floor(l_quantity) AS INT) % 3) AS k
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN s ON o_custkey = sample_id) WHERE k = 1),
 w AS (SELECT p_brand AS pgs_id, p_partkey AS variant, CAST(p_retailprice AS DOUBLE) / 1000 - 1 AS weight, p_size % 3 AS model FROM part),
 j AS (SELECT sample_id, population, pgs_id, weight, model, CASE WHEN flip = 1 THEN 2.0 - dosage ELSE CAST(dosage AS DOUBLE) END AS d FROM c JOIN w USING (variant)),
