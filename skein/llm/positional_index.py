@@ -271,16 +271,28 @@ def search(index: DataFrame, items: DataFrame, size: int = WINDOW, block_windows
         one(number).write.parquet(paths[-1])
     # A document is told from others of the same id by its segment and its place there.
     lists = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    merged = spark.read.schema(HITS).parquet(*paths).groupBy("segment", "_row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), lists("items"), lists("near_items"))
-    last = lambda acc: F.element_at(acc, -1)
+    merged = spark.read.schema(HITS).parquet(*paths).groupBy("segment", "_row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), lists("items"), lists("near_items"))
+    return merged.drop("segment", "_row").mapInArrow(_merged, "doc_id long, n_words long, spans array<array<long>>, items array<long>, near_items array<long>")
 
-    def join(acc, x):
-        grown = F.array(F.get(last(acc), F.lit(0)), F.greatest(F.get(last(acc), F.lit(1)), F.get(x, F.lit(1))))
-        return F.when(F.get(last(acc), F.lit(1)) >= F.get(x, F.lit(0)), F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(x)))
 
-    empty = F.array().cast("array<array<bigint>>")
-    # size() = 0 guards element_at on an empty list.
-    return merged.select("doc_id", "n_words", F.aggregate("s", empty, lambda acc, x: F.when(F.size(acc) == 0, F.array(x)).otherwise(join(acc, x))).alias("spans"), "items", "near_items")
+def joined(spans: np.ndarray) -> np.ndarray:
+    """Spans (begin, end) in any order as disjoint ascending ones; those that touch become one."""
+    if len(spans) < 2:
+        return spans
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    ends = np.maximum.accumulate(spans[:, 1])
+    first = np.flatnonzero(np.r_[True, spans[1:, 0] > ends[:-1]])
+    return np.stack([spans[first, 0], np.r_[ends[first[1:] - 1], ends[-1]]], 1)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the spans of all blocks joined."""
+    for batch in batches:
+        found = [joined(np.zeros((0, 2), np.int64) if (x := cell.values) is None else x.flatten().to_numpy().reshape(-1, 2)) for cell in batch.column(2)]
+        flat = np.concatenate([np.zeros((0, 2), np.int64), *found])
+        pairs = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * 2), pa.array(flat.ravel()))
+        spans = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pairs)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), spans, batch.column(3), batch.column(4)], ["doc_id", "n_words", "spans", "items", "near_items"])
 
 
 def _near(batches: Iterator[pa.RecordBatch], items: list[tuple[int, tuple[bytes, ...]]], slack: int) -> Iterator[pa.RecordBatch]:
