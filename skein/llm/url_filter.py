@@ -60,7 +60,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 def segment(raw: Column) -> Column:
     """A segment with its variable part as a wildcard; what follows a last dot stays."""
-    stem, ext = F.regexp_extract(raw, r"\A(.*?)(\.[A-Za-z0-9]{1,5})?\z", 1), F.regexp_extract(raw, r"\A(.*?)(\.[A-Za-z0-9]{1,5})?\z", 2)
+    stem, ext = F.regexp_extract(raw, r"(?s)\A(.*?)(\.[A-Za-z0-9]{1,5})?\z", 1), F.regexp_extract(raw, r"(?s)\A(.*?)(\.[A-Za-z0-9]{1,5})?\z", 2)
     kind = F.when(stem.rlike(r"\A[0-9]+\z"), "{n}").when(stem.rlike(r"\A(?=.*[0-9])[0-9A-Fa-f-]{8,}\z"), "{id}").otherwise(stem)
     return F.concat(kind, ext)
 
@@ -86,9 +86,8 @@ def merged(cells: Column, z: float) -> Column:
         return F.when((F.size(acc) > 0) & alike(last(acc), x, z), F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(both))).otherwise(F.concat(acc, F.array(x)))
 
     empty = F.array().cast("array<struct<low:int,high:int,labelled:bigint,good:bigint,branches:bigint>>")
-    for _ in range(4):  # a pass at least halves what can still merge; classes that differ at the border end it
-        cells = F.aggregate(cells, empty, put)
-    return cells
+    # A pass merges at least one pair while there is one, so as many passes as there are cells end with none.
+    return F.aggregate(F.sequence(F.lit(1), F.size(cells)), cells, lambda acc, _: F.aggregate(acc, empty, put))
 
 
 def tree(urls: DataFrame, z: float = 2.58, smoothing: float = 10.0) -> DataFrame:

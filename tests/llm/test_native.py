@@ -264,3 +264,39 @@ def test_rollup_query_equals_sql(spark):
     for t in ("documents", "labels"):
         con.sql(f"create view {t} as from '{d}/{t}.parquet'")
     assert sorted(map(tuple, token_rollup.query(spark, d).collect())) == sorted(con.sql(token_rollup.SQL).fetchall())
+
+
+def test_cells_are_merged_until_none_are_alike(spark):
+    rnd = random.Random(17)
+    cases = []
+    for case in range(40):
+        cells = []
+        for low in sorted(rnd.sample(range(50), rnd.randint(1, 50))):
+            labelled = rnd.choice([3, 20, 200, 2000])
+            cells.append((low, low, labelled, round(labelled * (low + 0.5) / 50), 1))
+        cases.append((case, cells))
+    kind = "array<struct<low:int,high:int,labelled:bigint,good:bigint,branches:bigint>>"
+    got = {r.k: [tuple(c) for c in r.m] for r in spark.createDataFrame(cases, f"k int, c {kind}").select("k", url_filter.merged(F.col("c"), 2.58).alias("m")).collect()}
+
+    def alike(a, b):
+        p = (a[3] + b[3]) / (a[2] + b[2])
+        return abs(a[3] / a[2] - b[3] / b[2]) <= 2.58 * (p * (1 - p) * (1 / a[2] + 1 / b[2])) ** 0.5
+
+    for case, cells in cases:
+        while True:
+            out = []
+            for c in cells:
+                if out and alike(out[-1], c):
+                    last = out.pop()
+                    c = (last[0], c[1], *(x + y for x, y in zip(last[2:], c[2:])))
+                out.append(c)
+            if len(out) == len(cells):
+                break
+            cells = out
+        assert got[case] == cells
+
+
+def test_line_ends_in_paths_tell_them_apart(spark):
+    paths = spark.createDataFrame([(k, p) for k, p in enumerate(["/x/a\nb", "/x/c\nd", "/x/1\n2.html", "/x/"])], "k int, path string")
+    got = {r.k: r.s for r in paths.select("k", url_filter.shape_of(F.col("path")).alias("s")).collect()}
+    assert got == {0: ["x", "a\nb"], 1: ["x", "c\nd"], 2: ["x", "1\n2.html"], 3: ["x", ""]}
