@@ -104,7 +104,7 @@ def _read(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[tuple[
 
 
 def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Rows (0, id, set, n, bitmap, size class) of all documents and (1, null, shingle, count, null, null) of the task's frequent shingles."""
+    """Rows (0, id, print, set, n, bitmap, size class) of all documents and (1, null, null, shingle, count, null, null) of the task's frequent shingles."""
     only("shingles")
     names, counts, docs = [], [], 0
     held, begins = 0, size_classes(percent)
@@ -113,8 +113,8 @@ def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tupl
         keys, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *names]), return_inverse=True)
         return keys, np.bincount(at, np.concatenate([np.zeros(0), *counts]), len(keys)).astype(np.int64)
 
-    def batch_of(kind: int, ids: pa.Array, name: list | np.ndarray, n: np.ndarray, bits: pa.Array, level: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), ids, pa.array(name, pa.int64()), pa.array(n, pa.int64()), bits, level], ["kind", "doc_id", "name", "n", "bits", "level"])
+    def batch_of(kind: int, ids: pa.Array, prints: pa.Array, name: list | np.ndarray, n: np.ndarray, bits: pa.Array, level: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), kind, np.int8)), ids, prints, pa.array(name, pa.int64()), pa.array(n, pa.int64()), bits, level], ["kind", "doc_id", "print", "name", "n", "bits", "level"])
 
     for batch, texts in _read(batches):
         sets = shingle_sets(texts, size, key)
@@ -127,11 +127,11 @@ def _named(batches: Iterator[pa.RecordBatch], size: int, percent: int, key: tupl
             keys, n = merged()
             names, counts, held = [keys[n > 2]], [n[n > 2]], int((n > 2).sum())
         sizes = np.array([len(s) for s in sets], np.int64)
-        yield batch_of(0, batch.column(0), [set_id(s) for s in sets], sizes, pa.array([bitmap(s) for s in sets], pa.binary()), pa.array(np.searchsorted(begins, sizes, "right"), pa.int64()))
+        yield batch_of(0, batch.column(0), batch.column(2), [set_id(s) for s in sets], sizes, pa.array([bitmap(s) for s in sets], pa.binary()), pa.array(np.searchsorted(begins, sizes, "right"), pa.int64()))
     keys, n = merged()
     hot = n >= max(FREQUENT, FREQUENT_SHARE * docs)
     some = int(hot.sum())
-    yield batch_of(1, pa.nulls(some, pa.int64()), keys[hot].view(np.int64), n[hot], pa.nulls(some, pa.binary()), pa.nulls(some, pa.int64()))
+    yield batch_of(1, pa.nulls(some, pa.int64()), pa.nulls(some, pa.int64()), keys[hot].view(np.int64), n[hot], pa.nulls(some, pa.binary()), pa.nulls(some, pa.int64()))
     names = counts = keys = n = None
     release()
 
@@ -446,17 +446,18 @@ def _large(rows: DataFrame, links: DataFrame, block: int, percent: int) -> DataF
 def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text", block: int = BLOCK, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) of each row of docs."""
     spark = docs.sparkSession
-    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # A row is found again by its id and a print of its text: ids may repeat, with other texts.
+    source = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("print"))
     path, hashed = scratch(spark, "shingle-sets"), fresh_key()
-    named_schema = "kind byte, doc_id long, name long, n long, bits binary, level long"
+    named_schema = "kind byte, doc_id long, print long, name long, n long, bits binary, level long"
     source.mapInArrow(lambda b: _named(b, size, percent, hashed), named_schema).write.parquet(path)
     stored = spark.read.schema(named_schema).parquet(path)
     named = stored.where("kind = 0").drop("kind")
     top = stored.where("kind = 1").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(MOST_FREQUENT)
     frequent = np.sort(np.array([r.name for r in top.select("name").collect()], np.int64).view(np.uint64))
     shipped = spark.sparkContext.broadcast(frequent)  # MOST_FREQUENT numbers at most
-    # One document of each set, by its id; of rows that repeat an id those with another set fall out in _fetch.
-    facts = named.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"), F.first("n").alias("size"), F.first("bits").alias("bits"), F.first("level").alias("level"))
+    # One document of each set, by its id and print.
+    facts = named.where("n > 0").groupBy("name").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "print"))).alias("least"), F.first("n").alias("size"), F.first("bits").alias("bits"), F.first("level").alias("level"))
 
     sent = source.select("doc_id", "text").mapInArrow(lambda b: _prefixes(b, size, percent, hashed, shipped.value), "shingle long, salt long, name long, first long, p long")
     same = Window.partitionBy("shingle", "salt")
@@ -479,8 +480,8 @@ def classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: s
     # What is counted for a root is dealt anew before it joins, so that adaptive execution can split the rows of a large root.
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).repartition(F.xxhash64("root", "blocks"))
     placed = groups.join(sizes, "root").select("root", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int").alias("block"), "blocks", F.col("node").alias("name"))
-    wanted = placed.join(facts.where("least is not null").select("name", F.col("least").alias("doc_id")), "name")
-    fetched = source.join(wanted.hint("shuffle_hash"), "doc_id").select("root", "block", "blocks", "name", "text")
+    wanted = placed.join(facts.where("least is not null").select("name", "least.doc_id", "least.print"), "name")
+    fetched = source.join(wanted.hint("shuffle_hash"), ["doc_id", "print"]).select("root", "block", "blocks", "name", "text")
     rows = written(fetched.mapInArrow(lambda b: _fetch(b, size, hashed), "root long, block int, blocks int, name long, shingles binary"), "candidate-sets")
     links = written(_links(rows, ["root", "block"], "name", percent), "links")
     large = rows.where("blocks > 1")

@@ -237,3 +237,36 @@ def test_proximity_equals_plain_search():
                 want = _plain_near(words, [t.decode() for t in phrase], slack)
                 least = {(a, b) for a, b in want if not any((c, d) != (a, b) and a <= c and d <= b for c, d in want)}
                 assert least <= got.get((k, p), set()) <= want
+
+
+def test_ngram_join_of_rows_that_repeat_an_id(spark):
+    """Rows of one id are found again one by one, by their texts."""
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join([*words[:50], f"own{k}"]) for k in range(80)]
+    other = [" ".join(f"v{k}x{j}" for j in range(20)) for k in range(30)]
+    docs = [(7, t) for t in near + other + near[:3]] + [(900, near[0]), (5, " ".join(words[:52])), (950, other[0]), (None, near[1])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = ngram_join.classes(frame).collect()
+    roots = sorted((r.doc_id, r.component_id) for r in got if r.doc_id is not None)
+    assert len(got) == len(docs) and roots == sorted([(5, 5), *[(7, 5)] * 83, *[(7, 7)] * 30, (900, 5), (950, 7)])
+
+
+def test_spans_are_joined_in_order():
+    rnd = random.Random(3)
+    for _ in range(300):
+        spans = [(a, a + rnd.randint(1, 9)) for a in (rnd.randint(0, 60) for _ in range(rnd.randint(0, 20)))]
+        covered = {w for a, b in spans for w in range(a, b)}
+        got = positional_index.joined(np.array(spans, np.int64).reshape(-1, 2)).tolist()
+        assert {w for a, b in got for w in range(a, b)} == covered and all(x[1] < y[0] for x, y in zip(got, got[1:]))
+
+
+def test_many_spans_in_several_blocks(spark):
+    """One long document with a hit at every fourth word."""
+    n = 20_000
+    items = spark.createDataFrame([(k, f"w{k} x{k}") for k in range(40)], "item_id long, text string")
+    text = " ".join(f"w{k % 40} x{k % 40} . , gap{k}" for k in range(n))
+    frame = spark.createDataFrame([(1, text), (1, "w1 x1"), (2, None)], "doc_id long, text string")
+    index = positional_index.stored_index(frame)
+    rows = lambda df: sorted((r.doc_id, r.n_words, len(r.spans), [list(s) for s in r.spans[:5]], list(r["items"])) for r in df.collect())
+    one, several = rows(positional_index.search(index, items)), rows(positional_index.search(index, items, block_windows=9))
+    assert one == several and max(r[2] for r in one) == n
