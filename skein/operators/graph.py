@@ -28,43 +28,65 @@ def pair_correlations(values: DataFrame, item: str, unit: str, z: str) -> DataFr
 BLOCK_ITEMS, MOST_EDGES, MOST_ITEMS = 1500, 20_000_000, 50_000
 
 
-def block_correlations(vectors: DataFrame, item: str, vector: str, k: int, threshold: float, blocks: int | None = None, standardise: bool = True) -> DataFrame:
+def block_correlations(vectors: DataFrame, item: str, vector: str, k: int, threshold: float, blocks: int | None = None, standardise: bool = True, draws: dict[int, list[int]] | None = None, clip: tuple[float, float] | None = None) -> DataFrame:
     """The k strongest correlations (a, b, corr) of each item a by |corr|, then those of at least threshold.
 
     vectors: one row for each item, with its values over the same units. Items are dealt into
-    blocks; a task multiplies two blocks and keeps k for each item, so no pair leaves it that is
-    not among the strongest of its block. Pairs of blocks, not of items, are what is replicated.
+    blocks; a task multiplies two blocks, once for both of its sides, and keeps k for each item, so no pair leaves it that is
+    not among the strongest of its block. Pairs of blocks, not of items, are what is replicated: a vector is sent once for each block.
     blocks: as many as keep a block at BLOCK_ITEMS, so that a task's matrix doesn't grow with the items.
+
+    draws: for each draw the places of its units. Every draw's correlations (with a column draw) come from the same blocks, sent once.
+    clip: shares at which an item's values are clipped to their quantiles before they are standardised, in each draw by itself.
     """
     blocks = blocks or max(4, -(-vectors.count() // BLOCK_ITEMS))
     schema = vectors.schema[item].dataType.simpleString()
     own = F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int")
     base = vectors.select(F.col(item).alias("item"), F.col(vector).alias("v"), own.alias("own"))
-    sides = base.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = sides.select("item", "v", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side")).unionByName(sides.select("item", "v", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side")))
-
-    def multiply(part: pd.DataFrame) -> pd.DataFrame:
-        left, right = part[part.side == 0].sort_values("item"), part[part.side == 1].sort_values("item")
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": [], "corr": []})
-        x, y = (np.array([np.asarray(v, float) for v in side.v]) for side in (left, right))
-        if standardise:
-            x, y = ((m - m.mean(1, keepdims=True)) / np.where((s := m.std(1, ddof=1, keepdims=True)) == 0, 1.0, s) for m in (x, y))
-        r = np.clip(x @ y.T / (x.shape[1] - 1), -1, 1)
-        a, b = left.item.to_numpy(), right.item.to_numpy()
-        r[a[:, None] == b[None, :]] = 0.0
+    rows = base.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("item", "v", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    named = {int(n): np.array(at, int) for n, at in draws.items()} if draws is not None else {0: None}
+
+    def shaped(m: np.ndarray, at: np.ndarray | None) -> np.ndarray:
+        m = m if at is None else m[:, at]
+        if clip:
+            low, high = np.quantile(m, clip, axis=1, keepdims=True)
+            m = np.clip(m, low, high)
+        if standardise or clip:
+            m = (m - m.mean(1, keepdims=True)) / np.where((s := m.std(1, ddof=1, keepdims=True)) == 0, 1.0, s)
+        return m
+
+    def strongest(r: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
         top = np.argsort(-np.abs(r), axis=1, kind="stable")[:, :k]
-        keep = [(a[i], b[j], r[i, j]) for i in range(len(a)) for j in top[i] if a[i] != b[j]]
-        return pd.DataFrame(keep, columns=["a", "b", "corr"])
+        return pd.DataFrame({"a": np.repeat(a, top.shape[1]), "b": b[top.ravel()], "corr": np.take_along_axis(r, top, 1).ravel()})
+
+    def multiply(key, part: pd.DataFrame) -> pd.DataFrame:
+        sides = [part[part.own == n].sort_values("item") for n in dict.fromkeys(key)]
+        if not all(map(len, sides)):
+            return pd.DataFrame({"draw": [], "a": [], "b": [], "corr": []})
+        values, items, out = [np.array([np.asarray(v, float) for v in s.v]) for s in sides], [s.item.to_numpy() for s in sides], []
+        for n, at in named.items():
+            x, *others = (shaped(m, at) for m in values)
+            r = np.clip(x @ (others or [x])[0].T / (x.shape[1] - 1), -1, 1)
+            a, b = items[0], items[-1]
+            if not others:
+                np.fill_diagonal(r, 0.0)
+            found = [strongest(r, a, b), *([strongest(r.T, b, a)] if others else [])]
+            out += [f[f.a != f.b].assign(draw=n) for f in found]
+        return pd.concat(out)[["draw", "a", "b", "corr"]]
+
+    found = rows.groupBy("i", "j").applyInPandas(multiply, f"draw int, a {schema}, b {schema}, corr double")
+    return nearest(found, k, threshold) if draws is not None else nearest(found.drop("draw"), k, threshold)
+
 
-    found = rows.groupBy("i", "j").applyInPandas(multiply, f"a {schema}, b {schema}, corr double")
-    return nearest(found, k, threshold)
+def _graph_keys(df: DataFrame) -> list[str]:
+    return ["draw"] if "draw" in df.columns else []
 
 
 def nearest(pairs: DataFrame, k: int, threshold: float) -> DataFrame:
-    """The k rows of each a of the largest |corr| (ties by b), then those of at least threshold."""
-    rank = F.row_number().over(Window.partitionBy("a").orderBy(F.desc(F.abs("corr")), "b"))
-    return pairs.withColumn("_rank", rank).where(F.col("_rank") <= k).where(F.abs("corr") >= threshold).select("a", "b", "corr")
+    """The k rows of each a (of each draw) of the largest |corr| (ties by b), then those of at least threshold."""
+    by = _graph_keys(pairs)
+    rank = F.row_number().over(Window.partitionBy(*by, "a").orderBy(F.desc(F.abs("corr")), "b"))
+    return pairs.withColumn("_rank", rank).where(F.col("_rank") <= k).where(F.abs("corr") >= threshold).select(*by, "a", "b", "corr")
 
 
 def both_ways(pairs: DataFrame) -> DataFrame:
@@ -73,9 +95,10 @@ def both_ways(pairs: DataFrame) -> DataFrame:
 
 
 def reciprocal(neighbours: DataFrame) -> DataFrame:
-    """Edges (src < dst, corr, abs_corr) of items that are each among the other's neighbours."""
-    there, back = neighbours.where("a < b"), neighbours.where("a > b").select(F.col("b").alias("a"), F.col("a").alias("b"))
-    return there.join(back, ["a", "b"]).select(F.col("a").alias("src"), F.col("b").alias("dst"), "corr", F.abs("corr").alias("abs_corr"))
+    """Edges (src < dst, corr, abs_corr) of items that are each among the other's neighbours, of each draw by itself."""
+    by = _graph_keys(neighbours)
+    there, back = neighbours.where("a < b"), neighbours.where("a > b").select(*by, F.col("b").alias("a"), F.col("a").alias("b"))
+    return there.join(back, [*by, "a", "b"]).select(*by, F.col("a").alias("src"), F.col("b").alias("dst"), "corr", F.abs("corr").alias("abs_corr"))
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:

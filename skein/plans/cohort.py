@@ -36,6 +36,19 @@ def correlation_edges(ref_scores: DataFrame, k: int = 15, threshold: float = 0.1
     return graph.reciprocal(graph.block_correlations(standard_vectors(ref_scores), "pgs_id", "v", k, threshold, blocks, standardise=False))
 
 
+def drawn_edges(ref_scores: DataFrame, draws: int = 25, share: float = 0.8, k: int = 15, threshold: float = 0.18, seed: int = 42, blocks: int | None = None) -> DataFrame:
+    """correlation_edges of each draw (a column) of samples, clipped and standardised by itself. All draws' products come from blocks that are sent once.
+
+    Every score has a value for the same samples, as a panel's scores have.
+    """
+    raw = ref_scores.groupBy("pgs_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("sample_id", "score"))), lambda x: x["score"]).alias("v"))
+    order = F.row_number().over(Window.orderBy("sample_id")) - 1
+    ids = ref_scores.select("sample_id").distinct().withColumn("at", order)  # the panel's samples
+    picked = resample.subsamples(ref_scores, "sample_id", draws, share, seed).join(ids, "sample_id").groupBy("draw").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    places = {r.draw: r["at"] for r in picked.collect()}  # draws times samples
+    return graph.reciprocal(graph.block_correlations(raw, "pgs_id", "v", k, threshold, blocks, draws=places, clip=(0.005, 0.995)))
+
+
 def stable_modules(ref_scores: DataFrame, k: int = 15, threshold: float = 0.18, draws: int = 25, share: float = 0.8, min_size: int = 3, min_jaccard: float = 0.70, seed: int = 42, draw_k: int | None = None, blocks: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(modules, members): communities of the graph that come out again in graphs of subsamples.
 
@@ -43,9 +56,7 @@ def stable_modules(ref_scores: DataFrame, k: int = 15, threshold: float = 0.18,
     in the subsamples' graphs, if not k.
     """
     base = graph.communities(correlation_edges(ref_scores, k, threshold, blocks).withColumn("draw", F.lit(-1)), ["draw"], seed).select("node", "community")
-    picked = resample.subsamples(ref_scores, "sample_id", draws, share, seed)
-    parts = [correlation_edges(ref_scores.join(picked.where(F.col("draw") == n).select("sample_id"), "sample_id", "left_semi"), draw_k or k, threshold, blocks).withColumn("draw", F.lit(n)) for n in range(draws)]
-    again = graph.communities(reduce(DataFrame.unionByName, parts), ["draw"], seed)
+    again = graph.communities(drawn_edges(ref_scores, draws, share, draw_k or k, threshold, seed, blocks), ["draw"], seed)
     modules = graph.retained(graph.stability(base, again), min_size, min_jaccard)
     kept = base.join(modules.select("community"), "community").select(F.col("community").alias("module"), F.col("node").alias("pgs_id"))
     members = graph.loadings(kept.join(standard_vectors(ref_scores), "pgs_id"), "module", "pgs_id", "v")

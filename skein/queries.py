@@ -786,11 +786,7 @@ def q63_projection_of_samples(spark, d):
 def q64_stability(spark, d):
     """How stable the communities of the vectors' graph are in 25 draws of 80 % of the components."""
     base = graph.communities(graph.reciprocal(_neighbours(spark, d)).withColumn("draw", F.lit(-1)), ["draw"]).select("node", "community")
-    parts = None
-    for n, picked in _component_draws(spark, d).items():
-        v = _vectors(spark, d).select("vec_id", F.array(*(F.get("v", F.lit(k)) for k in picked)).alias("v"))
-        e = graph.reciprocal(graph.block_correlations(v, "vec_id", "v", 15, 0.18)).withColumn("draw", F.lit(n))
-        parts = e if parts is None else parts.unionByName(e)
+    parts = graph.reciprocal(graph.block_correlations(_vectors(spark, d), "vec_id", "v", 15, 0.18, draws=_component_draws(spark, d)))
     return graph.stability(base, graph.communities(parts, ["draw"]))
 
 
@@ -934,3 +930,15 @@ SELECT label, performance_source, count(*) AS n, round(avg(total), 6) AS mean, r
 def q73_quality_summary(spark, d):
     x = t(spark, d, "labels").select(F.when(F.col("quality") == 1, "likely").otherwise("discard").alias("label"), F.when(F.col("toxic") == 1, "estimated").otherwise("measured").alias("performance_source"), (F.col("doc_id") % 101).alias("total"))
     return report.quality_summary(x).select("label", "performance_source", "n", r(F.col("mean")).alias("mean"), r(F.col("median")).alias("median"), "least", "most")
+
+
+@query("""WITH e AS (SELECT vec_id, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings), d AS (SELECT unnest(range(5)) AS draw),
+z AS (SELECT draw, vec_id, k, (x - avg(x) OVER w) / stddev_samp(x) OVER w AS z FROM e JOIN d ON k % 5 <> draw WINDOW w AS (PARTITION BY draw, vec_id)),
+c AS (SELECT x.draw, x.vec_id AS a, y.vec_id AS b, sum(x.z * y.z) / (count(*) - 1) AS corr FROM z x JOIN z y ON x.draw = y.draw AND x.k = y.k AND x.vec_id <> y.vec_id GROUP BY ALL),
+nb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY draw, a ORDER BY abs(corr) DESC, b) AS rk FROM c) WHERE rk <= 15 AND abs(corr) >= 0.18)
+SELECT CAST(x.draw AS INT) AS draw, x.a AS src, x.b AS dst, round(x.corr, 6) + 0.0 AS corr FROM nb x JOIN nb y ON x.draw = y.draw AND x.a = y.b AND x.b = y.a AND x.a < x.b""")
+def q78_draw_edges(spark, d):
+    """The vectors' graph without each fifth of their components, for all five draws from one product of blocks."""
+    n = _vectors(spark, d).agg(F.max(F.size("v"))).first()[0] or 0
+    draws = {k: [c for c in range(n) if c % 5 != k] for k in range(5)}
+    return graph.reciprocal(graph.block_correlations(_vectors(spark, d), "vec_id", "v", 15, 0.18, draws=draws)).select("draw", "src", "dst", r(F.col("corr")).alias("corr"))

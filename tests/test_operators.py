@@ -167,6 +167,24 @@ def test_normalise(spark):
     assert row.z_norm1 == pytest.approx(left / (centered - design @ beta).std()) and np.isfinite(row.z_norm2) and np.sign(row.z_norm2) == np.sign(row.z_norm1)
 
 
+def test_draws_from_one_product_equal_single_products(spark):
+    rng = np.random.default_rng(15)
+    base = rng.normal(size=(3, 40))
+    v = [(k, (base[k % 3] + 0.8 * rng.normal(size=40)).tolist()) for k in range(26)]
+    df = spark.createDataFrame(v, "item long, v array<double>")
+    draws = {n: sorted(rng.choice(40, 30, replace=False).tolist()) for n in range(4)}
+    rows = lambda d: sorted((r.a, r.b, round(r["corr"], 12)) for r in d.collect())
+    got = graph.block_correlations(df, "item", "v", 5, 0.2, blocks=3, draws=draws)
+    for n, at in draws.items():
+        alone = df.select("item", F.array(*(F.get("v", F.lit(k)) for k in at)).alias("v"))
+        assert rows(got.where(F.col("draw") == n)) == rows(graph.block_correlations(alone, "item", "v", 5, 0.2, blocks=3))
+    edges = graph.reciprocal(got)
+    assert {r.draw for r in edges.collect()} == set(draws) and edges.where("draw = 2").drop("draw").exceptAll(graph.reciprocal(got.where("draw = 2").drop("draw"))).isEmpty()
+    # Each vector is sent once for each block, and each pair of blocks multiplied once.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "Union" not in plan
+
+
 def test_graph(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(4, 50))

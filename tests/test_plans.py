@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.functions import domains
+from skein.operators import resample
 from skein.plans import cohort, report, scoring
 from skein.sources import sinks, text
 from skein.streaming import jobs
@@ -249,6 +250,12 @@ def test_cohort(spark):
     modules, members = cohort.stable_modules(ref, k=4, draws=2, blocks=2)
     found = members.toPandas().groupby("module").pgs_id.apply(frozenset)
     assert set(found) == {frozenset(scores[k::3]) for k in range(3)} and {r.mean_jaccard for r in modules.collect()} == {1.0}
+    # A draw's edges are those of its samples alone, clipped and standardised anew.
+    picked = resample.subsamples(ref, "sample_id", 2, 0.8, 42).where("draw = 1").select("sample_id")
+    drawn = cohort.drawn_edges(ref, 2, 0.8, 4, blocks=2).where("draw = 1").drop("draw")
+    alone = cohort.correlation_edges(ref.join(picked, "sample_id", "left_semi"), 4, blocks=2)
+    pairs = lambda d: {(r.src, r.dst): r["corr"] for r in d.collect()}
+    assert pairs(drawn) == pytest.approx(pairs(alone)) and len(pairs(alone)) > 5
     quality = spark.createDataFrame([(p, 50.0) for p in scores[:-1]], "pgs_id string, total double")
     w = cohort.module_weights(members, quality)
     pcs = spark.createDataFrame([(f"s{i:02d}", float(v)) for i, v in enumerate(rng.normal(size=n))], "sample_id string, pc1 double")
