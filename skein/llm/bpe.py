@@ -41,9 +41,9 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: A coarser cut that never crosses a border of the fine one.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-CACHE = 80_000
+CACHE = 200_000
 #: Characters whose words are encoded at once.
-GROUP = 1 << 20
+GROUP = 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -194,8 +194,10 @@ class _Chunks(dict):
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes all chunks that aren't known, at once."""
-        if len(self) > CACHE:
+        if len(self) > CACHE:  # what the texts at hand have stays
+            kept = {c: self[c] for c in chunks if c in self}
             self.clear()
+            self.update(kept)
         new, lead, encoder = [c for c in chunks if c not in self], self.lead, self.encoder
         whole, cut = [c for c in new if c.isalpha()], [c for c in new if not c.isalpha()]
         own = [PIECE.findall(lead + c) for c in cut]
