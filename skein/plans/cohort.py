@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skein.operators import graph, ml, resample, stats
+from skein.operators import forests, graph, ml, resample, stats
 from skein.operators.reshape import top_k_accuracy, wide
 from skein.session import written
 from skein.sources import sinks, text
@@ -146,19 +147,24 @@ def ranked_accuracy(predictions: DataFrame, truth: DataFrame, unit: str, ks: tup
 
 
 def permutation_null(features: DataFrame, unit: str, label: str, diseases: list[str], draws: int = 100, healthy: str = "Healthy", folds: int = 5, trees: int = 200, depth: int = 8, seed: int = 100) -> DataFrame:
-    """(draw, top1, top3): accuracies of models refitted on disease labels dealt anew among the diseased; the healthy keep theirs."""
-    sick = features.where(F.col(label) != healthy).select(unit, label)
-    dealt = written(resample.permuted(sick, unit, label, draws, seed))
-    rest = features.drop(label)
-
-    def one(draw: int) -> tuple[int, float, float]:
-        new = dealt.where(F.col("draw") == draw).select(unit, label).unionByName(features.where(F.col(label) == healthy).select(unit, label))
-        found = one_against_healthy(rest.join(new, unit), unit, label, diseases, healthy, folds, trees, depth, seed + draw)
-        truth = new.where(F.col(label) != healthy).select(unit, F.col(label).alias("truth"))
-        right = ranked_accuracy(found, truth, unit).first()
-        return draw, right.top1, right.top3
-
-    return features.sparkSession.createDataFrame(_each(one, range(draws)), "draw int, top1 double, top3 double")
+    """(draw, top1, top3): accuracies of models refitted on disease labels dealt anew among the diseased; the healthy keep theirs.
+
+    The forests of all draws, diseases and folds grow together, in as many passes as they have levels.
+    """
+    well = F.col(label) == healthy
+    sick = resample.permuted(features.where(~well).select(unit, label), unit, label, draws, seed)
+    same = features.where(well).select(unit, label).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    dealt = written(sick.select("draw", unit, label).unionByName(same.select(F.col("draw").cast(sick.schema["draw"].dataType).alias("draw"), unit, label)))
+    y = F.when(F.col(label) == F.col("disease"), 1).when(well, 0)
+    labels = dealt.withColumn("disease", F.explode(F.array(*(F.lit(d) for d in sorted(diseases))))).select("draw", "disease", unit, y.alias("y"))
+    units = features.select(unit, vector_to_array("features").alias("x"))
+    found = forests.out_of_fold(labels, units, ["draw", "disease"], unit, "x", folds, trees, depth, seed)
+    place = F.row_number().over(Window.partitionBy("draw", unit).orderBy(F.desc("p"), "disease"))
+    truth = dealt.where(~well).select("draw", unit, F.col(label).alias("truth"))
+    right = found.withColumn("_place", place).join(truth, ["draw", unit]).where(F.col("disease") == F.col("truth"))
+    hits = right.groupBy("draw").agg(F.count_if(F.col("_place") <= 1).alias("_one"), F.count_if(F.col("_place") <= 3).alias("_three"))
+    n = truth.groupBy("draw").agg(F.count("*").alias("_n"))
+    return n.join(hits, "draw", "left").select("draw", *((F.coalesce(c, F.lit(0)) / F.col("_n")).alias(name) for c, name in (("_one", "top1"), ("_three", "top3"))))
 
 
 def stress_test(z_scores: DataFrame, cohort: DataFrame, min_std: float = 1e-8) -> DataFrame:

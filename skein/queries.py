@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions import clean, domains, keys, rules
-from skein.operators import dosage, graph, match, ml, resample, reshape, score, space, stats
+from skein.operators import dosage, forests, graph, match, ml, resample, reshape, score, space, stats
 from skein.plans import cohort, reference_cache, report, scoring
 from skein.session import written, shared_dir
 from skein.sources import blocks
@@ -942,3 +942,11 @@ def q78_draw_edges(spark, d):
     n = _vectors(spark, d).agg(F.max(F.size("v"))).first()[0] or 0
     draws = {k: [c for c in range(n) if c % 5 != k] for k in range(5)}
     return graph.reciprocal(graph.block_correlations(_vectors(spark, d), "vec_id", "v", 15, 0.18, draws=draws)).select("draw", "src", "dst", r(F.col("corr")).alias("corr"))
+
+
+@query()
+def q79_forests_of_labels(spark, d):
+    """Out-of-fold areas of forests that tell each label of the vectors from the others: those of all labels and folds grow together."""
+    units = t(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("x"))
+    labels = units.crossJoin(units.select(F.col("label").cast("string").alias("disease")).distinct()).select("disease", "vec_id", (F.col("label").cast("string") == F.col("disease")).cast("int").alias("y"))  # the result has a row for each label and vector
+    return cohort.fold_areas(forests.out_of_fold(labels, units.select("vec_id", "x"), ["disease"], "vec_id", "x", trees=20, depth=5))
