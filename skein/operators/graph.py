@@ -189,14 +189,22 @@ def modularity(edges: list[tuple[int, int, float]], place: dict[int, int]) -> fl
     return inside / total - sum((d / (2 * total)) ** 2 for d in degree.values()) if total else 0.0
 
 
-def communities(edges: DataFrame, by: list[str], seed: int = 42) -> DataFrame:
-    """Louvain communities (by, node, community) of each group of edges (src, dst, abs_corr). A group is one task's graph, of MOST_EDGES edges at most."""
+def communities(edges: DataFrame, by: list[str], seed: int = 42, spread: bool | None = None) -> DataFrame:
+    """Louvain communities (by, node, community) of each group of edges (src, dst, abs_corr); a community is called by its smallest node.
+
+    A group of up to MOST_EDGES edges is one task's graph. If one has more, all groups are spread (spread_communities), which
+    agrees with the other way in modularity, not in every node. spread: which way, if not by size.
+    """
+    if spread is None:
+        edges = written(edges.select(*by, "src", "dst", "abs_corr"), "edges")
+        most = edges.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+        spread = most > MOST_EDGES
+    if spread:
+        return spread_communities(edges, by, seed)
     kinds = ", ".join(f"{c} {edges.schema[c].dataType.simpleString()}" for c in by)
     node = edges.schema["src"].dataType.simpleString()
 
     def one(key, part: pd.DataFrame) -> pd.DataFrame:
-        if len(part) > MOST_EDGES:
-            raise ValueError(f"the graph of {key} has {len(part)} edges, over {MOST_EDGES}: raise the threshold or lower the number of neighbours")
         part = part.sort_values(["src", "dst"])
         place = louvain(list(zip(part.src.tolist(), part.dst.tolist(), part.abs_corr.tolist())), seed)
         out = pd.DataFrame({"node": list(place), "community": list(place.values())})
@@ -207,6 +215,65 @@ def communities(edges: DataFrame, by: list[str], seed: int = 42) -> DataFrame:
     return edges.groupBy(*by).applyInPandas(one, f"{kinds}, node {node}, community {node}")
 
 
+def spread_communities(edges: DataFrame, by: list[str], seed: int = 42, rounds: int = 30, levels: int = 12) -> DataFrame:
+    """communities of graphs of any size: rounds of modularity moves over edge sums, then contraction, until a level moves nothing.
+
+    In a round every node compares the communities of its neighbours by sums over its edges, and those whose hash is even in that round move to the best: two
+    nodes that want to change places don't forever. Rounds of a level end when no node wants to move, or after ``rounds``. Everything is joins and
+    aggregations keyed by node or community; each round is written. At the end single nodes move once more between the communities found.
+    """
+    pair, k = [*by, "u"], F.col
+    both = edges.where("src <> dst").select(*by, k("src").alias("u"), k("dst").alias("v"), k("abs_corr").alias("w"))
+    links = written(both.unionByName(both.select(*by, k("v").alias("u"), k("u").alias("v"), "w")).groupBy(*pair, "v").agg(F.sum("w").alias("w")), "links")
+    every = edges.select(*by, k("src").alias("u"), F.when(k("src") == k("dst"), k("abs_corr")).otherwise(0.0).alias("l")).unionByName(edges.select(*by, k("dst").alias("u"), F.lit(0.0).alias("l")))
+    loops = written(every.groupBy(*pair).agg(F.sum("l").alias("l")), "loops")
+    whole = written(edges.groupBy(*by).agg(F.sum("abs_corr").alias("m")), "weights")  # a row for each graph
+
+    def degrees() -> DataFrame:
+        degree = loops.join(links.groupBy(*pair).agg(F.sum("w").alias("d")), pair, "left").join(whole, by)
+        return written(degree.select(*pair, (F.coalesce("d", F.lit(0.0)) + 2 * k("l")).alias("k"), "m"), "degrees")
+
+    def moves(place: DataFrame, level: int) -> tuple[DataFrame, bool]:
+        """place (u, k, m, c) after rounds of moves, and whether any node moved."""
+        changed = False
+        for turn in range(rounds):
+            sums = place.groupBy(*by, "c").agg(F.sum("k").alias("s"))
+            near = links.join(place.select(*by, k("u").alias("v"), "c"), [*by, "v"]).groupBy(*pair, "c").agg(F.sum("w").alias("w"))
+            # A node's own community is always among those it compares.
+            near = near.unionByName(place.select(*pair, "c", F.lit(0.0).alias("w"))).groupBy(*pair, "c").agg(F.sum("w").alias("w"))
+            rated = near.join(sums, [*by, "c"]).join(place.withColumnRenamed("c", "here"), pair)
+            stays = k("c") == k("here")
+            gain = k("w") - (k("s") - F.when(stays, k("k")).otherwise(0.0)) * k("k") / (2 * k("m"))
+            best = rated.withColumn("g", F.when(k("m") > 0, gain).otherwise(0.0)).groupBy(*pair).agg(F.max(F.when(stays, k("g"))).alias("own"), F.max(F.struct("g", (~stays).alias("away"), "c")).alias("b"), F.first("here").alias("here"), F.first("k").alias("k"), F.first("m").alias("m"))
+            wants = (k("b.c") != k("here")) & (k("b.g") > k("own") + 1e-12)
+            turns = F.pmod(F.xxhash64("u", F.lit(seed), F.lit(level), F.lit(turn)), F.lit(2)) == 0
+            moved = written(best.select(*pair, "k", "m", F.when(wants & turns, k("b.c")).otherwise(k("here")).alias("c"), wants.alias("wants")), "places")
+            place, left = moved.drop("wants"), moved.where("wants").count()
+            changed = changed or left > 0
+            if not left:
+                break
+        return place, changed
+
+    own = loops.select(*by, k("u").alias("node"), k("u").alias("c"))
+    first_links, first_degrees = links, degrees()
+    for level in range(levels):
+        place, changed = moves((degrees() if level else first_degrees).select(*pair, "k", "m", k("u").alias("c")), level)
+        if not changed:
+            break
+        own = written(own.join(place.select(*by, k("u").alias("c"), k("c").alias("_c")), [*by, "c"]).select(*by, "node", k("_c").alias("c")), "communities")
+        to = lambda old, new: place.select(*by, k("u").alias(old), k("c").alias(new))
+        joined = written(links.join(to("u", "a"), pair).join(to("v", "b"), [*by, "v"]).groupBy(*by, "a", "b").agg(F.sum("w").alias("w")), "contracted")
+        inside = joined.where("a = b").select(*by, k("a").alias("u"), (k("w") / 2).alias("l"))
+        loops = written(loops.join(to("u", "a"), pair).select(*by, k("a").alias("u"), "l").unionByName(inside).groupBy(*pair).agg(F.sum("l").alias("l")), "loops")
+        links = joined.where("a <> b").select(*by, k("a").alias("u"), k("b").alias("v"), "w")
+    # Nodes that moved at the same time as their neighbours did get a last choice, one by one, among the communities found.
+    links = first_links
+    place, _ = moves(first_degrees.join(own.withColumnRenamed("node", "u"), pair), levels)
+    own = place.select(*by, k("u").alias("node"), "c")
+    names = own.groupBy(*by, "c").agg(F.min("node").alias("community"))
+    return own.join(names, [*by, "c"]).select(*by, "node", "community")
+
+
 def jaccard_pairs(left: DataFrame, right: DataFrame, member: str = "node", group: str = "community") -> DataFrame:
     """Jaccard similarity of the groups of two tables that share a member: an equality join on the member."""
     a, b = left.select(F.col(group).alias("a"), member).distinct(), right.select(F.col(group).alias("b"), member).distinct()

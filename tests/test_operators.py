@@ -185,6 +185,26 @@ def test_draws_from_one_product_equal_single_products(spark):
     assert plan.count("Generate explode") == 1 and "Union" not in plan
 
 
+def test_spread_communities_are_as_good(spark):
+    rng = np.random.default_rng(23)
+    edges, graphs = [], {0: (5, 24, 0.35, 0.02), 1: (3, 20, 0.3, 0.05)}
+    for g, (groups, size, inner, outer) in graphs.items():
+        n = groups * size
+        edges += [(g, a, b, float(0.2 + rng.random())) for a in range(n) for b in range(a + 1, n) if rng.random() < (inner if a % groups == b % groups else outer)]
+    edges += [(2, 1, 1, 3.0), (2, 4, 5, 1.0), (3, 7, 8, 0.0)]  # a loop, a pair, a graph without weight
+    df = spark.createDataFrame(edges, "draw int, src long, dst long, abs_corr double")
+    got = graph.spread_communities(df, ["draw"]).toPandas()
+    for g, (groups, size, *_) in graphs.items():
+        own = [e[1:] for e in edges if e[0] == g]
+        part = got[got.draw == g]
+        place = dict(zip(part.node, part.community))
+        assert len(place) == groups * size and all(min(n for n in place if place[n] == c) == c for c in set(place.values()))
+        assert graph.modularity(own, place) >= 0.99 * graph.modularity(own, graph.louvain(own)) > 0.3
+    small = {(r.draw, r.node): r.community for r in got.itertuples() if r.draw > 1}
+    assert small == {(2, 1): 1, (2, 4): 4, (2, 5): 4, (3, 7): 7, (3, 8): 8}
+    assert graph.spread_communities(df.limit(0), ["draw"]).count() == 0
+
+
 def test_graph(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(4, 50))
