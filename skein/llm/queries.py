@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_token_rollup": token_rollup.SQL, "op11_collocations": collocations.SQL, "op12_line_dedup": line_dedup.SQL}
+    return {"op6_chat_format": chat_format.SQL, "op8_token_rollup": token_rollup.SQL, "op11_collocations": collocations.SQL, "op12_line_dedup": line_dedup.SQL}
