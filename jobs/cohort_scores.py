@@ -76,8 +76,8 @@ def run(spark: SparkSession, tables: str, out: str, populations: list[str] = (),
 
 
 def _replace(rows: DataFrame, path: str) -> None:
-    """Writes rows by population, in place of what these populations had. Rows of one population are dealt by score, so no task writes a whole one."""
-    rows.repartition("population", "pgs_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("population").parquet(path)
+    """Writes rows by population, in place of what these populations had. Rows are dealt by population, and adaptive execution splits those of a large one."""
+    rows.hint("rebalance", "population").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("population").parquet(path)
 
 
 if __name__ == "__main__":

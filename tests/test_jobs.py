@@ -111,6 +111,31 @@ def test_catalogue_takes_only_what_is_new(spark, tmp_path, caplog):
     assert summary == {("en", "s"): 4, ("fr", "s"): 1, ("de", "s"): 1, (None, None): 0}
 
 
+def test_catalogue_makes_up_for_a_run_that_died_before_it_counted(spark, tmp_path, monkeypatch):
+    tables, out = f"file://{tmp_path}/tables", f"file://{tmp_path}/out"
+    arrive(spark, tables, (1, "LDpred", "en"), (2, "b", "fr"))
+    text_catalogue.run(spark, tables, out)
+    arrive(spark, tables, (3, "c", "en"), (2, "moved", "de"))
+    real = text_catalogue.summarised
+    monkeypatch.setattr(text_catalogue, "summarised", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        text_catalogue.run(spark, tables, out)
+    monkeypatch.setattr(text_catalogue, "summarised", real)
+    assert {r.lang: r.upto for r in text_catalogue.due_languages(spark, out).collect()} == {"en": 1, "fr": 1, "de": 1}
+    text_catalogue.run(spark, tables, out)  # nothing new, but counts to make
+    assert text_catalogue.due_languages(spark, out).isEmpty()
+    summary = {r.lang: (r.n_documents, r.upto) for r in spark.read.schema(text_catalogue.SUMMARY).parquet(f"{out}/summary").collect()}
+    assert summary == {"en": (2, 1), "fr": (0, 1), "de": (1, 1)}
+
+
+def test_catalogue_takes_files_in_batches(spark, tmp_path):
+    tables, out = f"file://{tmp_path}/tables", f"file://{tmp_path}/out"
+    for k in range(5):
+        arrive(spark, tables, (k, "t" * k, "en"))
+    got = text_catalogue.run(spark, tables, out, files_per_batch=2).collect()
+    assert sorted(r.doc_id for r in got) == list(range(5)) and {r.batch for r in got} == {0, 1, 2}
+
+
 def test_catalogue_batch_that_comes_again_replaces_itself(spark, tmp_path):
     tables, out = f"file://{tmp_path}/tables", f"file://{tmp_path}/out"
     arrive(spark, tables, (1, "LDpred", "en"), (1, "LDpred", "en"), (2, "b", "en"))
