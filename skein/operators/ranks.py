@@ -17,8 +17,10 @@ SPREAD_BYTES = 256 << 20
 
 
 def is_large(df: DataFrame) -> bool:
-    """By Spark's estimate from the files it is read from; nothing runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES
+    """By Spark's estimates of the tables that it is read from, as joins are estimated by products; frames that the driver has made count nothing. Nothing runs."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 62) > SPREAD_BYTES
 
 
 def running(counts: DataFrame, by: list[str], value: str, n: str = "_n", spread: bool | None = None) -> DataFrame:

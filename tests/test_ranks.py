@@ -54,10 +54,13 @@ def test_one_group_is_spread_over_all_parts(spark):
     assert all("_part" in line for line in plan.splitlines() if "Window" in line and "_inside" in line)
 
 
-def test_which_way_follows_from_the_estimate(spark, values, monkeypatch):
-    assert not ranks.is_large(values.groupBy("g").count())
+def test_which_way_follows_from_the_estimate(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([("a", float(k % 50)) for k in range(400)], "g string, v double").write.parquet(f"{tmp_path}/v")
+    values = spark.read.parquet(f"{tmp_path}/v")
+    joined = values.join(values.withColumnRenamed("v", "other"), "g").join(spark.createDataFrame([("a",)], "g string"), "g")
+    assert not ranks.is_large(values.groupBy("g").count()) and not ranks.is_large(joined)
     monkeypatch.setattr(ranks, "SPREAD_BYTES", 10)
-    assert ranks.is_large(values)
+    assert ranks.is_large(values) and ranks.is_large(joined)
     assert "_before" in ranks.running(values.groupBy("g", "v").agg(F.count("*").alias("_n")), ["g"], "v")._jdf.queryExecution().analyzed().toString()
     assert rows(stats.percentiles_within(values.where("g = 'a'"), "v", ["g"])) == rows(stats.percentiles_within(values.where("g = 'a'"), "v", ["g"], spread=False))
 
