@@ -8,7 +8,8 @@ Writes, partitioned by population,
 - ``summary``: pgs_id, n_samples, mean, std, n_elevated (samples at least ``elevated`` deviations from the mean).
 
 A run replaces the partitions of the populations it was asked for and no others (dynamic partition overwrite), so it can be run again
-after a failure, or for one population. Raw scores are rounded before they are compared: the order of summing then makes no ties or breaks them.
+after a failure, or for one population. Raw scores are rounded before they are compared, and what is computed from them is rounded too: sums of doubles depend on
+their order in the last bits, and so would ties and the files of two runs.
 
     python -m jobs.cohort_scores --tables s3://cohort/tables --out s3://cohort/scores
 """
@@ -50,7 +51,7 @@ def normalised(scores: DataFrame, digits: int) -> DataFrame:
     group = ["population", "pgs_id"]
     rounded = scores.withColumn("raw_score", F.round("raw_score", digits) + F.lit(0.0))
     out = stats.percentiles_within(stats.z_within(rounded, "raw_score", group), "raw_score", group)
-    return out.withColumn("population", F.nullif("population", F.lit("")))
+    return out.withColumns({"population": F.nullif("population", F.lit("")), **{c: F.round(c, digits) + F.lit(0.0) for c in ("z", "percentile")}})
 
 
 def run(spark: SparkSession, tables: str, out: str, populations: list[str] = (), scores: list[str] = (), digits: int = 6, elevated: float = 1.5) -> DataFrame:
@@ -68,7 +69,7 @@ def run(spark: SparkSession, tables: str, out: str, populations: list[str] = (),
     stored = spark.read.schema(SCORES).parquet(f"{out}/scores")
     fresh = stored.where(F.col("population").isin(*populations)) if populations else stored
     far = F.count_if(F.abs("z") >= elevated)
-    summary = fresh.groupBy("population", "pgs_id").agg(F.count("*").alias("n_samples"), F.avg("raw_score").alias("mean"), F.stddev_pop("raw_score").alias("std"), far.alias("n_elevated"))
+    summary = fresh.groupBy("population", "pgs_id").agg(F.count("*").alias("n_samples"), F.round(F.avg("raw_score"), digits).alias("mean"), F.round(F.stddev_pop("raw_score"), digits).alias("std"), far.alias("n_elevated"))
     _replace(summary.select(*(n.split()[0] for n in SUMMARY.split(", "))), f"{out}/summary")
     for r in fresh.groupBy("population").agg(F.count("*").alias("rows"), F.countDistinct("sample_id").alias("samples"), F.countDistinct("pgs_id").alias("scores")).orderBy("population").collect():  # a row for each population
         log.info("wrote %d rows of %d samples and %d scores of %s to %s/scores", r.rows, r.samples, r.scores, r.population, out)

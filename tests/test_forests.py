@@ -10,11 +10,11 @@ from skein.plans import cohort
 
 @pytest.fixture(scope="module")
 def cohorts(spark):
-    """Units with four features; two cohorts: y follows the first feature, and the product of the second and third."""
+    """Units with four features; two cohorts: y follows the first feature, and the difference of the second and third."""
     rng = np.random.default_rng(21)
     x = rng.normal(size=(160, 4))
     units = spark.createDataFrame([(f"u{k:03d}", v.tolist()) for k, v in enumerate(x)], "u string, x array<double>").persist()
-    rows = [("a", f"u{k:03d}", int(v[0] + 0.4 * rng.normal() > 0)) for k, v in enumerate(x)] + [("b", f"u{k:03d}", int(v[1] * v[2] > 0) if k % 4 else None) for k, v in enumerate(x)]
+    rows = [("a", f"u{k:03d}", int(v[0] + 0.4 * rng.normal() > 0)) for k, v in enumerate(x)] + [("b", f"u{k:03d}", int(v[1] - v[2] > 0) if k % 4 else None) for k, v in enumerate(x)]
     return units, spark.createDataFrame(rows, "c string, u string, y int").persist()
 
 
