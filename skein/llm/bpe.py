@@ -41,9 +41,9 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: A coarser cut that never crosses a border of the fine one.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-CACHE = 200_000
+CACHE = 80_000
 #: Characters whose words are encoded at once.
-GROUP = 2 << 20
+GROUP = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
