@@ -41,9 +41,10 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: A coarser cut that never crosses a border of the fine one.
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 RARE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-CACHE = 80_000
+#: Chunks that a worker remembers of each kind: fewer take less memory and more time. A parameter, as are the characters at once.
+CACHE = 200_000
 #: Characters whose words are encoded at once.
-GROUP = 1 << 20
+GROUP = 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -188,13 +189,13 @@ class Vocabulary:
 class _Chunks(dict):
     """Chunk to (its ids as text, the bytes they decode to)."""
 
-    def __init__(self, encoder: Encoder, lead: str) -> None:
+    def __init__(self, encoder: Encoder, lead: str, most: int) -> None:
         super().__init__()
-        self.encoder, self.lead = encoder, lead
+        self.encoder, self.lead, self.most = encoder, lead, most
 
     def learn(self, chunks: set[str]) -> None:
         """Encodes all chunks that aren't known, at once."""
-        if len(self) > CACHE:  # what the texts at hand have stays
+        if len(self) > self.most:  # what the texts at hand have stays
             kept = {c: self[c] for c in chunks if c in self}
             self.clear()
             self.update(kept)
@@ -203,8 +204,9 @@ class _Chunks(dict):
         own = [PIECE.findall(lead + c) for c in cut]
         # A chunk of letters is one piece, with or without a space before it.
         ids_of = encoder.many([(lead + c).encode() for c in whole] + [p.encode() for o in own for p in o])
-        texts = [",".join([encoder.text_of[i] for i in ids]) for ids in ids_of]
-        words = [b"".join([encoder.bytes_of[i] for i in ids]) for ids in ids_of]
+        text_of, bytes_of = encoder.text_of.__getitem__, encoder.bytes_of.__getitem__
+        texts = [",".join(map(text_of, ids)) for ids in ids_of]
+        words = [b"".join(map(bytes_of, ids)) for ids in ids_of]
         self.update(zip(whole, zip(texts, words)))
         at = len(whole)
         for c, o in zip(cut, own):
@@ -225,14 +227,14 @@ class _Chunks(dict):
 class Encoder:
     """Encodes texts with a vocabulary and a compiled lexicon."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: bytes) -> None:
+    def __init__(self, vocabulary: Vocabulary, lexicon: bytes, cache: int = CACHE) -> None:
         self.vocabulary, self.lexicon = vocabulary, Transducer.from_bytes(lexicon)
         self.longest = self.lexicon.longest
         self.read: dict[bytes, list[int]] = {}  # what was read from the lexicon: at most what it holds
         self.text_of = [str(i) for i in range(1 + max(vocabulary.bytes_of))]
         self.bytes_of = [vocabulary.bytes_of.get(i, b"") for i in range(len(self.text_of))]
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
-        self.bare, self.spaced = _Chunks(self, ""), _Chunks(self, " ")
+        self.bare, self.spaced = _Chunks(self, "", cache), _Chunks(self, " ", cache)
 
     def many(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece: the lexicon's, else merged."""
@@ -368,9 +370,9 @@ class _Shipped:
 
     _of: dict[int, Encoder] = {}
 
-    def __init__(self, spark, vocabulary: Vocabulary, lexicon: bytes) -> None:
-        self.data = spark.sparkContext.broadcast(pickle.dumps((vocabulary, lexicon)))
-        self.key = hash((len(lexicon), hashlib.sha256(lexicon).hexdigest()))
+    def __init__(self, spark, vocabulary: Vocabulary, lexicon: bytes, cache: int = CACHE, group: int = GROUP) -> None:
+        self.data, self.group = spark.sparkContext.broadcast(pickle.dumps((vocabulary, lexicon, cache))), group
+        self.key = hash((len(lexicon), hashlib.sha256(lexicon).hexdigest(), cache))
 
     def encoder(self) -> Encoder:
         only("bpe")
@@ -383,22 +385,23 @@ class _Shipped:
 keeps("bpe", _Shipped._of.clear)
 
 
-def _groups(column: pa.Array) -> Iterator[list[str | None]]:
+def _groups(column: pa.Array, size: int = GROUP) -> Iterator[list[str | None]]:
     """The texts of a column, a few MB at a time."""
     texts, held = [], 0
     for value in column:
         texts.append(value.as_py())
         held += len(texts[-1] or "")
-        if held > GROUP:
+        if held > size:
             yield texts
             texts, held = [], 0
     if texts:
         yield texts
 
 
-def prepared(docs: DataFrame, path: str, lexicon_size: int = 50_000) -> _Shipped:
+def prepared(docs: DataFrame, path: str, lexicon_size: int = 50_000, cache: int = CACHE, group: int = GROUP) -> _Shipped:
+    """What encode, decode and digests need. cache, group: what a worker remembers and encodes at once; results don't depend on them."""
     vocabulary = Vocabulary(path)
-    return _Shipped(docs.sparkSession, vocabulary, compile_lexicon(vocabulary, frequent_words(docs, lexicon_size)))
+    return _Shipped(docs.sparkSession, vocabulary, compile_lexicon(vocabulary, frequent_words(docs, lexicon_size)), cache, group)
 
 
 def encode(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFrame:
@@ -409,7 +412,7 @@ def encode(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFrame
         encoder = shipped.encoder()
         for batch in batches:
             ids = []
-            for texts in _groups(batch.column(1)):
+            for texts in _groups(batch.column(1), shipped.group):
                 ids += [[int(i) for c in chunks for i in c[0].split(",")] for chunks in encoder.encode_all(texts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], [key, "ids"])
 
@@ -439,7 +442,7 @@ def digests(docs: DataFrame, shipped: _Shipped, key: str = "doc_id") -> DataFram
         try:
             for batch in batches:
                 n, ids_sha, text_sha = [], [], []
-                for texts in _groups(batch.column(1)):
+                for texts in _groups(batch.column(1), shipped.group):
                     for chunks in encoder.encode_all(texts):
                         ids = ",".join([c[0] for c in chunks])
                         n.append(ids.count(",") + 1 if chunks else 0)
