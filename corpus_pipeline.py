@@ -60,7 +60,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the number of tokens, and digests of the ids and of the text they decode to."""
-    return bpe.digests(docs, bpe.prepared(docs, bpe.default_vocabulary()))
+    # Small caches: the workers of a pipeline have other stages' memory behind them.
+    return bpe.digests(docs, bpe.prepared(docs, bpe.default_vocabulary(), cache=80_000, group=1 << 20))
 
 
 STAGES = [
