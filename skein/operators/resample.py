@@ -19,7 +19,8 @@ def hash_rank(df: DataFrame, by: list[str], seed: int | str | Column, unit: str,
     sees more than a part of a group, and the places are those of one window over the group.
     """
     hashed = df.withColumn("_h", hash_order(seed if isinstance(seed, Column) else F.lit(seed), unit))
-    digits, n = 0, df.count()
+    # The largest group decides: a table of many draws has no more parts than its draws' rows ask for.
+    digits, n = 0, (df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0) if by else df.count()
     while n > per_part * 16**digits:
         digits += 1
     if not digits:
@@ -48,20 +49,24 @@ def subsamples(df: DataFrame, unit: str, draws: int, share: float = 0.8, seed: i
     return hash_rank(every, ["draw"], F.concat_ws("/", F.lit(seed), "draw"), unit, "_rank").where(F.col("_rank") <= int(n * share)).select("draw", unit)
 
 
-def permuted(df: DataFrame, unit: str, label: str, draws: int, seed: int = 100) -> DataFrame:
-    """(draw, unit, label): in each draw the labels in another order, every label once."""
-    rows = df.select(unit, label)
-    left = hash_rank(rows, [], "place", unit, "_k").select(unit, "_k").withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    every = rows.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    right = hash_rank(every, ["draw"], F.concat_ws("/", F.lit(seed), "draw"), unit, "_k").select("draw", label, "_k")
-    return left.join(right, ["draw", "_k"]).select("draw", unit, label)
+def permuted(df: DataFrame, unit: str, label: str, draws: int, seed: int = 100, keep: list[str] | None = None) -> DataFrame:
+    """(draw, unit, label): in each draw the labels in another order, every label once. keep: columns of the unit that come with it.
+
+    The places of units are the same in every draw, so a row for each unit meets the draws' rows. These are shuffled, not broadcast: Spark estimates
+    exploded rows at the size of what they come from.
+    """
+    keep = keep or []
+    places = hash_rank(df.select(unit, *keep), [], "place", unit, "_k")
+    every = df.select(unit, label).withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
+    labels = hash_rank(every, ["draw"], F.concat_ws("/", F.lit(seed), "draw"), unit, "_k").select("draw", label, "_k")
+    return labels.join(places.hint("shuffle_hash"), "_k").select("draw", unit, label, *keep)
 
 
 def bootstrap(df: DataFrame, unit: str, draws: int, seed: int = 42) -> DataFrame:
     """(draw, unit, ...): as many rows as df has in each draw, with replacement.
 
     Slot k of a draw takes the row whose number is a hash of the slot modulo the count; the join
-    is on that number, so draws spread evenly.
+    is on that number, so draws spread evenly. Slots are shuffled, not broadcast: Spark estimates them at the size of one draw.
     """
     n = df.count()
     if not n:
@@ -69,7 +74,7 @@ def bootstrap(df: DataFrame, unit: str, draws: int, seed: int = 42) -> DataFrame
     numbered = hash_rank(df, [], "number", unit, "_k").withColumn("_k", F.col("_k") - 1)
     slots = df.sparkSession.range(n).withColumnRenamed("id", "_slot").withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
     pick = F.conv(F.substring(hash_order(F.concat_ws("/", F.lit(seed), "draw"), "_slot"), 1, 8), 16, 10).cast("long")
-    return slots.withColumn("_k", F.pmod(pick, F.lit(n)).cast("int")).join(numbered, "_k").select("draw", *df.columns)
+    return slots.withColumn("_k", F.pmod(pick, F.lit(n)).cast("int")).join(numbered.hint("shuffle_hash"), "_k").select("draw", *df.columns)
 
 
 def null_summary(null: DataFrame, value: str, real: float, floor: float = 0.001) -> DataFrame:

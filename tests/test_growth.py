@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import graph
+from skein.operators import graph, resample
 
 
 def by_sorting(x, y, k, threshold, same):
@@ -45,3 +45,17 @@ def test_reciprocal_computes_the_pairs_once(spark):
     edges = graph.reciprocal(pairs.mapInArrow(count, pairs.schema))
     assert sorted(map(tuple, edges.collect())) == [(1, 2, 0.5, 0.5), (2, 3, -0.9, 0.9)]
     assert seen.value == 5
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_draws_are_not_broadcast(spark):
+    """Spark estimates exploded rows at the size of what they come from, and would send all draws through the driver."""
+    units = spark.createDataFrame([(k, k % 2, k % 3) for k in range(40)], "u long, y int, v int")
+    for df in (resample.bootstrap(units, "u", 50), resample.permuted(units, "u", "y", 50, keep=["v"])):
+        assert "BroadcastExchange" not in plan(df)
+    mixed = resample.permuted(units, "u", "y", 3, keep=["v"]).collect()
+    assert len(mixed) == 120 and all(r.v == r.u % 3 for r in mixed) and all(sum(r.y for r in mixed if r.draw == d) == 20 for d in range(3))
+    assert resample.permuted(units, "u", "y", 3).columns == ["draw", "u", "y"]
