@@ -40,6 +40,21 @@ def exact_then_fallback(weights: DataFrame, observed: DataFrame, key: str, fallb
     return by_key.unionByName(by_fallback.select(*weights.columns, "dosage", F.lit("fallback").alias("source")))
 
 
+def exact_then_fallback_totals(weights: DataFrame, observed: DataFrame, key: str, fallback_key: str, observed_fallback: str | None = None) -> DataFrame:
+    """source, pgs_id, n and total: how many rows exact_then_fallback has of each source and score, and the sum of their dosages.
+
+    Weights and observations of equal keys are counted before they meet, so that keys that many rows share cost what the tables have, not the pairs of their rows.
+    """
+    other = observed_fallback or fallback_key
+    seen = observed.where(F.col("dosage").isNotNull()).groupBy(F.col(key).alias("_key"), F.col(other).alias("_fallback")).agg(F.count("*").alias("_n"), F.sum("dosage").alias("_d"))
+    own = weights.groupBy(F.col("pgs_id").alias("_pgs"), F.col(key).alias("_taken")).agg(F.count("*").alias("_w"))
+    by_key = own.join(seen.groupBy("_key").agg(F.sum("_n").alias("_n"), F.sum("_d").alias("_d")), F.col("_taken") == F.col("_key")).select(F.lit("key").alias("source"), F.col("_pgs").alias("pgs_id"), "_w", "_n", "_d")
+    named = weights.groupBy("pgs_id", F.col(fallback_key).alias("_name")).agg(F.count("*").alias("_w"))
+    by_fallback = named.join(seen, F.col("_name") == F.col("_fallback")).join(own.drop("_w"), (F.col("pgs_id") == F.col("_pgs")) & (F.col("_key") == F.col("_taken")), "left_anti")
+    both = by_key.unionByName(by_fallback.select(F.lit("fallback").alias("source"), "pgs_id", "_w", "_n", "_d"))
+    return both.groupBy("source", "pgs_id").agg(F.sum(F.col("_w") * F.col("_n")).alias("n"), F.sum(F.col("_w") * F.col("_d")).alias("total"))
+
+
 def fallback_flip(effect: Column, other: Column, ref: Column, alt: Column) -> Column:
     """Flip of a row matched by name: by the effect allele if it is one of the pair (the reference first), else by the other allele, else 0."""
     return F.when(effect == ref, 1).when(effect == alt, 0).when(other == ref, 0).when(other == alt, 1).otherwise(0)

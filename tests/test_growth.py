@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import graph, resample
+from skein.operators import graph, match, resample
 
 
 def by_sorting(x, y, k, threshold, same):
@@ -73,3 +73,18 @@ def test_correlation_totals_are_those_of_the_pairs(spark, monkeypatch):
     for r in got:
         w = want[r.a]
         assert r.n == w.n and np.allclose([r.total, r.most, r.least], [w.total, w.most, w.least], atol=1e-12)
+
+
+def test_fallback_totals_are_those_of_the_rows(spark):
+    w = spark.createDataFrame([("p", 1, "a"), ("p", 1, "a"), ("p", 9, "b"), ("q", 9, "a"), ("q", None, "b"), ("r", 2, None)], "pgs_id string, k long, rs string")
+    o = spark.createDataFrame([(1, "a", 1.0), (1, "b", 0.5), (2, "b", 2.0), (2, "b", 3.0), (3, "c", None), (None, "a", 4.0), (9, None, 8.0)], "k long, rs string, dosage double")
+    want = match.exact_then_fallback(w, o, "k", "rs").groupBy("source", "pgs_id").agg(F.count("*").alias("n"), F.sum("dosage").alias("total"))
+    got = match.exact_then_fallback_totals(w, o, "k", "rs")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_fallback_totals_do_not_list_the_pairs(spark):
+    """A key that 20,000 rows of either table share has 4 * 10^8 pairs."""
+    w = spark.range(20_000).select(F.lit("p").alias("pgs_id"), F.lit(-1).alias("k"), F.lit("a").alias("rs"))
+    o = spark.range(20_000).select(F.lit(1).alias("k"), F.lit("a").alias("rs"), F.lit(2.0).alias("dosage"))
+    assert list(map(tuple, match.exact_then_fallback_totals(w, o, "k", "rs").collect())) == [("fallback", "p", 400_000_000, 800_000_000.0)]
