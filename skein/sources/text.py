@@ -249,9 +249,14 @@ def read_sums(spark: SparkSession, path: str, samples: DataFrame | None = None)
     return every.join(long, ["sample_id", "pgs_id"], "left").fillna(0.0, ["score"])
 
 
+def place() -> Column:
+    """Where a row of files stands: by the files' names, and in a file from its begin. Splits of a file are read in the order of their tasks' numbers."""
+    return F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+
+
 def read_manifest(spark: SparkSession, path: str, key: str = "job_id") -> DataFrame:
     """A manifest's rows by key, the last of equal ones."""
-    rows = spark.read.option("header", True).csv(path).withColumn("_seq", F.monotonically_increasing_id())
+    rows = spark.read.option("header", True).csv(path).withColumn("_seq", place())
     others = [c for c in rows.columns if c not in (key, "_seq")]
     best = rows.groupBy(key).agg(F.max_by(F.struct(*others), "_seq").alias("_r"))
     return best.select(key, *(F.col("_r")[c].alias(c) for c in others))
@@ -296,7 +301,7 @@ def read_patient(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.option("sep", "\t").option("header", True).csv(path)
     z = next((c for c in ("Z_norm1", "Z_norm2", "Z_MostSimilarPop", "Z") if c in rows.columns), rows.columns[-1])
     pgs = next((c for c in ("pgs_id", "PGS", "pgs") if c in rows.columns), rows.columns[0])
-    kept = rows.select(F.col(pgs).alias("pgs_id"), F.col(z).try_cast("double").alias("z"), F.monotonically_increasing_id().alias("_seq")).where("z is not null")
+    kept = rows.select(F.col(pgs).alias("pgs_id"), F.col(z).try_cast("double").alias("z"), place().alias("_seq")).where("z is not null")
     return kept.groupBy("pgs_id").agg(F.max_by("z", "_seq").alias("z"))
 
 

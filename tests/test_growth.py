@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skein.operators import graph, match, resample
+from skein.sources import text
 
 
 def by_sorting(x, y, k, threshold, same):
@@ -88,3 +89,10 @@ def test_fallback_totals_do_not_list_the_pairs(spark):
     w = spark.range(20_000).select(F.lit("p").alias("pgs_id"), F.lit(-1).alias("k"), F.lit("a").alias("rs"))
     o = spark.range(20_000).select(F.lit(1).alias("k"), F.lit("a").alias("rs"), F.lit(2.0).alias("dosage"))
     assert list(map(tuple, match.exact_then_fallback_totals(w, o, "k", "rs").collect())) == [("fallback", "p", 400_000_000, 800_000_000.0)]
+
+
+def test_last_row_of_a_patient_is_that_of_the_last_file(spark, tmp_path):
+    """Spark reads large files first, whatever their names."""
+    (tmp_path / "part-0.csv").write_text("pgs_id\tZ_norm1\nA\t1.0\n")
+    (tmp_path / "part-1.csv").write_text("pgs_id\tZ_norm1\nA\t2.0\n" + "B\t3.0\n" * 500_000)
+    assert {r.pgs_id: r.z for r in text.read_patient(spark, str(tmp_path)).collect()} == {"A": 2.0, "B": 3.0}
