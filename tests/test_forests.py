@@ -81,3 +81,27 @@ def test_null_of_dealt_labels_is_near_chance(spark):
     df = spark.createDataFrame([(f"s{k:02d}", y, *map(float, rng.normal(size=3) + (2.0 if y == "A" else 0))) for k, y in enumerate(labels)], "u string, label string, a double, b double, c double")
     null = cohort.permutation_null(ml.features(df, ["a", "b", "c"]), "u", "label", ["A", "B"], draws=6, folds=2, trees=6, depth=3).collect()
     assert len(null) == 6 and all(r.top3 == 1.0 for r in null) and 0.3 < np.mean([r.top1 for r in null]) < 0.7
+
+
+@pytest.mark.parametrize("trees", [2, 23])
+def test_blocks_and_one_block_give_the_same(spark, cohorts, trees):
+    units, labels = cohorts
+    features, n = forests.binned(units, "u", "x")
+    rows = labels.select("c", "u", "y", (F.hash("u") % 4 != 0).alias("learns"))
+    p = lambda **k: {(r.c, r.u): r.p for r in forests.predictions(rows, features, ["c"], "u", n, trees, 3, **k).collect()}
+    one, many = p(), p(block=40)
+    assert set(one) == set(many) and one == pytest.approx(many, abs=1e-12)
+
+
+def test_one_block_is_one_pass(spark, cohorts, monkeypatch):
+    """Nothing is written level by level, and no row is made for a unit and tree."""
+    units, labels = cohorts
+    seen = []
+    monkeypatch.setattr(forests, "written", lambda df, name: seen.append(df) or df)
+    forests.out_of_fold(labels, units, ["c"], "u", "x", 2, 40, 6)
+    assert len(seen) <= 4
+
+
+def test_features_are_drawn_by_the_hash_of_spark(spark):
+    row = spark.sql("SELECT xxhash64(43, 'd', 2) AS model, transform(sequence(0, 4), j -> pmod(xxhash64(43, 'd', 2, 7, 11L, j), 64)) AS tries").first()
+    assert forests._tries(row.model, 7, np.array([11]), 5, 64).tolist() == [row.tries]
