@@ -149,19 +149,25 @@ def _with_long(x: np.ndarray, h: np.ndarray) -> np.ndarray:
     return _mixed(_turned((h + _P[5] + np.uint64(8)) ^ (_turned(x * _P[2], 31) * _P[1]), 27) * _P[1] + _P[4])
 
 
-def _tries(model: int, tree: int, nodes: np.ndarray, tried: int, n_features: int) -> np.ndarray:
-    """The features that each node tries, numbers from its hash (xxhash64 of the model's columns, tree, node and try); one that is drawn twice is tried twice."""
+def _tries(model: int, tree: int, nodes: np.ndarray, tried: int, n_features: int, distinct: bool = False) -> np.ndarray:
+    """The features that each node tries, numbers from its hash (xxhash64 of the model's columns, tree, node and try); one that is drawn twice is tried twice.
+
+    distinct: the first features in the order of the hash of each, so that none is drawn twice.
+    """
     of = lambda x: np.atleast_1d(np.asarray(x, np.int64)).view(np.uint64)
     h = _with_long(of(nodes), _with_int(of(tree), of(model)))
+    if distinct:
+        return np.argsort(_with_int(of(np.arange(n_features))[None, :], h[:, None]), axis=1, kind="stable")[:, :tried]
     h = _with_int(of(np.arange(tried))[None, :], h[:, None])
     return h.view(np.int64) % max(1, n_features)
 
 
-def predictions(rows: DataFrame, features: DataFrame, keys: list[str], unit: str, n_features: int, trees: int = 200, depth: int = 8, seed: int = 42, balanced: bool = True, block: int | None = None) -> DataFrame:
+def predictions(rows: DataFrame, features: DataFrame, keys: list[str], unit: str, n_features: int, trees: int = 200, depth: int = 8, seed: int = 42, balanced: bool = True, block: int | None = None, distinct: bool = False) -> DataFrame:
     """keys, unit and p: the mean share of class 1 in the leaves of each model's trees, for the units that it doesn't learn from.
 
     rows: keys, unit, y (0 or 1) and learns. features: unit and _bins, of binned. balanced: the classes of a model weigh the same. Keys are not null. A model without
     units to learn from has no predictions. block: units in a block (by default as many as BLOCK_BYTES hold).
+    distinct: whether a node tries no feature twice, as MLlib does.
     """
     spark, chunk = rows.sparkSession, min(CHUNK, trees)
     tried = max(1, math.isqrt(n_features - 1) + 1) if n_features else 0
@@ -240,7 +246,7 @@ def predictions(rows: DataFrame, features: DataFrame, keys: list[str], unit: str
                         to = np.full(len(nodes), -1)
                         to[mixed] = np.arange(len(mixed))
                         some = to[place] >= 0
-                        tries = _tries(row["_hash"], row["_chunk"] * chunk + k, nodes[mixed], tried, n_features)
+                        tries = _tries(row["_hash"], row["_chunk"] * chunk + k, nodes[mixed], tried, n_features, distinct)
                         f[mixed], b[mixed] = _best(_counts(bins[some], own[some], w[some], to[place[some]], tries, width), tries, scale)
                     grown.put(k, nodes, f, b, _shares(totals, scale))
                     go = f[place] >= 0
@@ -273,7 +279,7 @@ def predictions(rows: DataFrame, features: DataFrame, keys: list[str], unit: str
                     nodes, place = np.unique(node, return_inverse=True)
                     tree, own, w = row["_chunk"] * chunk + k, y[at], times[at, k].astype(float)
                     totals = np.bincount(place * 2 + own, w, 2 * len(nodes)).reshape(-1, 2).astype(np.int64)
-                    tries = _tries(row["_hash"], tree, nodes, tried, n_features)
+                    tries = _tries(row["_hash"], tree, nodes, tried, n_features, distinct)
                     width = int(inside.max(initial=0)) + 1
                     counts = _counts(inside[at], own, w, place, tries, width) if level < depth else np.zeros((len(nodes), 0, width, 2), np.int64)
                     cells = np.flatnonzero(counts)  # deep nodes have few
@@ -288,7 +294,7 @@ def predictions(rows: DataFrame, features: DataFrame, keys: list[str], unit: str
             found, width = table.to_pylist(), max(table["_width"].to_pylist())
             tree, scale = found[0]["_tree"], np.array(found[0]["_scale"])
             nodes = np.unique(np.concatenate([np.frombuffer(r["_nodes"], np.int64) for r in found]))
-            tries = _tries(found[0]["_hash"], tree, nodes, tried, n_features)
+            tries = _tries(found[0]["_hash"], tree, nodes, tried, n_features, distinct)
             last = level == depth or not tried
             totals, counts = np.zeros((len(nodes), 2), np.int64), np.zeros((len(nodes), 0 if last else tried, width, 2), np.int64)
             for r in found:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -12,6 +13,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.operators import forests
+from skein.session import written
+
 
 class Places(NamedTuple):
     """The reference samples' places as projection needs them: their number, their mean and their Gram matrix about it. None of it grows with the samples."""
@@ -137,20 +141,37 @@ def features(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
     return df.withColumn(out, array_to_vector(F.concat(*parts)))
 
 
-def train_forest(df: DataFrame, label: str, trees: int = 500, depth: int = 12, seed: int = 42, balanced: bool = True) -> RandomForestClassificationModel:
+class Forest:
+    """A forest that rows are to grow. By itself it is MLlib's model, grown when it is first used; folds of one table are grown together (cross_validated)."""
+
+    def __init__(self, rows: DataFrame, label: str, trees: int, depth: int, seed: int, balanced: bool) -> None:
+        self.rows, self.label, self.trees, self.depth, self.seed, self.balanced = rows, label, trees, depth, seed, balanced
+
+    @cached_property
+    def model(self) -> RandomForestClassificationModel:
+        df, label = self.rows, self.label
+        forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=self.trees, maxDepth=self.depth, seed=self.seed)
+        if self.balanced:
+            n = df.count()
+            sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+            weight = F.lit(1.0)
+            for value, size in sizes.items():
+                weight = F.when(F.col(label) == value, F.lit(n / (len(sizes) * size))).otherwise(weight)
+            df, forest = df.withColumn("_weight", weight), forest.setWeightCol("_weight")
+        return forest.fit(df)
+
+    def __getattr__(self, name: str):
+        if name.startswith("__"):
+            raise AttributeError(name)
+        return getattr(self.model, name)
+
+
+def train_forest(df: DataFrame, label: str, trees: int = 500, depth: int = 12, seed: int = 42, balanced: bool = True) -> Forest:
     """A forest on the column features. balanced: classes weigh the same."""
-    forest = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed)
-    if balanced:
-        n = df.count()
-        sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-        weight = F.lit(1.0)
-        for value, size in sizes.items():
-            weight = F.when(F.col(label) == value, F.lit(n / (len(sizes) * size))).otherwise(weight)
-        df, forest = df.withColumn("_weight", weight), forest.setWeightCol("_weight")
-    return forest.fit(df)
-
-
-def probabilities(model: RandomForestClassificationModel, df: DataFrame, out: str = "probabilities") -> DataFrame:
+    return Forest(df, label, trees, depth, seed, balanced)
+
+
+def probabilities(model: RandomForestClassificationModel | Forest, df: DataFrame, out: str = "probabilities") -> DataFrame:
     kept = [c for c in df.columns if c != "features"]
     return model.transform(df).select(*kept, vector_to_array("probability").alias(out))
 
@@ -168,21 +189,30 @@ def cross_validated(df: DataFrame, unit: str, label: str, folds: int = 5, trees:
     """(unit, label, fold, p): out-of-fold probabilities of class 1, folds stratified by hash order.
 
     others: rows outside the cohort are scored by every fold's model; first_nonzero takes the
-    first model's probability that isn't 0, otherwise their mean is taken.
+    first model's probability that isn't 0, otherwise their mean is taken. All folds' trees grow together (forests), by MLlib's law (Poisson draws,
+    32 bins, the square root of the features at each node) from other random numbers than MLlib's.
     """
     from skein.operators.resample import stratified_folds
 
-    dealt, out, outside = stratified_folds(df, label, unit, folds, seed), None, None
-    for fold in range(folds):
-        model = train_forest(dealt.where(F.col("fold") != fold), label, trees, depth, seed)
-        part = probabilities(model, dealt.where(F.col("fold") == fold), "_p").select(unit, F.col(label).cast("int").alias("label"), "fold", F.element_at("_p", 2).alias("p"))
-        out = part if out is None else out.unionByName(part)
-        if others is not None:
-            more = probabilities(model, others, "_p").select(unit, F.lit(fold).alias("fold"), F.element_at("_p", 2).alias("p"))
-            outside = more if outside is None else outside.unionByName(more)
-    if outside is not None:
-        p = F.coalesce(F.min_by(F.when(F.col("p") != 0, F.col("p")), F.when(F.col("p") != 0, F.col("fold"))), F.lit(0.0)) if first_nonzero else F.avg("p")
-        out = out.unionByName(outside.groupBy(unit).agg(p.alias("p")).select(unit, F.lit(None).cast("int").alias("label"), F.lit(None).cast("int").alias("fold"), "p"))
+    dealt = written(stratified_folds(df, label, unit, folds, seed), "folds")
+    asked = [train_forest(dealt.where(F.col("fold") != fold), label, trees, depth, seed) for fold in range(folds)]
+    how = asked[0]
+    vector = vector_to_array("features").alias("x")
+    units = dealt.select(unit, vector)
+    every = dealt.select(unit, F.col(label).cast("int").alias("y"), "fold")
+    if others is not None:
+        units = units.unionByName(others.select(unit, vector))
+        every = every.unionByName(others.select(unit, F.lit(None).cast("int").alias("y"), F.lit(None).cast(dealt.schema["fold"].dataType).alias("fold")))
+    binned, n = forests.binned(units, unit, "x")
+    rows = every.withColumn("_model", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))).withColumn("learns", F.coalesce(F.col("fold") != F.col("_model"), F.lit(False)))
+    found = written(forests.predictions(rows.select("_model", unit, "y", "learns"), binned, ["_model"], unit, n, how.trees, how.depth, how.seed, how.balanced, distinct=True), "fold-shares")
+    own = dealt.select(unit, F.col(label).cast("int").alias("label"), "fold")
+    out = own.join(found.withColumnRenamed("_model", "fold"), ["fold", unit], "left").select(unit, "label", "fold", "p")
+    if others is not None:
+        known = F.when(F.col("p") != 0, F.col("p"))
+        p = F.coalesce(F.min_by(known, F.when(F.col("p") != 0, F.col("_model"))), F.lit(0.0)) if first_nonzero else F.avg("p")
+        outside = found.join(others.select(unit), unit, "left_semi").groupBy(unit).agg(p.alias("p"))
+        out = out.unionByName(outside.select(unit, F.lit(None).cast("int").alias("label"), F.lit(None).cast("int").alias("fold"), "p"))
     return out
 
 

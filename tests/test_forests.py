@@ -105,3 +105,13 @@ def test_one_block_is_one_pass(spark, cohorts, monkeypatch):
 def test_features_are_drawn_by_the_hash_of_spark(spark):
     row = spark.sql("SELECT xxhash64(43, 'd', 2) AS model, transform(sequence(0, 4), j -> pmod(xxhash64(43, 'd', 2, 7, 11L, j), 64)) AS tries").first()
     assert forests._tries(row.model, 7, np.array([11]), 5, 64).tolist() == [row.tries]
+
+
+def test_folds_of_a_table_are_grown_together(cohorts, monkeypatch):
+    """Not a job of MLlib for each fold and group of nodes; units outside are scored by every fold."""
+    units, labels = cohorts
+    monkeypatch.setattr(ml.RandomForestClassifier, "fit", lambda *a: pytest.fail("a forest was grown by itself"))
+    rows = ml.features(labels.where("c = 'b'").join(units, "u").withColumn("y", F.col("y").cast("double")), ["x"])
+    got = ml.cross_validated(rows.where("y is not null"), "u", "y", 3, 30, 4, others=rows.where("y is null")).withColumn("c", F.lit("b"))
+    assert areas(got)["b"] > 0.7
+    assert got.count() == 160 and got.where("fold is null and label is null and p between 0 and 1").count() == 40
