@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from jobs.settings import log, main
 from skein.operators import match, score, stats
+from skein.session import written
 
 DEFAULTS = {"tables": None, "out": None, "populations": [], "scores": [], "digits": 6, "elevated": 1.5}
 SCORES = "sample_id long, pgs_id string, raw_score double, variants_matched long, match_rate double, z double, percentile double, population string"
@@ -63,7 +64,8 @@ def run(spark: SparkSession, tables: str, out: str, populations: list[str] = (),
     log.info("read %d samples and %d weight rows from %s", samples.count(), weights.count(), tables)
     meta = weights.groupBy("pgs_id").agg(F.count("*").alias("num_original"))
     matched = calls_of(spark, tables, samples).join(weights, "variant")
-    raw = score.weighted_scores(matched, meta, by=("sample_id", "population", "pgs_id"))
+    # Written: means, ranks and rows are each read from it, and would each match the calls anew.
+    raw = written(score.weighted_scores(matched, meta, by=("sample_id", "population", "pgs_id")), "raw-scores")
     rows = normalised(raw, digits).select(*(n.split()[0] for n in SCORES.split(", ")))
     _replace(rows, f"{out}/scores")
     stored = spark.read.schema(SCORES).parquet(f"{out}/scores")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,20 @@ def weighted_scores(matched: DataFrame, meta: DataFrame | None = None, by: tuple
     millions of rows is combined where its rows are read.
     """
     part = dosage_model(F.col("dosage"), F.coalesce(F.col("flip"), F.lit(0)), F.coalesce(F.col("model"), F.lit(0))) * F.col("weight").cast("double")
-    sums = matched.where(F.col("dosage").isNotNull()).groupBy(*by).agg(F.sum(part).alias("raw_score"), F.count("*").alias("variants_matched"))
+    seen = F.col("dosage").isNotNull()
     if meta is None:
-        return sums
+        return matched.where(seen).groupBy(*by).agg(F.sum(part).alias("raw_score"), F.count("*").alias("variants_matched"))
     keys = [k for k in by if k != "pgs_id"]
     named = meta.select("pgs_id", "num_original")
-    wanted = matched.select(*keys).distinct().crossJoin(named) if keys else named  # the result has a row for each sample and score
-    out = wanted.join(sums, list(by), "left")
+    if keys:  # the result has a row for each sample and score: those without a match are put beside the others of their sample, so that matches are computed once
+        sums = matched.groupBy(*by).agg(F.sum(F.when(seen, part)).alias("raw_score"), F.count(F.when(seen, 1)).alias("variants_matched"))
+        whole = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.col("pgs_id").isNotNull())  # a null meets no score
+        each = sums.groupBy(*keys).agg(F.collect_list(F.when(whole, F.struct("pgs_id", "raw_score", "variants_matched"))).alias("_found"))
+        ids = F.broadcast(named.agg(F.collect_set("pgs_id").alias("_ids")))
+        none = F.transform(F.array_except("_ids", F.transform("_found", lambda x: x["pgs_id"])), lambda i: F.struct(i.alias("pgs_id"), F.lit(None).cast("double").alias("raw_score"), F.lit(None).cast("long").alias("variants_matched")))
+        out = each.crossJoin(ids).select(*keys, F.inline(F.concat("_found", none))).join(F.broadcast(named), "pgs_id")
+    else:
+        out = named.join(matched.where(seen).groupBy(*by).agg(F.sum(part).alias("raw_score"), F.count("*").alias("variants_matched")), list(by), "left")
     n = F.coalesce(F.col("variants_matched"), F.lit(0))
     rate = F.when(F.col("num_original") > 0, F.round(n / F.col("num_original"), 6)).otherwise(0.0)
     return out.select(*by, F.coalesce("raw_score", F.lit(0.0)).alias("raw_score"), n.alias("variants_matched"), F.col("num_original").alias("variants_total"), (F.col("num_original") - n).alias("variants_missing"), rate.alias("match_rate"))

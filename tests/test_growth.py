@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import graph, match, resample
+from skein.operators import graph, match, resample, score
 from skein.sources import text
 
 
@@ -96,3 +96,22 @@ def test_last_row_of_a_patient_is_that_of_the_last_file(spark, tmp_path):
     (tmp_path / "part-0.csv").write_text("pgs_id\tZ_norm1\nA\t1.0\n")
     (tmp_path / "part-1.csv").write_text("pgs_id\tZ_norm1\nA\t2.0\n" + "B\t3.0\n" * 500_000)
     assert {r.pgs_id: r.z for r in text.read_patient(spark, str(tmp_path)).collect()} == {"A": 2.0, "B": 3.0}
+
+
+def test_scores_of_all_samples_match_once(spark):
+    """Samples are taken from the sums, not from the matches once more."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = [(1, "p", 1.0, 0.5), (1, "p", 2.0, 0.5), (2, "q", None, 1.0), (2, "x", 1.0, 1.0), (None, "q", 1.0, 1.0), (3, None, 1.0, 1.0)]
+    matched = spark.createDataFrame(rows, "sample_id int, pgs_id string, dosage double, weight double").withColumns({"flip": F.lit(0), "model": F.lit(0)})
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    meta = spark.createDataFrame([("p", 4), ("q", 0)], "pgs_id string, num_original long")
+    got = score.weighted_scores(matched.mapInArrow(count, matched.schema), meta)
+    out = {(r.sample_id, r.pgs_id): (r.raw_score, r.variants_matched, r.variants_missing, r.match_rate) for r in got.collect()}
+    zeros = {(s, p): (0.0, 0, n, 0.0) for s in (1, 2, 3, None) for p, n in (("p", 4), ("q", 0))}
+    assert out == zeros | {(1, "p"): (1.5, 2, 2, 0.5)}
+    assert seen.value == len(rows)
