@@ -71,6 +71,13 @@ def iqr_thresholds(df: DataFrame, value: str, by: list[str], first: float = 4.0,
     return q.select(*by, (F.col("_q")[2] + first * iqr).alias("t1"), (F.col("_q")[2] + second * iqr).alias("t2"))
 
 
+def with_iqr_thresholds(df: DataFrame, value: str, by: list[str], first: float = 4.0, second: float = 2.0) -> DataFrame:
+    """df with t1 and t2 of its group, as iqr_thresholds has them, by a window: for groups that a task can hold, where rows lie by group already."""
+    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.75))).over(Window.partitionBy(*by))
+    x, iqr = df.withColumn("_q", q), F.col("_q")[1] - F.col("_q")[0]
+    return x.withColumns({"t1": F.col("_q")[1] + first * iqr, "t2": F.col("_q")[1] + second * iqr}).drop("_q")
+
+
 def convergence(df: DataFrame, groups: list[Column], within: list[str] | None = None) -> Column:
     """How many other rows share a group key, the most over several keys; a null key has none. Windows over the keys."""
     counts = [F.when(g.isNotNull(), F.count("*").over(Window.partitionBy(*(within or []), g)) - 1).otherwise(0) for g in groups]

@@ -9,6 +9,8 @@ from skein.functions import domains, rules
 from skein.functions.clean import no_nan
 from skein.operators import stats
 from skein.operators.match import left_default
+from skein.session import scratch
+from skein.sources.sinks import read_keyed, write_keyed
 
 
 def score_quality(catalog: DataFrame, performance: DataFrame | None = None, match_rates: DataFrame | None = None, z_scores: DataFrame | None = None, population: str = "EUR", requested: DataFrame | None = None, alias: bool = True) -> DataFrame:
@@ -88,8 +90,11 @@ def kept_scores(z_scores: DataFrame, metadata: DataFrame) -> DataFrame:
     return z_scores.join(metadata, "pgs_id").where(no_nan(F.col("z")).isNotNull() & (F.abs("z") <= 10) & (F.col("quality_label") != "discard"))
 
 
-def tiers(kept: DataFrame) -> DataFrame:
-    """kept with importance (boosted by agreeing peers, rounded after tiering), convergence, t1, t2, tier and direction, for each sample."""
+def tiers(kept: DataFrame, dealt: bool = False) -> DataFrame:
+    """kept with importance (boosted by agreeing peers, rounded after tiering), convergence, t1, t2, tier and direction, for each sample.
+
+    dealt: kept lies by sample, and all is computed there: a sample's scores are one task's, as its report is.
+    """
     up = rules.direction(F.col("z"))
     family = F.when(F.col("family") != "", F.concat_ws("\x1f", "family", up))
     trait = F.when(rules.trait_key(F.col("trait")).isNotNull(), F.concat_ws("\x1f", rules.trait_key(F.col("trait")), up))
@@ -97,10 +102,18 @@ def tiers(kept: DataFrame) -> DataFrame:
     x = kept.withColumns({"_f": family, "_t": trait})
     x = x.withColumn("convergence", stats.convergence(x, [F.col("_f"), F.col("_t")], ["sample_id"])).drop("_f", "_t")
     x = x.withColumn("importance", base * (1.0 + 0.15 * F.least(F.col("convergence"), F.lit(8))))
-    y = x.join(stats.iqr_thresholds(x, "importance", ["sample_id"]), "sample_id")
+    y = stats.with_iqr_thresholds(x.where("sample_id is not null"), "importance", ["sample_id"]) if dealt else x.join(stats.iqr_thresholds(x, "importance", ["sample_id"]), "sample_id")
     return y.withColumn("tier", rules.tier(F.col("importance"), F.col("t1"), F.col("t2"))).withColumn("importance", F.bround("importance", 2)).withColumn("direction", rules.direction(F.col("z"), "elevated", "reduced"))
 
 
+def _stored_tiers(kept: DataFrame) -> DataFrame:
+    """tiers of kept, computed once and stored by sample: what is grouped or joined by sample is read from there without a shuffle."""
+    spark = kept.sparkSession
+    path, parts = scratch(spark, "tiers"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_keyed(tiers(kept.repartition(parts, "sample_id"), dealt=True), path, "sample_id", parts, dealt=True)
+    return read_keyed(spark, path, "sample_id", parts)
+
+
 def entries(tiered: DataFrame, url: str | None = None) -> DataFrame:
     """tiered with entry: what a report says of a score; T1 says most, T3 least. Absent fields are null and left out of JSON."""
     key = F.concat_ws(".", "pgs_id", "tier", "direction")
@@ -141,7 +154,7 @@ def landscape_section(tiered: DataFrame) -> DataFrame:
     pick = rules.first_mapped(F.array("phenotype_type"), domains.LANDSCAPES)
     x = entries(tiered).withColumns({"landscape": pick, "subsection": F.coalesce("phenotype_subsection", F.lit("other"))}).where("landscape is not null")
     parts = x.groupBy("sample_id", "landscape", "subsection").agg(*_counts(), _listed().alias("pgs"))
-    totals = x.rollup("sample_id", "landscape").agg(*_counts()).where("landscape is not null").withColumns({"subsection": F.lit(None).cast("string"), "pgs": F.lit(None).cast(parts.schema["pgs"].dataType)})
+    totals = x.groupBy("sample_id", "landscape").agg(*_counts()).withColumns({"subsection": F.lit(None).cast("string"), "pgs": F.lit(None).cast(parts.schema["pgs"].dataType)})
     return parts.unionByName(totals.select(*parts.columns)).withColumn("mean_z", F.bround("_mean", 3)).drop("_mean")
 
 
@@ -172,7 +185,7 @@ def report(z_scores: DataFrame, metadata: DataFrame, profile: DataFrame, probabi
     probabilities: sample_id, disease, probability. modules: sample_id, module_id, z_score, reliability, …. drivers: sample_id, disease, driving_modules.
     """
     kept = kept_scores(z_scores, metadata)
-    tiered = tiers(kept)
+    tiered = _stored_tiers(kept)
     doms = domain_section(tiered)
     scored = z_scores.groupBy("sample_id").agg(F.count("*").alias("pgs_scored"))
     filtered = tiered.groupBy("sample_id").agg(F.count("*").alias("pgs_after_filter"), F.struct(F.bround(F.max("t1"), 2).alias("T1"), F.bround(F.max("t2"), 2).alias("T2")).alias("tier_thresholds"), F.struct(*(F.count_if(F.col("tier") == t).alias(t) for t in ("T1", "T2", "T3"))).alias("tier_counts"))

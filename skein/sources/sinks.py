@@ -31,14 +31,15 @@ def read_genotypes(spark: SparkSession, path: str, samples: list[str] | None = N
     return rows.where(F.col("sample_id").isin(samples)) if samples is not None else rows
 
 
-def write_keyed(df: DataFrame, path: str, key: str = "vkey", buckets: int = BUCKETS) -> None:
+def write_keyed(df: DataFrame, path: str, key: str = "vkey", buckets: int = BUCKETS, dealt: bool = False) -> None:
     """A store dealt into buckets by the hash of a key, sorted in each: two such stores are joined on the key where they lie, without a shuffle.
 
     The table's name is only there to write it; what stays is the folder, which is replaced. The writer's schema is read from its files.
+    dealt: df is repartitioned into so many by the key already.
     """
     spark, name = df.sparkSession, f"keyed_{uuid.uuid4().hex}"
     remove(spark, path)
-    df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    (df if dealt else df.repartition(buckets, key)).write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")
 
 

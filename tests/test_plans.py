@@ -173,6 +173,25 @@ def test_report(spark):
     assert out["phenotype_landscapes"]["anthropometric"]["n_pgs"] == sum(s["n_pgs"] for s in out["phenotype_landscapes"]["anthropometric"]["subsections"].values())
     assert set(out["suggested_monitoring"]["recommendations"]) <= set(out["suggested_monitoring"]["elevated_domains"])
 
+def test_report_computes_tiers_once(spark):
+    """What the report reads is stored by sample: neither metadata nor tiers are computed again for a section."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    meta = _metadata(spark)
+    z = spark.createDataFrame([(s, f"P{k}", 0.3 * k - 2 + 0.1 * len(s or "")) for s in ("S", "TT", None) for k in range(20)], "sample_id string, pgs_id string, z double")
+    profile = spark.createDataFrame([("S", "F"), ("TT", "M")], "sample_id string, sex string")
+    counted = meta.mapInArrow(count, meta.schema)
+    out = {r.sample_id: json.loads(r.report) for r in report.report(z, counted, profile).collect()}
+    assert seen.value == meta.count() and set(out) == {"S", "TT"}
+    tiers = [(r.sample_id, r.tier) for r in report.tiers(report.kept_scores(z, meta)).collect()]
+    for s, r in out.items():
+        assert r["patient"]["tier_counts"] == {t: tiers.count((s, t)) for t in ("T1", "T2", "T3")}
+
 
 def test_tier_convergence(spark):
     z = spark.createDataFrame([("S", f"P{k}", 1.0 if k < 12 else -1.0) for k in range(24)], "sample_id string, pgs_id string, z double")
