@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,9 +41,26 @@ def steps(value: Column, bounds: list[tuple[float, int]], otherwise: int, test=l
     return chain.otherwise(F.lit(otherwise))
 
 
+def required(pattern: str) -> str:
+    """In lower case, a piece that every match of a pattern has in it, whatever its case; empty where that isn't plain to see."""
+    if re.search(r"\\(?![sSwWdDbB])[A-Za-z0-9]", pattern) or not pattern.isascii():
+        return ""
+    rest, before = pattern, None
+    while rest != before:  # groups and classes, from the inside
+        before, rest = rest, re.sub(r"\[[^\[\]]*\]|\((?:\\.|[^()\\])*\)", "\\\\s", rest)
+    rest = re.sub(r"(?:\\.|[^\\])(?:[?*]|\{[^}]*\})", " ", rest)
+    rest = re.sub(r"\\[A-Za-z]", " ", rest).replace("\\+", "\0").replace("+", " ")
+    if re.search(r"[|()\[\]{}\\?*]", rest):
+        return ""
+    return max(re.findall(r"[A-Za-z0-9]+|\0", rest), key=lambda x: (len(x), x == "\0"), default="").lower().replace("\0", "+")
+
+
 def tier_by_pattern(text: Column, tiers=METHOD_TIERS, default: int = METHOD_DEFAULT) -> Column:
-    """The best tier that has a pattern in the text: one alternation for each tier."""
-    found = [F.when(text.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)), F.lit(score)) for score, patterns in tiers]
+    """The best tier that has a pattern in the text: one alternation for each tier, tried only on texts that have a piece which one of its patterns requires."""
+    low, found = F.lower(text), []
+    for score, patterns in tiers:
+        match, pieces = text.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns)), {required(p) for p in patterns}
+        found.append(F.when(match if "" in pieces else reduce(or_, (low.contains(x) for x in sorted(pieces))) & match, F.lit(score)))
     return F.coalesce(F.greatest(F.lit(default), *found), F.lit(default))
 
 

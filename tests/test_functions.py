@@ -145,3 +145,10 @@ def test_hash_of_any_bases(spark, words):
 
     got = spark.createDataFrame(list(enumerate(words)), "i int, s string").orderBy("i").select(keys.fnv1a(F.col("s")).alias("h")).collect()
     assert [x.h for x in got] == [plain(w) for w in words]
+
+
+def test_every_tier_pattern_requires_a_piece():
+    """Alternations once ran over every text; a text without any of a tier's pieces can't match."""
+    pieces = {p: rules.required(p) for _, ps in rules.METHOD_TIERS for p in ps}
+    assert all(pieces.values()) and pieces[r"P\s*\+\s*T"] == "+" and pieces[r"variants?\s*from\s*\w+\s*et\s*al"] == "variant"
+    assert [rules.required(p) for p in (r"\x41b", "a|b", "ab?c", "(a(b|c))?d", "[A-Z]", "é", "abc{0,1}d")] == ["", "", "a", "d", "", "", "ab"]
