@@ -51,6 +51,8 @@ BLOCK = 2048
 MEETING = 32
 #: Sets of a shingle's group that are compared in one task.
 GROUP = 1024
+#: Pairs of such a group that are compared at once.
+PAIRS = 1 << 15
 #: Words of 64 bits that a set's bitmap can have.
 WIDTHS = (1, 2, 4, 8, 16)
 #: Parts that the sets of a frequent shingle are dealt into.
@@ -226,14 +228,17 @@ class _Near:
         for g in np.flatnonzero(members > 8).tolist():
             lo, hi = int(begins[g]), int(begins[g + 1])
             roots = np.array([self.find(x) for x in names[lo:hi]], np.int64)
-            for j in range(lo + 1, hi):
-                near = np.flatnonzero(roots[: j - lo] != roots[j - lo]) + lo
-                near = near[self.may(near, np.full(len(near), j))]
-                for root in np.unique(roots[near - lo]).tolist():
-                    if self.union(root, int(roots[j - lo])):
-                        links.append((root, names[j]))
-                if len(near):
-                    roots[np.isin(roots, [*roots[near - lo], roots[j - lo]])] = self.find(names[j])
+            at, step = np.arange(hi - lo), max(1, PAIRS // (hi - lo))
+            for top in range(0, hi - lo, step):
+                if (roots == roots[0]).all():  # nothing is left to link, as in most groups of classes that earlier groups have linked
+                    break
+                j, i = np.nonzero((roots != roots[top : top + step, None]) & (at < at[top : top + step, None]))
+                j += top
+                near = self.may(i + lo, j + lo)
+                if near.any():
+                    pairs = np.unique(np.stack((roots[i[near]], roots[j[near]])), axis=1).tolist()
+                    links += [(a, b) for a, b in zip(*pairs) if self.union(a, b)]
+                    roots = np.array([self.find(x) for x in roots.tolist()], np.int64)
         if len(self.root) > HELD:
             self.root.clear()  # costs repeated links, no link
         return links

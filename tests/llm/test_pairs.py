@@ -130,6 +130,25 @@ def test_near_pairs_lose_no_similar_one():
         assert percent < 80 or len(set(roots)) > 20  # unlike sets aren't linked
 
 
+def test_groups_of_near_copies_are_compared_in_few_steps(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(6):
+        base = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+        sets += [np.unique(np.concatenate([base[rng.random(200) < 0.98], rng.integers(0, 1 << 62, 2, dtype=np.uint64)])) for _ in range(60)]
+    # One group of all sets, then many of a class that is linked by then.
+    rows = [(0, k) for k in sorted(range(360), key=lambda k: len(sets[k]))] + [(g, k) for g in range(1, 31) for k in sorted(range(g % 6 * 60, g % 6 * 60 + 60), key=lambda k: len(sets[k]))]
+    steps, may = [], ngram_join._Near.may
+    monkeypatch.setattr(ngram_join._Near, "may", lambda self, i, j: steps.append(len(i)) or may(self, i, j))
+    shingle, name = (np.array([r[c] for r in rows], np.int64) for c in range(2))
+    near = ngram_join._Near(80)
+    links = near.edges(shingle, np.array([len(sets[k]) for k in name], np.int64), name, [ngram_join.bitmap(sets[k]) for k in name])
+    assert len(links) == 6 * 59  # a spanning tree of each class
+    assert [near.find(k) for k in range(360)] == [k // 60 * 60 for k in range(360)]
+    assert max(steps) <= max(ngram_join.PAIRS, 360)
+    assert len(steps) < 20
+
+
 def test_ngram_join_stays_linear_where_unlike_texts_chain(spark, monkeypatch):
     sizes = {}
     for name in ("written",):
